@@ -1,0 +1,77 @@
+import datetime as dt
+
+from daylake.plans.datasets import POLICY
+from daylake.plans.pipelines import bronze_to_gold, earliest_day, raw_to_bronze
+from tests.conftest import FILES, write_files
+
+TODAY = dt.date(2024, 2, 4)
+
+
+def _bronze(spark, table):
+    return {(r["policy_id"] if r["policy_id"] is not None else -1): (r["insured_value"], r["year_month_day"])
+            for r in spark.table(table).collect()}
+
+
+def _report(df):
+    r = df.first()
+    return r["load_kind"], r["qtty_before"], r["qtty_source"], r["qtty_after"]
+
+
+def test_policy_chain(spark, policy_landing, lake):  # S4, K1, K2, D4, D5, D9, D12, D14, §7.3
+    bronze = f"{lake}.policy"
+    r1 = raw_to_bronze(spark, POLICY, policy_landing, bronze, reprocess_all=True, today=TODAY)
+    assert _report(r1) == ("first", 0, 2, 2)
+    assert spark.table(bronze).columns == [
+        "policy_id", "expiry_date", "location_name", "state_code", "region_name",
+        "insured_value", "business_type", "earth_quake", "flood", "file_name",
+        "year_month_day", "year", "month", "day"]
+
+    r2 = raw_to_bronze(spark, POLICY, policy_landing, bronze, "2024-02-02", "cron", today=TODAY)
+    row = r2.first()
+    assert (row["load_kind"], row["qtty_before"], row["qtty_source"], row["qtty_after"]) == ("upsert", 2, 5, 4)
+    assert row["null_keys"] == 1 and row["bad_values"] == 3  # x, 02/03/2024, abc
+    assert _bronze(spark, bronze) == {1: (101.5, "20240202"), 2: (200.0, "20240201"),
+                                      3: (301.0, "20240202"), -1: (5.0, "20240202")}
+
+    r3 = raw_to_bronze(spark, POLICY, policy_landing, bronze, "cron", "cron", today=TODAY)
+    assert _report(r3) == ("upsert", 4, 2, 4)
+    # policy 2 marked 'D' stays live (D12); day 01 lost all its rows and is gone
+    assert _bronze(spark, bronze) == {1: (102.5, "20240203"), 2: (200.0, "20240203"),
+                                      3: (301.0, "20240202"), -1: (5.0, "20240202")}
+    assert earliest_day(spark, bronze) == "20240202"
+
+    gold = f"{lake}.policy_prod"
+    g1 = bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)
+    assert _report(g1) == ("first", 0, 2, 2)  # earliest day only (D3, D17)
+    assert "earth_quake" not in spark.table(gold).columns
+    assert len(spark.table(gold).columns) == 13
+    g2 = bronze_to_gold(spark, POLICY, bronze, gold, day="cron", today=TODAY)
+    assert _report(g2) == ("upsert", 2, 2, 4)
+    got = sorted((r["policy_id"] or -1, r["day"]) for r in spark.table(gold).collect())
+    assert got == [(-1, "02"), (1, "03"), (2, "03"), (3, "02")]
+
+    # the same day again changes nothing in gold
+    bronze_to_gold(spark, POLICY, bronze, gold, day="20240203", today=TODAY)
+    assert spark.table(gold).count() == 4
+
+
+def test_older_file_later_wins_and_null_keys_accumulate(spark, tmp_path, lake):  # D13, D14
+    root = str(tmp_path / "land2")
+    files = {"full-load/policy_20240203.csv": FILES["cdc-load/policy_20240203.csv"],
+             "cdc-load/policy_20240202.csv": FILES["cdc-load/policy_20240202.csv"]}
+    write_files(root, files)
+    bronze = f"{lake}.p2"
+    raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
+    raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
+    assert _bronze(spark, bronze)[1] == (101.5, "20240202")
+    raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
+    nulls = spark.table(bronze).where("policy_id is null").count()
+    assert nulls == 2
+
+
+def test_empty_window_changes_nothing(spark, policy_landing, lake):  # R2
+    bronze = f"{lake}.p3"
+    r = raw_to_bronze(spark, POLICY, policy_landing, bronze, "2030-01-01", "2030-01-02", today=TODAY)
+    assert _report(r) == ("none", 0, 0, 0)
+    from daylake.sources.tables import table_exists
+    assert not table_exists(spark, bronze)
