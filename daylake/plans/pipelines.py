@@ -1,9 +1,12 @@
 """The two jobs: landing files -> bronze, bronze -> gold.
 
 Each returns its run report as a one-row DataFrame (R1). Exceptions
-propagate (D2, D16). Actions per run: bronze first load = 1 write
-(+ a one-row emptiness probe); bronze upsert = staging write + the upsert's
-key count, per-partition scan and rewrite; gold likewise.
+propagate (D2, D16). Bronze runs: one job scans the CSV files, casts and
+writes the typed rows to the run's folder in the shared workspace (counts
+are observed there, in a single stage, so they stay exact when tasks are
+retried); the dedup then reads that parquet. First load: one more job
+writes the table. Upsert: the deduplicated rows are staged too, then the
+partition-scoped upsert runs (key check, per-partition scan, rewrite).
 """
 
 from __future__ import annotations
@@ -52,31 +55,34 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
     exists = table_exists(spark, table)
     source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"
     scanned = scan_dated(spark, source, raw_schema(ds.raw_columns), start, final)
-    seen = Observation("source")
-    raw = scanned.observe(seen, F.count(F.lit(1)).alias("rows"),
-                      *cast_failures(ds.bronze_mapping))
-    latest = latest_per_key(conform(raw, ds), ds.keys, ds.order_by)
-    kept = Observation("kept")
-    latest = latest.observe(kept, F.count(F.lit(1)).alias("rows"), _null_keys(ds))
     report = dict(stage="bronze", start_date=start, final_date=final,
                   source=source, target=table)
 
-    if scanned.limit(1).isEmpty():  # R2: nothing to load, change nothing
+    # Scan, cast and write in one stage: the counts observed here are exact
+    # even when tasks are retried, and every later step reads parquet.
+    seen = Observation("source")
+    work = run_folder(spark, "bronze")
+    typed = stage(conform(scanned.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                          *cast_failures(ds.bronze_mapping)), ds),
+                  f"{work}/typed")
+    src = seen.get
+    bad = sum(v for k, v in src.items() if k.startswith("bad_"))
+    if src["rows"] == 0:  # R2: nothing to load, change nothing
         before = spark.table(table).count() if exists else 0
         return run_report(spark, **report, load_kind="none", qtty_before=before,
                           qtty_source=0, qtty_after=before, null_keys=0, bad_values=0)
 
+    kept = Observation("kept")
+    latest = latest_per_key(typed, ds.keys, ds.order_by) \
+        .observe(kept, F.count(F.lit(1)).alias("rows"), _null_keys(ds))
     if not exists:
         write_table(latest, table, ds.partitions)
         before, after = 0, kept.get["rows"]
         kind = "first"
     else:
-        staged = stage(latest, f"{run_folder(spark, 'stage')}/{ds.name}")
-        stats = upsert_partitions(spark, table, staged, ds.keys)
+        stats = upsert_partitions(spark, table, stage(latest, f"{work}/latest"), ds.keys)
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
-    src = seen.get
-    bad = sum(v for k, v in src.items() if k.startswith("bad_"))
     return run_report(spark, **report, load_kind=kind, qtty_before=before,
                       qtty_source=src["rows"], qtty_after=after,
                       null_keys=kept.get["null_keys"], bad_values=bad)

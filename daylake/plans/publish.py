@@ -16,8 +16,10 @@ The upsert rewrites only the partitions it touches, never the whole table:
 3. a touched partition left with no rows is dropped, otherwise dynamic
    overwrite would leave its old files in place.
 
-Source keys are broadcast only when their count is checked to be at most
-``broadcast_rows``; beyond it the join falls back to a shuffle join. The
+Source keys are broadcast only when their count and byte size are checked
+to be within ``broadcast_rows`` / ``broadcast_bytes``; beyond that the join
+falls back to a shuffle join on the keys, which moves only the target's
+key and partition columns. The
 source should be staged (written) first: it is read more than once.
 """
 
@@ -29,14 +31,16 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from daylake.operators.filters import partition_predicate
 from daylake.session import conf_override
 from daylake.sources.tables import partition_columns
 
-# Source-key count up to which the keys are broadcast (about 16 bytes a key
-# for one bigint key plus hash-table overhead: ~100 MB at the limit).
-BROADCAST_ROWS = 2_000_000
+# Source keys are broadcast only below both limits, checked on the data:
+# the key count and the estimated key bytes (hash-table overhead aside).
+BROADCAST_ROWS = 5_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 COMPRESSION = "snappy"
 _HIT = "__hit"
 
@@ -87,8 +91,20 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str],
        .partitionBy(*partitions).mode("overwrite").saveAsTable(table))
 
 
+def _key_bytes(df: DataFrame, keys: Sequence[str]):
+    """Per-row byte estimate of the key columns: fixed widths, string lengths."""
+    widths = []
+    for f in df.select(*keys).schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            widths.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + F.lit(8))
+        else:
+            widths.append(F.lit(16))  # upper bound for numbers, dates, decimals
+    return reduce(lambda a, b: a + b, widths)
+
+
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
-                      keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS) -> UpsertStats:
+                      keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
+                      broadcast_bytes: int = BROADCAST_BYTES) -> UpsertStats:
     """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
     parts = partition_columns(spark, table)
     if not parts:
@@ -97,14 +113,17 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
     columns = target.columns
     src = source.select(*columns)
 
-    src_rows = src.count()
+    src_per_part = src.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows")).collect()
+    src_rows = sum(r["rows"] for r in src_per_part)
+    src_parts = {tuple(r[p] for p in parts) for r in src_per_part}
     if src_rows == 0:
         before = target.count()
         return UpsertStats(before, 0, 0, before)
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     key_side = src.select(*keys).where(not_null).distinct()
-    n_keys = key_side.count()
-    use_broadcast = n_keys <= broadcast_rows
+    size = key_side.agg(F.count(F.lit(1)).alias("n"),
+                        F.sum(_key_bytes(key_side, keys)).alias("b")).first()
+    use_broadcast = size["n"] <= broadcast_rows and (size["b"] or 0) <= broadcast_bytes
     if use_broadcast:
         key_side = F.broadcast(key_side)
 
@@ -114,7 +133,6 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
                 .groupBy(*parts)
                 .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits"))
                 .collect())
-    src_parts = {tuple(r) for r in src.select(*parts).distinct().collect()}
     before = sum(r["rows"] for r in per_part)
     matched = sum(r["hits"] for r in per_part)
     touched_old = [tuple(r[p] for p in parts) for r in per_part if r["hits"] > 0]
