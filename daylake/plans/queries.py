@@ -366,6 +366,20 @@ def q_run_report(spark, sf_dir):
                           "qtty_after", "null_keys", "bad_values")
 
 
+def q_stream_cdc_to_bronze(spark, sf_dir):
+    """Batch first load from full-load/, then cdc-load/ as a file stream."""
+    from daylake.streaming import stream_to_bronze
+    db, location = _lake(spark, "stream")
+    table = f"{db}.events"
+    root = landing(spark, sf_dir)
+    raw_to_bronze(spark, EVENTS, root, table)
+    query = stream_to_bronze(spark, EVENTS, root, table, f"{location}/_checkpoint")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return _events_out(spark.table(table))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: bronze first load, gold first load, bronze upsert, gold
     upsert of one day; returns the gold table."""
@@ -405,5 +419,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truncate_table": q_truncate_table,
     "load_source_switch": q_load_source_switch,
     "run_report": q_run_report,
+    "stream_cdc_to_bronze": q_stream_cdc_to_bronze,
     "bronze_to_gold": flagship,
 }
