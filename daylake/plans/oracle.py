@@ -119,6 +119,7 @@ ORACLE: dict[str, str] = {
     "latest_per_composite_key": last_lineitem("true"),
     "partition_day_filter": events_rows(f"{YMD} = '{Q.ONE_DAY}'"),
     "first_day_rows": events_rows(f"{YMD} = (SELECT min({YMD}) FROM events)"),
+    "first_day_rows_join": events_rows(f"{YMD} = (SELECT min({YMD}) FROM events)"),
     "agg_by_name_global": f"SELECT {AGGS} FROM orders",
     "agg_by_name_grouped":
         f"SELECT o_orderstatus, o_orderpriority, {AGGS} FROM orders GROUP BY 1, 2",

@@ -101,16 +101,19 @@ def earliest_day(spark: SparkSession, table: str) -> str | None:
 
 
 def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_table: str,
-                   day: str | None = None, initial: str = "first",
+                   day: str | list[str] | None = None, initial: str = "first",
                    today: dt.date | None = None) -> DataFrame:
     """Stage 2. Existing gold: the bronze rows of ``day`` replace their keys
-    (K6). First load: the earliest bronze day (D3), or every day with
+    (K6); ``day`` may be a list, to publish days that were missed (D18).
+    First load: the earliest bronze day (D3), or every day with
     ``initial='all'``."""
     exists = table_exists(spark, target_table)
     bronze = spark.table(source_table)
     if exists:
-        run_day = resolve_day(day, today)
-        src = day_filter(bronze, [run_day], ds.partitions)
+        days = [resolve_day(d, today) for d in day] if isinstance(day, list) \
+            else [resolve_day(day, today)]
+        run_day = days[0] if len(days) == 1 else ",".join(days)
+        src = day_filter(bronze, days, ds.partitions)
     elif initial == "all":
         run_day, src = None, bronze
     else:

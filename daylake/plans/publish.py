@@ -113,17 +113,23 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
     columns = target.columns
     src = source.select(*columns)
 
-    src_per_part = src.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows")).collect()
+    # one pass over the (staged) source: rows per partition, and upper bounds
+    # of the key count and key bytes for the broadcast check
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    src_per_part = (src.groupBy(*parts)
+                    .agg(F.count(F.lit(1)).alias("rows"),
+                         F.count(F.when(not_null, 1)).alias("keyed"),
+                         F.sum(F.when(not_null, _key_bytes(src, keys))).alias("bytes"))
+                    .collect())
     src_rows = sum(r["rows"] for r in src_per_part)
     src_parts = {tuple(r[p] for p in parts) for r in src_per_part}
     if src_rows == 0:
         before = target.count()
         return UpsertStats(before, 0, 0, before)
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key_rows = sum(r["keyed"] for r in src_per_part)
+    key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
+    use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
     key_side = src.select(*keys).where(not_null).distinct()
-    size = key_side.agg(F.count(F.lit(1)).alias("n"),
-                        F.sum(_key_bytes(key_side, keys)).alias("b")).first()
-    use_broadcast = size["n"] <= broadcast_rows and (size["b"] or 0) <= broadcast_bytes
     if use_broadcast:
         key_side = F.broadcast(key_side)
 

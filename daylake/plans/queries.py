@@ -230,6 +230,13 @@ def q_first_day_rows(spark, sf_dir):
     return _events_out(day_filter(spark.table(table), [first] if first else []))
 
 
+def q_first_day_rows_join(spark, sf_dir):
+    """J1 on a plain DataFrame (no partitions): join with the one-row min."""
+    from daylake.operators.aggregate import rows_at_earliest
+    return _events_out(rows_at_earliest(conform(_events_scan(spark, sf_dir), EVENTS),
+                                        "year_month_day"))
+
+
 ORDER_AGGS = [("o_totalprice", "sum"), ("o_totalprice", "avg"),
               ("o_totalprice", "min"), ("o_totalprice", "max"),
               ("o_orderkey", "count"), ("o_custkey", "countDistinct")]
@@ -406,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_composite_key": q_latest_per_composite_key,
     "partition_day_filter": q_partition_day_filter,
     "first_day_rows": q_first_day_rows,
+    "first_day_rows_join": q_first_day_rows_join,
     "agg_by_name_global": q_agg_by_name_global,
     "agg_by_name_grouped": q_agg_by_name_grouped,
     "merge_upsert": q_merge_upsert,

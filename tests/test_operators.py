@@ -89,3 +89,13 @@ def test_day_filter_prunes_partitions(spark, tmp_path):  # F1, V1
     assert [r["k"] for r in out.collect()] == [2]
     both = day_filter(df, ["2024-02-01", "20240203"])
     assert both.count() == 2
+
+
+def test_rows_at_earliest_broadcasts_one_row(spark):  # J1
+    from daylake.operators.aggregate import rows_at_earliest
+    df = spark.createDataFrame([(1, "20240202"), (2, "20240201"), (3, "20240201")],
+                               "k long, year_month_day string")
+    out = rows_at_earliest(df, "year_month_day")
+    assert sorted(r["k"] for r in out.collect()) == [2, 3]
+    assert out.columns == ["k", "year_month_day"]
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()

@@ -75,3 +75,17 @@ def test_empty_window_changes_nothing(spark, policy_landing, lake):  # R2
     assert _report(r) == ("none", 0, 0, 0)
     from daylake.sources.tables import table_exists
     assert not table_exists(spark, bronze)
+
+
+def test_gold_list_of_days_and_initial_all(spark, policy_landing, lake):  # D18, D3 option
+    bronze = f"{lake}.pb"
+    raw_to_bronze(spark, POLICY, policy_landing, bronze, today=TODAY)
+    raw_to_bronze(spark, POLICY, policy_landing, bronze, "2024-02-02", "2024-02-02", today=TODAY)
+    gold_all = f"{lake}.g_all"
+    r = bronze_to_gold(spark, POLICY, bronze, gold_all, initial="all", today=TODAY)
+    assert _report(r) == ("first", 0, 4, 4)
+    gold = f"{lake}.g_days"
+    bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)  # earliest: 20240201
+    assert sorted(r["policy_id"] for r in spark.table(gold).collect()) == [2]
+    r = bronze_to_gold(spark, POLICY, bronze, gold, day=["20240201", "20240202"], today=TODAY)
+    assert _report(r)[0] == "upsert" and spark.table(gold).count() == 4
