@@ -53,9 +53,19 @@ _lock = threading.RLock()
 _memo: dict[tuple, object] = {}
 
 
-def _memoized(key: tuple, build: Callable[[], object]):
+def _app(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # no JVM-side context (Spark Connect)
+        return str(id(spark))
+
+
+def _memoized(key: tuple, build: Callable[[], object],
+              valid: Callable[[object], bool] = lambda _: True):
+    """Build once per key; rebuild if ``valid`` says the cached value is gone
+    (e.g. a table of a catalog that was stopped with its session)."""
     with _lock:
-        if key not in _memo:
+        if key not in _memo or not valid(_memo[key]):
             _memo[key] = build()
         return _memo[key]
 
@@ -82,7 +92,8 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
         write_dated_csv(rows, root, "__day", "__folder", prefix="events") \
             .agg(F.sum("rows")).collect()
         return root
-    return _memoized(("landing", workspace(spark), sf_dir), build)
+    return _memoized(("landing", workspace(spark), sf_dir), build,
+                     lambda root: path_exists(spark, f"{root}/{FULL_LOAD}"))
 
 
 def _events_scan(spark, sf_dir, folders=(FULL_LOAD, CDC_LOAD), start=None, final=None):
@@ -120,7 +131,8 @@ def _events_by_day(spark: SparkSession, sf_dir: str) -> str:
         table = f"{db}.events_by_day"
         write_table(conform(_events_scan(spark, sf_dir), EVENTS), table, EVENTS.partitions)
         return table
-    return _memoized(("by_day", workspace(spark), sf_dir), build)
+    return _memoized(("by_day", _app(spark), workspace(spark), sf_dir), build,
+                     lambda table: table_exists(spark, table))
 
 
 def _bronze_runs(spark: SparkSession, sf_dir: str):
@@ -132,7 +144,8 @@ def _bronze_runs(spark: SparkSession, sf_dir: str):
         first = raw_to_bronze(spark, EVENTS, root, table)
         second = raw_to_bronze(spark, EVENTS, root, table)
         return table, first.unionByName(second)
-    return _memoized(("bronze", workspace(spark), sf_dir), build)
+    return _memoized(("bronze", _app(spark), workspace(spark), sf_dir), build,
+                     lambda value: table_exists(spark, value[0]))
 
 
 # --------------------------------------------------------------- queries

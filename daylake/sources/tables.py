@@ -8,9 +8,15 @@ from pyspark.sql.types import StructType
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if ``path`` exists on the file system Spark uses for it."""
-    jvm = spark.sparkContext._jvm
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # Spark Connect: no JVM gateway; local paths only
+        import os
+        from daylake.session import local_path
+        return os.path.exists(local_path(path))
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
 
 
