@@ -102,10 +102,21 @@ def _key_bytes(df: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a + b, widths)
 
 
-def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
-                      keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
-                      broadcast_bytes: int = BROADCAST_BYTES) -> UpsertStats:
-    """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
+@dataclass
+class UpsertPlan:
+    """What an upsert will do: its counts and the lazy frame of the rewrite."""
+    table: str
+    columns: list
+    partitions: list
+    rewrite: DataFrame | None
+    stats: UpsertStats
+
+
+def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
+                broadcast_rows: int = BROADCAST_ROWS,
+                broadcast_bytes: int = BROADCAST_BYTES) -> UpsertPlan:
+    """Steps 1-2 of the upsert without writing: counts per partition and the
+    rewrite of the touched partitions (``None`` if the source is empty)."""
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
@@ -125,7 +136,7 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
     src_parts = {tuple(r[p] for p in parts) for r in src_per_part}
     if src_rows == 0:
         before = target.count()
-        return UpsertStats(before, 0, 0, before)
+        return UpsertPlan(table, columns, parts, None, UpsertStats(before, 0, 0, before))
     key_rows = sum(r["keyed"] for r in src_per_part)
     key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
     use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
@@ -151,19 +162,37 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
     touched = sorted(set(touched_old) | src_parts, key=str)
     kept = (target.where(partition_predicate(parts, touched))
             .join(key_side, list(keys), "left_anti"))
-    rewrite = kept.unionByName(src)
+    rewrite = kept.unionByName(src).select(*columns)
+    stats = UpsertStats(before, src_rows, matched, before - matched + src_rows,
+                        touched, emptied, use_broadcast)
+    return UpsertPlan(table, columns, parts, rewrite, stats)
+
+
+def _sql_value(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def apply_upsert(spark: SparkSession, plan: UpsertPlan) -> UpsertStats:
+    """Write the rewrite with dynamic partition overwrite, then drop the
+    partitions that lost all their rows (step 3)."""
+    if plan.rewrite is None:
+        return plan.stats
     with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        rewrite.select(*columns).write.insertInto(table, overwrite=True)
+        plan.rewrite.write.insertInto(plan.table, overwrite=True)
+    for values in plan.stats.partitions_dropped:
+        spec = ", ".join(f"{c}={_sql_value(v)}" for c, v in zip(plan.partitions, values))
+        spark.sql(f"ALTER TABLE {plan.table} DROP IF EXISTS PARTITION ({spec})")
+    if plan.stats.partitions_dropped:
+        spark.catalog.refreshTable(plan.table)
+    return plan.stats
 
-    # 3. partitions whose every row moved elsewhere
-    for values in emptied:
-        spec = ", ".join(f"{c}='{v}'" for c, v in zip(parts, values))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    if emptied:
-        spark.catalog.refreshTable(table)
 
-    return UpsertStats(before, src_rows, matched, before - matched + src_rows,
-                       touched, emptied, use_broadcast)
+def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
+                      keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
+                      broadcast_bytes: int = BROADCAST_BYTES) -> UpsertStats:
+    """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
+    return apply_upsert(spark, plan_upsert(spark, table, source, keys,
+                                           broadcast_rows, broadcast_bytes))
 
 
 def register_external(spark: SparkSession, table: str, columns_ddl: str,
