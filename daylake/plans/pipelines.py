@@ -80,7 +80,8 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
         before, after = 0, kept.get["rows"]
         kind = "first"
     else:
-        stats = upsert_partitions(spark, table, stage(latest, f"{work}/latest"), ds.keys)
+        staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
+        stats = upsert_partitions(spark, table, staged, ds.keys)
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
     return run_report(spark, **report, load_kind=kind, qtty_before=before,

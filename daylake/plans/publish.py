@@ -72,21 +72,34 @@ def create_database(spark: SparkSession, name: str, location: str | None = None,
     spark.sql(sql)
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
+def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to ``path`` (shared storage) and read it back.
 
     Cuts the lineage: later reads neither recompute the CSV parse nor
-    depend on executors that may be gone.
+    depend on executors that may be gone. ``rebalance_by`` groups the rows
+    by those columns (skew-split by AQE) so that a later partitioned write
+    from the staged files stays map-only with few files per partition.
     """
+    if rebalance_by:
+        df = df.hint("rebalance", *rebalance_by)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_table(df: DataFrame, table: str, partitions: Sequence[str],
-                observation: Observation | None = None) -> None:
-    """K1 / K4 first load: a new managed, partitioned parquet table."""
+                observation: Observation | None = None, rebalance: bool = True) -> None:
+    """K1 / K4 first load: a new managed, partitioned parquet table.
+
+    With ``rebalance`` the rows are regrouped by the partition columns first
+    (the REBALANCE hint): AQE sizes the write tasks by bytes and splits a
+    day that holds a large share of the rows over several tasks. Without
+    it, every upstream shuffle task would write one file into every day it
+    holds: shuffle partitions x days small files.
+    """
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    if rebalance and partitions:
+        df = df.hint("rebalance", *partitions)
     (df.write.format("parquet").option("compression", COMPRESSION)
        .partitionBy(*partitions).mode("overwrite").saveAsTable(table))
 

@@ -59,7 +59,8 @@ def stream_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table:
         if not table_exists(session, table):
             write_table(latest, table, ds.partitions)
         else:
-            upsert_partitions(session, table, stage(latest, f"{work}/latest"), ds.keys)
+            staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
+            upsert_partitions(session, table, staged, ds.keys)
         # the stream runs in a cloned session: drop the caller's cached listing
         spark.catalog.refreshTable(table)
 
