@@ -221,6 +221,16 @@ def register_external(spark: SparkSession, table: str, columns_ddl: str,
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def run_sql_file(spark: SparkSession, path: str, **params: str) -> None:
+    """Run the ``;``-separated statements of a DDL file (``sql/``), with
+    ``{name}`` placeholders filled from ``params``. Comment lines are skipped."""
+    with open(path) as fh:
+        lines = [ln for ln in fh.read().splitlines() if not ln.lstrip().startswith("--")]
+    for statement in "\n".join(lines).format(**params).split(";"):
+        if statement.strip():
+            spark.sql(statement)
+
+
 def truncate(spark: SparkSession, table: str) -> None:
     """K5 as a user operation: remove all rows of a managed table."""
     spark.sql(f"TRUNCATE TABLE {table}")

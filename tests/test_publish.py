@@ -88,3 +88,24 @@ def test_catalog_ddl(spark, tmp_path):  # K7, K8, S6, S8, S9, S10, K5
     truncate(spark, f"{db}.m")
     assert not is_nonempty(spark.table(f"{db}.m"))
     assert os.path.isdir(str(tmp_path / db))
+
+
+def test_sql_ddl_files_register_bronze_files(spark, tmp_path):  # K7, K8 as SQL
+    from daylake.plans.publish import run_sql_file
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    files = str(tmp_path / "bronze_files")
+    (spark.createDataFrame(
+        [(1, "2024-12-31", "Urban", "NY", "East", 100.5, "Retail", "N", "N", "f_20240201.csv",
+          "20240201", "2024", "02", "01")],
+        "policy_id long, expiry_date string, location_name string, state_code string, "
+        "region_name string, insured_value double, business_type string, earth_quake string, "
+        "flood string, file_name string, year_month_day string, year string, month string, "
+        "day string")
+        .withColumn("expiry_date", F.col("expiry_date").cast("date"))
+        .write.partitionBy("year", "month", "day").parquet(files))
+    run_sql_file(spark, f"{here}/sql/create_database.sql", database="ddl_files_db",
+                 location=str(tmp_path / "ddl_files_db"))
+    run_sql_file(spark, f"{here}/sql/create_table_policy.sql", database="ddl_files_db",
+                 table_location=files)
+    row = spark.table("ddl_files_db.policy").first()
+    assert (row["policy_id"], row["month"], row["day"]) == (1, "02", "01")
