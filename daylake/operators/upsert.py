@@ -4,7 +4,10 @@
 that has one row per key is exactly: the target rows whose key is not in the
 source, plus every source row. The join is written as ``left_anti``;
 Catalyst does not turn a left join + ``IS NULL`` into one (SURVEY J2).
-Keys compare with ``=``, so a NULL key never matches (D14).
+Keys compare with ``=``, so a NULL key never matches (D14). The anti join
+returns the target's columns only, so the "keep one side's columns" step
+after an outer join (P8) is not needed; ``merge_condition`` gives the
+aliased SQL form ``target.k = delta.k`` (P9) for callers that join in SQL.
 
 These functions leave the join strategy to Catalyst/AQE. The table-level
 upsert in ``daylake.plans.publish`` adds the size-checked broadcast and the

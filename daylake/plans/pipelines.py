@@ -50,7 +50,11 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
                   reprocess_all: bool = False, today: dt.date | None = None) -> DataFrame:
     """Stage 1. No table yet: first load from ``full-load/``; otherwise the
     files of ``cdc-load/`` in the window are upserted (S4, D13: last run
-    wins, an older file loaded later overwrites newer rows)."""
+    wins, an older file loaded later overwrites newer rows).
+
+    The caller passes the dates (D19). ``reprocess_all`` only widens the
+    window to everything up to today (D15); to rebuild, drop the table and
+    run again, and the first load reads ``full-load/``."""
     start, final = resolve_window(start_date, final_date, reprocess_all, today)
     exists = table_exists(spark, table)
     source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"

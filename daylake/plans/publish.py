@@ -129,7 +129,8 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
                 broadcast_rows: int = BROADCAST_ROWS,
                 broadcast_bytes: int = BROADCAST_BYTES) -> UpsertPlan:
     """Steps 1-2 of the upsert without writing: counts per partition and the
-    rewrite of the touched partitions (``None`` if the source is empty)."""
+    rewrite of the touched partitions (``None`` if the source is empty).
+    The target is read through the catalog (S6, S7)."""
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")

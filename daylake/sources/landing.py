@@ -5,6 +5,9 @@ The window filter is put on ``_metadata.file_name`` so that Spark prunes
 whole files before it opens them; the lineage column is the scan's own
 ``_metadata.file_path``, which stays correct across shuffles.
 
+CSV only (D6): the date rule ``<8 digits>.csv`` and the reader both assume
+it. Spark lists the folders itself, with no page limit on the listing (D7).
+
 ``write_dated_csv`` is the other direction: it lands the rows of a table as
 dated files, one file per (task, day), so that the scan has real input.
 """
