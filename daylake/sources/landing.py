@@ -91,6 +91,10 @@ def write_dated_csv(df: DataFrame, root: str, date_col: str,
     ``(path, rows)``, one row per file; the caller runs it.
     """
     data_cols = [c for c in df.columns if c not in (date_col, folder_col)]
+    # Hadoop's s3a:// and s3n:// name the same objects as s3:// for pyarrow.
+    for scheme in ("s3a://", "s3n://"):
+        if root.startswith(scheme):
+            root = "s3://" + root[len(scheme):]
     out = df.select(*[F.col(c).cast("string").alias(c) for c in data_cols],
                     F.coalesce(F.col(date_col).cast("string"), F.lit("")).alias("__day"),
                     F.coalesce(F.col(folder_col).cast("string") if folder_col else F.lit(""),
