@@ -162,6 +162,15 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT 'bronze', 'upsert', {_distinct_users(first_w)}, "
         f"(SELECT count(*) FROM events WHERE {cdc_w}), {_distinct_users('true')}, "
         f"{_null_users(cdc_w)}, CAST(0 AS BIGINT)",
+    "daily_chain": (
+        f"WITH b1 AS ({last_events(first_w)}), "
+        "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "
+        f"s AS (SELECT * FROM ({last_events('true')}) WHERE year_month_day >= '{SPLIT}' "
+        f"AND year_month_day <= '{Q.GOLD_DAY}'), "
+        "g2 AS (SELECT * FROM g1 t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id) "
+        "UNION ALL SELECT * FROM s) "
+        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
+        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
     "bronze_to_gold": (
         f"WITH b1 AS ({last_events(first_w)}), "
         "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "

@@ -85,7 +85,7 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
         kind = "first"
     else:
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-        stats = upsert_partitions(spark, table, staged, ds.keys)
+        stats = upsert_partitions(spark, table, staged, ds.keys, source_unique=True)
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
     return run_report(spark, **report, load_kind=kind, qtty_before=before,
@@ -133,7 +133,8 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
         n = out.get["rows"]
         return run_report(spark, **report, load_kind="first", qtty_before=0,
                           qtty_source=n, qtty_after=n)
-    stats = upsert_partitions(spark, target_table, src, ds.keys)
+    # bronze holds each non-NULL key once, so one day of it does too
+    stats = upsert_partitions(spark, target_table, src, ds.keys, source_unique=True)
     return run_report(spark, **report, load_kind="upsert", qtty_before=stats.rows_before,
                       qtty_source=stats.rows_source, qtty_after=stats.rows_after)
 

@@ -127,10 +127,13 @@ class UpsertPlan:
 
 def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                 broadcast_rows: int = BROADCAST_ROWS,
-                broadcast_bytes: int = BROADCAST_BYTES) -> UpsertPlan:
+                broadcast_bytes: int = BROADCAST_BYTES,
+                source_unique: bool = False) -> UpsertPlan:
     """Steps 1-2 of the upsert without writing: counts per partition and the
     rewrite of the touched partitions (``None`` if the source is empty).
-    The target is read through the catalog (S6, S7)."""
+    The target is read through the catalog (S6, S7). ``source_unique``
+    says the source holds each non-NULL key once (a deduplicated source),
+    which saves the shuffle that makes the key side distinct."""
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
@@ -154,7 +157,9 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     key_rows = sum(r["keyed"] for r in src_per_part)
     key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
     use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
-    key_side = src.select(*keys).where(not_null).distinct()
+    key_side = src.select(*keys).where(not_null)
+    if not source_unique:
+        key_side = key_side.distinct()
     if use_broadcast:
         key_side = F.broadcast(key_side)
 
@@ -203,10 +208,11 @@ def apply_upsert(spark: SparkSession, plan: UpsertPlan) -> UpsertStats:
 
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
                       keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
-                      broadcast_bytes: int = BROADCAST_BYTES) -> UpsertStats:
+                      broadcast_bytes: int = BROADCAST_BYTES,
+                      source_unique: bool = False) -> UpsertStats:
     """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
-    return apply_upsert(spark, plan_upsert(spark, table, source, keys,
-                                           broadcast_rows, broadcast_bytes))
+    return apply_upsert(spark, plan_upsert(spark, table, source, keys, broadcast_rows,
+                                           broadcast_bytes, source_unique))
 
 
 def register_external(spark: SparkSession, table: str, columns_ddl: str,

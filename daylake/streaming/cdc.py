@@ -60,7 +60,7 @@ def stream_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table:
             write_table(latest, table, ds.partitions)
         else:
             staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-            upsert_partitions(session, table, staged, ds.keys)
+            upsert_partitions(session, table, staged, ds.keys, source_unique=True)
         # the stream runs in a cloned session: drop the caller's cached listing
         spark.catalog.refreshTable(table)
 
