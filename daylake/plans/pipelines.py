@@ -139,5 +139,17 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
                       qtty_source=stats.rows_source, qtty_after=stats.rows_after)
 
 
-__all__ = ["raw_to_bronze", "bronze_to_gold", "earliest_day", "conform",
+def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str, gold: str,
+               day: str | None = None, today: dt.date | None = None) -> DataFrame:
+    """The chain of the two jobs for one day: bronze, then gold once bronze
+    has returned (an exception in bronze stops the chain). ``day`` is the
+    business day (``None`` / ``'cron'`` = yesterday); returns both reports."""
+    iso = None if day in (None, "", "cron") else split_day(day)
+    start = "-".join(iso) if iso else "cron"
+    first = raw_to_bronze(spark, ds, landing_root, bronze, start, start, today=today)
+    second = bronze_to_gold(spark, ds, bronze, gold, day or "cron", today=today)
+    return first.unionByName(second)
+
+
+__all__ = ["run_stages", "raw_to_bronze", "bronze_to_gold", "earliest_day", "conform",
            "FULL_LOAD", "CDC_LOAD", "split_day"]

@@ -198,9 +198,13 @@ def apply_upsert(spark: SparkSession, plan: UpsertPlan) -> UpsertStats:
         return plan.stats
     with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         plan.rewrite.write.insertInto(plan.table, overwrite=True)
-    for values in plan.stats.partitions_dropped:
-        spec = ", ".join(f"{c}={_sql_value(v)}" for c, v in zip(plan.partitions, values))
-        spark.sql(f"ALTER TABLE {plan.table} DROP IF EXISTS PARTITION ({spec})")
+    # one catalog call for all emptied partitions (values here come from
+    # file-name dates and are never NULL)
+    specs = [", ".join(f"{c}={_sql_value(v)}" for c, v in zip(plan.partitions, values))
+             for values in plan.stats.partitions_dropped if None not in values]
+    if specs:
+        spark.sql(f"ALTER TABLE {plan.table} DROP IF EXISTS "
+                  + ", ".join(f"PARTITION ({s})" for s in specs))
     if plan.stats.partitions_dropped:
         spark.catalog.refreshTable(plan.table)
     return plan.stats

@@ -26,7 +26,7 @@ from daylake.operators.filters import day_filter
 from daylake.operators.upsert import merge_by_key, replace_by_key, union_by_name, unmatched
 from daylake.plans.datasets import EVENTS
 from daylake.plans.pipelines import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform,
-                                     earliest_day, raw_to_bronze)
+                                     earliest_day, raw_to_bronze, run_stages)
 from daylake.plans.publish import (create_database, register_external, truncate,
                                    write_table)
 from daylake.session import run_folder, workspace
@@ -429,8 +429,7 @@ def q_daily_chain(spark, sf_dir):
     while day <= last:
         # the job of the morning after ``day``: "cron" resolves to ``day``
         today = day + dt.timedelta(days=1)
-        raw_to_bronze(spark, EVENTS, root, bronze, "cron", "cron", today=today)
-        bronze_to_gold(spark, EVENTS, bronze, gold, "cron", today=today)
+        run_stages(spark, EVENTS, root, bronze, gold, "cron", today=today)
         day = today
     return _events_out(spark.table(gold), props=False, parts=True)
 

@@ -89,3 +89,15 @@ def test_gold_list_of_days_and_initial_all(spark, policy_landing, lake):  # D18,
     assert sorted(r["policy_id"] for r in spark.table(gold).collect()) == [2]
     r = bronze_to_gold(spark, POLICY, bronze, gold, day=["20240201", "20240202"], today=TODAY)
     assert _report(r)[0] == "upsert" and spark.table(gold).count() == 4
+
+
+def test_run_stages_for_one_day(spark, policy_landing, lake):  # the chained jobs
+    from daylake.plans.pipelines import run_stages
+    bronze, gold = f"{lake}.rb", f"{lake}.rg"
+    raw_to_bronze(spark, POLICY, policy_landing, bronze, today=TODAY)
+    bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)
+    reports = run_stages(spark, POLICY, policy_landing, bronze, gold, "20240203", today=TODAY)
+    kinds = [(r["stage"], r["load_kind"]) for r in reports.collect()]
+    assert kinds == [("bronze", "upsert"), ("gold", "upsert")]
+    got = sorted((r["policy_id"], r["day"]) for r in spark.table(gold).collect())
+    assert got == [(1, "03"), (2, "03")]
