@@ -20,6 +20,7 @@ class Dataset:
     bronze_drop: list[str] = field(default_factory=list)
     order_by: list[str] = field(default_factory=lambda: ["year_month_day desc"])
     partitions: list[str] = field(default_factory=lambda: list(PARTITIONS))
+    table_format: str = "parquet"   # "delta" / "iceberg" where installed: MERGE INTO
 
 
 POLICY = Dataset("policy", RAW_POLICY, BRONZE_POLICY, ["policy_id"], GOLD_POLICY,

@@ -22,7 +22,7 @@ from daylake.functions.mapping import apply_mapping, cast_failures, raw_schema
 from daylake.operators.dedup import latest_per_key
 from daylake.operators.filters import day_filter
 from daylake.plans.datasets import Dataset
-from daylake.plans.publish import stage, upsert_partitions, write_table
+from daylake.plans.publish import stage, upsert_table, write_table
 from daylake.plans.report import run_report
 from daylake.session import run_folder
 from daylake.sources.landing import scan_dated
@@ -80,12 +80,12 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
     latest = latest_per_key(typed, ds.keys, ds.order_by) \
         .observe(kept, F.count(F.lit(1)).alias("rows"), _null_keys(ds))
     if not exists:
-        write_table(latest, table, ds.partitions)
+        write_table(latest, table, ds.partitions, table_format=ds.table_format)
         before, after = 0, kept.get["rows"]
         kind = "first"
     else:
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-        stats = upsert_partitions(spark, table, staged, ds.keys, source_unique=True)
+        stats = upsert_table(spark, table, staged, ds.keys, source_unique=True)
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
     return run_report(spark, **report, load_kind=kind, qtty_before=before,
@@ -129,12 +129,13 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
                   source=source_table, target=target_table, null_keys=0, bad_values=0)
     if not exists:
         out = Observation("gold")
-        write_table(src, target_table, ds.partitions, observation=out)
+        write_table(src, target_table, ds.partitions, observation=out,
+                    table_format=ds.table_format)
         n = out.get["rows"]
         return run_report(spark, **report, load_kind="first", qtty_before=0,
                           qtty_source=n, qtty_after=n)
     # bronze holds each non-NULL key once, so one day of it does too
-    stats = upsert_partitions(spark, target_table, src, ds.keys, source_unique=True)
+    stats = upsert_table(spark, target_table, src, ds.keys, source_unique=True)
     return run_report(spark, **report, load_kind="upsert", qtty_before=stats.rows_before,
                       qtty_source=stats.rows_source, qtty_after=stats.rows_after)
 

@@ -87,7 +87,8 @@ def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = ()) -> DataFra
 
 
 def write_table(df: DataFrame, table: str, partitions: Sequence[str],
-                observation: Observation | None = None, rebalance: bool = True) -> None:
+                observation: Observation | None = None, rebalance: bool = True,
+                table_format: str = "parquet") -> None:
     """K1 / K4 first load: a new managed, partitioned parquet table.
 
     With ``rebalance`` the rows are regrouped by the partition columns first
@@ -100,7 +101,7 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str],
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if rebalance and partitions:
         df = df.hint("rebalance", *partitions)
-    (df.write.format("parquet").option("compression", COMPRESSION)
+    (df.write.format(table_format).option("compression", COMPRESSION)
        .partitionBy(*partitions).mode("overwrite").saveAsTable(table))
 
 
@@ -219,6 +220,44 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
                                            broadcast_bytes, source_unique))
 
 
+# Table formats whose Spark connector runs ``MERGE INTO`` (file-level rewrite
+# with a transaction log). Plain parquet tables use ``upsert_partitions``.
+MERGE_FORMATS = ("delta", "iceberg")
+
+
+def table_format(spark: SparkSession, table: str) -> str:
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+            .where("col_name = 'Provider'").collect())
+    return rows[0]["data_type"].strip().lower() if rows else ""
+
+
+def merge_statement(table: str, source_view: str, keys: Sequence[str]) -> str:
+    """K2 as SQL: matched -> update all columns, not matched -> insert all."""
+    from daylake.operators.upsert import merge_condition
+    return (f"MERGE INTO {table} AS target USING {source_view} AS delta "
+            f"ON {merge_condition(keys)} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+def upsert_table(spark: SparkSession, table: str, source: DataFrame,
+                 keys: Sequence[str], source_unique: bool = False, **limits) -> UpsertStats:
+    """Upsert by the table's format: ``MERGE INTO`` where the format has it,
+    the partition-scoped rewrite on plain parquet."""
+    if table_format(spark, table) not in MERGE_FORMATS:
+        return upsert_partitions(spark, table, source, keys,
+                                 source_unique=source_unique, **limits)
+    import uuid
+    before, src_rows = spark.table(table).count(), source.count()
+    view = f"daylake_source_{uuid.uuid4().hex[:12]}"
+    source.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_statement(table, view, keys))
+    finally:
+        spark.catalog.dropTempView(view)
+    after = spark.table(table).count()
+    return UpsertStats(before, src_rows, before + src_rows - after, after)
+
+
 def register_external(spark: SparkSession, table: str, columns_ddl: str,
                       location: str, partitions: Sequence[str] = ()) -> None:
     """K8: catalog entry over files that already exist, then find their

@@ -25,7 +25,7 @@ from daylake.functions.mapping import raw_schema
 from daylake.operators.dedup import latest_per_key
 from daylake.plans.datasets import Dataset
 from daylake.plans.pipelines import CDC_LOAD, conform
-from daylake.plans.publish import stage, upsert_partitions, write_table
+from daylake.plans.publish import stage, upsert_table, write_table
 from daylake.session import run_folder
 from daylake.sources.landing import CSV_OPTIONS
 from daylake.sources.tables import table_exists
@@ -57,10 +57,10 @@ def stream_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table:
         typed = stage(conform(batch, ds), f"{work}/typed")
         latest = latest_per_key(typed, ds.keys, ds.order_by)
         if not table_exists(session, table):
-            write_table(latest, table, ds.partitions)
+            write_table(latest, table, ds.partitions, table_format=ds.table_format)
         else:
             staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-            upsert_partitions(session, table, staged, ds.keys, source_unique=True)
+            upsert_table(session, table, staged, ds.keys, source_unique=True)
         # the stream runs in a cloned session: drop the caller's cached listing
         spark.catalog.refreshTable(table)
 

@@ -109,3 +109,18 @@ def test_sql_ddl_files_register_bronze_files(spark, tmp_path):  # K7, K8 as SQL
                  table_location=files)
     row = spark.table("ddl_files_db.policy").first()
     assert (row["policy_id"], row["month"], row["day"]) == (1, "02", "01")
+
+
+def test_merge_dispatch_by_table_format(spark, lake):  # K2, K3 on formats with MERGE
+    import pytest
+    from daylake.plans.publish import merge_statement, table_format, upsert_table
+    assert merge_statement("db.t", "src", ["a", "b"]) == (
+        "MERGE INTO db.t AS target USING src AS delta ON target.a = delta.a AND "
+        "target.b = delta.b WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+    table = _first(spark, lake, [(1, "a", "2024", "02", "01")])
+    assert table_format(spark, table) == "parquet"
+    spark.createDataFrame([(1, "b", "2024", "02", "01")], SCHEMA).createOrReplaceTempView("m_src")
+    with pytest.raises(Exception):  # parquet has no MERGE: hence the partition rewrite
+        spark.sql(merge_statement(table, "m_src", ["k"])).collect()
+    stats = upsert_table(spark, table, spark.table("m_src"), ["k"])
+    assert stats.rows_matched == 1 and _rows(spark, table) == [(1, "b", "01")]
