@@ -32,6 +32,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     b.add_argument("--start-date", default="cron")
     b.add_argument("--final-date", default="cron")
     b.add_argument("--reprocess-all", default="False", choices=["True", "False"])
+    b.add_argument("--no-stage-typed", action="store_true",
+                   help="write the data once (large first loads); counts observed on the scan")
     g = sub.add_parser("gold", help="bronze table -> gold table")
     g.add_argument("--source-table", required=True)
     g.add_argument("--target-table", required=True)
@@ -51,7 +53,8 @@ def main(argv: list[str] | None = None, spark=None):
         create_database(spark, name, location or None)
     if args.job == "bronze":
         report = raw_to_bronze(spark, POLICY, args.landing, args.table, args.start_date,
-                               args.final_date, args.reprocess_all == "True", today)
+                               args.final_date, args.reprocess_all == "True", today,
+                               stage_typed=not args.no_stage_typed)
     else:
         day = args.day if args.day and len(args.day) > 1 else (args.day or [None])[0]
         report = bronze_to_gold(spark, POLICY, args.source_table, args.target_table,

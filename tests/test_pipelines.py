@@ -101,3 +101,15 @@ def test_run_stages_for_one_day(spark, policy_landing, lake):  # the chained job
     assert kinds == [("bronze", "upsert"), ("gold", "upsert")]
     got = sorted((r["policy_id"], r["day"]) for r in spark.table(gold).collect())
     assert got == [(1, "03"), (2, "03")]
+
+
+def test_first_load_without_typed_staging_is_the_same(spark, policy_landing, lake):
+    a, b = f"{lake}.staged", f"{lake}.direct"
+    ra = raw_to_bronze(spark, POLICY, policy_landing, a, "2001-01-01", "2024-02-03", today=TODAY)
+    rb = raw_to_bronze(spark, POLICY, policy_landing, b, "2001-01-01", "2024-02-03", today=TODAY,
+                       stage_typed=False)
+    assert _report(ra) == _report(rb) == ("first", 0, 2, 2)
+    assert _bronze(spark, a) == _bronze(spark, b)
+    r = raw_to_bronze(spark, POLICY, policy_landing, b, "2030-01-01", "2030-01-01", today=TODAY,
+                      stage_typed=False)
+    assert _report(r) == ("none", 2, 0, 2)
