@@ -1,7 +1,8 @@
 """Table writes: first load, partition-scoped upsert, catalog DDL (K1-K8).
 
-Tables are managed parquet tables (snappy) partitioned by
-``year/month/day``, living under their database's location.
+Tables are managed tables partitioned by ``year/month/day`` under their
+database's location: parquet (snappy) by default, where the upsert below
+applies; formats with ``MERGE INTO`` (Delta, Iceberg) use it instead.
 
 The upsert rewrites only the partitions it touches, never the whole table:
 
@@ -19,8 +20,8 @@ The upsert rewrites only the partitions it touches, never the whole table:
 Source keys are broadcast only when their count and byte size are checked
 to be within ``broadcast_rows`` / ``broadcast_bytes``; beyond that the join
 falls back to a shuffle join on the keys, which moves only the target's
-key and partition columns. The
-source should be staged (written) first: it is read more than once.
+key and partition columns. The source should be staged (written) first: it
+is read more than once.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = ()) -> DataFra
 def write_table(df: DataFrame, table: str, partitions: Sequence[str],
                 observation: Observation | None = None, rebalance: bool = True,
                 table_format: str = "parquet") -> None:
-    """K1 / K4 first load: a new managed, partitioned parquet table.
+    """K1 / K4 first load: a new managed, partitioned table (parquet, snappy).
 
     With ``rebalance`` the rows are regrouped by the partition columns first
     (the REBALANCE hint): AQE sizes the write tasks by bytes and splits a
