@@ -113,27 +113,36 @@ def write_dated_csv(df: DataFrame, root: str, date_col: str,
         fs, rootpath = pafs.FileSystem.from_uri(base) if "://" in base else (
             pafs.LocalFileSystem(), base.removeprefix("file:"))
         open_files: dict[tuple[str, str], list] = {}
+
+        def append(folder: str, day: str, part) -> None:
+            entry = open_files.get((folder, day))
+            if entry is None:
+                name = f"{prefix}-{task:05d}-{day}.csv"
+                directory = f"{rootpath}/{folder}".rstrip("/")
+                fs.create_dir(directory, recursive=True)
+                tmp = f"{directory}/.{name}.{attempt}.tmp"
+                stream = fs.open_output_stream(tmp)
+                entry = [pacsv.CSVWriter(stream, part.schema), stream, tmp,
+                         f"{directory}/{name}", 0]
+                open_files[(folder, day)] = entry
+            entry[0].write_table(part)
+            entry[4] += part.num_rows
+
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            # one sort, then a zero-copy slice per (folder, day) run
             table = pa.Table.from_batches([batch])
-            keys = pc.unique(pc.binary_join_element_wise(
-                table["__dir"], table["__day"], "\x00")).to_pylist()
-            for key in keys:
+            table = table.take(pc.sort_indices(
+                table, sort_keys=[("__dir", "ascending"), ("__day", "ascending")]))
+            keys = pc.binary_join_element_wise(table["__dir"], table["__day"], "\x00")
+            runs = pc.run_end_encode(keys.combine_chunks())
+            start = 0
+            for end, key in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
                 folder, day = key.split("\x00")
-                part = table.filter(pc.and_(pc.equal(table["__dir"], folder),
-                                            pc.equal(table["__day"], day)))
-                part = part.select(data_cols)
-                entry = open_files.get((folder, day))
-                if entry is None:
-                    name = f"{prefix}-{task:05d}-{day}.csv"
-                    directory = f"{rootpath}/{folder}".rstrip("/")
-                    fs.create_dir(directory, recursive=True)
-                    tmp = f"{directory}/.{name}.{attempt}.tmp"
-                    stream = fs.open_output_stream(tmp)
-                    writer = pacsv.CSVWriter(stream, part.schema)
-                    entry = [writer, stream, tmp, f"{directory}/{name}", 0]
-                    open_files[(folder, day)] = entry
-                entry[0].write_table(part)
-                entry[4] += part.num_rows
+                append(folder, day, table.slice(start, end - start).select(data_cols))
+                start = end
+
         paths, counts = [], []
         for writer, stream, tmp, final, rows in open_files.values():
             writer.close()
