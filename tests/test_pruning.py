@@ -63,3 +63,29 @@ def test_upsert_rewrite_reads_only_touched_partitions(spark, lake):
     table_scan = [s for s in scans if "up" in s[0]]
     assert table_scan and all(s[2] == 1 for s in table_scan)  # day 11 is new: 1 partition read
     assert "BroadcastHashJoin" in plan.rewrite._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitioned_write_splits_a_hot_day_and_bounds_files(spark, lake, tmp_path):
+    import os
+    from daylake.session import conf_override
+    rows = (spark.range(60000)
+            .select(F.col("id").alias("k"), (F.rand(7) * 1e6).alias("v"),
+                    F.lit("2024").alias("year"), F.lit("01").alias("month"),
+                    F.when(F.col("id") % 3 == 0, F.lit("01"))
+                     .otherwise(F.format_string("%02d", F.col("id") % 30 + 1)).alias("day"))
+            .repartition(16, "k"))  # like the dedup output: hashed by key
+    with conf_override(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                               "spark.sql.shuffle.partitions": "16"}):
+        write_table(rows, f"{lake}.hot", ["year", "month", "day"])
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {lake}.hot") \
+        .where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    files = {}
+    for folder, _, names in os.walk(location):
+        n = sum(1 for f in names if f.endswith(".parquet"))
+        if n:
+            files[os.path.basename(folder)] = n
+    days = rows.select("day").distinct().count()
+    assert len(files) == days
+    assert files["day=01"] > 1                      # the hot day is split
+    assert sum(files.values()) < 16 * days           # not one file per task per day
+    assert spark.table(f"{lake}.hot").count() == 60000
