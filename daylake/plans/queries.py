@@ -47,7 +47,6 @@ LINEITEM_TARGET_BEFORE = "2000-01-01"
 LINEITEM_SOURCE_FROM = "1999-01-01"
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 _lock = threading.RLock()
 _memo: dict[tuple, object] = {}
