@@ -16,16 +16,35 @@ from pyspark.sql import functions as F
 from daylake.functions.dates import split_day
 
 DAY_PARTS = ("year", "month", "day")
+# Above this many partitions the predicate is one flat IN over the joined
+# values instead of a chain of ORs (a deep tree for thousands of days).
+FLAT_AFTER = 32
+_SEP = "\u0001"
+
+
+def _equalities(columns: Sequence[str], row: Sequence) -> Column:
+    return reduce(lambda a, b: a & b,
+                  [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row)])
 
 
 def partition_predicate(columns: Sequence[str], values: Sequence[Sequence]) -> Column:
-    """OR over rows of AND-ed null-safe equalities; FALSE for no rows."""
+    """Rows whose partition columns equal one of ``values``; FALSE for none.
+
+    Few values: OR of AND-ed null-safe equalities (plain in the plan). Many:
+    ``concat_ws(sep, cols) IN (...)``, which Spark runs as a hash-set
+    lookup; rows holding a NULL keep the equality form."""
     if not values:
         return F.lit(False)
-    rows = [reduce(lambda a, b: a & b,
-                   [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row)])
-            for row in values]
-    return reduce(lambda a, b: a | b, rows)
+    if len(values) <= FLAT_AFTER:
+        return reduce(lambda a, b: a | b, [_equalities(columns, row) for row in values])
+    plain = [row for row in values if None not in row]
+    with_null = [row for row in values if None in row]
+    joined = F.concat_ws(_SEP, *[F.col(c).cast("string") for c in columns])
+    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    pred = not_null & joined.isin([_SEP.join(str(v) for v in row) for row in plain])
+    for row in with_null:
+        pred = pred | _equalities(columns, row)
+    return pred
 
 
 def partition_filter(df: DataFrame, columns: Sequence[str], values: Sequence) -> DataFrame:

@@ -89,3 +89,21 @@ def test_partitioned_write_splits_a_hot_day_and_bounds_files(spark, lake, tmp_pa
     assert files["day=01"] > 1                      # the hot day is split
     assert sum(files.values()) < 16 * days           # not one file per task per day
     assert spark.table(f"{lake}.hot").count() == 60000
+
+
+def test_many_partition_predicate_is_flat_and_prunes(spark, lake):
+    table = f"{lake}.many"
+    rows = spark.range(400).select(
+        F.col("id").alias("k"), F.lit("2024").alias("year"),
+        F.format_string("%02d", (F.col("id") % 12) + 1).alias("month"),
+        F.format_string("%02d", (F.col("id") % 28) + 1).alias("day"))
+    write_table(rows, table, ["year", "month", "day"])
+    wanted = [("2024", f"{m:02d}", f"{d:02d}") for m in range(1, 13) for d in range(1, 29)]
+    wanted = [w for w in wanted if w[1] in ("01", "02")] + \
+        [(str(y), "01", "01") for y in range(1000, 6000)]      # 5000 that do not exist
+    pred = partition_predicate(["year", "month", "day"], wanted)
+    got = spark.table(table).where(pred)
+    expected = rows.where(F.col("month").isin("01", "02")).count()
+    (_, _, parts, n), = scan_metrics(got)
+    assert n == expected and parts == rows.where(F.col("month").isin("01", "02")) \
+        .select("month", "day").distinct().count()
