@@ -4,6 +4,8 @@
         --table insurance_db.policy --start-date cron --final-date cron
     python -m daylake gold --source-table insurance_db.policy \
         --target-table insurance_prd.policy_prod --day 20240203
+    python -m daylake stream --landing ... --table insurance_db.policy \
+        --checkpoint s3a://lake/checkpoints/policy
 
 Databases named with ``--database NAME=LOCATION`` are created first. The
 run report is printed; a failure exits non-zero.
@@ -34,6 +36,12 @@ def parse(argv: list[str]) -> argparse.Namespace:
     b.add_argument("--reprocess-all", default="False", choices=["True", "False"])
     b.add_argument("--no-stage-typed", action="store_true",
                    help="write the data once (large first loads); counts observed on the scan")
+    s = sub.add_parser("stream", help="cdc-load/ files -> bronze as a file stream")
+    s.add_argument("--landing", required=True)
+    s.add_argument("--table", required=True)
+    s.add_argument("--checkpoint", required=True, help="stream checkpoint folder (shared storage)")
+    s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--processing-time", help="run continuously, e.g. '10 minutes'")
     g = sub.add_parser("gold", help="bronze table -> gold table")
     g.add_argument("--source-table", required=True)
     g.add_argument("--target-table", required=True)
@@ -51,6 +59,15 @@ def main(argv: list[str] | None = None, spark=None):
     for spec in args.database:
         name, _, location = spec.partition("=")
         create_database(spark, name, location or None)
+    if args.job == "stream":
+        from daylake.streaming import stream_to_bronze
+        query = stream_to_bronze(spark, POLICY, args.landing, args.table, args.checkpoint,
+                                 max_files_per_trigger=args.max_files_per_trigger,
+                                 processing_time=args.processing_time)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        return spark.table(args.table)
     if args.job == "bronze":
         report = raw_to_bronze(spark, POLICY, args.landing, args.table, args.start_date,
                                args.final_date, args.reprocess_all == "True", today,

@@ -15,3 +15,13 @@ def test_jobs_from_the_command_line(spark, policy_landing, tmp_path):
     r = main(common + ["gold", "--source-table", f"{db}.policy",
                        "--target-table", f"{db}.policy_prod", "--day", "cron"], spark)
     assert r.first()["load_kind"] == "upsert"
+
+
+def test_stream_from_the_command_line(spark, policy_landing, tmp_path):
+    db = f"clis_{tmp_path.name[-6:].replace('-', '_')}"
+    common = ["--database", f"{db}={tmp_path}/{db}", "--today", "2024-02-04"]
+    main(common + ["bronze", "--landing", policy_landing, "--table", f"{db}.policy",
+                   "--reprocess-all", "True"], spark)
+    out = main(common + ["stream", "--landing", policy_landing, "--table", f"{db}.policy",
+                         "--checkpoint", str(tmp_path / "ckpt")], spark)
+    assert out.count() == 4
