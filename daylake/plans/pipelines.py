@@ -45,6 +45,15 @@ def _null_keys(ds: Dataset):
     return F.count(F.when(cond, 1)).alias("null_keys")
 
 
+def _rewrite_fields(stats) -> dict:
+    """How much of the table an upsert rewrote (None for a MERGE)."""
+    if not stats.partitions_rewritten and not stats.broadcast:
+        return {}
+    return dict(partitions_rewritten=len(stats.partitions_rewritten),
+                partitions_dropped=len(stats.partitions_dropped),
+                keys_broadcast=stats.broadcast)
+
+
 def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
                   start_date: str | None = None, final_date: str | None = None,
                   reprocess_all: bool = False, today: dt.date | None = None,
@@ -98,6 +107,7 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
         stats = upsert_table(spark, table, staged, ds.keys, source_unique=True)
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
+        report.update(_rewrite_fields(stats))
     src = seen.get
     bad = sum(v for k, v in src.items() if k.startswith("bad_"))
     return run_report(spark, **report, load_kind=kind, qtty_before=before,
@@ -148,8 +158,9 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
                           qtty_source=n, qtty_after=n)
     # bronze holds each non-NULL key once, so one day of it does too
     stats = upsert_table(spark, target_table, src, ds.keys, source_unique=True)
-    return run_report(spark, **report, load_kind="upsert", qtty_before=stats.rows_before,
-                      qtty_source=stats.rows_source, qtty_after=stats.rows_after)
+    return run_report(spark, **report, **_rewrite_fields(stats), load_kind="upsert",
+                      qtty_before=stats.rows_before, qtty_source=stats.rows_source,
+                      qtty_after=stats.rows_after)
 
 
 def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str, gold: str,

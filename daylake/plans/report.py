@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 REPORT_SCHEMA = (
     "stage string, start_date string, final_date string, source string, "
     "target string, load_kind string, qtty_before long, qtty_source long, "
-    "qtty_after long, null_keys long, bad_values long"
+    "qtty_after long, null_keys long, bad_values long, "
+    "partitions_rewritten long, partitions_dropped long, keys_broadcast boolean"
 )
 FIELDS = [tuple(f.split()) for f in REPORT_SCHEMA.split(", ")]
 

@@ -30,6 +30,8 @@ def test_policy_chain(spark, policy_landing, lake):  # S4, K1, K2, D4, D5, D9, D
     row = r2.first()
     assert (row["load_kind"], row["qtty_before"], row["qtty_source"], row["qtty_after"]) == ("upsert", 2, 5, 4)
     assert row["null_keys"] == 1 and row["bad_values"] == 3  # x, 02/03/2024, abc
+    # day 01 (policy 1 matched) and day 02 (new rows) rewritten, none dropped
+    assert (row["partitions_rewritten"], row["partitions_dropped"], row["keys_broadcast"]) == (2, 0, True)
     assert _bronze(spark, bronze) == {1: (101.5, "20240202"), 2: (200.0, "20240201"),
                                       3: (301.0, "20240202"), -1: (5.0, "20240202")}
 
