@@ -154,6 +154,7 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM nation",
     "load_source_switch": last_events("true"),
     "stream_cdc_to_bronze": last_events("true"),
+    "upsert_shuffle_join": last_events("true"),
     "run_report":
         "SELECT 'bronze' AS stage, 'first' AS load_kind, CAST(0 AS BIGINT) AS qtty_before, "
         f"(SELECT count(*) FROM events WHERE {first_w}) AS qtty_source, "

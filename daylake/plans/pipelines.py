@@ -57,7 +57,7 @@ def _rewrite_fields(stats) -> dict:
 def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
                   start_date: str | None = None, final_date: str | None = None,
                   reprocess_all: bool = False, today: dt.date | None = None,
-                  stage_typed: bool = True) -> DataFrame:
+                  stage_typed: bool = True, upsert_limits: dict | None = None) -> DataFrame:
     """Stage 1. No table yet: first load from ``full-load/``; otherwise the
     files of ``cdc-load/`` in the window are upserted (S4, D13: last run
     wins, an older file loaded later overwrites newer rows).
@@ -70,7 +70,8 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
     counts are exact under task retries and the CSV is parsed once. A first
     load of a long history may turn it off to write the data only once; the
     counts are then observed on the scan side, exact unless a map stage has
-    to be run again after an executor loss."""
+    to be run again after an executor loss. ``upsert_limits`` passes
+    ``broadcast_rows`` / ``broadcast_bytes`` to the upsert."""
     start, final = resolve_window(start_date, final_date, reprocess_all, today)
     exists = table_exists(spark, table)
     source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"
@@ -104,7 +105,8 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
         kind = "first"
     else:
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-        stats = upsert_table(spark, table, staged, ds.keys, source_unique=True)
+        stats = upsert_table(spark, table, staged, ds.keys, source_unique=True,
+                             **(upsert_limits or {}))
         before, after = stats.rows_before, stats.rows_after
         kind = "upsert"
         report.update(_rewrite_fields(stats))

@@ -379,6 +379,19 @@ def q_load_source_switch(spark, sf_dir):
     return _events_out(spark.table(table))
 
 
+def q_upsert_shuffle_join(spark, sf_dir):
+    """The bronze upsert with the broadcast limit at zero: the sort-merge
+    path that a source with too many keys to broadcast takes."""
+    db, _ = _lake(spark, "smj")
+    table = f"{db}.events"
+    root = landing(spark, sf_dir)
+    raw_to_bronze(spark, EVENTS, root, table)
+    report = raw_to_bronze(spark, EVENTS, root, table, upsert_limits={"broadcast_rows": 0})
+    if report.first()["keys_broadcast"]:
+        raise RuntimeError("expected the sort-merge path")
+    return _events_out(spark.table(table))
+
+
 def q_run_report(spark, sf_dir):
     _, reports = _bronze_runs(spark, sf_dir)
     return reports.select("stage", "load_kind", "qtty_before", "qtty_source",
@@ -459,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truncate_table": q_truncate_table,
     "load_source_switch": q_load_source_switch,
     "run_report": q_run_report,
+    "upsert_shuffle_join": q_upsert_shuffle_join,
     "stream_cdc_to_bronze": q_stream_cdc_to_bronze,
     "bronze_to_gold": flagship,
     "daily_chain": q_daily_chain,
