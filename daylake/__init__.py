@@ -5,8 +5,8 @@ Stages:
     -> bronze: typed, with lineage, one row per key, upserted by partition
     -> gold: a projected table, one day replaced by key per run
 
-Every step is a DataFrame -> DataFrame function; only the pipeline
-functions in ``daylake.plans.pipelines`` run actions (writes, counts).
+Every step is a DataFrame -> DataFrame function; only the job
+functions in ``daylake.plans.jobs`` run actions (writes, counts).
 """
 
 __version__ = "0.1.0"

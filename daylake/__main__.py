@@ -18,7 +18,7 @@ import datetime as dt
 import sys
 
 from daylake.plans.datasets import POLICY
-from daylake.plans.pipelines import bronze_to_gold, raw_to_bronze
+from daylake.plans.jobs import bronze_to_gold, raw_to_bronze
 from daylake.plans.publish import create_database
 
 

@@ -49,7 +49,7 @@ def rows_at_earliest(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` equals its minimum, as an inner join with the
     one-row ``earliest_value`` frame. That frame has exactly one row, so the
     broadcast is bounded by construction. On a partitioned table prefer a
-    literal partition filter (``pipelines.earliest_day``): the join does not
+    literal partition filter (``jobs.earliest_day``): the join does not
     prune partitions."""
     first = earliest_value(df, column)
     return df.join(F.broadcast(first), df[column] == first[f"first_{column}"], "inner") \

@@ -1 +1 @@
-"""Table writes, run reports, the two pipelines and the driver queries."""
+"""Table writes, run reports, the two jobs and the driver queries."""

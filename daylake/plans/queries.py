@@ -2,7 +2,7 @@
 
 The driver's ``events`` table stands in for the policy change files: its
 rows are landed as dated CSV files (``full-load/`` before ``LANDING_SPLIT``,
-``cdc-load/`` from it on), and the pipelines run on those files exactly as
+``cdc-load/`` from it on), and the jobs run on those files exactly as
 they would on policy files. Other queries use ``orders``, ``lineitem``,
 ``customer`` and ``nation`` where a composite key, a catalog table or a
 typed mapping is wanted. Timestamps leave as formatted strings and dates as
@@ -25,7 +25,7 @@ from daylake.operators.dedup import latest_per_key
 from daylake.operators.filters import day_filter
 from daylake.operators.upsert import merge_by_key, replace_by_key, union_by_name, unmatched
 from daylake.plans.datasets import EVENTS
-from daylake.plans.pipelines import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform,
+from daylake.plans.jobs import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform,
                                      earliest_day, raw_to_bronze, run_stages)
 from daylake.plans.publish import (create_database, register_external, truncate,
                                    write_table)

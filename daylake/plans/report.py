@@ -1,4 +1,4 @@
-"""Run report (A3, R1, R2): one row per pipeline run."""
+"""Run report (A3, R1, R2): one row per job run."""
 
 from __future__ import annotations
 

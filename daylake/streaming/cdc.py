@@ -24,7 +24,7 @@ from daylake.functions.lineage import name_date
 from daylake.functions.mapping import raw_schema
 from daylake.operators.dedup import latest_per_key
 from daylake.plans.datasets import Dataset
-from daylake.plans.pipelines import CDC_LOAD, conform
+from daylake.plans.jobs import CDC_LOAD, conform
 from daylake.plans.publish import stage, upsert_table, write_table
 from daylake.session import run_folder
 from daylake.sources.landing import CSV_OPTIONS

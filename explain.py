@@ -21,7 +21,7 @@ from daylake.operators.filters import day_filter  # noqa: E402
 from daylake.operators.upsert import unmatched  # noqa: E402
 from daylake.plans import queries as Q  # noqa: E402
 from daylake.plans.datasets import EVENTS  # noqa: E402
-from daylake.plans.pipelines import conform, earliest_day, raw_to_bronze  # noqa: E402
+from daylake.plans.jobs import conform, earliest_day, raw_to_bronze  # noqa: E402
 from daylake.plans.publish import plan_upsert, stage  # noqa: E402
 from daylake.session import get_session, run_folder  # noqa: E402
 from daylake.sources.landing import scan_dated  # noqa: E402

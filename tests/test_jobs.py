@@ -1,7 +1,7 @@
 import datetime as dt
 
 from daylake.plans.datasets import POLICY
-from daylake.plans.pipelines import bronze_to_gold, earliest_day, raw_to_bronze
+from daylake.plans.jobs import bronze_to_gold, earliest_day, raw_to_bronze
 from tests.conftest import FILES, write_files
 
 TODAY = dt.date(2024, 2, 4)
@@ -94,7 +94,7 @@ def test_gold_list_of_days_and_initial_all(spark, policy_landing, lake):  # D18,
 
 
 def test_run_stages_for_one_day(spark, policy_landing, lake):  # the chained jobs
-    from daylake.plans.pipelines import run_stages
+    from daylake.plans.jobs import run_stages
     bronze, gold = f"{lake}.rb", f"{lake}.rg"
     raw_to_bronze(spark, POLICY, policy_landing, bronze, today=TODAY)
     bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)

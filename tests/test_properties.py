@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from daylake.operators.dedup import latest_per_key
 from daylake.plans.datasets import POLICY
-from daylake.plans.pipelines import raw_to_bronze
+from daylake.plans.jobs import raw_to_bronze
 from tests.conftest import HEADER
 
 TODAY = dt.date(2024, 3, 1)

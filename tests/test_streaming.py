@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 from daylake.plans.datasets import POLICY
-from daylake.plans.pipelines import raw_to_bronze
+from daylake.plans.jobs import raw_to_bronze
 from daylake.streaming import stream_to_bronze
 from tests.conftest import HEADER
 
