@@ -97,14 +97,16 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
                           qtty_source=0, qtty_after=before, null_keys=0, bad_values=0)
 
     kept = Observation("kept")
-    latest = latest_per_key(typed, ds.keys, ds.order_by) \
-        .observe(kept, F.count(F.lit(1)).alias("rows"), _null_keys(ds))
+    kept_metrics = [F.count(F.lit(1)).alias("rows"), _null_keys(ds)]
+    latest = latest_per_key(typed, ds.keys, ds.order_by)
     if not exists:
-        write_table(latest, table, ds.partitions, table_format=ds.table_format)
+        write_table(latest, table, ds.partitions, table_format=ds.table_format,
+                    observation=kept, metrics=kept_metrics)
         before, after = 0, kept.get["rows"]
         kind = "first"
     else:
-        staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
+        staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions,
+                       observation=kept, metrics=kept_metrics)
         stats = upsert_table(spark, table, staged, ds.keys, source_unique=True,
                              **(upsert_limits or {}))
         before, after = stats.rows_before, stats.rows_after

@@ -73,7 +73,16 @@ def create_database(spark: SparkSession, name: str, location: str | None = None,
     spark.sql(sql)
 
 
-def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = ()) -> DataFrame:
+def _observed(df: DataFrame, observation: Observation | None, metrics: Sequence) -> DataFrame:
+    """Attach the metrics last, right under the write: they are then counted
+    in the write stage itself (an action), so retried tasks count once."""
+    if observation is None:
+        return df
+    return df.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
+
+
+def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = (),
+          observation: Observation | None = None, metrics: Sequence = ()) -> DataFrame:
     """Write ``df`` to ``path`` (shared storage) and read it back.
 
     Cuts the lineage: later reads neither recompute the CSV parse nor
@@ -83,13 +92,14 @@ def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = ()) -> DataFra
     """
     if rebalance_by:
         df = df.hint("rebalance", *rebalance_by)
+    df = _observed(df, observation, metrics)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_table(df: DataFrame, table: str, partitions: Sequence[str],
                 observation: Observation | None = None, rebalance: bool = True,
-                table_format: str = "parquet") -> None:
+                table_format: str = "parquet", metrics: Sequence = ()) -> None:
     """K1 / K4 first load: a new managed, partitioned table (parquet, snappy).
 
     With ``rebalance`` the rows are regrouped by the partition columns first
@@ -98,10 +108,9 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str],
     it, every upstream shuffle task would write one file into every day it
     holds: shuffle partitions x days small files.
     """
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if rebalance and partitions:
         df = df.hint("rebalance", *partitions)
+    df = _observed(df, observation, metrics)
     (df.write.format(table_format).option("compression", COMPRESSION)
        .partitionBy(*partitions).mode("overwrite").saveAsTable(table))
 
