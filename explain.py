@@ -23,7 +23,7 @@ from daylake.plans import queries as Q  # noqa: E402
 from daylake.plans.datasets import EVENTS  # noqa: E402
 from daylake.plans.jobs import conform, earliest_day, raw_to_bronze  # noqa: E402
 from daylake.plans.publish import plan_upsert, stage  # noqa: E402
-from daylake.session import get_session, run_folder  # noqa: E402
+from daylake.session import conf_override, get_session, run_folder  # noqa: E402
 from daylake.sources.landing import scan_dated  # noqa: E402
 
 NOTES = {
@@ -39,6 +39,10 @@ NOTES = {
     "upsert_stats": "Per-partition rows and matched rows of the target. Reads only the key "
                     "column (ReadSchema) and partition values; source keys are broadcast "
                     "after a size check; partial aggregation before the tiny exchange.",
+    "upsert_stats_shuffle": "The same stats pass when the source keys fail the broadcast "
+                            "check (shown with AQE and auto-broadcast off, i.e. the plan a "
+                            "large source gets): a sort-merge left join whose target side "
+                            "shuffles only the key and partition columns (ReadSchema).",
     "upsert_rewrite": "Rewrite of the touched partitions only: `PartitionFilters` on the "
                       "target scan, broadcast anti join, union with the staged source. No "
                       "shuffle of the target.",
@@ -134,6 +138,12 @@ def main():
                               .join(key_side.withColumn("__hit", F.lit(1)), ["user_id"], "left")
                               .groupBy(*EVENTS.partitions)
                               .agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits")))
+    frames["upsert_stats_shuffle"] = (
+        target.select("user_id", *EVENTS.partitions)
+        .join(src.select("user_id").where("user_id is not null").withColumn("__hit", F.lit(1)),
+              ["user_id"], "left")
+        .groupBy(*EVENTS.partitions)
+        .agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits")))
     plan = plan_upsert(spark, bronze, src, EVENTS.keys)
     frames["upsert_rewrite"] = plan.rewrite
     frames["gold_day"] = day_filter(spark.table(bronze), [earliest_day(spark, bronze)])
@@ -150,8 +160,14 @@ def main():
     out = ["# PLANS", "",
            f"Executed physical plans (final, after AQE) at `{sf_dir}` on local[8], written "
            "by `python explain.py`. Expression ids and workspace paths are shortened.", ""]
+    static = {"spark.sql.adaptive.enabled": "false",
+              "spark.sql.autoBroadcastJoinThreshold": "-1"}
     for name, df in frames.items():
-        p = final_plan(df)
+        if name == "upsert_stats_shuffle":
+            with conf_override(spark, static):
+                p = final_plan(df)
+        else:
+            p = final_plan(df)
         out += [f"## {name}", "", NOTES[name], ""]
         out += [f"- {s}" for s in scans(p)]
         out += [f"- `{tidy(d)}`" for d in scan_details(p.toString())]
