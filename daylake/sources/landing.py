@@ -54,10 +54,11 @@ def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructTy
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     present = [r for r in roots if path_exists(spark, r)]
-    lineage = "file_name string, year_month_day string"
-    if not present:
-        empty = StructType(schema.fields + spark.createDataFrame([], lineage).schema.fields)
-        return spark.createDataFrame([], empty)
+    if not present:  # an empty frame of the same shape, planned in the JVM
+        return spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+            F.lit(None).cast("string").alias("file_name"),
+            F.lit(None).cast("string").alias("year_month_day"))
     reader = (spark.read.schema(schema).options(**CSV_OPTIONS)
               .option("pathGlobFilter", "*.csv")
               .option("recursiveFileLookup", "true"))
