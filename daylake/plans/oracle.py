@@ -172,6 +172,15 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT * FROM s) "
         f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
         "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
+    "gold_days_list": (
+        f"WITH b AS ({last_events('true')}), "
+        "g1 AS (SELECT * FROM b WHERE year_month_day = (SELECT min(year_month_day) FROM b)), "
+        f"s AS (SELECT * FROM b WHERE year_month_day IN "
+        f"({', '.join(repr(d) for d in Q.GOLD_DAYS)})), "
+        "g2 AS (SELECT * FROM g1 t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id) "
+        "UNION ALL SELECT * FROM s) "
+        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
+        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
     "bronze_to_gold": (
         f"WITH b1 AS ({last_events(first_w)}), "
         "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "

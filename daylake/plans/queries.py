@@ -40,6 +40,7 @@ WINDOW = ("2024-01-10", "2024-01-15")
 CDC_WINDOW = ("2024-01-29", "2024-01-30")
 ONE_DAY = "20240115"
 GOLD_DAY = "20240130"
+GOLD_DAYS = ["20240128", "20240129", "20240130"]   # published together (D18)
 REPLACE_UNTIL = "2024-01-24"
 PRICE_LIMIT = 400000
 ORDERS_CUTOFF = "1998-01-01"
@@ -379,6 +380,17 @@ def q_load_source_switch(spark, sf_dir):
     return _events_out(spark.table(table))
 
 
+def q_gold_days_list(spark, sf_dir):
+    """Gold first load (earliest bronze day), then one run that publishes a
+    list of days at once (D18). Reads the bronze table of ``_bronze_runs``."""
+    bronze, _ = _bronze_runs(spark, sf_dir)
+    db, _ = _lake(spark, "gold_days")
+    gold = f"{db}.events"
+    bronze_to_gold(spark, EVENTS, bronze, gold)
+    bronze_to_gold(spark, EVENTS, bronze, gold, day=list(GOLD_DAYS))
+    return _events_out(spark.table(gold), props=False, parts=True)
+
+
 def q_upsert_shuffle_join(spark, sf_dir):
     """The bronze upsert with the broadcast limit at zero: the sort-merge
     path that a source with too many keys to broadcast takes."""
@@ -473,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_source_switch": q_load_source_switch,
     "run_report": q_run_report,
     "upsert_shuffle_join": q_upsert_shuffle_join,
+    "gold_days_list": q_gold_days_list,
     "stream_cdc_to_bronze": q_stream_cdc_to_bronze,
     "bronze_to_gold": flagship,
     "daily_chain": q_daily_chain,
