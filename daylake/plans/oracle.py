@@ -181,6 +181,10 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT * FROM s) "
         f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
         "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
+    "gold_initial_all": (
+        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
+        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day "
+        f"FROM ({last_events('true')})"),
     "bronze_to_gold": (
         f"WITH b1 AS ({last_events(first_w)}), "
         "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "

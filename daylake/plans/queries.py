@@ -391,6 +391,15 @@ def q_gold_days_list(spark, sf_dir):
     return _events_out(spark.table(gold), props=False, parts=True)
 
 
+def q_gold_initial_all(spark, sf_dir):
+    """Gold first load of every bronze day (the D3 option ``initial='all'``)."""
+    bronze, _ = _bronze_runs(spark, sf_dir)
+    db, _ = _lake(spark, "gold_all")
+    gold = f"{db}.events"
+    bronze_to_gold(spark, EVENTS, bronze, gold, initial="all")
+    return _events_out(spark.table(gold), props=False, parts=True)
+
+
 def q_upsert_shuffle_join(spark, sf_dir):
     """The bronze upsert with the broadcast limit at zero: the sort-merge
     path that a source with too many keys to broadcast takes."""
@@ -486,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_report": q_run_report,
     "upsert_shuffle_join": q_upsert_shuffle_join,
     "gold_days_list": q_gold_days_list,
+    "gold_initial_all": q_gold_initial_all,
     "stream_cdc_to_bronze": q_stream_cdc_to_bronze,
     "bronze_to_gold": flagship,
     "daily_chain": q_daily_chain,
