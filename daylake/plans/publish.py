@@ -44,6 +44,12 @@ BROADCAST_ROWS = 5_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 COMPRESSION = "snappy"
 _HIT = "__hit"
+_SALT = "__salt"
+# Target rows with a NULL key never match; in a shuffle join they would all
+# hash to one reducer. They get a salt in [0, NULL_SPREAD) as an extra join
+# column (keyed rows and the source keys get 0), which spreads them and
+# still matches nothing.
+NULL_SPREAD = 1024
 
 
 @dataclass
@@ -171,12 +177,20 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     key_side = src.select(*keys).where(not_null)
     if not source_unique:
         key_side = key_side.distinct()
+    # 0 for every source key, written so that Catalyst cannot fold it into a
+    # constant (a folded 0 turns into a post-join filter and the exchange
+    # would hash on the key alone again)
+    key_side = key_side.withColumn(
+        _SALT, F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
     if use_broadcast:
         key_side = F.broadcast(key_side)
+    on = [*keys, _SALT]
+    salt = F.when(not_null, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_SPREAD))).cast("int")
 
     # 1. rows and matched rows per target partition: reads keys + partitions
-    per_part = (target.select(*keys, *parts)
-                .join(key_side.withColumn(_HIT, F.lit(1)), list(keys), "left")
+    per_part = (target.select(*keys, *parts).withColumn(_SALT, salt)
+                .join(key_side.withColumn(_HIT, F.lit(1)), on, "left")
                 .groupBy(*parts)
                 .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits"))
                 .collect())
@@ -190,8 +204,8 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     # 2. rewrite the touched partitions: all rows of a partition the write
     #    reaches must be in the output, or dynamic overwrite loses them
     touched = sorted(set(touched_old) | src_parts, key=str)
-    kept = (target.where(partition_predicate(parts, touched))
-            .join(key_side, list(keys), "left_anti"))
+    kept = (target.where(partition_predicate(parts, touched)).withColumn(_SALT, salt)
+            .join(key_side, on, "left_anti").drop(_SALT))
     rewrite = kept.unionByName(src).select(*columns)
     stats = UpsertStats(before, src_rows, matched, before - matched + src_rows,
                         touched, emptied, use_broadcast)

@@ -35,3 +35,31 @@ def test_failed_upsert_leaves_table_unchanged(spark, lake):
         upsert_partitions(spark, table, src, ["k"])
     spark.catalog.refreshTable(table)
     assert sorted(tuple(r) for r in spark.table(table).collect()) == before
+
+
+def test_null_key_third_spreads_in_shuffle_path(spark, lake):
+    """A third of the target has NULL keys; with the sort-merge path (AQE
+    and auto-broadcast off) the result is exact and those rows are spread
+    over many shuffle partitions instead of one."""
+    from daylake.plans.publish import plan_upsert
+    from daylake.session import conf_override
+    table = f"{lake}.nulls"
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"),
+        F.col("id").cast("string").alias("v"), F.lit("2024").alias("year"),
+        F.lit("02").alias("month"), F.format_string("%02d", F.col("id") % 5 + 1).alias("day"))
+    write_table(rows, table, ["year", "month", "day"])
+    src = spark.createDataFrame([(1, "new", "2024", "02", "09"), (None, "n", "2024", "02", "09")],
+                                SCHEMA)
+    static = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16",
+              "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with conf_override(spark, static):
+        plan = plan_upsert(spark, table, src, ["k"], broadcast_rows=0)
+        assert not plan.stats.broadcast and plan.stats.rows_matched == 1
+        # where the NULL-key rows of the anti join land: many partitions
+        spread = (plan.rewrite.where("k is null and v != 'n'")
+                  .select(F.spark_partition_id().alias("p")).distinct().count())
+        upsert_partitions(spark, table, src, ["k"], broadcast_rows=0)
+    assert spread > 4
+    assert spark.table(table).where("k is null").count() == 1001
+    assert spark.table(table).count() == 3000 + 1
