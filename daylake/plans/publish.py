@@ -132,6 +132,35 @@ def _key_bytes(df: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a + b, widths)
 
 
+def _key_side(src: DataFrame, keys: Sequence[str], use_broadcast: bool,
+              source_unique: bool):
+    """Source keys for the joins, the join columns, and the target's salt."""
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key_side = src.select(*keys).where(not_null)
+    if not source_unique:
+        key_side = key_side.distinct()
+    # 0 for every source key, written so that Catalyst cannot fold it into a
+    # constant (a folded 0 turns into a post-join filter and the exchange
+    # would hash on the key alone again)
+    key_side = key_side.withColumn(
+        _SALT, F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
+    if use_broadcast:
+        key_side = F.broadcast(key_side)
+    salt = F.when(not_null, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_SPREAD))).cast("int")
+    return key_side, [*keys, _SALT], salt
+
+
+def stats_frame(target: DataFrame, key_side: DataFrame, keys: Sequence[str],
+                parts: Sequence[str], salt) -> DataFrame:
+    """Step 1 as a lazy frame: per target partition, its rows and the rows
+    whose key is among the source keys. Reads keys + partition values."""
+    return (target.select(*keys, *parts).withColumn(_SALT, salt)
+            .join(key_side.withColumn(_HIT, F.lit(1)), [*keys, _SALT], "left")
+            .groupBy(*parts)
+            .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits")))
+
+
 @dataclass
 class UpsertPlan:
     """What an upsert will do: its counts and the lazy frame of the rewrite."""
@@ -174,26 +203,10 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     key_rows = sum(r["keyed"] for r in src_per_part)
     key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
     use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
-    key_side = src.select(*keys).where(not_null)
-    if not source_unique:
-        key_side = key_side.distinct()
-    # 0 for every source key, written so that Catalyst cannot fold it into a
-    # constant (a folded 0 turns into a post-join filter and the exchange
-    # would hash on the key alone again)
-    key_side = key_side.withColumn(
-        _SALT, F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
-    if use_broadcast:
-        key_side = F.broadcast(key_side)
-    on = [*keys, _SALT]
-    salt = F.when(not_null, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_SPREAD))).cast("int")
+    key_side, on, salt = _key_side(src, keys, use_broadcast, source_unique)
 
     # 1. rows and matched rows per target partition: reads keys + partitions
-    per_part = (target.select(*keys, *parts).withColumn(_SALT, salt)
-                .join(key_side.withColumn(_HIT, F.lit(1)), on, "left")
-                .groupBy(*parts)
-                .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits"))
-                .collect())
+    per_part = stats_frame(target, key_side, keys, parts, salt).collect()
     before = sum(r["rows"] for r in per_part)
     matched = sum(r["hits"] for r in per_part)
     touched_old = [tuple(r[p] for p in parts) for r in per_part if r["hits"] > 0]

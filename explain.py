@@ -22,7 +22,7 @@ from daylake.operators.upsert import unmatched  # noqa: E402
 from daylake.plans import queries as Q  # noqa: E402
 from daylake.plans.datasets import EVENTS  # noqa: E402
 from daylake.plans.jobs import conform, earliest_day, raw_to_bronze  # noqa: E402
-from daylake.plans.publish import plan_upsert, stage  # noqa: E402
+from daylake.plans.publish import _key_side, plan_upsert, stage, stats_frame  # noqa: E402
 from daylake.session import conf_override, get_session, run_folder  # noqa: E402
 from daylake.sources.landing import scan_dated  # noqa: E402
 
@@ -42,7 +42,8 @@ NOTES = {
     "upsert_stats_shuffle": "The same stats pass when the source keys fail the broadcast "
                             "check (shown with AQE and auto-broadcast off, i.e. the plan a "
                             "large source gets): a sort-merge left join whose target side "
-                            "shuffles only the key and partition columns (ReadSchema).",
+                            "shuffles only the key and partition columns (ReadSchema); "
+                            "rows with a NULL key carry a salt in the join keys.",
     "upsert_rewrite": "Rewrite of the touched partitions only: `PartitionFilters` on the "
                       "target scan, broadcast anti join, union with the staged source. No "
                       "shuffle of the target.",
@@ -133,17 +134,11 @@ def main():
     src = stage(day_filter(frames["latest_per_key"], ["20240130", "20240129"]),
                 f"{run_folder(spark, 'explain')}/src")
     target = spark.table(bronze)
-    key_side = F.broadcast(src.select("user_id").where("user_id is not null").distinct())
-    frames["upsert_stats"] = (target.select("user_id", *EVENTS.partitions)
-                              .join(key_side.withColumn("__hit", F.lit(1)), ["user_id"], "left")
-                              .groupBy(*EVENTS.partitions)
-                              .agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits")))
-    frames["upsert_stats_shuffle"] = (
-        target.select("user_id", *EVENTS.partitions)
-        .join(src.select("user_id").where("user_id is not null").withColumn("__hit", F.lit(1)),
-              ["user_id"], "left")
-        .groupBy(*EVENTS.partitions)
-        .agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits")))
+    key_side, _, salt = _key_side(src, EVENTS.keys, True, True)
+    frames["upsert_stats"] = stats_frame(target, key_side, EVENTS.keys, EVENTS.partitions, salt)
+    key_side, _, salt = _key_side(src, EVENTS.keys, False, True)
+    frames["upsert_stats_shuffle"] = stats_frame(target, key_side, EVENTS.keys,
+                                                 EVENTS.partitions, salt)
     plan = plan_upsert(spark, bronze, src, EVENTS.keys)
     frames["upsert_rewrite"] = plan.rewrite
     frames["gold_day"] = day_filter(spark.table(bronze), [earliest_day(spark, bronze)])
