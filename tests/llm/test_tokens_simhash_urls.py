@@ -1,0 +1,200 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from daylake.llm import queries, simhash, url_filter, wavelet
+from daylake.llm.common import connected_components
+
+SF = "/root/testdata/sf0.001"
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def closure(pairs, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# ---- connected components
+
+def test_components_of_paths_stars_and_self_links(spark):
+    rng = random.Random(3)
+    ids = list(range(60))
+    rng.shuffle(ids)
+    pairs = list(zip(ids[:25], ids[1:26])) + [(ids[30], x) for x in ids[31:45]] + [(ids[50], ids[50])]
+    got = {r.node: r.component for r in
+           connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    want = closure(pairs, ids)
+    assert got == {n: want[n] for p in pairs if p[0] != p[1] for n in p}
+
+
+def test_components_without_edges(spark):
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- wavelet matrix
+
+def test_wavelet_matrix_round_trip_rank_and_select():
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([rng.zipf(1.3, 3000) % 60000, [0, 0, 50256, 1]]).astype(np.uint16)
+    m = wavelet.WaveletMatrix(wavelet.pack(ids, [5, None], np.array([1000, len(ids) - 1000]), 16))
+    assert (m.decode() == ids).all() and m.doc_ids == [5, None] and m.lengths.sum() == len(ids)
+    for i in (0, 1, 511, 512, 513, len(ids) - 1):
+        assert m.access(i) == ids[i]
+    for t in (0, 1, 2, 7, 50256, 59999, 70000):
+        at = np.flatnonzero(ids == t)
+        assert m.count(t) == len(at) and m.count(t, 100, 900) == ((at >= 100) & (at < 900)).sum()
+        for k in {0, len(at) // 2, len(at) - 1} if len(at) else ():
+            assert m.locate(t, k) == at[k]
+    with pytest.raises(IndexError):
+        m.locate(70000)
+
+
+def test_wavelet_of_whole_blocks_and_nothing():
+    for n in (0, 512, 1024):
+        ids = np.arange(n, dtype=np.uint16)
+        m = wavelet.WaveletMatrix(wavelet.pack(ids, [1], np.array([n]), 11))
+        assert (m.decode() == ids).all()
+        if n:
+            assert m.count(n - 1) == 1 and m.locate(n - 1) == n - 1
+
+
+def test_tokens_equal_plain_encoding(spark, tmp_path):
+    from tokenizers import Tokenizer
+    odd = ["", None, " ", "  a  b ", "a\n b", "a \n\n b\t c ", "x" * 3000, "it's <|endoftext|> ok <|endoftext|>",
+           "l'été ñ  ü z", "a\x1cb \x1c c", "don't  'll 's", "word " * 20000]
+    rows = [(None if k == 3 else k * 7 % 40, t, "en", "s", 1, "clash") for k, t in enumerate(odd + odd[:3])]
+    docs = spark.createDataFrame(rows, DOCS + ", start string")
+    path = str(tmp_path / "t")
+    wavelet.write_tokens(docs, path, queries.tokenizer_path(), shard_ids=5000)
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    want = sorted(zlib.crc32(np.array(tok.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4").tobytes())
+                  for r in rows)
+    got = sorted(wavelet.read_documents(spark, path).collect(), key=lambda r: r.start)
+    assert sorted(r.ids_crc32 for r in got) == want
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    space = tok.encode(" word").ids[0]
+    assert wavelet.count_token(spark, path, space).agg(F.sum("n")).first()[0] == 19999
+    assert wavelet.locate_token(spark, path, 0).count() == len(rows)
+
+
+def test_tokens_of_the_documents_table(spark):
+    from tokenizers import Tokenizer
+    tok, start = Tokenizer.from_file(queries.tokenizer_path()), 0
+    got = {r.doc_id: r for r in queries.op8_wavelet_tokens(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    for d in docs:
+        ids = tok.encode(d.text or "", add_special_tokens=False).ids + [0]
+        r = got[d.doc_id]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert len(got) == len(docs)
+
+
+def test_tokens_of_no_documents(spark, tmp_path):
+    path = str(tmp_path / "t")
+    wavelet.write_tokens(spark.createDataFrame([], DOCS), path, queries.tokenizer_path())
+    assert wavelet.read_documents(spark, path).count() == 0
+
+
+# ---- simhash
+
+def plain_fingerprint(text):
+    import re
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not w:
+        return 0
+    sh = [" ".join(w[i:i + 4]) for i in range(len(w) - 3)] or [" ".join(w)]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprint_against_plain_form():
+    for t in [None, "", " \t\n", "One", "A b C d", "a b c d e a b c d e", "É É é x y z", "w " * 500 + "end"]:
+        assert simhash.fingerprint(t) == plain_fingerprint(t)
+
+
+def test_simhash_query_against_all_pairs(spark):
+    got = {r.doc_id: r for r in queries.op9_simhash_dedup(spark, SF).collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    fp = {d: plain_fingerprint(t) for d, t in docs.items()}
+    assert {d: int(r.fingerprint, 16) for d, r in got.items()} == fp
+    pairs = [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4]
+    assert {d: r.component_id for d, r in got.items()} == closure(pairs, list(fp))
+
+
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_links_connect_like_all_pairs(spark, tile):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    fps = {0, (1 << 64) - 1}
+    for b in base:
+        for _ in range(25):
+            v = b
+            for bit in rng.sample(range(64), rng.randint(0, 6)):
+                v ^= 1 << bit
+            fps.add(v)
+    signed = {f: f - (1 << 64) if f >> 63 else f for f in fps}
+    nodes = spark.createDataFrame([(s,) for s in signed.values()], "fp long")
+    found = [(r.a, r.b) for r in simhash.links(nodes, tile=tile).collect()]
+    un = {s: f for f, s in signed.items()}
+    assert all((un[a] ^ un[b]).bit_count() <= 4 for a, b in found)
+    true = [(signed[a], signed[b]) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4]
+    assert closure(found, list(un)) == closure(true, list(un))
+
+
+def test_drop_near_duplicates_edges(spark):
+    rows = [(3, "a b c d e f g", "x"), (1, "A B c d e f g", "x"), (None, "a b c d e f g", "x"), (5, None, None),
+            (4, "", "x"), (9, "quite another text here now", "x"), (9, "quite another text here now", "x"),
+            (None, "only without id stands this one", None), (None, "only without id stands this one", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    kept = sorted((r.doc_id, r.text, r.fp) for r in simhash.drop_near_duplicates(docs).collect() if r.doc_id is not None)
+    assert kept == [(1, "A B c d e f g", "x"), (4, "", "x"), (9, "quite another text here now", "x")]
+    assert simhash.drop_near_duplicates(docs).where("doc_id is null").count() == 1
+    near = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert near == {(3, 1), (1, 1), (None, 1), (5, 4), (4, 4), (9, 9), (None, None)}
+    assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+# ---- URL rules
+
+def test_url_rules_edges(spark):
+    urls = ["http://A.Example.NET/en/x?q", "https://example.net/EN/", "http://net/", "http://x.net", "ftp://x.net/a",
+            "http://badexample.com/de/", "http://www.example.com/de/x#f", "http://example.com/d", "http://o.org/fr/?x",
+            "no scheme net/", "", None, None, "http://a.net?x/y", "http:///en/", "://example.com/de/"]
+    pages = spark.createDataFrame([(k, u, "r") for k, u in enumerate(urls)], "page_id long, url string, rule string")
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.url_verdicts(pages, rules).collect()}
+    assert got == {
+        0: ("a.example.net", "/en/x", "example.net/en/", "allow"), 1: ("example.net", "/EN/", "net/", "block"),
+        2: ("net", "/", "net/", "block"), 3: ("x.net", "", None, "allow"), 4: ("x.net", "/a", "net/", "block"),
+        5: ("badexample.com", "/de/", None, "allow"), 6: ("www.example.com", "/de/x", "example.com/de/", "block"),
+        7: ("example.com", "/d", None, "allow"), 8: ("o.org", "/fr/", "org/fr/", "allow"),
+        9: ("", "", None, "allow"), 10: ("", "", None, "allow"), 11: ("", "", None, "allow"),
+        12: ("", "", None, "allow"), 13: ("a.net", "", None, "allow"), 14: ("", "/en/", None, "allow"),
+        15: ("example.com", "/de/", "example.com/de/", "block")}
+    assert url_filter.url_verdicts(pages.limit(0), rules).count() == 0
+    none = url_filter.url_verdicts(pages, rules.limit(0)).collect()
+    assert len(none) == len(urls) and all(r.verdict == "allow" and r.rule is None for r in none)
+
+
+def test_url_query_against_sql(spark, duck):
+    got = sorted(map(tuple, queries.op10_url_filter(spark, SF).collect()), key=str)
+    want = sorted(duck.sql(f"select page_id, host, path, rule, verdict from ({queries.ORACLE['op10_url_filter']})")
+                  .fetchall(), key=str)
+    assert got == want
