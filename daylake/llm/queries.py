@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import simhash, url_filter, wavelet
-from daylake.llm.common import table
+from daylake.llm import (decontaminate, html_extract, langid, line_dedup, mixing, near_vectors, quality, simhash,
+                         url_filter, wavelet)
+from daylake.llm.common import crc_mod, table
 from daylake.session import run_folder
 
 # (host, path, action)
@@ -23,6 +24,50 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removed units, by their offsets in the original texts."""
+    gone = line_dedup.removals(table(spark, sf_dir, "documents"))
+    return gone.select("doc_id", F.col("start").alias("start_char"), F.col("end").alias("end_char"),
+                       F.col("words").alias("n_words"), F.lower(F.hex("digest")).alias("digest"),
+                       "first_doc_id", F.col("first_start").alias("first_start_char"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs, F.col("doc_id").isNotNull() & ~held_out)
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, each with the items it holds."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    return quality.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    scored = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"),
+                           quality_model(spark, docs, sf_dir), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_folder(spark, "tokens")
     wavelet.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -41,6 +86,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_html_text": op3_html_text,
+    "op4_language": op4_language,
+    "op5_source_mix": op5_source_mix,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_quality": op7_quality,
     "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
@@ -55,7 +107,50 @@ _PARTS = """
          THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*(/[^?#]*)', 1) ELSE '' END AS path
   FROM pages"""
 
+def _uniform(seed: int, *parts: str) -> str:
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce(({p})::VARCHAR, '\\N')" for p in parts]])
+    return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT::DOUBLE / {float(1 << 52)!r}::DOUBLE)"
+
+
+_TEXT_MD5 = "md5(coalesce(text, '\\N'))"
+
 ORACLE: dict[str, str] = {
+    "op1_near_vectors": f"""
+WITH RECURSIVE v AS (
+  SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {near_vectors.THRESHOLD}),
+reach(node, other) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+deg AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(deg.n, 0) AS n_links, coalesce(comp.component_id, e.vec_id) AS component_id,
+       coalesce(comp.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN comp ON comp.node = e.vec_id LEFT JOIN deg ON deg.node = e.vec_id""",
+    "op5_source_mix": f"""
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS weight FROM documents GROUP BY source),
+rates AS (SELECT source, weight / (SELECT sum(weight) FROM counts) * (SELECT sum(n) FROM counts)::DOUBLE / n AS rate FROM counts),
+chunks AS (SELECT source, ceil(rate / {mixing.CHUNK})::INT AS draws, rate / ceil(rate / {mixing.CHUNK}) AS rate FROM rates),
+cdf(source, rate, k, p, cdf) AS (
+  SELECT source, rate, 0, exp(-rate), exp(-rate) FROM chunks
+  UNION ALL
+  SELECT source, rate, k + 1, p * rate / (k + 1), cdf + p * rate / (k + 1) FROM cdf
+  WHERE k < {int(mixing.CHUNK) + mixing.TAIL - 1}),
+tables AS (SELECT source, list(cdf ORDER BY k) AS cdf FROM cdf GROUP BY source),
+drawn AS (
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, {_TEXT_MD5} AS t,
+         list_sum([len([x FOR x IN b.cdf IF x <= {_uniform(mixing.SEED, 'd.doc_id', _TEXT_MD5, 'i')}])
+                   FOR i IN range(1, c.draws + 1)]) AS n
+  FROM documents d JOIN chunks c ON d.source IS NOT DISTINCT FROM c.source
+  JOIN tables b ON d.source IS NOT DISTINCT FROM b.source),
+copied AS (SELECT doc_id, text, lang, source, n_chars, t, unnest(range(1, n::BIGINT + 1)) AS copy FROM drawn)
+SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, {_uniform(mixing.SEED + 1, 'doc_id', 't', 'copy')} AS mix_key
+FROM copied""",
     "op10_url_filter": f"""
 WITH rules(r_host, r_path, action) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
 parts AS ({_PARTS}),
