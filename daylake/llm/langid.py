@@ -79,6 +79,8 @@ class Model:
         self.languages = languages
         self.of = [family.get(x.split("-")[0].lower(), "other") for x in languages]
         self.families = sorted(set(self.of))
+        if not len(counts):
+            counts = np.zeros((1, counts.shape[1]), np.float32)  # no rows: no pairs are trained either
         freq = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
         scale = 1 / np.sqrt(freq.mean(axis=0) + 1e-5)
         x = (freq * scale).astype(np.float32)
