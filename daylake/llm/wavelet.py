@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 MAGIC, BLOCK = b"WMX1", 512
 SHARD_IDS = 2_000_000
 END_ID = 0
-CACHED, CACHED_CHARS = 500_000, 48
+CACHED, CACHED_CHARS = 1_000_000, 48
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, payload binary"
 # A space between two characters that are not white space always starts a
 # new word of a byte-level tokenizer, so texts may be cut there.
@@ -46,6 +46,13 @@ SAFE = re.compile(r"(?<=\S) (?=\S)")
 UNSAFE = re.compile(r" \s|\s ")
 
 
+# Words made of these parts alone split the same way under the byte-level
+# pattern (runs of letters, runs of marks, a line break before a word), so
+# their parts go to the tokenizer's model one by one; all other words take
+# the whole path. No apostrophe (contractions) and no "<" (special tokens).
+PART = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[-.,!%&*#$|;:?()/+=]+|\n(?=\\S)")
+
+
 class Encoder:
     """``tokenizers`` encoding of whole texts, with the ids of words seen
     before kept (up to ``CACHED`` words, then forgotten)."""
@@ -54,37 +61,68 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.wide = "I" if self.tokenizer.get_vocab_size(True) > 1 << 16 else "H"
         self.seen: dict[str, bytes] = {}
-
-    def _fill(self, words: list[str]) -> list[bytes]:
-        ids = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self.parts: dict[str, bytes] = {}
+        pre = self.tokenizer.pre_tokenizer
+        self.by_parts = (isinstance(pre, pre_tokenizers.ByteLevel) and not pre.add_prefix_space
+                         and pre.use_regex and self.tokenizer.normalizer is None)
+        # the alphabet that the byte-level models use for the 256 bytes
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: chr(b) for b in shown}
+        self.alphabet |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+    def _fill(self, texts: list[str]) -> list[bytes]:
+        ids = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.wide, x.ids).tobytes() for x in ids]
 
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+            ids = self.parts[part] = array(self.wide, [t.id for t in tokens]).tobytes()
+        return ids
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word with a space before it."""
+        out, rest = {}, []
+        for word in words:
+            parts = PART.findall(word) if self.by_parts and len(word) <= CACHED_CHARS else ()
+            if parts and sum(map(len, parts)) == len(word):
+                parts[0] = " " + parts[0]
+                out[word] = b"".join(map(self._part, parts))
+            else:
+                rest.append(word)
+        out.update(zip(rest, self._fill([" " + w for w in rest])))
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        seen = self.seen
-        if len(seen) > CACHED:
-            seen.clear()
+        if len(self.seen) > CACHED:
+            self.seen.clear()
+        if len(self.parts) > CACHED:
+            self.parts.clear()
+        seen, get = self.seen, self.seen.get
         cut = [t.split(" ") if UNSAFE.search(t) is None else SAFE.split(t) for t in texts]
-        new = {w for words in cut for w in words[1:] if w not in seen}
-        long = {w for w in new if len(w) > CACHED_CHARS}
-        new -= long
-        order = list(new)
-        seen.update(zip(order, self._fill([" " + w for w in order])))
         first = self._fill([words[0] for words in cut])
-        held = {w: v for w, v in zip(long, self._fill([" " + w for w in long]))} if long else {}
+        found, new = [], set()
+        for words in cut:
+            del words[0]
+            got = list(map(get, words))
+            if None in got:
+                new.update(w for w, ids in zip(words, got) if ids is None)
+            found.append(got)
+        fresh = self._words(list(new))
+        seen.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_CHARS)
         kind = np.uint32 if self.wide == "I" else np.uint16
         out = []
-        for head, words in zip(first, cut):
-            words[0] = ""
-            if held:
-                body = b"".join([held[w] if w in held else seen[w] for w in words[1:]])
-            else:
-                body = b"".join(map(seen.__getitem__, words[1:]))
-            out.append(np.frombuffer(head + body, kind))
+        for head, words, got in zip(first, cut, found):
+            if new and None in got:
+                got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
+            out.append(np.frombuffer(head + b"".join(got), kind))
         return out
 
 
@@ -250,40 +288,44 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
      .write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path))
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """The shards with ``start``, the number of ids in all shards before."""
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
+def shard_starts(spark: SparkSession, path: str) -> DataFrame:
+    """``(part, seq, start)``: ids in all shards before each shard."""
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "seq", "n_ids")
     # two steps: totals of the parts (as many as tasks wrote), then inside a part
     parts = (shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
              .withColumn("base", F.sum("n").over(Window.orderBy("part")) - F.col("n")).select("part", "base"))
     inside = Window.partitionBy("part").orderBy("seq")
-    starts = (shards.select("part", "seq", "n_ids")
-              .withColumn("before", F.sum("n_ids").over(inside) - F.col("n_ids"))
-              .join(parts, "part").select("part", "seq", (F.col("base") + F.col("before")).alias("start")))
-    return shards.join(starts, ["part", "seq"])
+    return (shards.withColumn("before", F.sum("n_ids").over(inside) - F.col("n_ids"))
+            .join(parts, "part").select("part", "seq", (F.col("base") + F.col("before")).alias("start")))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: ``doc_id``, ``start`` (ids of all
     documents before it), ``n_tokens``, ``ids_crc32`` (of its ids as
     little-endian unsigned 32-bit integers)."""
-    shards = read_shards(spark, path).select("start", "payload")
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "seq", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                matrix = WaveletMatrix(batch.column(1)[k].as_py())
+                matrix = WaveletMatrix(batch.column(2)[k].as_py())
                 ids = matrix.decode().astype("<u4", copy=False)
                 ends = np.cumsum(matrix.lengths)
                 begins = ends - matrix.lengths
                 raw = memoryview(ids).cast("B")
                 crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
+                n = len(crc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(matrix.doc_ids, pa.int64()), pa.array(begins + batch.column(0)[k].as_py()),
-                     pa.array(matrix.lengths), pa.array(crc, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    [pa.array(np.full(n, batch.column(0)[k].as_py(), np.int32)),
+                     pa.array(np.full(n, batch.column(1)[k].as_py(), np.int32)),
+                     pa.array(matrix.doc_ids, pa.int64()), pa.array(begins), pa.array(matrix.lengths),
+                     pa.array(crc, pa.int64())],
+                    names=["part", "seq", "doc_id", "begin", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    decoded = shards.mapInArrow(
+        run, "part int, seq int, doc_id long, begin long, n_tokens long, ids_crc32 long")
+    return decoded.join(shard_starts(spark, path), ["part", "seq"]).select(
+        "doc_id", (F.col("start") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def count_token(spark: SparkSession, path: str, token: int) -> DataFrame:
@@ -302,13 +344,17 @@ def locate_token(spark: SparkSession, path: str, token: int) -> DataFrame:
     """Global position of every occurrence of one id, by select."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, payload in zip(batch.column(0), batch.column(1)):
+            for part, seq, payload in zip(*batch.columns):
                 matrix = WaveletMatrix(payload.as_py())
-                at = [start.as_py() + matrix.locate(token, k) for k in range(matrix.count(token))]
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["position"])
+                at = [matrix.locate(token, k) for k in range(matrix.count(token))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.as_py()] * len(at), pa.int32()), pa.array([seq.as_py()] * len(at), pa.int32()),
+                     pa.array(at, pa.int64())], names=["part", "seq", "at"])
 
-    return read_shards(spark, path).select("start", "payload").mapInArrow(run, "position long")
+    found = (spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "seq", "payload")
+             .mapInArrow(run, "part int, seq int, at long"))
+    return found.join(shard_starts(spark, path), ["part", "seq"]).select((F.col("start") + F.col("at")).alias("position"))
 
 
-__all__ = ["Encoder", "WaveletMatrix", "pack", "write_tokens", "read_shards", "read_documents",
+__all__ = ["Encoder", "WaveletMatrix", "pack", "write_tokens", "shard_starts", "read_documents",
            "count_token", "locate_token"]
