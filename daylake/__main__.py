@@ -1,10 +1,10 @@
 """Run the jobs from the command line (spark-submit or python -m daylake).
 
-    python -m daylake bronze --landing s3a://lake/raw-data/insurance_db/policy \
-        --table insurance_db.policy --start-date cron --final-date cron
-    python -m daylake gold --source-table insurance_db.policy \
-        --target-table insurance_prd.policy_prod --day 20240203
-    python -m daylake stream --landing ... --table insurance_db.policy \
+    python -m daylake bronze --landing s3a://lake/landing/policy \
+        --table lake_raw.policy --start-date cron --final-date cron
+    python -m daylake gold --source-table lake_raw.policy \
+        --target-table lake_gold.policy --day 20240203
+    python -m daylake stream --landing ... --table lake_raw.policy \
         --checkpoint s3a://lake/checkpoints/policy
 
 Databases named with ``--database NAME=LOCATION`` are created first. The
@@ -46,7 +46,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     g.add_argument("--source-table", required=True)
     g.add_argument("--target-table", required=True)
     g.add_argument("--day", action="append", help="YYYYMMDD or cron (repeatable)")
-    g.add_argument("--initial", default="first", choices=["first", "all"])
+    g.add_argument("--initial", default="all", choices=["all", "first"])
     return p.parse_args(argv)
 
 

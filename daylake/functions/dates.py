@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-# Fixed values (same as the reference): the default file-date window and the
-# word that means "the day before today".
-DEFAULT_START = "2001-01-01"
-DEFAULT_FINAL = "2099-12-31"
+# Fixed value (same as the reference): the word that means "the day before
+# today".
 CRON = "cron"
 
 
@@ -35,27 +33,28 @@ def to_iso(value: str) -> str:
 
 def resolve_window(start_date: str | None = None, final_date: str | None = None,
                    reprocess_all: bool = False, today: dt.date | None = None,
-                   days_ago: int = 1) -> tuple[str, str]:
-    """Return ``(start, final)`` as ISO dates, both ends included.
+                   days_ago: int = 1) -> tuple[str | None, str | None]:
+    """Return ``(start, final)`` as ISO dates, both ends included; ``None`` is
+    an open end, so a file of any date is inside a window without limits.
 
-    * ``reprocess_all`` -> from the default start to today;
+    * ``reprocess_all`` -> everything up to today;
     * ``start == 'cron'`` -> ``days_ago`` days before today;
-    * ``final == 'cron'`` -> the resolved start;
-    * ``None`` -> the default start / final.
+    * ``final == 'cron'`` -> the resolved start (without one, the same day as
+      ``start == 'cron'``).
     """
     today = today or dt.date.today()
     if reprocess_all:
-        return DEFAULT_START, today.isoformat()
+        return None, today.isoformat()
     if start_date is None or start_date == "":
-        start = DEFAULT_START
+        start = None
     elif start_date == CRON:
         start = (today - dt.timedelta(days=days_ago)).isoformat()
     else:
         start = to_iso(start_date)
     if final_date is None or final_date == "":
-        final = DEFAULT_FINAL
+        final = None
     elif final_date == CRON:
-        final = start
+        final = start or (today - dt.timedelta(days=days_ago)).isoformat()
     else:
         final = to_iso(final_date)
     return start, final

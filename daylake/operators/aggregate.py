@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # Functions a caller may name. All are one-column aggregates whose state per
 # group is bounded; collecting functions (collect_set, collect_list) are left
-# out because one hot group would gather unbounded data in one task.
+# out because one hot group would gather unbounded data in one task, and
+# first / last because without an order they name no particular row.
 ALLOWED = {
     "count": F.count,
     "sum": F.sum,
@@ -17,10 +18,17 @@ ALLOWED = {
     "mean": F.avg,
     "min": F.min,
     "max": F.max,
-    "first": F.first,
-    "last": F.last,
+    "any_value": F.any_value,
+    "bool_and": F.bool_and,
+    "bool_or": F.bool_or,
     "stddev": F.stddev,
+    "stddev_pop": F.stddev_pop,
+    "stddev_samp": F.stddev_samp,
     "variance": F.variance,
+    "var_pop": F.var_pop,
+    "var_samp": F.var_samp,
+    "skewness": F.skewness,
+    "kurtosis": F.kurtosis,
     "countDistinct": F.count_distinct,
     "count_distinct": F.count_distinct,
     "approx_count_distinct": F.approx_count_distinct,

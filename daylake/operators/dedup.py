@@ -14,7 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 _RANK = "__rank"
 
@@ -27,6 +27,27 @@ def _order(spec: str) -> tuple[str, bool]:
     return spec, False
 
 
+def _holds(kind: DataType, types: tuple) -> bool:
+    if isinstance(kind, types):
+        return True
+    if isinstance(kind, ArrayType):
+        return _holds(kind.elementType, types)
+    if isinstance(kind, MapType):
+        return _holds(kind.keyType, types) or _holds(kind.valueType, types)
+    return isinstance(kind, StructType) and any(_holds(f.dataType, types) for f in kind.fields)
+
+
+def _orderable(column: Column, kind: DataType) -> Column:
+    """The column in a form that has an order: arrays and structs have one; a
+    map is ordered by its sorted entries, anything that still holds a map or a
+    variant by its JSON text."""
+    if isinstance(kind, MapType) and not _holds(kind.valueType, (MapType, VariantType)):
+        return F.sort_array(F.map_entries(column))
+    if _holds(kind, (MapType, VariantType)):
+        return F.to_json(F.struct(column.alias("v")))
+    return column
+
+
 def order_columns(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                   tie_break: bool = True) -> list[Column]:
     """Sort order for the survivor; with ``tie_break`` every other column is
@@ -39,13 +60,8 @@ def order_columns(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         cols.append(F.col(name).desc_nulls_last() if desc else F.col(name).asc_nulls_first())
     if tie_break:
         for field in df.schema.fields:
-            if field.name in named:
-                continue
-            if isinstance(field.dataType, (MapType, VariantType)):
-                continue  # not orderable
-            if isinstance(field.dataType, (ArrayType, StructType)):
-                continue
-            cols.append(F.col(field.name).desc_nulls_last())
+            if field.name not in named:
+                cols.append(_orderable(F.col(field.name), field.dataType).desc_nulls_last())
     return cols
 
 

@@ -8,6 +8,7 @@ Python lambda over rows would hide them from the optimizer.
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,35 +17,42 @@ from pyspark.sql import functions as F
 from daylake.functions.dates import split_day
 
 DAY_PARTS = ("year", "month", "day")
-# Above this many partitions the predicate is one flat IN over the joined
-# values instead of a chain of ORs (a deep tree for thousands of days).
-FLAT_AFTER = 32
-_SEP = "\u0001"
 
 
-def _equalities(columns: Sequence[str], row: Sequence) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row)])
+def _any(conditions: list[Column]) -> Column:
+    """OR as a balanced tree: thousands of conditions stay shallow."""
+    while len(conditions) > 1:
+        conditions = [reduce(or_, conditions[k:k + 2]) for k in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
+def _equals(column: str, value) -> Column:
+    return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
+
+
+def _one_of(column: str, values: list) -> Column:
+    plain = [v for v in values if v is not None]
+    found = [F.col(column).isNull()] if len(plain) < len(values) else []
+    if plain:
+        found.append(F.col(column).isin(plain) if len(plain) > 1 else _equals(column, plain[0]))
+    return _any(found)
 
 
 def partition_predicate(columns: Sequence[str], values: Sequence[Sequence]) -> Column:
     """Rows whose partition columns equal one of ``values``; FALSE for none.
 
-    Few values: OR of AND-ed null-safe equalities (plain in the plan). Many:
-    ``concat_ws(sep, cols) IN (...)``, which Spark runs as a hash-set
-    lookup; rows holding a NULL keep the equality form."""
+    One form at every size, in the columns' own types: the values are grouped
+    by their leading columns, which compare with ``=`` (``IS NULL`` for NULL),
+    and the last column with ``IN``. Both forms reach the catalog's partition
+    listing."""
     if not values:
         return F.lit(False)
-    if len(values) <= FLAT_AFTER:
-        return reduce(lambda a, b: a | b, [_equalities(columns, row) for row in values])
-    plain = [row for row in values if None not in row]
-    with_null = [row for row in values if None in row]
-    joined = F.concat_ws(_SEP, *[F.col(c).cast("string") for c in columns])
-    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    pred = not_null & joined.isin([_SEP.join(str(v) for v in row) for row in plain])
-    for row in with_null:
-        pred = pred | _equalities(columns, row)
-    return pred
+    *leading, last = columns
+    groups: dict[tuple, dict] = {}
+    for row in values:
+        groups.setdefault(tuple(row[:-1]), {})[row[-1]] = None
+    return _any([reduce(and_, [_equals(c, v) for c, v in zip(leading, lead)] + [_one_of(last, list(lasts))])
+                 for lead, lasts in groups.items()])
 
 
 def partition_filter(df: DataFrame, columns: Sequence[str], values: Sequence) -> DataFrame:

@@ -16,14 +16,26 @@ partition-scoped rewrite.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def null_key(keys: Sequence[str]) -> Column:
+    """True for rows with a NULL in a key column: they match nothing."""
+    return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
 def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows with no source row of the same key."""
-    return target.join(source.select(*keys), list(keys), "left_anti")
+    """Target rows with no source row of the same key.
+
+    Rows with a NULL key never match; they go past the join, so that they do
+    not all hash to one reducer."""
+    keyed = target.where(~null_key(keys)).join(source.select(*keys), list(keys), "left_anti")
+    return keyed.select(*target.columns).unionByName(target.where(null_key(keys)))
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:

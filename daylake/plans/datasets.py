@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from daylake.functions.mapping import (BRONZE_DROP, BRONZE_POLICY, GOLD_POLICY,
                                        RAW_POLICY, Field)
+from daylake.sources.landing import RFC4180
 
 PARTITIONS = ["year", "month", "day"]
 
@@ -21,6 +22,7 @@ class Dataset:
     order_by: list[str] = field(default_factory=lambda: ["year_month_day desc"])
     partitions: list[str] = field(default_factory=lambda: list(PARTITIONS))
     table_format: str = "parquet"   # "delta" / "iceberg" where installed: MERGE INTO
+    csv_options: dict = field(default_factory=dict)  # beside landing.CSV_OPTIONS
 
 
 POLICY = Dataset("policy", RAW_POLICY, BRONZE_POLICY, ["policy_id"], GOLD_POLICY,
@@ -48,4 +50,5 @@ EVENTS = Dataset(
      Field("year", "year", "string"),
      Field("month", "month", "string"),
      Field("day", "day", "string")],
+    csv_options=RFC4180,
 )

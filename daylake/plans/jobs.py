@@ -20,12 +20,13 @@ from daylake.functions.dates import resolve_day, resolve_window, split_day
 from daylake.functions.lineage import with_date_parts
 from daylake.functions.mapping import apply_mapping, cast_failures, raw_schema
 from daylake.operators.dedup import latest_per_key
-from daylake.operators.filters import day_filter
+from daylake.operators.filters import day_filter, partition_predicate
+from daylake.operators.upsert import null_key, unmatched
 from daylake.plans.datasets import Dataset
 from daylake.plans.publish import stage, upsert_table, write_table
 from daylake.plans.report import run_report
-from daylake.session import run_folder
-from daylake.sources.landing import scan_dated
+from daylake.session import remove_folder, run_folder
+from daylake.sources.landing import CORRUPT, file_counts, scan_dated
 from daylake.sources.tables import partition_columns, table_exists
 
 FULL_LOAD = "full-load"
@@ -45,78 +46,114 @@ def _null_keys(ds: Dataset):
     return F.count(F.when(cond, 1)).alias("null_keys")
 
 
-def _rewrite_fields(stats) -> dict:
-    """How much of the table an upsert rewrote (None for a MERGE)."""
+def _rewrite_fields(stats, partitions: int) -> dict:
+    """How much of the table an upsert rewrote (nothing for a MERGE)."""
     if not stats.partitions_rewritten and not stats.broadcast:
         return {}
     return dict(partitions_rewritten=len(stats.partitions_rewritten),
                 partitions_dropped=len(stats.partitions_dropped),
+                partitions_share=round(len(stats.partitions_rewritten) / max(partitions, 1), 4),
                 keys_broadcast=stats.broadcast)
 
 
-def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
-                  start_date: str | None = None, final_date: str | None = None,
-                  reprocess_all: bool = False, today: dt.date | None = None,
-                  stage_typed: bool = True, upsert_limits: dict | None = None) -> DataFrame:
-    """Stage 1. No table yet: first load from ``full-load/``; otherwise the
-    files of ``cdc-load/`` in the window are upserted (S4, D13: last run
-    wins, an older file loaded later overwrites newer rows).
+def _n_partitions(spark: SparkSession, table: str) -> int:
+    return spark.sql(f"SHOW PARTITIONS {table}").count() if partition_columns(spark, table) else 0
 
-    The caller passes the dates (D19). ``reprocess_all`` only widens the
-    window to everything up to today (D15); to rebuild, drop the table and
-    run again, and the first load reads ``full-load/``.
 
-    ``stage_typed`` (default) writes the typed rows once before the dedup:
-    counts are exact under task retries and the CSV is parsed once. A first
-    load of a long history may turn it off to write the data only once; the
-    counts are then observed on the scan side, exact unless a map stage has
-    to be run again after an executor loss. ``upsert_limits`` passes
-    ``broadcast_rows`` / ``broadcast_bytes`` to the upsert."""
-    start, final = resolve_window(start_date, final_date, reprocess_all, today)
-    exists = table_exists(spark, table)
-    source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"
-    scanned = scan_dated(spark, source, raw_schema(ds.raw_columns), start, final)
-    report = dict(stage="bronze", start_date=start, final_date=final,
-                  source=source, target=table)
+def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, work: str,
+                stage_typed: bool = True, newest_wins: bool = False,
+                upsert_limits: dict | None = None) -> dict:
+    """Scanned rows (with lineage and ``_corrupt_line``) -> bronze table;
+    returns the report's counts. Shared by the batch and the streaming job.
 
+    ``newest_wins`` keeps a row of the table against a source row of an older
+    file date, so that the order in which files arrive cannot matter."""
+    exists = table_exists(spark, table)
+    seen, typed_seen = Observation("source"), Observation("typed")
+    corrupt = F.count(CORRUPT) if CORRUPT in raw.columns else F.count(F.lit(None))
+    observed = conform(raw.observe(seen, F.count(F.lit(1)).alias("rows"), corrupt.alias("corrupt"),
+                                   *cast_failures(ds.bronze_mapping)), ds)
     # Scan, cast and write in one stage: the counts observed here are exact
     # even when tasks are retried, and every later step reads parquet.
-    seen = Observation("source")
-    work = run_folder(spark, "bronze")
-    observed = conform(scanned.observe(seen, F.count(F.lit(1)).alias("rows"),
-                                       *cast_failures(ds.bronze_mapping)), ds)
     if stage_typed:
-        typed = stage(observed, f"{work}/typed")
+        typed = stage(observed, f"{work}/typed", observation=typed_seen, metrics=[_null_keys(ds)])
         empty = seen.get["rows"] == 0
     else:
-        typed = observed
-        empty = scanned.limit(1).isEmpty()  # reads at most one file
+        typed = observed.observe(typed_seen, _null_keys(ds))
+        empty = raw.limit(1).isEmpty()  # reads at most one file
     if empty:  # R2: nothing to load, change nothing
         before = spark.table(table).count() if exists else 0
-        return run_report(spark, **report, load_kind="none", qtty_before=before,
-                          qtty_source=0, qtty_after=before, null_keys=0, bad_values=0)
+        return dict(load_kind="none", qtty_before=before, qtty_source=0, qtty_after=before,
+                    null_keys=0, bad_values=0, rows_dropped=0, corrupt_lines=0)
 
     kept = Observation("kept")
-    kept_metrics = [F.count(F.lit(1)).alias("rows"), _null_keys(ds)]
+    rows = [F.count(F.lit(1)).alias("rows")]
     latest = latest_per_key(typed, ds.keys, ds.order_by)
+    fields: dict = {}
     if not exists:
         write_table(latest, table, ds.partitions, table_format=ds.table_format,
-                    observation=kept, metrics=kept_metrics)
-        before, after = 0, kept.get["rows"]
-        kind = "first"
+                    observation=kept, metrics=rows)
+        kind, before, after = "first", 0, kept.get["rows"]
     else:
+        if newest_wins:
+            latest = _newer_than_table(spark.table(table), latest, ds)
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions,
-                       observation=kept, metrics=kept_metrics)
+                       observation=kept, metrics=rows)
+        partitions = _n_partitions(spark, table)
         stats = upsert_table(spark, table, staged, ds.keys, source_unique=True,
+                             replay_by=["file_name"] if "file_name" in staged.columns else (),
                              **(upsert_limits or {}))
-        before, after = stats.rows_before, stats.rows_after
-        kind = "upsert"
-        report.update(_rewrite_fields(stats))
+        kind, before, after = "upsert", stats.rows_before, stats.rows_after
+        fields = _rewrite_fields(stats, partitions)
     src = seen.get
-    bad = sum(v for k, v in src.items() if k.startswith("bad_"))
-    return run_report(spark, **report, load_kind=kind, qtty_before=before,
-                      qtty_source=src["rows"], qtty_after=after,
-                      null_keys=kept.get["null_keys"], bad_values=bad)
+    return dict(load_kind=kind, qtty_before=before, qtty_source=src["rows"], qtty_after=after,
+                null_keys=typed_seen.get["null_keys"], corrupt_lines=src["corrupt"],
+                bad_values=sum(v for k, v in src.items() if k.startswith("bad_")),
+                rows_dropped=src["rows"] - kept.get["rows"], **fields)
+
+
+def _newer_than_table(target: DataFrame, source: DataFrame, ds: Dataset) -> DataFrame:
+    """Source rows whose key has no row of a newer file date in the table."""
+    newer = target.where(~null_key(ds.keys)).select(*ds.keys, F.col("year_month_day").alias("__day"))
+    keyed = source.where(~null_key(ds.keys))
+    stays = keyed.join(newer, list(ds.keys), "left").where(
+        F.col("__day").isNull() | (F.col("year_month_day") >= F.col("__day")))
+    return stays.select(*source.columns).unionByName(source.where(null_key(ds.keys)))
+
+
+def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
+                  start_date: str | None = None, final_date: str | None = None,
+                  reprocess_all: bool = False, today: dt.date | None = None,
+                  stage_typed: bool = True, upsert_limits: dict | None = None) -> DataFrame:
+    """Stage 1. No table yet: first load from ``full-load/``; otherwise the
+    files of ``cdc-load/`` in the window are upserted (S4, D13: last run
+    wins, an older file loaded later overwrites newer rows).
+
+    The caller passes the dates (D19); without them files of every date are
+    read. The report counts the files outside the window and those without a
+    date in their name. ``reprocess_all`` only widens the window to everything
+    up to today (D15); to rebuild, drop the table and run again, and the first
+    load reads ``full-load/``.
+
+    ``stage_typed`` (default) writes the typed rows once before the dedup:
+    counts are exact under task retries and the CSV is parsed once. A first
+    load of a long history may turn it off to write the data only once; the
+    counts are then observed on the scan side, exact unless a map stage has
+    to be run again after an executor loss. ``upsert_limits`` passes
+    ``broadcast_rows`` / ``broadcast_bytes`` to the upsert. The staged data
+    goes when the load has succeeded."""
+    start, final = resolve_window(start_date, final_date, reprocess_all, today)
+    exists = table_exists(spark, table)
+    source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"
+    scanned = scan_dated(spark, source, raw_schema(ds.raw_columns), start, final,
+                         options=ds.csv_options)
+    work = run_folder(spark, "bronze")
+    counts = load_bronze(spark, ds, scanned, table, work, stage_typed, upsert_limits=upsert_limits)
+    files = file_counts(spark, source, start, final)
+    remove_folder(spark, work)
+    return run_report(spark, stage="bronze", start_date=start, final_date=final, source=source,
+                      target=table, files_outside=files["files_outside"],
+                      files_undated=files["files_undated"], **counts)
 
 
 def earliest_day(spark: SparkSession, table: str) -> str | None:
@@ -131,40 +168,71 @@ def earliest_day(spark: SparkSession, table: str) -> str | None:
     return parts.agg(F.min(ymd).alias("d")).first()["d"]
 
 
+def days_from(spark: SparkSession, table: str, first: str) -> list[str]:
+    """The ``YYYYMMDD`` days of a day-partitioned table from ``first`` on, from
+    the catalog's partition list."""
+    ymd = F.concat(*[F.regexp_extract("partition", f"{c}=([^/]*)", 1) for c in ("year", "month", "day")])
+    rows = spark.sql(f"SHOW PARTITIONS {table}").select(ymd.alias("d")).where(F.col("d") >= first)
+    return [r["d"] for r in rows.orderBy("d").collect()]
+
+
 def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_table: str,
-                   day: str | list[str] | None = None, initial: str = "first",
+                   day: str | list[str] | None = None, initial: str = "all",
                    today: dt.date | None = None) -> DataFrame:
     """Stage 2. Existing gold: the bronze rows of ``day`` replace their keys
-    (K6); ``day`` may be a list, to publish days that were missed (D18).
-    First load: the earliest bronze day (D3), or every day with
-    ``initial='all'``."""
+    (K6); ``day`` may be a list, to publish days that were missed (D18), or
+    ``'all'``. First load: every bronze day, or with ``initial='first'`` the
+    earliest one (D3). ``rows_unpublished`` of the report counts the bronze
+    rows of days that this run did not read and whose key gold has not."""
     exists = table_exists(spark, target_table)
     bronze = spark.table(source_table)
-    if exists:
+    if exists and day != "all":
         days = [resolve_day(d, today) for d in day] if isinstance(day, list) \
             else [resolve_day(day, today)]
         run_day = days[0] if len(days) == 1 else ",".join(days)
         src = day_filter(bronze, days, ds.partitions)
-    elif initial == "all":
+    elif exists or initial == "all":
         run_day, src = None, bronze
     else:
         run_day = earliest_day(spark, source_table)
         src = day_filter(bronze, [run_day] if run_day else [], ds.partitions)
-    src = apply_mapping(src, ds.gold_mapping)
-    report = dict(stage="gold", start_date=run_day, final_date=run_day,
-                  source=source_table, target=target_table, null_keys=0, bad_values=0)
+    # staged: the upsert reads its source several times, and the counts are
+    # those of the rows it gets
+    seen, kept = Observation("bronze"), Observation("gold")
+    mapped = apply_mapping(src.observe(seen, F.count(F.lit(1)).alias("rows"), *cast_failures(ds.gold_mapping)),
+                           ds.gold_mapping)
+    metrics = [F.count(F.lit(1)).alias("rows"), _null_keys(ds)]
+    work = run_folder(spark, "gold")
     if not exists:
-        out = Observation("gold")
-        write_table(src, target_table, ds.partitions, observation=out,
+        write_table(mapped, target_table, ds.partitions, observation=kept, metrics=metrics,
                     table_format=ds.table_format)
-        n = out.get["rows"]
-        return run_report(spark, **report, load_kind="first", qtty_before=0,
-                          qtty_source=n, qtty_after=n)
-    # bronze holds each non-NULL key once, so one day of it does too
-    stats = upsert_table(spark, target_table, src, ds.keys, source_unique=True)
-    return run_report(spark, **report, **_rewrite_fields(stats), load_kind="upsert",
-                      qtty_before=stats.rows_before, qtty_source=stats.rows_source,
-                      qtty_after=stats.rows_after)
+        n = kept.get["rows"]
+        counts = dict(load_kind="first", qtty_before=0, qtty_after=n)
+    else:
+        staged = stage(mapped, f"{work}/source", rebalance_by=ds.partitions,
+                       observation=kept, metrics=metrics)
+        partitions = _n_partitions(spark, target_table)
+        # bronze holds each non-NULL key once if this library wrote it; a
+        # registered table may not, so the keys are made distinct here
+        stats = upsert_table(spark, target_table, staged, ds.keys,
+                             replay_by=["file_name"] if "file_name" in staged.columns else ds.partitions)
+        counts = dict(load_kind="upsert", qtty_before=stats.rows_before, qtty_after=stats.rows_after,
+                      **_rewrite_fields(stats, partitions))
+    report = dict(qtty_source=kept.get["rows"], null_keys=kept.get["null_keys"], rows_dropped=0,
+                  bad_values=sum(v for k, v in seen.get.items() if k.startswith("bad_")))
+    remove_folder(spark, work)
+    gold = spark.table(target_table).select(*ds.keys)
+    return run_report(spark, stage="gold", start_date=run_day, final_date=run_day, source=source_table,
+                      target=target_table, rows_unpublished=_unpublished(bronze, gold, ds, run_day),
+                      **report, **counts)
+
+
+def _unpublished(bronze: DataFrame, gold: DataFrame, ds: Dataset, run_day: str | None) -> int:
+    """Bronze rows that gold does not hold, by key: one narrow join."""
+    if run_day is None:
+        return 0
+    read = partition_predicate(ds.partitions, [split_day(d) for d in run_day.split(",")])
+    return unmatched(bronze.where(~read).select(*ds.keys), gold, ds.keys).count()
 
 
 def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str, gold: str,
@@ -179,5 +247,5 @@ def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str,
     return first.unionByName(second)
 
 
-__all__ = ["run_stages", "raw_to_bronze", "bronze_to_gold", "earliest_day", "conform",
+__all__ = ["run_stages", "raw_to_bronze", "load_bronze", "bronze_to_gold", "earliest_day", "days_from", "conform",
            "FULL_LOAD", "CDC_LOAD", "split_day"]

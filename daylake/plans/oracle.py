@@ -54,6 +54,8 @@ ORDERS_OUT = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
               "CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority")
 AGGS = ("round(sum(o_totalprice), 2) AS sum_o_totalprice, "
         "round(avg(o_totalprice), 2) AS avg_o_totalprice, "
+        "round(stddev_pop(o_totalprice), 2) AS stddev_pop_o_totalprice, "
+        "round(stddev_samp(o_totalprice), 2) AS stddev_samp_o_totalprice, "
         "min(o_totalprice) AS min_o_totalprice, max(o_totalprice) AS max_o_totalprice, "
         "count(o_orderkey) AS count_o_orderkey, "
         'count(DISTINCT o_custkey) AS "countDistinct_o_custkey"')
@@ -68,17 +70,12 @@ def replace(target: str, source: str, keys: list[str], cols: str = "*") -> str:
             f"UNION ALL SELECT {cols} FROM ({source}) s2")
 
 
-def _distinct_users(where: str) -> str:
-    return f"(SELECT count(*) FROM (SELECT DISTINCT user_id FROM events WHERE {where}))"
-
-
-def _null_users(where: str) -> str:
-    return (f"(SELECT count(*) FROM (SELECT DISTINCT user_id FROM events WHERE {where}) "
-            f"WHERE user_id IS NULL)")
-
-
 first_w, cdc_w = f"{YMD} < '{SPLIT}'", f"{YMD} >= '{SPLIT}'"
 
+gold_all = (f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
+            "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day "
+            f"FROM ({last_events('true')})")
+
 ORACLE: dict[str, str] = {
     "csv_scan_typed":
         f"SELECT event_id, {TS} AS ts, user_id, event_type, value, props FROM events",
@@ -125,8 +122,7 @@ ORACLE: dict[str, str] = {
         f"SELECT o_orderstatus, o_orderpriority, {AGGS} FROM orders GROUP BY 1, 2",
     "merge_upsert": replace(
         last_events(first_w),
-        last_events(f"{YMD} BETWEEN '{_compact(Q.CDC_WINDOW[0])}' "
-                    f"AND '{_compact(Q.CDC_WINDOW[1])}' AND {cdc_w}"),
+        last_events(cdc_w),
         ["user_id"]),
     "merge_upsert_composite": replace(
         last_lineitem(f"l_shipdate < TIMESTAMP '{Q.LINEITEM_TARGET_BEFORE}'"),
@@ -136,8 +132,8 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o "
         f"WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > {Q.PRICE_LIMIT})",
     "replace_by_key": replace(
-        last_events(f"{YMD} <= '{_compact(Q.REPLACE_UNTIL)}'"),
-        f"SELECT * FROM ({last_events('true')}) WHERE year_month_day = '{Q.GOLD_DAY}'",
+        last_events(f"{YMD} <= '{Q.REPLACE_UNTIL}'"),
+        f"SELECT * FROM ({last_events('true')}) WHERE year_month_day > '{Q.REPLACE_UNTIL}'",
         ["user_id"], GOLD_COLS),
     "union_all_by_name":
         f"SELECT {ORDERS_OUT} FROM orders WHERE o_orderdate < TIMESTAMP '{Q.ORDERS_CUTOFF}' "
@@ -156,22 +152,34 @@ ORACLE: dict[str, str] = {
     "stream_cdc_to_bronze": last_events("true"),
     "upsert_shuffle_join": last_events("true"),
     "run_report":
-        "SELECT 'bronze' AS stage, 'first' AS load_kind, CAST(0 AS BIGINT) AS qtty_before, "
-        f"(SELECT count(*) FROM events WHERE {first_w}) AS qtty_source, "
-        f"{_distinct_users(first_w)} AS qtty_after, {_null_users(first_w)} AS null_keys, "
-        "CAST(0 AS BIGINT) AS bad_values "
-        f"UNION ALL SELECT 'bronze', 'upsert', {_distinct_users(first_w)}, "
-        f"(SELECT count(*) FROM events WHERE {cdc_w}), {_distinct_users('true')}, "
-        f"{_null_users(cdc_w)}, CAST(0 AS BIGINT)",
-    "daily_chain": (
-        f"WITH b1 AS ({last_events(first_w)}), "
-        "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "
-        f"s AS (SELECT * FROM ({last_events('true')}) WHERE year_month_day >= '{SPLIT}' "
-        f"AND year_month_day <= '{Q.GOLD_DAY}'), "
-        "g2 AS (SELECT * FROM g1 t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id) "
-        "UNION ALL SELECT * FROM s) "
-        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
-        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
+        f"WITH e AS (SELECT *, {first_w} AS first, CASE WHEN event_id % {Q.BAD_KEY_EVERY} = 0 "
+        f"THEN NULL ELSE user_id END AS u FROM events), "
+        "n AS (SELECT count(*) FILTER (first) AS rows1, count(*) FILTER (NOT first) AS rows2, "
+        "count(DISTINCT u) FILTER (first) AS keys1, count(DISTINCT u) FILTER (NOT first) AS keys2, "
+        "count(DISTINCT u) AS keys, count(*) FILTER (first AND u IS NULL) AS null1, "
+        "count(*) FILTER (NOT first AND u IS NULL) AS null2, "
+        f"count(*) FILTER (first AND event_id % {Q.BAD_KEY_EVERY} = 0) AS bad1, "
+        f"count(*) FILTER (NOT first AND event_id % {Q.BAD_KEY_EVERY} = 0) AS bad2 FROM e), "
+        # the rows without a key of one load are one row in bronze
+        "k AS (SELECT *, least(null1, 1) AS one1, least(null2, 1) AS one2 FROM n) "
+        "SELECT 'bronze' AS stage, 'first' AS load_kind, 0::BIGINT AS qtty_before, rows1 AS qtty_source, "
+        "keys1 + one1 AS qtty_after, null1 AS null_keys, bad1 AS bad_values, "
+        "rows1 - keys1 - one1 AS rows_dropped FROM k "
+        "UNION ALL SELECT 'bronze', 'upsert', keys1 + one1, rows2, keys + one1 + one2, null2, bad2, "
+        "rows2 - keys2 - one2 FROM k "
+        "UNION ALL SELECT 'gold', 'first', 0, keys + one1 + one2, keys + one1 + one2, one1 + one2, 0, 0 FROM k",
+    "upsert_typed_partitions":
+        f"SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice < {Q.CHEAP} THEN 'Z' ELSE o_orderstatus END "
+        "AS o_orderstatus, o_totalprice, o_orderpriority AS priority, "
+        f"o_totalprice > {Q.PRICE_LIMIT / 2} AS dear, (o_custkey % 8) / 4.0::DOUBLE AS share FROM orders",
+    "publish_new_column":
+        "SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_acctbal < 0 THEN -c_acctbal END AS debt, "
+        "c_mktsegment FROM customer",
+    "latest_per_key_nested":
+        "SELECT user_id, event_type, event_id AS by_array, event_id AS by_struct, event_id AS by_map FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC NULLS LAST, "
+        "event_id DESC NULLS LAST) AS rn FROM events) WHERE rn = 1 AND user_id IS NOT NULL",
+    "daily_chain": gold_all,
     "gold_days_list": (
         f"WITH b AS ({last_events('true')}), "
         "g1 AS (SELECT * FROM b WHERE year_month_day = (SELECT min(year_month_day) FROM b)), "
@@ -181,16 +189,6 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT * FROM s) "
         f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
         "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
-    "gold_initial_all": (
-        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
-        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day "
-        f"FROM ({last_events('true')})"),
-    "bronze_to_gold": (
-        f"WITH b1 AS ({last_events(first_w)}), "
-        "g1 AS (SELECT * FROM b1 WHERE year_month_day = (SELECT min(year_month_day) FROM b1)), "
-        f"s AS (SELECT * FROM ({last_events('true')}) WHERE year_month_day = '{Q.GOLD_DAY}'), "
-        "g2 AS (SELECT * FROM g1 t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id) "
-        "UNION ALL SELECT * FROM s) "
-        f"SELECT {GOLD_COLS}, substr(year_month_day, 1, 4) AS year, "
-        "substr(year_month_day, 5, 2) AS month, substr(year_month_day, 7, 2) AS day FROM g2"),
+    "gold_initial_all": gold_all,
+    "bronze_to_gold": gold_all,
 }

@@ -2,7 +2,8 @@
 
 Tables are managed tables partitioned by ``year/month/day`` under their
 database's location: parquet (snappy) by default, where the upsert below
-applies; formats with ``MERGE INTO`` (Delta, Iceberg) use it instead.
+applies; formats with ``MERGE INTO`` (Delta, Iceberg) use it instead (that
+branch has not run here: no such format is installed).
 
 The upsert rewrites only the partitions it touches, never the whole table:
 
@@ -10,22 +11,31 @@ The upsert rewrites only the partitions it touches, never the whole table:
    source keys, gives per partition the rows and the rows whose key is in
    the source (a small table, one row per partition);
 2. the touched partitions (those with a matched row, plus those the source
-   writes to) are rewritten whole as *unmatched old rows + source rows* with
-   dynamic partition overwrite; Spark writes them to a staging folder and
-   swaps them in at job commit, so the read of the old files ends before
-   they go (D1);
-3. a touched partition left with no rows is dropped, otherwise dynamic
-   overwrite would leave its old files in place.
+   writes to) are written whole as *unmatched old rows + source rows* to a
+   new folder of the run, by one job; nothing visible changes (D1);
+3. the catalog entry of each rewritten partition is pointed at its new files,
+   first the partitions that receive source rows, then those that only lose
+   rows; a partition left with no rows is dropped; then the old files go.
+   A run that dies on the way leaves every partition wholly old or wholly
+   new and loses no row; running the same load again completes it.
+
+Rows with a NULL key match nothing; they go beside the joins. With
+``replay_by`` (the file name in bronze, the day in gold) those of a load that
+runs again are replaced by it instead of being added once more.
 
 Source keys are broadcast only when their count and byte size are checked
-to be within ``broadcast_rows`` / ``broadcast_bytes``; beyond that the join
-falls back to a shuffle join on the keys, which moves only the target's
-key and partition columns. The source should be staged (written) first: it
-is read more than once.
+to be within ``broadcast_rows`` / ``broadcast_bytes``. Beyond that the joins
+shuffle on the keys: the statistics pass moves the target's key and partition
+columns only, and for the rewrite the keys that occur in the target are found
+first and broadcast if they are few; only when they are many too do the rows
+of the touched partitions shuffle, and they are then regrouped by partition
+before the write. The source should be staged (written) first: it is read
+more than once.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Sequence
@@ -35,7 +45,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from daylake.operators.filters import partition_predicate
-from daylake.session import conf_override
+from daylake.operators.upsert import null_key
+from daylake.session import conf_override, remove_folder, run_folder
 from daylake.sources.tables import partition_columns
 
 # Source keys are broadcast only below both limits, checked on the data:
@@ -44,12 +55,6 @@ BROADCAST_ROWS = 5_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 COMPRESSION = "snappy"
 _HIT = "__hit"
-_SALT = "__salt"
-# Target rows with a NULL key never match; in a shuffle join they would all
-# hash to one reducer. They get a salt in [0, NULL_SPREAD) as an extra join
-# column (keyed rows and the source keys get 0), which spreads them and
-# still matches nothing.
-NULL_SPREAD = 1024
 
 
 @dataclass
@@ -61,21 +66,30 @@ class UpsertStats:
     partitions_rewritten: list = field(default_factory=list)
     partitions_dropped: list = field(default_factory=list)
     broadcast: bool = False
+    rewrite_broadcast: bool = False
+
+
+def _quoted(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(table: str) -> str:
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in table.split("."))
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None,
                     comment: str | None = None,
                     properties: dict[str, str] | None = None) -> None:
     """K7. ``owner`` is reserved in Spark, so it is stored as ``data_owner``."""
-    sql = f"CREATE DATABASE IF NOT EXISTS {name}"
+    sql = f"CREATE DATABASE IF NOT EXISTS {_name(name)}"
     if comment:
-        sql += " COMMENT '" + comment.replace("'", "\\'") + "'"
+        sql += f" COMMENT {_quoted(comment)}"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_quoted(location)}"
     if properties:
         props = {("data_owner" if k == "owner" else k): v for k, v in properties.items()}
         sql += " WITH DBPROPERTIES (" + ", ".join(
-            f"'{k}'='{v}'" for k, v in props.items()) + ")"
+            f"{_quoted(k)}={_quoted(v)}" for k, v in props.items()) + ")"
     spark.sql(sql)
 
 
@@ -132,33 +146,33 @@ def _key_bytes(df: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a + b, widths)
 
 
-def _key_side(src: DataFrame, keys: Sequence[str], use_broadcast: bool,
-              source_unique: bool):
-    """Source keys for the joins, the join columns, and the target's salt."""
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    key_side = src.select(*keys).where(not_null)
+def key_frame(src: DataFrame, keys: Sequence[str], use_broadcast: bool,
+              source_unique: bool) -> DataFrame:
+    """The source's non-NULL keys, once each, for the joins."""
+    key_side = src.select(*keys).where(~null_key(keys))
     if not source_unique:
         key_side = key_side.distinct()
-    # 0 for every source key, written so that Catalyst cannot fold it into a
-    # constant (a folded 0 turns into a post-join filter and the exchange
-    # would hash on the key alone again)
-    key_side = key_side.withColumn(
-        _SALT, F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
-    if use_broadcast:
-        key_side = F.broadcast(key_side)
-    salt = F.when(not_null, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_SPREAD))).cast("int")
-    return key_side, [*keys, _SALT], salt
+    return F.broadcast(key_side) if use_broadcast else key_side
 
 
 def stats_frame(target: DataFrame, key_side: DataFrame, keys: Sequence[str],
-                parts: Sequence[str], salt) -> DataFrame:
+                parts: Sequence[str], replayed: DataFrame | None = None) -> DataFrame:
     """Step 1 as a lazy frame: per target partition, its rows and the rows
-    whose key is among the source keys. Reads keys + partition values."""
-    return (target.select(*keys, *parts).withColumn(_SALT, salt)
-            .join(key_side.withColumn(_HIT, F.lit(1)), [*keys, _SALT], "left")
-            .groupBy(*parts)
-            .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits")))
+    that the source replaces: those whose key is among the source keys, and
+    NULL-key rows of a replayed load. Reads keys, partition values and the
+    replay columns; ``name_<part>`` is the value as the catalog spells it."""
+    keyed = (target.where(~null_key(keys)).select(*keys, *parts)
+             .join(key_side.withColumn(_HIT, F.lit(1)), list(keys), "left").select(*parts, _HIT))
+    nulls = target.where(null_key(keys))
+    if replayed is None:
+        nulls = nulls.select(*parts, F.lit(None).cast("int").alias(_HIT))
+    else:
+        on = replayed.columns
+        nulls = (nulls.select(*dict.fromkeys([*parts, *on]))
+                 .join(replayed.withColumn(_HIT, F.lit(1)), on, "left").select(*parts, _HIT))
+    return (keyed.unionByName(nulls).groupBy(*parts)
+            .agg(F.count(F.lit(1)).alias("rows"), F.count(_HIT).alias("hits"))
+            .withColumns({f"name_{p}": F.col(p).cast("string") for p in parts}))
 
 
 @dataclass
@@ -169,12 +183,28 @@ class UpsertPlan:
     partitions: list
     rewrite: DataFrame | None
     stats: UpsertStats
+    source_parts: set = field(default_factory=set)
+
+
+def evolve_schema(spark: SparkSession, table: str, source: DataFrame) -> list[str]:
+    """K4: columns of the source that the table has not are added to it (old
+    rows read NULL); returns their names. A column that the source has not is
+    an error, not silently NULL."""
+    present = {c.lower() for c in spark.table(table).columns}
+    given = {c.lower() for c in source.columns}
+    if missing := sorted(present - given):
+        raise ValueError(f"{table}: the source has no column {', '.join(missing)}")
+    new = [f for f in source.schema.fields if f.name.lower() not in present]
+    if new:
+        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({columns})")
+    return [f.name for f in new]
 
 
 def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                 broadcast_rows: int = BROADCAST_ROWS,
                 broadcast_bytes: int = BROADCAST_BYTES,
-                source_unique: bool = False) -> UpsertPlan:
+                source_unique: bool = False, replay_by: Sequence[str] = ()) -> UpsertPlan:
     """Steps 1-2 of the upsert without writing: counts per partition and the
     rewrite of the touched partitions (``None`` if the source is empty).
     The target is read through the catalog (S6, S7). ``source_unique``
@@ -183,78 +213,136 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
+    evolve_schema(spark, table, source)
     target = spark.table(table)
     columns = target.columns
     src = source.select(*columns)
 
     # one pass over the (staged) source: rows per partition, and upper bounds
     # of the key count and key bytes for the broadcast check
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    no_key = null_key(keys)
     src_per_part = (src.groupBy(*parts)
                     .agg(F.count(F.lit(1)).alias("rows"),
-                         F.count(F.when(not_null, 1)).alias("keyed"),
-                         F.sum(F.when(not_null, _key_bytes(src, keys))).alias("bytes"))
-                    .collect())
+                         F.count(F.when(~no_key, 1)).alias("keyed"),
+                         F.sum(F.when(~no_key, _key_bytes(src, keys))).alias("bytes"))
+                    .withColumns({f"name_{p}": F.col(p).cast("string") for p in parts}).collect())
     src_rows = sum(r["rows"] for r in src_per_part)
-    src_parts = {tuple(r[p] for p in parts) for r in src_per_part}
     if src_rows == 0:
         before = target.count()
         return UpsertPlan(table, columns, parts, None, UpsertStats(before, 0, 0, before))
     key_rows = sum(r["keyed"] for r in src_per_part)
     key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
     use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
-    key_side, on, salt = _key_side(src, keys, use_broadcast, source_unique)
+    key_side = key_frame(src, keys, use_broadcast, source_unique)
+    replayed = src.where(no_key).select(*replay_by).distinct() if replay_by else None
 
     # 1. rows and matched rows per target partition: reads keys + partitions
-    per_part = stats_frame(target, key_side, keys, parts, salt).collect()
+    per_part = stats_frame(target, key_side, keys, parts, replayed).collect()
+    named = {tuple(r[f"name_{p}"] for p in parts): tuple(r[p] for p in parts)
+             for r in [*src_per_part, *per_part]}
+    label = lambda r: tuple(r[f"name_{p}"] for p in parts)
+    src_parts = {label(r) for r in src_per_part}
     before = sum(r["rows"] for r in per_part)
     matched = sum(r["hits"] for r in per_part)
-    touched_old = [tuple(r[p] for p in parts) for r in per_part if r["hits"] > 0]
-    emptied = [tuple(r[p] for p in parts) for r in per_part
-               if r["hits"] > 0 and r["hits"] == r["rows"]
-               and tuple(r[p] for p in parts) not in src_parts]
+    touched_old = {label(r) for r in per_part if r["hits"] > 0}
+    emptied = [label(r) for r in per_part
+               if r["hits"] > 0 and r["hits"] == r["rows"] and label(r) not in src_parts]
 
     # 2. rewrite the touched partitions: all rows of a partition the write
-    #    reaches must be in the output, or dynamic overwrite loses them
-    touched = sorted(set(touched_old) | src_parts, key=str)
-    kept = (target.where(partition_predicate(parts, touched)).withColumn(_SALT, salt)
-            .join(key_side, on, "left_anti").drop(_SALT))
-    rewrite = kept.unionByName(src).select(*columns)
+    #    reaches must be in the output
+    in_order = lambda names: sorted(names, key=lambda n: [(x is None, x or "") for x in n])
+    touched = in_order(touched_old | src_parts)
+    old = target.where(partition_predicate(parts, [named[n] for n in touched]))
+    keyed, nulls = old.where(~no_key), old.where(no_key)
+    rewrite_broadcast = use_broadcast
+    if not use_broadcast and matched <= broadcast_rows:
+        # of the many source keys, those that the target has
+        hit = stage(key_side.join(keyed.select(*keys), list(keys), "left_semi"),
+                    run_folder(spark, "upsert-hits"))
+        if (hit.agg(F.sum(_key_bytes(hit, keys))).first()[0] or 0) <= broadcast_bytes:
+            key_side, rewrite_broadcast = F.broadcast(hit), True
+    keyed = keyed.join(key_side, list(keys), "left_anti")
+    if replayed is not None:
+        nulls = nulls.join(replayed, replayed.columns, "left_anti")
+    rewrite = keyed.select(*columns).unionByName(nulls.select(*columns)).unionByName(src)
+    if not rewrite_broadcast:  # the rows were shuffled by key: few files per partition again
+        rewrite = rewrite.hint("rebalance", *parts)
     stats = UpsertStats(before, src_rows, matched, before - matched + src_rows,
-                        touched, emptied, use_broadcast)
-    return UpsertPlan(table, columns, parts, rewrite, stats)
+                        touched, in_order(emptied), use_broadcast, rewrite_broadcast)
+    return UpsertPlan(table, columns, parts, rewrite, stats, src_parts)
+
+
+def _spec(parts: Sequence[str], names: Sequence[str | None]) -> str:
+    """``PARTITION (...)``; a NULL value is a partition like any other."""
+    return "PARTITION (" + ", ".join(
+        f"`{c}`=" + ("null" if n is None else _quoted(n)) for c, n in zip(parts, names)) + ")"
 
 
-def _sql_value(value) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _folders(spark: SparkSession, table: str, parts: Sequence[str], names: list) -> dict:
+    """Current folder of each named partition, as far as it exists."""
+    out = {}
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()}
+    for n in names:
+        if "/".join(f"{c}={_folder_value(v)}" for c, v in zip(parts, n)) not in known:
+            continue
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)} {_spec(parts, n)}")
+        rows = detail.where("col_name in ('Location', 'Partition Location')").collect()
+        if rows:
+            out[n] = rows[0]["data_type"]
+    return out
+
+
+# The characters that Spark escapes in a partition's folder name.
+_ESCAPED = set(range(1, 32)) | {127} | {ord(c) for c in "\"#%'*/:=?\\{[]^"}
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_value(name: str | None) -> str:
+    if name is None or name == "":
+        return DEFAULT_PARTITION
+    return "".join(f"%{ord(c):02X}" if ord(c) in _ESCAPED else c for c in name)
 
 
 def apply_upsert(spark: SparkSession, plan: UpsertPlan) -> UpsertStats:
-    """Write the rewrite with dynamic partition overwrite, then drop the
-    partitions that lost all their rows (step 3)."""
+    """Write the rewrite beside the table's files, then switch the partitions
+    over and drop those that lost all their rows (step 3)."""
     if plan.rewrite is None:
         return plan.stats
-    with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        plan.rewrite.write.insertInto(plan.table, overwrite=True)
-    # one catalog call for all emptied partitions (values here come from
-    # file-name dates and are never NULL)
-    specs = [", ".join(f"{c}={_sql_value(v)}" for c, v in zip(plan.partitions, values))
-             for values in plan.stats.partitions_dropped if None not in values]
-    if specs:
-        spark.sql(f"ALTER TABLE {plan.table} DROP IF EXISTS "
-                  + ", ".join(f"PARTITION ({s})" for s in specs))
-    if plan.stats.partitions_dropped:
-        spark.catalog.refreshTable(plan.table)
-    return plan.stats
+    stats, table = plan.stats, _name(plan.table)
+    root = f"{table_location(spark, plan.table)}/_runs/{uuid.uuid4().hex[:12]}"
+    (plan.rewrite.write.option("compression", COMPRESSION).partitionBy(*plan.partitions).parquet(root))
+    dropped = set(stats.partitions_dropped)
+    old = _folders(spark, plan.table, plan.partitions, stats.partitions_rewritten)
+    for n in sorted(stats.partitions_rewritten, key=lambda n: n not in plan.source_parts):
+        if n in dropped:
+            continue
+        spec = _spec(plan.partitions, n)
+        folder = "/".join([root, *(f"{c}={_folder_value(v)}" for c, v in zip(plan.partitions, n))])
+        if n in old:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_quoted(folder)}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {_quoted(folder)}")
+    if dropped:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
+                  + ", ".join(_spec(plan.partitions, n) for n in stats.partitions_dropped))
+    spark.catalog.refreshTable(plan.table)
+    for folder in old.values():
+        remove_folder(spark, folder)
+    return stats
 
 
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
                       keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
                       broadcast_bytes: int = BROADCAST_BYTES,
-                      source_unique: bool = False) -> UpsertStats:
+                      source_unique: bool = False, replay_by: Sequence[str] = ()) -> UpsertStats:
     """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
     return apply_upsert(spark, plan_upsert(spark, table, source, keys, broadcast_rows,
-                                           broadcast_bytes, source_unique))
+                                           broadcast_bytes, source_unique, replay_by))
 
 
 # Table formats whose Spark connector runs ``MERGE INTO`` (file-level rewrite
@@ -277,13 +365,13 @@ def merge_statement(table: str, source_view: str, keys: Sequence[str]) -> str:
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame,
-                 keys: Sequence[str], source_unique: bool = False, **limits) -> UpsertStats:
+                 keys: Sequence[str], source_unique: bool = False,
+                 replay_by: Sequence[str] = (), **limits) -> UpsertStats:
     """Upsert by the table's format: ``MERGE INTO`` where the format has it,
     the partition-scoped rewrite on plain parquet."""
     if table_format(spark, table) not in MERGE_FORMATS:
         return upsert_partitions(spark, table, source, keys,
-                                 source_unique=source_unique, **limits)
-    import uuid
+                                 source_unique=source_unique, replay_by=replay_by, **limits)
     before, src_rows = spark.table(table).count(), source.count()
     view = f"daylake_source_{uuid.uuid4().hex[:12]}"
     source.createOrReplaceTempView(view)
@@ -295,17 +383,25 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame,
     return UpsertStats(before, src_rows, before + src_rows - after, after)
 
 
-def register_external(spark: SparkSession, table: str, columns_ddl: str,
+def register_external(spark: SparkSession, table: str, columns_ddl: str | None,
                       location: str, partitions: Sequence[str] = ()) -> None:
     """K8: catalog entry over files that already exist, then find their
-    partitions (without the repair a partitioned table reads no rows)."""
-    sql = f"CREATE TABLE IF NOT EXISTS {table} ({columns_ddl}) USING parquet"
+    partitions (without the repair a partitioned table reads no rows).
+    Without ``columns_ddl`` the columns are those of the files, and the
+    partition columns are strings."""
+    if columns_ddl is None:
+        with conf_override(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+            found = spark.read.parquet(location).schema
+        columns_ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in found.fields)
+        if absent := [p for p in partitions if p not in found.fieldNames()]:
+            raise ValueError(f"{location} is not partitioned by {', '.join(absent)}")
+    sql = f"CREATE TABLE IF NOT EXISTS {_name(table)} ({columns_ddl}) USING parquet"
     if partitions:
         sql += f" PARTITIONED BY ({', '.join(partitions)})"
-    sql += f" LOCATION '{location}'"
+    sql += f" LOCATION {_quoted(location)}"
     spark.sql(sql)
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {_name(table)}")
 
 
 def run_sql_file(spark: SparkSession, path: str, **params: str) -> None:

@@ -25,11 +25,11 @@ from daylake.operators.dedup import latest_per_key
 from daylake.operators.filters import day_filter
 from daylake.operators.upsert import merge_by_key, replace_by_key, union_by_name, unmatched
 from daylake.plans.datasets import EVENTS
-from daylake.plans.jobs import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform,
+from daylake.plans.jobs import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform, days_from,
                                      earliest_day, raw_to_bronze, run_stages)
-from daylake.plans.publish import (create_database, register_external, truncate,
-                                   write_table)
-from daylake.session import run_folder, workspace
+from daylake.plans.publish import (apply_upsert, create_database, plan_upsert, register_external,
+                                   stage, truncate, upsert_partitions, write_table)
+from daylake.session import conf_override, run_folder, workspace
 from daylake.sources.landing import scan_dated, write_dated_csv
 from daylake.sources.tables import (is_nonempty, path_exists, read_snapshot,
                                     table_exists)
@@ -37,11 +37,11 @@ from daylake.sources.tables import (is_nonempty, path_exists, read_snapshot,
 # Parameters of the driver queries (days are file-name dates).
 LANDING_SPLIT = "20240120"      # full-load/ holds days before it, cdc-load/ the rest
 WINDOW = ("2024-01-10", "2024-01-15")
-CDC_WINDOW = ("2024-01-29", "2024-01-30")
 ONE_DAY = "20240115"
-GOLD_DAY = "20240130"
 GOLD_DAYS = ["20240128", "20240129", "20240130"]   # published together (D18)
-REPLACE_UNTIL = "2024-01-24"
+REPLACE_UNTIL = "20240124"      # rows of later days replace those of earlier ones
+BAD_KEY_EVERY = 97              # in the probe landing, events whose key is malformed
+CHEAP = 150000                  # orders below it are updated
 PRICE_LIMIT = 400000
 ORDERS_CUTOFF = "1998-01-01"
 LINEITEM_TARGET_BEFORE = "2000-01-01"
@@ -78,28 +78,31 @@ def _unique(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+def _land(spark: SparkSession, sf_dir: str, label: str, user) -> str:
+    root = run_folder(spark, label)
+    ev = _read(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyyMMdd")
+    rows = ev.select(
+        "event_id", F.date_format("ts", TS_FORMAT).alias("ts"), user.alias("user_id"),
+        "event_type", "value", "props", day.alias("__day"),
+        F.when(day < F.lit(LANDING_SPLIT), F.lit(FULL_LOAD))
+         .otherwise(F.lit(CDC_LOAD)).alias("__folder"))
+    write_dated_csv(rows, root, "__day", "__folder", prefix="events") \
+        .agg(F.sum("rows")).collect()
+    return root
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Land ``events`` as dated CSV files once per process and workspace."""
-    def build():
-        root = run_folder(spark, "landing")
-        ev = _read(spark, sf_dir, "events")
-        day = F.date_format("ts", "yyyyMMdd")
-        rows = ev.select(
-            "event_id", F.date_format("ts", TS_FORMAT).alias("ts"), "user_id",
-            "event_type", "value", "props", day.alias("__day"),
-            F.when(day < F.lit(LANDING_SPLIT), F.lit(FULL_LOAD))
-             .otherwise(F.lit(CDC_LOAD)).alias("__folder"))
-        write_dated_csv(rows, root, "__day", "__folder", prefix="events") \
-            .agg(F.sum("rows")).collect()
-        return root
-    return _memoized(("landing", workspace(spark), sf_dir), build,
+    return _memoized(("landing", workspace(spark), sf_dir),
+                     lambda: _land(spark, sf_dir, "landing", F.col("user_id")),
                      lambda root: path_exists(spark, f"{root}/{FULL_LOAD}"))
 
 
 def _events_scan(spark, sf_dir, folders=(FULL_LOAD, CDC_LOAD), start=None, final=None):
     root = landing(spark, sf_dir)
     return scan_dated(spark, [f"{root}/{f}" for f in folders],
-                      raw_schema(EVENTS.raw_columns), start, final)
+                      raw_schema(EVENTS.raw_columns), start, final, options=EVENTS.csv_options)
 
 
 def _events_out(df: DataFrame, props: bool = True, ymd: bool = True,
@@ -252,11 +255,13 @@ def q_first_day_rows_join(spark, sf_dir):
 
 ORDER_AGGS = [("o_totalprice", "sum"), ("o_totalprice", "avg"),
               ("o_totalprice", "min"), ("o_totalprice", "max"),
+              ("o_totalprice", "stddev_pop"), ("o_totalprice", "stddev_samp"),
               ("o_orderkey", "count"), ("o_custkey", "countDistinct")]
 
 
 def _rounded(df):
-    return df.withColumns({c: F.round(c, 2) for c in ("sum_o_totalprice", "avg_o_totalprice")})
+    return df.withColumns({f"{f}_o_totalprice": F.round(f"{f}_o_totalprice", 2)
+                           for f in ("sum", "avg", "stddev_pop", "stddev_samp")})
 
 
 def q_agg_by_name_global(spark, sf_dir):
@@ -271,8 +276,8 @@ def q_agg_by_name_grouped(spark, sf_dir):
 def q_merge_upsert(spark, sf_dir):
     target = latest_per_key(conform(_events_scan(spark, sf_dir, (FULL_LOAD,)), EVENTS),
                             EVENTS.keys, EVENTS.order_by)
-    source = latest_per_key(conform(_events_scan(spark, sf_dir, (CDC_LOAD,), *CDC_WINDOW),
-                                    EVENTS), EVENTS.keys, EVENTS.order_by)
+    source = latest_per_key(conform(_events_scan(spark, sf_dir, (CDC_LOAD,)), EVENTS),
+                            EVENTS.keys, EVENTS.order_by)
     return _events_out(merge_by_key(target, source, EVENTS.keys))
 
 
@@ -298,7 +303,7 @@ def q_replace_by_key(spark, sf_dir):
     old = latest_per_key(conform(_events_scan(spark, sf_dir, final=REPLACE_UNTIL), EVENTS),
                          EVENTS.keys, EVENTS.order_by)
     target = apply_mapping(old, EVENTS.gold_mapping)
-    source = apply_mapping(day_filter(bronze, [GOLD_DAY]), EVENTS.gold_mapping)
+    source = apply_mapping(bronze.where(F.col("year_month_day") > REPLACE_UNTIL), EVENTS.gold_mapping)
     return _events_out(replace_by_key(target, source, EVENTS.keys), props=False)
 
 
@@ -386,7 +391,7 @@ def q_gold_days_list(spark, sf_dir):
     bronze, _ = _bronze_runs(spark, sf_dir)
     db, _ = _lake(spark, "gold_days")
     gold = f"{db}.events"
-    bronze_to_gold(spark, EVENTS, bronze, gold)
+    bronze_to_gold(spark, EVENTS, bronze, gold, initial="first")
     bronze_to_gold(spark, EVENTS, bronze, gold, day=list(GOLD_DAYS))
     return _events_out(spark.table(gold), props=False, parts=True)
 
@@ -401,22 +406,81 @@ def q_gold_initial_all(spark, sf_dir):
 
 
 def q_upsert_shuffle_join(spark, sf_dir):
-    """The bronze upsert with the broadcast limit at zero: the sort-merge
-    path that a source with too many keys to broadcast takes."""
+    """The bronze upsert without any broadcast: the sort-merge path that a
+    source with too many keys takes, checked on the plan."""
     db, _ = _lake(spark, "smj")
     table = f"{db}.events"
-    root = landing(spark, sf_dir)
-    raw_to_bronze(spark, EVENTS, root, table)
-    report = raw_to_bronze(spark, EVENTS, root, table, upsert_limits={"broadcast_rows": 0})
-    if report.first()["keys_broadcast"]:
-        raise RuntimeError("expected the sort-merge path")
+    raw_to_bronze(spark, EVENTS, landing(spark, sf_dir), table)
+    source = latest_per_key(conform(_events_scan(spark, sf_dir, (CDC_LOAD,)), EVENTS), EVENTS.keys, EVENTS.order_by)
+    source = stage(source, f"{run_folder(spark, 'smj')}/source", rebalance_by=EVENTS.partitions)
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_upsert(spark, table, source, EVENTS.keys, broadcast_rows=0, source_unique=True)
+        if "SortMergeJoin" not in plan.rewrite._jdf.queryExecution().executedPlan().toString():
+            raise RuntimeError("expected the sort-merge path")
+        apply_upsert(spark, plan)
     return _events_out(spark.table(table))
 
 
 def q_run_report(spark, sf_dir):
-    _, reports = _bronze_runs(spark, sf_dir)
-    return reports.select("stage", "load_kind", "qtty_before", "qtty_source",
-                          "qtty_after", "null_keys", "bad_values")
+    """Reports of both jobs over files in which some keys are malformed."""
+    db, _ = _lake(spark, "report")
+    bronze, gold = f"{db}.events", f"{db}.events_gold"
+    bad = F.when(F.col("event_id") % BAD_KEY_EVERY == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+    root = _land(spark, sf_dir, "landing-probe", bad)
+    first = raw_to_bronze(spark, EVENTS, root, bronze)
+    second = raw_to_bronze(spark, EVENTS, root, bronze)
+    reports = first.unionByName(second).unionByName(bronze_to_gold(spark, EVENTS, bronze, gold))
+    return reports.select("stage", "load_kind", "qtty_before", "qtty_source", "qtty_after",
+                          "null_keys", "bad_values", "rows_dropped")
+
+
+ORDER_PARTS = ["priority", "dear", "share"]
+
+
+def _order_parts(df):
+    return df.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderpriority").alias("priority"),
+        (F.col("o_totalprice") > PRICE_LIMIT / 2).alias("dear"), (F.col("o_custkey") % 8 / 4).alias("share"))
+
+
+def q_upsert_typed_partitions(spark, sf_dir):
+    """Upsert that touches more than 32 partitions of string, boolean and
+    double columns (K2)."""
+    db, _ = _lake(spark, "typed")
+    table = f"{db}.orders"
+    orders = _order_parts(_read(spark, sf_dir, "orders"))
+    write_table(orders, table, ORDER_PARTS)
+    source = stage(orders.where(F.col("o_totalprice") < CHEAP).withColumn("o_orderstatus", F.lit("Z")),
+                   f"{run_folder(spark, 'typed')}/source")
+    stats = upsert_partitions(spark, table, source, ["o_orderkey"], source_unique=True)
+    if len(stats.partitions_rewritten) <= 32:
+        raise RuntimeError("expected more partitions")
+    return spark.table(table).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                     "priority", "dear", "share")
+
+
+def q_publish_new_column(spark, sf_dir):
+    """K4: a column that the table has not yet reaches it with the upsert."""
+    db, _ = _lake(spark, "grown")
+    table = f"{db}.customer"
+    customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    write_table(customer, table, ["c_mktsegment"])
+    source = customer.where("c_acctbal < 0").withColumn("debt", -F.col("c_acctbal"))
+    upsert_partitions(spark, table, source, ["c_custkey"])
+    return spark.table(table).select("c_custkey", "c_name", "c_acctbal", "debt", "c_mktsegment")
+
+
+def q_latest_per_key_nested(spark, sf_dir):
+    """A4 where only array, struct and map columns tell the rows apart."""
+    ev = _read(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.struct("event_type", F.col("event_id").alias("n")).alias("s"),
+        F.array("event_id").alias("a"), F.create_map(F.lit("n"), F.col("event_id")).alias("m"))
+    by_array = latest_per_key(ev.drop("s", "m"), ["user_id"], ["event_type desc"])
+    by_struct = latest_per_key(ev.drop("a", "m"), ["user_id"], ["event_type desc"])
+    by_map = latest_per_key(ev.drop("a", "s"), ["user_id"], ["event_type desc"])
+    return (by_array.select("user_id", "event_type", F.col("a")[0].alias("by_array"))
+            .join(by_struct.select("user_id", F.col("s.n").alias("by_struct")), "user_id")
+            .join(by_map.select("user_id", F.col("m")["n"].alias("by_map")), "user_id"))
 
 
 def q_stream_cdc_to_bronze(spark, sf_dir):
@@ -435,7 +499,7 @@ def q_stream_cdc_to_bronze(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: bronze first load, gold first load, bronze upsert, gold
-    upsert of one day; returns the gold table."""
+    upsert of every day the change files hold; returns the gold table."""
     bronze_db, _ = _lake(spark, "bronze")
     gold_db, _ = _lake(spark, "gold")
     bronze, gold = f"{bronze_db}.events", f"{gold_db}.events"
@@ -443,13 +507,14 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_to_bronze(spark, EVENTS, root, bronze)
     bronze_to_gold(spark, EVENTS, bronze, gold)
     raw_to_bronze(spark, EVENTS, root, bronze)
-    bronze_to_gold(spark, EVENTS, bronze, gold, day=GOLD_DAY)
+    bronze_to_gold(spark, EVENTS, bronze, gold, day=days_from(spark, bronze, LANDING_SPLIT))
     return _events_out(spark.table(gold), props=False, parts=True)
 
 
 def q_daily_chain(spark, sf_dir):
-    """The cron flow, one day at a time: after the first loads, each CDC day
-    is loaded into bronze (one-day window) and then published to gold."""
+    """The cron flow, one day at a time to the last day of the data: after
+    the first loads, each CDC day is loaded into bronze (one-day window) and
+    then published to gold."""
     import datetime as dt
     bronze_db, _ = _lake(spark, "daily_bronze")
     gold_db, _ = _lake(spark, "daily_gold")
@@ -457,9 +522,9 @@ def q_daily_chain(spark, sf_dir):
     root = landing(spark, sf_dir)
     raw_to_bronze(spark, EVENTS, root, bronze)
     bronze_to_gold(spark, EVENTS, bronze, gold)
+    last = _read(spark, sf_dir, "events").agg(F.max(F.date_format("ts", "yyyy-MM-dd"))).first()[0]
     day = dt.date(int(LANDING_SPLIT[:4]), int(LANDING_SPLIT[4:6]), int(LANDING_SPLIT[6:]))
-    last = dt.date(int(GOLD_DAY[:4]), int(GOLD_DAY[4:6]), int(GOLD_DAY[6:]))
-    while day <= last:
+    while day <= dt.date.fromisoformat(last):
         # the job of the morning after ``day``: "cron" resolves to ``day``
         today = day + dt.timedelta(days=1)
         run_stages(spark, EVENTS, root, bronze, gold, "cron", today=today)
@@ -494,6 +559,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_source_switch": q_load_source_switch,
     "run_report": q_run_report,
     "upsert_shuffle_join": q_upsert_shuffle_join,
+    "upsert_typed_partitions": q_upsert_typed_partitions,
+    "publish_new_column": q_publish_new_column,
+    "latest_per_key_nested": q_latest_per_key_nested,
     "gold_days_list": q_gold_days_list,
     "gold_initial_all": q_gold_initial_all,
     "stream_cdc_to_bronze": q_stream_cdc_to_bronze,

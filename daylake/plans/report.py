@@ -9,7 +9,9 @@ REPORT_SCHEMA = (
     "stage string, start_date string, final_date string, source string, "
     "target string, load_kind string, qtty_before long, qtty_source long, "
     "qtty_after long, null_keys long, bad_values long, "
-    "partitions_rewritten long, partitions_dropped long, keys_broadcast boolean"
+    "rows_dropped long, corrupt_lines long, files_outside long, files_undated long, "
+    "rows_unpublished long, partitions_rewritten long, partitions_dropped long, "
+    "partitions_share double, keys_broadcast boolean"
 )
 FIELDS = [tuple(f.split()) for f in REPORT_SCHEMA.split(", ")]
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings this library relies on; a caller's own session may differ, so
@@ -28,23 +30,25 @@ def get_session(master: str | None = None, app: str = "daylake",
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    workspace(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def workspace(spark: SparkSession) -> str:
     """Root of the shared folder for staged tables and snapshots.
 
     Taken from ``spark.checkpoint.dir``, which on a cluster names storage
-    every executor can reach. Only when it is unset (a local test session)
-    do we make one under the local temp folder and register it.
+    every executor can reach. Only a ``local`` session, where driver and
+    executors are one process, may leave it unset: then a folder under the
+    local temp folder is made and registered. Elsewhere an unset folder is an
+    error, since each executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         sc = spark.sparkContext
         root = sc.getCheckpointDir()
         if not root:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="daylake-")
             sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -55,6 +59,17 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/daylake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written (staged data of a run that is
+    done). Without a JVM gateway it stays for the storage's retention."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    except (PySparkException, AttributeError):
+        return
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 @contextlib.contextmanager
 def conf_override(spark: SparkSession, settings: dict[str, str]):
     """Set session settings for the block, then put the old values back."""
@@ -81,4 +96,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["DEFAULTS", "get_session", "workspace", "run_folder",
-           "conf_override", "local_path"]
+           "remove_folder", "conf_override", "local_path"]

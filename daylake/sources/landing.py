@@ -18,14 +18,18 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daylake.functions.dates import to_compact
 from daylake.functions.lineage import name_date
 from daylake.sources.tables import path_exists
 
-# RFC 4180 quoting: a quote inside a quoted value is written twice.
-CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
+# Spark's default quoting (a backslash escapes a quote), as in the reference;
+# ``RFC4180`` reads files that write a quote inside a quoted value twice.
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
+RFC4180 = {"escape": '"'}
+# Filled for lines that do not have the schema's columns.
+CORRUPT = "_corrupt_line"
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
@@ -47,26 +51,28 @@ def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructTy
                start: str | None = None, final: str | None = None,
                strict: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """S1 + S2 + P3 + P4: rows of the ``*.csv`` files under ``roots`` whose
-    name date lies in ``[start, final]`` (both included, either form).
+    name date lies in ``[start, final]`` (both included, either form; ``None``
+    leaves that end open).
 
-    Adds ``file_name`` (full path of the row's file) and ``year_month_day``.
-    Missing roots are skipped; with none left the result is empty.
+    Adds ``file_name`` (full path of the row's file), ``year_month_day`` and
+    ``_corrupt_line``: the text of a line that has not the schema's columns
+    (NULL for a good line), so that a report can count those lines. A root
+    that does not exist raises; an empty folder has no rows.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
-    present = [r for r in roots if path_exists(spark, r)]
-    if not present:  # an empty frame of the same shape, planned in the JVM
-        return spark.range(0).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
-            F.lit(None).cast("string").alias("file_name"),
-            F.lit(None).cast("string").alias("year_month_day"))
-    reader = (spark.read.schema(schema).options(**CSV_OPTIONS)
+    missing = [r for r in roots if not path_exists(spark, r)]
+    if missing:
+        raise FileNotFoundError(f"no such landing folder: {', '.join(missing)}")
+    read = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+    reader = (spark.read.schema(read).options(**CSV_OPTIONS)
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("pathGlobFilter", "*.csv")
               .option("recursiveFileLookup", "true"))
     if strict:
         reader = reader.option("enforceSchema", "false")
     if options:
         reader = reader.options(**options)
-    df = reader.csv(present)
+    df = reader.csv(roots)
     ymd = name_date(F.col("_metadata.file_name"))
     cond = ymd != F.lit("")
     if start:
@@ -74,11 +80,31 @@ def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructTy
     if final:
         cond = cond & (ymd <= F.lit(to_compact(final)))
     return (df.where(cond)
-              .select(*schema.fieldNames(),
+              .select(*schema.fieldNames(), CORRUPT,
                       F.col("_metadata.file_path").alias("file_name"),
                       ymd.alias("year_month_day")))
 
 
+def file_counts(spark: SparkSession, roots: str | Iterable[str], start: str | None = None,
+                final: str | None = None) -> dict[str, int]:
+    """How many ``*.csv`` files lie in the window, outside it, and without a
+    date in their name. Lists the files, opens none."""
+    roots = [roots] if isinstance(roots, str) else list(roots)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+             .option("recursiveFileLookup", "true").load(roots)
+             .select(name_date(F.element_at(F.split("path", "/"), -1)).alias("ymd")))
+    inside = F.lit(True)
+    if start:
+        inside = inside & (F.col("ymd") >= F.lit(to_compact(start)))
+    if final:
+        inside = inside & (F.col("ymd") <= F.lit(to_compact(final)))
+    dated = F.col("ymd") != ""
+    row = files.agg(F.count(F.when(dated & inside, 1)).alias("files_read"),
+                    F.count(F.when(dated & ~inside, 1)).alias("files_outside"),
+                    F.count(F.when(~dated, 1)).alias("files_undated")).first()
+    return row.asDict()
+
+
 def write_dated_csv(df: DataFrame, root: str, date_col: str,
                     folder_col: str | None = None, prefix: str = "part") -> DataFrame:
     """Land ``df`` as CSV files named ``<prefix>-<task>-<YYYYMMDD>.csv``.
@@ -96,10 +122,12 @@ def write_dated_csv(df: DataFrame, root: str, date_col: str,
     for scheme in ("s3a://", "s3n://"):
         if root.startswith(scheme):
             root = "s3://" + root[len(scheme):]
+    day = F.col(date_col).cast("string")
+    no_day = F.raise_error(F.lit(f"a row without {date_col} has no dated file"))
     out = df.select(*[F.col(c).cast("string").alias(c) for c in data_cols],
-                    F.coalesce(F.col(date_col).cast("string"), F.lit("")).alias("__day"),
+                    F.when(day.isNull(), no_day).otherwise(day).alias("__day"),
                     F.coalesce(F.col(folder_col).cast("string") if folder_col else F.lit(""),
-                               F.lit("")).alias("__dir"))
+                               F.lit("")).alias("__dir")).sortWithinPartitions("__dir", "__day")
     base = root.rstrip("/")
 
     def write_task(batches):
@@ -113,29 +141,37 @@ def write_dated_csv(df: DataFrame, root: str, date_col: str,
         task, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, rootpath = pafs.FileSystem.from_uri(base) if "://" in base else (
             pafs.LocalFileSystem(), base.removeprefix("file:"))
-        open_files: dict[tuple[str, str], list] = {}
+        paths, counts = [], []
+        key_open, entry = None, None  # rows come sorted: one file is open at a time
+
+        def finish() -> None:
+            writer, stream, tmp, final, rows = entry
+            writer.close()
+            stream.close()
+            fs.move(tmp, final)
+            paths.append(final)
+            counts.append(rows)
 
         def append(folder: str, day: str, part) -> None:
-            entry = open_files.get((folder, day))
-            if entry is None:
+            nonlocal key_open, entry
+            if key_open != (folder, day):
+                if entry:
+                    finish()
                 name = f"{prefix}-{task:05d}-{day}.csv"
                 directory = f"{rootpath}/{folder}".rstrip("/")
                 fs.create_dir(directory, recursive=True)
                 tmp = f"{directory}/.{name}.{attempt}.tmp"
                 stream = fs.open_output_stream(tmp)
-                entry = [pacsv.CSVWriter(stream, part.schema), stream, tmp,
-                         f"{directory}/{name}", 0]
-                open_files[(folder, day)] = entry
+                entry = [pacsv.CSVWriter(stream, part.schema), stream, tmp, f"{directory}/{name}", 0]
+                key_open = (folder, day)
             entry[0].write_table(part)
             entry[4] += part.num_rows
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            # one sort, then a zero-copy slice per (folder, day) run
+            # a zero-copy slice per (folder, day) run
             table = pa.Table.from_batches([batch])
-            table = table.take(pc.sort_indices(
-                table, sort_keys=[("__dir", "ascending"), ("__day", "ascending")]))
             keys = pc.binary_join_element_wise(table["__dir"], table["__day"], "\x00")
             runs = pc.run_end_encode(keys.combine_chunks())
             start = 0
@@ -144,13 +180,8 @@ def write_dated_csv(df: DataFrame, root: str, date_col: str,
                 append(folder, day, table.slice(start, end - start).select(data_cols))
                 start = end
 
-        paths, counts = [], []
-        for writer, stream, tmp, final, rows in open_files.values():
-            writer.close()
-            stream.close()
-            fs.move(tmp, final)
-            paths.append(final)
-            counts.append(rows)
+        if entry:
+            finish()
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()),
                                           pa.array(counts, pa.int64())],
                                          names=["path", "rows"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -11,10 +12,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         sc = spark.sparkContext
         jvm = sc._jvm
-    except Exception:  # Spark Connect: no JVM gateway; local paths only
-        import os
-        from daylake.session import local_path
-        return os.path.exists(local_path(path))
+    except (PySparkException, AttributeError):  # Spark Connect has no gateway: ask a reader
+        try:
+            spark.read.option("recursiveFileLookup", "true").text(path).schema
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
@@ -37,10 +42,6 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def table_columns(spark: SparkSession, name: str) -> list[str]:
-    return spark.table(name).columns
-
-
 def read_snapshot(spark: SparkSession, path: str,
                   schema: StructType | str | None = None) -> DataFrame:
     """Read a partitioned parquet folder by path.

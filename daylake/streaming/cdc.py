@@ -2,67 +2,67 @@
 
 ``readStream`` over ``cdc-load/`` (CSV, ``*.csv``, recursive) feeds
 ``foreachBatch``; every micro-batch goes through the same steps as the
-batch job: name-date filter, typed mapping, lineage, staging, latest row
-per key, partition-scoped upsert. The file source records which files it
-has read in the checkpoint, and replaying a batch is harmless because the
-upsert is idempotent (upserting the same rows twice equals once), so the
-table sees each file once even across restarts.
+batch job: typed mapping, lineage, staging, latest row per key,
+partition-scoped upsert. The file source records which files it has read in
+the checkpoint. A batch that runs again replaces what it wrote: keyed rows by
+their key, NULL-key rows by their file.
+
+The table must exist: its first load reads ``full-load/`` with the batch job.
+A row of an older file never replaces one of a newer file, so neither the
+order in which files arrive nor ``max_files_per_trigger`` changes the result.
+Every dated file is loaded, whatever its date.
 
 ``trigger(availableNow=True)`` (the default here) reads everything new and
 stops, which is how a scheduled job uses it; pass ``processing_time`` for a
-long-running stream.
+long-running stream. ``on_report`` gets each batch's run report.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from daylake.functions.dates import to_compact
 from daylake.functions.lineage import name_date
 from daylake.functions.mapping import raw_schema
-from daylake.operators.dedup import latest_per_key
 from daylake.plans.datasets import Dataset
-from daylake.plans.jobs import CDC_LOAD, conform
-from daylake.plans.publish import stage, upsert_table, write_table
-from daylake.session import run_folder
-from daylake.sources.landing import CSV_OPTIONS
+from daylake.plans.jobs import CDC_LOAD, load_bronze
+from daylake.plans.report import run_report
+from daylake.session import remove_folder, run_folder
+from daylake.sources.landing import CORRUPT, CSV_OPTIONS
 from daylake.sources.tables import table_exists
 
 
 def stream_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
-                     checkpoint: str, start: str | None = None, final: str | None = None,
-                     max_files_per_trigger: int | None = None,
-                     processing_time: str | None = None) -> StreamingQuery:
+                     checkpoint: str, max_files_per_trigger: int | None = None,
+                     processing_time: str | None = None,
+                     on_report: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+    if not table_exists(spark, table):
+        raise ValueError(f"{table} does not exist: run its first load (full-load/) before the stream")
     source = f"{landing_root.rstrip('/')}/{CDC_LOAD}"
-    reader = (spark.readStream.schema(raw_schema(ds.raw_columns)).options(**CSV_OPTIONS)
-              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
+    schema = StructType([*raw_schema(ds.raw_columns).fields, StructField(CORRUPT, StringType(), True)])
+    reader = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
+              .option("columnNameOfCorruptRecord", CORRUPT)
+              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+              .options(**ds.csv_options))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = reader.csv(source)
     ymd = name_date(F.col("_metadata.file_name"))
-    cond = ymd != F.lit("")
-    if start:
-        cond = cond & (ymd >= F.lit(to_compact(start)))
-    if final:
-        cond = cond & (ymd <= F.lit(to_compact(final)))
-    rows = rows.where(cond).select(*ds.raw_columns,
-                                   F.col("_metadata.file_path").alias("file_name"),
-                                   ymd.alias("year_month_day"))
+    rows = reader.csv(source).where(ymd != F.lit("")).select(
+        *ds.raw_columns, CORRUPT, F.col("_metadata.file_path").alias("file_name"), ymd.alias("year_month_day"))
 
     def load_batch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         work = run_folder(session, f"stream-{epoch}")
-        typed = stage(conform(batch, ds), f"{work}/typed")
-        latest = latest_per_key(typed, ds.keys, ds.order_by)
-        if not table_exists(session, table):
-            write_table(latest, table, ds.partitions, table_format=ds.table_format)
-        else:
-            staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions)
-            upsert_table(session, table, staged, ds.keys, source_unique=True)
+        counts = load_bronze(session, ds, batch, table, work, newest_wins=True)
+        remove_folder(session, work)
         # the stream runs in a cloned session: drop the caller's cached listing
         spark.catalog.refreshTable(table)
+        if on_report:
+            on_report(run_report(spark, stage="stream", source=source, target=table, **counts))
 
     writer = (rows.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint))

@@ -22,7 +22,7 @@ from daylake.operators.upsert import unmatched  # noqa: E402
 from daylake.plans import queries as Q  # noqa: E402
 from daylake.plans.datasets import EVENTS  # noqa: E402
 from daylake.plans.jobs import conform, earliest_day, raw_to_bronze  # noqa: E402
-from daylake.plans.publish import _key_side, plan_upsert, stage, stats_frame  # noqa: E402
+from daylake.plans.publish import key_frame, plan_upsert, stage, stats_frame  # noqa: E402
 from daylake.session import conf_override, get_session, run_folder  # noqa: E402
 from daylake.sources.landing import scan_dated  # noqa: E402
 
@@ -43,10 +43,13 @@ NOTES = {
                             "check (shown with AQE and auto-broadcast off, i.e. the plan a "
                             "large source gets): a sort-merge left join whose target side "
                             "shuffles only the key and partition columns (ReadSchema); "
-                            "rows with a NULL key carry a salt in the join keys.",
+                            "rows with a NULL key go past the join.",
     "upsert_rewrite": "Rewrite of the touched partitions only: `PartitionFilters` on the "
                       "target scan, broadcast anti join, union with the staged source. No "
                       "shuffle of the target.",
+    "upsert_rewrite_shuffle": "The rewrite when the source keys fail the broadcast check and the "
+                              "target holds many of them: a sort-merge anti join, then a "
+                              "REBALANCE on the partition columns, so files per day stay few.",
     "gold_day": "Gold source: one bronze day by literal partition predicates "
                 "(`PartitionFilters`), one partition read.",
     "first_day_join": "J1 on a plain frame: one-row min broadcast (size fixed at one row).",
@@ -134,13 +137,16 @@ def main():
     src = stage(day_filter(frames["latest_per_key"], ["20240130", "20240129"]),
                 f"{run_folder(spark, 'explain')}/src")
     target = spark.table(bronze)
-    key_side, _, salt = _key_side(src, EVENTS.keys, True, True)
-    frames["upsert_stats"] = stats_frame(target, key_side, EVENTS.keys, EVENTS.partitions, salt)
-    key_side, _, salt = _key_side(src, EVENTS.keys, False, True)
-    frames["upsert_stats_shuffle"] = stats_frame(target, key_side, EVENTS.keys,
-                                                 EVENTS.partitions, salt)
-    plan = plan_upsert(spark, bronze, src, EVENTS.keys)
-    frames["upsert_rewrite"] = plan.rewrite
+    replayed = src.where("user_id is null").select("file_name").distinct()
+    for label, small in (("upsert_stats", True), ("upsert_stats_shuffle", False)):
+        frames[label] = stats_frame(target, key_frame(src, EVENTS.keys, small, True), EVENTS.keys,
+                                    EVENTS.partitions, replayed)
+    as_run = dict(source_unique=True, replay_by=["file_name"])
+    frames["upsert_rewrite"] = plan_upsert(spark, bronze, src, EVENTS.keys, **as_run).rewrite
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_upsert(spark, bronze, src, EVENTS.keys, broadcast_rows=0, **as_run)
+        plan.rewrite._jdf.queryExecution().executedPlan()
+        frames["upsert_rewrite_shuffle"] = plan.rewrite
     frames["gold_day"] = day_filter(spark.table(bronze), [earliest_day(spark, bronze)])
     frames["first_day_join"] = rows_at_earliest(typed, "year_month_day")
     frames["aggregate_by_name"] = aggregate_by_name(

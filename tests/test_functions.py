@@ -12,11 +12,12 @@ TODAY = dt.date(2024, 2, 4)
 
 
 def test_window_defaults_and_cron():  # F5, S1 defaults
-    assert resolve_window(None, None, today=TODAY) == ("2001-01-01", "2099-12-31")
+    assert resolve_window(None, None, today=TODAY) == (None, None)
+    assert resolve_window(None, "cron", today=TODAY) == (None, "2024-02-03")
     assert resolve_window("cron", "cron", today=TODAY) == ("2024-02-03", "2024-02-03")
     assert resolve_window("2024-02-01", "cron", today=TODAY) == ("2024-02-01", "2024-02-01")
     assert resolve_window("cron", "2024-02-10", today=TODAY) == ("2024-02-03", "2024-02-10")
-    assert resolve_window("x", "y", reprocess_all=True, today=TODAY) == ("2001-01-01", "2024-02-04")
+    assert resolve_window("x", "y", reprocess_all=True, today=TODAY) == (None, "2024-02-04")
 
 
 def test_window_accepts_both_forms_strictly():  # F6, D11

@@ -29,7 +29,9 @@ def test_policy_chain(spark, policy_landing, lake):  # S4, K1, K2, D4, D5, D9, D
     r2 = raw_to_bronze(spark, POLICY, policy_landing, bronze, "2024-02-02", "cron", today=TODAY)
     row = r2.first()
     assert (row["load_kind"], row["qtty_before"], row["qtty_source"], row["qtty_after"]) == ("upsert", 2, 5, 4)
-    assert row["null_keys"] == 1 and row["bad_values"] == 3  # x, 02/03/2024, abc
+    # keys "x" and "": both NULL before the dedup; bad: x, 02/03/2024, abc
+    assert row["null_keys"] == 2 and row["bad_values"] == 3 and row["corrupt_lines"] == 0
+    assert row["rows_dropped"] == 2 and (row["files_outside"], row["files_undated"]) == (1, 1)
     # day 01 (policy 1 matched) and day 02 (new rows) rewritten, none dropped
     assert (row["partitions_rewritten"], row["partitions_dropped"], row["keys_broadcast"]) == (2, 0, True)
     assert _bronze(spark, bronze) == {1: (101.5, "20240202"), 2: (200.0, "20240201"),
@@ -43,8 +45,9 @@ def test_policy_chain(spark, policy_landing, lake):  # S4, K1, K2, D4, D5, D9, D
     assert earliest_day(spark, bronze) == "20240202"
 
     gold = f"{lake}.policy_prod"
-    g1 = bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)
+    g1 = bronze_to_gold(spark, POLICY, bronze, gold, initial="first", today=TODAY)
     assert _report(g1) == ("first", 0, 2, 2)  # earliest day only (D3, D17)
+    assert g1.first()["null_keys"] == 1 and g1.first()["rows_unpublished"] == 2
     assert "earth_quake" not in spark.table(gold).columns
     assert len(spark.table(gold).columns) == 13
     g2 = bronze_to_gold(spark, POLICY, bronze, gold, day="cron", today=TODAY)
@@ -57,7 +60,7 @@ def test_policy_chain(spark, policy_landing, lake):  # S4, K1, K2, D4, D5, D9, D
     assert spark.table(gold).count() == 4
 
 
-def test_older_file_later_wins_and_null_keys_accumulate(spark, tmp_path, lake):  # D13, D14
+def test_older_file_later_wins_and_a_replay_adds_nothing(spark, tmp_path, lake):  # D13, D14
     root = str(tmp_path / "land2")
     files = {"full-load/policy_20240203.csv": FILES["cdc-load/policy_20240203.csv"],
              "cdc-load/policy_20240202.csv": FILES["cdc-load/policy_20240202.csv"]}
@@ -67,8 +70,16 @@ def test_older_file_later_wins_and_null_keys_accumulate(spark, tmp_path, lake):
     raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
     assert _bronze(spark, bronze)[1] == (101.5, "20240202")
     raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
-    nulls = spark.table(bronze).where("policy_id is null").count()
-    assert nulls == 2
+    # the same file again: its NULL-key row is replaced, not added once more
+    assert spark.table(bronze).where("policy_id is null").count() == 1
+    gold = f"{lake}.g2"
+    for _ in range(3):
+        bronze_to_gold(spark, POLICY, bronze, gold, day="all", today=TODAY)
+        assert spark.table(gold).where("policy_id is null").count() == 1
+    # another file's NULL-key row stays beside it
+    write_files(root, {"cdc-load/policy_20240205.csv": ["I,,2024-01-01,Rural,TX,South,6,Farm,N,N"]})
+    raw_to_bronze(spark, POLICY, root, bronze, today=TODAY)
+    assert spark.table(bronze).where("policy_id is null").count() == 2
 
 
 def test_empty_window_changes_nothing(spark, policy_landing, lake):  # R2
@@ -87,7 +98,7 @@ def test_gold_list_of_days_and_initial_all(spark, policy_landing, lake):  # D18,
     r = bronze_to_gold(spark, POLICY, bronze, gold_all, initial="all", today=TODAY)
     assert _report(r) == ("first", 0, 4, 4)
     gold = f"{lake}.g_days"
-    bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)  # earliest: 20240201
+    bronze_to_gold(spark, POLICY, bronze, gold, initial="first", today=TODAY)  # earliest: 20240201
     assert sorted(r["policy_id"] for r in spark.table(gold).collect()) == [2]
     r = bronze_to_gold(spark, POLICY, bronze, gold, day=["20240201", "20240202"], today=TODAY)
     assert _report(r)[0] == "upsert" and spark.table(gold).count() == 4
@@ -97,7 +108,7 @@ def test_run_stages_for_one_day(spark, policy_landing, lake):  # the chained job
     from daylake.plans.jobs import run_stages
     bronze, gold = f"{lake}.rb", f"{lake}.rg"
     raw_to_bronze(spark, POLICY, policy_landing, bronze, today=TODAY)
-    bronze_to_gold(spark, POLICY, bronze, gold, today=TODAY)
+    bronze_to_gold(spark, POLICY, bronze, gold, initial="first", today=TODAY)
     reports = run_stages(spark, POLICY, policy_landing, bronze, gold, "20240203", today=TODAY)
     kinds = [(r["stage"], r["load_kind"]) for r in reports.collect()]
     assert kinds == [("bronze", "upsert"), ("gold", "upsert")]

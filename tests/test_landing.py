@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daylake.functions.mapping import RAW_POLICY, raw_schema
-from daylake.sources.landing import read_csv, scan_dated, write_dated_csv
+from daylake.sources.landing import RFC4180, file_counts, read_csv, scan_dated, write_dated_csv
 from tests.conftest import write_files
 
 SCHEMA = raw_schema(RAW_POLICY)
@@ -36,10 +36,36 @@ def test_window_prunes_files(spark, policy_landing):  # S1 on _metadata
     df.collect()
 
 
-def test_missing_root_is_empty(spark, tmp_path):  # R2 / S1 empty prefix
-    df = scan_dated(spark, str(tmp_path / "nothing"), SCHEMA)
+def test_missing_root_raises_and_an_empty_one_is_empty(spark, tmp_path, policy_landing):  # R2 / S1
+    (tmp_path / "empty").mkdir()
+    df = scan_dated(spark, str(tmp_path / "empty"), SCHEMA)
     assert df.count() == 0
-    assert df.columns == RAW_POLICY + ["file_name", "year_month_day"]
+    assert df.columns == RAW_POLICY + ["_corrupt_line", "file_name", "year_month_day"]
+    with pytest.raises(FileNotFoundError, match="nothing"):
+        scan_dated(spark, [f"{policy_landing}/cdc-load", str(tmp_path / "nothing")], SCHEMA)
+
+
+def test_files_and_lines_left_out_are_counted(spark, tmp_path, policy_landing):
+    cdc = f"{policy_landing}/cdc-load"
+    assert file_counts(spark, cdc, "20240203") == {"files_read": 1, "files_outside": 1, "files_undated": 1}
+    assert file_counts(spark, cdc) == {"files_read": 2, "files_outside": 0, "files_undated": 1}
+    with open(f"{cdc}/policy_20001231.csv", "w") as fh:  # long ago, still in an open window
+        fh.write(",".join(RAW_POLICY) + "\nI,7,2024-12-31,Urban\nI,8,2024-12-31,Urban,NY,East,1,Retail,N,N\n")
+    df = scan_dated(spark, cdc, SCHEMA, final="2001-01-01")
+    assert [r["_corrupt_line"] is None for r in sorted(df.collect(), key=lambda r: r["policy_id"])] == [False, True]
+
+
+def test_rows_without_a_day_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "20240101"), (2, None)], "id long, d string")
+    with pytest.raises(Exception, match="row without d"):
+        write_dated_csv(rows, str(tmp_path / "x"), "d").collect()
+
+
+def test_default_quoting_is_the_backslash(spark, tmp_path):
+    path = tmp_path / "q"
+    path.mkdir()
+    (path / "a_20240101.csv").write_text('id,v\n1,"x\\"y"\n')
+    assert scan_dated(spark, str(path), raw_schema(["id", "v"])).first()["v"] == 'x"y'
 
 
 def test_lineage_is_file_path(spark, policy_landing):  # P3, P4
@@ -72,7 +98,7 @@ def test_write_dated_csv_roundtrip(spark, tmp_path):
     files = write_dated_csv(df, root, "d", "folder", prefix="t").collect()
     assert sum(r["rows"] for r in files) == 4
     assert all(os.path.basename(r["path"])[-12:-4] in ("20240101", "20240102") for r in files)
-    back = scan_dated(spark, root, raw_schema(["id", "props"])).orderBy(F.col("id").cast("int"))
+    back = scan_dated(spark, root, raw_schema(["id", "props"]), options=RFC4180).orderBy(F.col("id").cast("int"))
     got = [(r["id"], r["props"], r["year_month_day"]) for r in back.collect()]
     assert got == [("1", '{"k": "a,b"}', "20240101"), ("2", None, "20240101"),
                    ("3", 'say "hi"', "20240102"), ("4", "x", "20240102")]

@@ -1,0 +1,170 @@
+"""Cases that once lost rows or miscounted them."""
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from daylake.operators.dedup import latest_per_key
+from daylake.operators.upsert import unmatched
+from daylake.plans import publish
+from daylake.plans.datasets import POLICY
+from daylake.plans.jobs import bronze_to_gold, raw_to_bronze
+from daylake.plans.publish import register_external, upsert_partitions, write_table
+from daylake.session import conf_override, workspace
+from daylake.streaming import stream_to_bronze
+from tests.conftest import HEADER, write_files
+
+TODAY = dt.date(2024, 2, 10)
+SCHEMA = "k long, v string, year string, month string, day string"
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date", "boolean", "double", "decimal(10,2)"])
+def test_upsert_over_many_typed_partitions(spark, lake, kind):
+    table = f"{lake}.typed"
+    n = F.col("id") % 100
+    last = {"string": F.concat(F.lit("a b/"), n.cast("string")), "int": n.cast("int"),
+            "date": F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int")), "boolean": n % 2 == 0,
+            "double": n / 7, "decimal(10,2)": (n / 4).cast("decimal(10,2)")}[kind]
+    rows = spark.range(400).select(F.col("id").alias("k"), F.lit("old").alias("v"),
+                                   (n % 50).cast("string").alias("p"), last.alias("q"))
+    write_table(rows, table, ["p", "q"])
+    src = rows.where("k < 80").withColumn("v", F.lit("new")).unionAll(
+        spark.range(1).select(F.lit(1000).cast("long"), F.lit("new"), F.lit("0"), F.lit(None).cast(kind)))
+    stats = upsert_partitions(spark, table, src, ["k"])
+    got = {r.k: r.v for r in spark.table(table).collect()}
+    assert got == {k: "new" if k < 80 else "old" for k in range(400)} | {1000: "new"}
+    assert stats.rows_after == 401 == spark.table(table).count() and len(stats.partitions_rewritten) > 32
+    upsert_partitions(spark, table, src, ["k"], broadcast_rows=0)
+    assert {r.k: r.v for r in spark.table(table).collect()} == got
+
+
+def test_a_null_partition_left_empty_is_dropped(spark, lake):
+    table = f"{lake}.nulls"
+    write_table(spark.createDataFrame([(1, "a", "2024", "02", None), (2, "b", "2024", "02", "01")], SCHEMA),
+                table, ["year", "month", "day"])
+    stats = upsert_partitions(spark, table, spark.createDataFrame([(1, "A", "2024", "02", "02")], SCHEMA), ["k"])
+    assert sorted((r.k, r.v, r.day) for r in spark.table(table).collect()) == [(1, "A", "02"), (2, "b", "01")]
+    assert stats.rows_after == 2 and stats.partitions_dropped == [("2024", "02", None)]
+
+
+@pytest.mark.parametrize("crash_at", [0, 1, 2])
+def test_a_crash_between_the_switches_loses_nothing(spark, lake, monkeypatch, crash_at):
+    table = f"{lake}.crash"
+    write_table(spark.createDataFrame([(k, "old", "2024", "02", f"{k % 4:02d}") for k in range(12)], SCHEMA),
+                table, ["year", "month", "day"])
+    src = spark.createDataFrame([(k, "new", "2024", "02", "09") for k in (0, 1, 2, 3, 4, 8)], SCHEMA)
+    done, real = [], type(spark).sql
+
+    def failing(self, text, *args, **kw):
+        if text.startswith("ALTER TABLE"):
+            if len(done) == crash_at:
+                raise RuntimeError("lost the driver")
+            done.append(text)
+        return real(self, text, *args, **kw)
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        upsert_partitions(spark, table, src, ["k"])
+    monkeypatch.undo()
+    spark.catalog.refreshTable(table)
+    assert {r.k for r in spark.table(table).collect()} == set(range(12))  # none lost
+    upsert_partitions(spark, table, src, ["k"])
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == \
+        [(k, "new" if k in (0, 1, 2, 3, 4, 8) else "old") for k in range(12)]
+
+
+def test_sort_merge_upsert_writes_few_files_per_day(spark, lake):
+    table = f"{lake}.files"
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit("2024").alias("year"),
+                                    F.lit("01").alias("month"), F.format_string("%02d", F.col("id") % 20 + 1).alias("day"))
+    write_table(rows, table, ["year", "month", "day"])
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}):
+        plan = publish.plan_upsert(spark, table, rows.where("k % 3 = 0"), ["k"], broadcast_rows=0)
+        assert not plan.stats.broadcast and not plan.stats.rewrite_broadcast
+        assert "SortMergeJoin" in plan.rewrite._jdf.queryExecution().executedPlan().toString()
+        publish.apply_upsert(spark, plan)
+        files = len(spark.table(table).inputFiles())
+        few = publish.plan_upsert(spark, table, rows.where("k < 900 or k >= 3990"), ["k"], broadcast_rows=950)
+        assert few.stats.broadcast or few.stats.rewrite_broadcast
+    assert files <= 40 and spark.table(table).count() == 4000
+
+
+def test_null_keys_go_past_the_join(spark):
+    target = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    got = unmatched(target, spark.createDataFrame([(0,), (2,), (None,)], "k long"), ["k"])
+    assert got.count() == 98 and got.where("k is null").count() == 50
+
+
+def test_new_columns_reach_the_table_and_missing_ones_raise(spark, lake):
+    table = f"{lake}.grown"
+    write_table(spark.createDataFrame([(1, "a", "2024", "02", "01"), (2, "b", "2024", "02", "01")], SCHEMA),
+                table, ["year", "month", "day"])
+    src = spark.createDataFrame([(1, "A", 5, "2024", "02", "01")], SCHEMA.replace("year", "extra int, year"))
+    upsert_partitions(spark, table, src, ["k"])
+    assert sorted((r.k, r.v, r.extra) for r in spark.table(table).collect()) == [(1, "A", 5), (2, "b", None)]
+    with pytest.raises(ValueError, match="extra"):
+        upsert_partitions(spark, table, src.drop("extra"), ["k"])
+
+
+def test_register_without_a_column_list(spark, lake, tmp_path):
+    path = str(tmp_path / "it's files")
+    spark.createDataFrame([(1, "x", "01"), (2, None, "02")], "k long, v string, day string").write.partitionBy("day").parquet(path)
+    register_external(spark, f"{lake}.found", None, path, ["day"])
+    assert sorted(map(tuple, spark.table(f"{lake}.found").collect())) == [(1, "x", "01"), (2, None, "02")]
+    with pytest.raises(ValueError, match="hour"):
+        register_external(spark, f"{lake}.not", None, path, ["hour"])
+
+
+def test_ties_in_arrays_structs_and_maps_have_one_winner(spark):
+    rows = [(1, "d", [k % 3, k], (k % 2, str(k)), {"a": k, "b": 1}, [{"m": k}]) for k in range(12)]
+    df = spark.createDataFrame(rows, "k int, d string, a array<int>, s struct<x:int,y:string>, m map<string,int>, n array<map<string,int>>")
+    for drop in ([], ["a"], ["a", "s"], ["a", "s", "m"]):
+        part = df.drop(*drop)
+        seen = {str(latest_per_key(part.repartition(n), ["k"], ["d desc"]).first()) for n in (1, 2, 3, 5, 7)}
+        assert len(seen) == 1
+
+
+def test_the_stream_needs_its_table_and_keeps_the_newest(spark, tmp_path, lake):
+    line = "U,{0},2024-12-31,Urban,NY,East,{1},Retail,N,N"
+    root = str(tmp_path / "land")
+    write_files(root, {"full-load/p_20240201.csv": [line.format(1, 1), line.format(2, 1)],
+                       "cdc-load/p_20240203.csv": [line.format(1, 3), "U,,2024-12-31,Urban,NY,East,9,Retail,N,N"],
+                       "cdc-load/p_20240202.csv": [line.format(1, 2), line.format(2, 2)]})
+    os.utime(f"{root}/cdc-load/p_20240203.csv", (1, 1))  # the newer date arrives first
+    with pytest.raises(ValueError, match="first load"):
+        stream_to_bronze(spark, POLICY, root, f"{lake}.s", str(tmp_path / "c0"))
+    got, reports = [], []
+    for n, limit in enumerate((None, 1)):
+        table = f"{lake}.s{n}"
+        raw_to_bronze(spark, POLICY, root, table, today=TODAY)
+        for again in range(2):  # a second run from a lost checkpoint replays all batches
+            stream_to_bronze(spark, POLICY, root, table, str(tmp_path / f"c{n}{again}"), max_files_per_trigger=limit,
+                             on_report=lambda r: reports.append(r.first())).awaitTermination(300)
+        got.append(sorted((r.policy_id or -1, r.insured_value, r.year_month_day) for r in spark.table(table).collect()))
+    assert got[0] == got[1] == [(-1, 9.0, "20240203"), (1, 3.0, "20240203"), (2, 2.0, "20240202")]
+    assert sum(r.null_keys for r in reports) == 4 and all(r.stage == "stream" for r in reports)
+
+
+def test_gold_counts_are_observed(spark, tmp_path, lake):
+    root = str(tmp_path / "land")
+    write_files(root, {"full-load/p_20240201.csv": ["I,,2024-12-31,Urban,NY,East,1,Retail,N,N", "I,,x,Urban,NY,East,1,Retail,N,N",
+                                                    "I,4,2024-12-31,Urban,NY,East,1,Retail,N,N"]})
+    bronze, gold = f"{lake}.b", f"{lake}.g"
+    r = raw_to_bronze(spark, POLICY, root, bronze, today=TODAY).first()
+    assert (r.null_keys, r.rows_dropped, r.qtty_source, r.qtty_after) == (2, 1, 3, 2)
+    for day in (None, "all", "20240201"):
+        r = bronze_to_gold(spark, POLICY, bronze, gold, day=day, today=TODAY).first()
+        assert (r.null_keys, r.bad_values, r.qtty_source, r.qtty_after, r.rows_unpublished) == (1, 0, 2, 2, 0)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace(Session)
+    assert HEADER and workspace(spark)
