@@ -3,4 +3,4 @@
 CREATE DATABASE IF NOT EXISTS {database}
 COMMENT 'Policy tables: bronze (typed, latest row per policy)'
 LOCATION '{location}'
-WITH DBPROPERTIES ('data_owner' = 'lake-admin', 'description' = 'Data lake admin');
+WITH DBPROPERTIES ('data_owner' = 'policy data team', 'description' = 'one row per policy, by day');
