@@ -142,11 +142,11 @@ def main():
         frames[label] = stats_frame(target, key_frame(src, EVENTS.keys, small, True), EVENTS.keys,
                                     EVENTS.partitions, replayed)
     as_run = dict(source_unique=True, replay_by=["file_name"])
-    frames["upsert_rewrite"] = plan_upsert(spark, bronze, src, EVENTS.keys, **as_run).rewrite
+    plan = plan_upsert(spark, bronze, src, EVENTS.keys, **as_run)
+    frames["upsert_rewrite"] = plan.rewrite
     with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_upsert(spark, bronze, src, EVENTS.keys, broadcast_rows=0, **as_run)
-        plan.rewrite._jdf.queryExecution().executedPlan()
-        frames["upsert_rewrite_shuffle"] = plan.rewrite
+        frames["upsert_rewrite_shuffle"] = plan_upsert(spark, bronze, src, EVENTS.keys,
+                                                       broadcast_rows=0, **as_run).rewrite
     frames["gold_day"] = day_filter(spark.table(bronze), [earliest_day(spark, bronze)])
     frames["first_day_join"] = rows_at_earliest(typed, "year_month_day")
     frames["aggregate_by_name"] = aggregate_by_name(
@@ -164,8 +164,11 @@ def main():
     static = {"spark.sql.adaptive.enabled": "false",
               "spark.sql.autoBroadcastJoinThreshold": "-1"}
     for name, df in frames.items():
-        if name == "upsert_stats_shuffle":
-            with conf_override(spark, static):
+        if name.endswith("_shuffle"):  # the rewrite needs AQE for its REBALANCE
+            settings = static if name == "upsert_stats_shuffle" else {
+                "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+            with conf_override(spark, settings):
                 p = final_plan(df)
         else:
             p = final_plan(df)
