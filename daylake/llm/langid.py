@@ -138,25 +138,28 @@ def _count_sample(sample: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total: dict[int, np.ndarray] = {}
-            for part, owner, starts in pieces(_lower(batch.column(1)), _CODES, _SPACE, GRAMS):
+            for part, owner, starts in pieces(_lower(batch.column(2)), _CODES, _SPACE, GRAMS):
                 for s in range(0, len(starts), 64):
                     few = starts[s:s + 64]
                     end = starts[s + 64] if s + 64 < len(starts) else len(part)
                     for who, row in zip(owner[s:s + 64], gram_counts(part[few[0]:end], few - few[0], GRAMS, BITS)):
                         total[who] = total[who] + row if who in total else row
-            labels = batch.column(0).to_pylist()
+            ids, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at = [np.flatnonzero(row) for row in total.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([labels[k] for k in total], pa.string()), pa.array(at, pa.list_(pa.int32())),
-                 pa.array([row[i] for row, i in zip(total.values(), at)], pa.list_(pa.float32()))],
-                names=["lang", "at", "n"])
-
-    rows = sample.mapInArrow(run, "lang string, at array<int>, n array<float>").collect()
-    rows.sort(key=lambda r: (r.lang, len(r.at), r.at[:64], r.n[:64]))
+                [pa.array([ids[k] for k in total], pa.int64()), pa.array([labels[k] for k in total], pa.string()),
+                 pa.array([i.astype("<i4").tobytes() for i in at], pa.binary()),
+                 pa.array([row[i].astype("<f4").tobytes() for row, i in zip(total.values(), at)], pa.binary())],
+                names=["id", "lang", "at", "n"])
+
+    # one row per id and language, so that repeated rows do not lengthen the sample
+    rows = [r.row for r in sample.mapInArrow(run, "id long, lang string, at binary, n binary")
+            .groupBy("id", "lang").agg(F.min(F.struct("lang", "at", "n")).alias("row")).collect()]
+    rows.sort(key=lambda r: (r.lang, r.at, r.n))
     languages = sorted({r.lang for r in rows})
     counts = np.zeros((len(rows), 1 << BITS), np.float32)
     for k, r in enumerate(rows):
-        counts[k, r.at] = r.n
+        counts[k, np.frombuffer(r.at, "<i4")] = np.frombuffer(r.n, "<f4")
     return languages, counts, np.array([languages.index(r.lang) for r in rows], int)
 
 
@@ -169,7 +172,8 @@ def train(docs: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     drawn = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("id")
     sample = pool.join(F.broadcast(drawn.distinct()), F.col(doc_id) == F.col("id"), "left_semi")
-    return Model(*_count_sample(sample.select(F.col(lang).alias("lang"), F.col(text).alias("text"))))
+    return Model(*_count_sample(sample.select(F.col(doc_id).cast("long").alias("id"), F.col(lang).alias("lang"),
+                                              F.col(text).alias("text"))))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:

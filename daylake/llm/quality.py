@@ -31,11 +31,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from daylake.llm.features import gram_counts, pieces
 
-BITS = 12
+BITS = 11
 SHAPE_GRAMS, BYTE_GRAMS = (1, 2, 3, 4), (3,)
 EXTRA, EXTRA_WEIGHT = 3, 0.7  # shares of repeated words, beside n-grams of length 1
 WIDTH = 2 * (1 << BITS) + EXTRA
-SAMPLE, AXES, NEIGHBOURS = 2500, 32, 25
+SAMPLE, AXES, NEIGHBOURS = 2000, 32, 25
 BLOCK = 1024
 
 
@@ -89,8 +89,13 @@ class Model:
         self.vectors = _unit(x @ self.axes)
 
     def _weigh(self, counts: np.ndarray) -> np.ndarray:
-        grams = _unit(np.log1p(counts[:, :-EXTRA]) * self.idf[:-EXTRA])
-        return _unit(np.hstack((grams, EXTRA_WEIGHT * counts[:, -EXTRA:])))
+        out = np.empty_like(counts)
+        grams = np.log1p(counts[:, :-EXTRA], out=out[:, :-EXTRA])
+        grams *= self.idf[:-EXTRA]
+        grams /= _norm(grams)
+        np.multiply(counts[:, -EXTRA:], EXTRA_WEIGHT, out=out[:, -EXTRA:])
+        out /= _norm(out)
+        return out
 
     def score(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
         out = np.full(len(counts), self.prior)
@@ -105,9 +110,13 @@ class Model:
         return out
 
 
+def _norm(x: np.ndarray) -> np.ndarray:
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return np.where(norm > 0, norm, 1).astype(x.dtype)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    return x / np.where(norm > 0, norm, 1)
+    return x / _norm(x)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
@@ -126,17 +135,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc
                 where = [np.flatnonzero(row) for row in counts]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at[0], len(at)), batch.column(1).slice(at[0], len(at)),
-                     pa.array(where, pa.list_(pa.int32())),
-                     pa.array([row[i] for row, i in zip(counts, where)], pa.list_(pa.float32()))],
+                     pa.array([i.astype("<i4").tobytes() for i in where], pa.binary()),
+                     pa.array([row[i].astype("<f4").tobytes() for row, i in zip(counts, where)], pa.binary())],
                     names=["id", "label", "at", "n"])
 
     # one sparse row per sampled document; documents that repeat an id do not
     # lengthen the sample
-    got = (rows.mapInArrow(run, "id long, label double, at array<int>, n array<float>")
-           .dropDuplicates(["id", "label"]).orderBy("id", "label").collect())
+    got = sorted((r.row for r in rows.mapInArrow(run, "id long, label double, at binary, n binary")
+                  .groupBy("id", "label").agg(F.min(F.struct("id", "label", "at", "n")).alias("row")).collect()),
+                 key=lambda r: (r.id, r.label))
     counts = np.zeros((len(got), WIDTH), np.float32)
     for k, r in enumerate(got):
-        counts[k, r.at] = r.n
+        counts[k, np.frombuffer(r.at, "<i4")] = np.frombuffer(r.n, "<f4")
     return Model(counts, np.array([r.label for r in got]))
 
 
