@@ -37,6 +37,14 @@ def test_unmarked_article_by_line_blocks():
     assert html_extract.main_text(far).startswith("word") and html_extract.main_text(far).count("\n") == 4
 
 
+def test_names_that_only_mention_furniture():
+    text = "<p>Real <button>Share</button>text <span class='hidden'>no</span>here.</p><p>And more of it.</p>"
+    want = "Real text here.\nAnd more of it."
+    for wrap in ("<div class='has-sidebar wide'>%s</div>", "<div id='no-comments'>%s</div>", "<div class='sidebar-layout'>%s</div>",
+                 "<article><div class='entry-header'>%s</div></article>"):
+        assert html_extract.main_text(f"<body><nav>menu</nav>{wrap % text}<footer>f</footer></body>") == want
+
+
 def test_surge_and_dive():
     assert html_extract.stretches([0, 0, 5, 0, 7, 0, 0, 0, 3, 0]) == [(2, 5), (8, 9)]
     assert html_extract.stretches([]) == [] and html_extract.stretches([0, 0]) == []
