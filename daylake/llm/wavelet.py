@@ -50,6 +50,7 @@ UNSAFE = re.compile(r" \s|\s ")
 # pattern (runs of letters, runs of marks, a line break before a word), so
 # their parts go to the tokenizer's model one by one; all other words take
 # the whole path. No apostrophe (contractions) and no "<" (special tokens).
+MARKS = "-.,!%&*#$|;:?()/+="
 PART = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[-.,!%&*#$|;:?()/+=]+|\n(?=\\S)")
 
 
@@ -80,18 +81,36 @@ class Encoder:
         ids = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.wide, x.ids).tobytes() for x in ids]
 
+    def _model_ids(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1")
+        return array(self.wide, [t.id for t in self.model.tokenize(part.translate(self.alphabet))]).tobytes()
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
-            ids = self.parts[part] = array(self.wide, [t.id for t in tokens]).tobytes()
+            ids = self.parts[part] = self._model_ids(part)
         return ids
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word with a space before it."""
-        out, rest = {}, []
+        """Ids of each word with a space before it (and of the bare words of
+        those that end in marks)."""
+        out, rest, seen = {}, [], self.seen
         for word in words:
-            parts = PART.findall(word) if self.by_parts and len(word) <= CACHED_CHARS else ()
+            if not self.by_parts or len(word) > CACHED_CHARS:
+                rest.append(word)
+                continue
+            bare = word.rstrip(MARKS)
+            if bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):
+                ids = seen.get(bare) or out.get(bare)
+                if ids is None:
+                    ids = out[bare] = self._model_ids(" " + bare)
+                if len(bare) < len(word):
+                    out[word] = ids + self._part(word[len(bare):])
+                elif word not in out:
+                    out[word] = ids
+                continue
+            parts = PART.findall(word)
             if parts and sum(map(len, parts)) == len(word):
                 parts[0] = " " + parts[0]
                 out[word] = b"".join(map(self._part, parts))
