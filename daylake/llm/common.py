@@ -46,8 +46,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     labels = None
     while not live.isEmpty():
         both = live.unionAll(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = (both.groupBy("a").agg(F.min("b").alias("m"))
-                .select(F.col("a").alias("node"), F.least("a", "m").alias("p")))
+        # staged, so that a pointer many nodes share can be split in the join
+        hook = stage(both.groupBy("a").agg(F.min("b").alias("m"))
+                     .select(F.col("a").alias("node"), F.least("a", "m").alias("p")), "cc-hook")
         step = hook.select(F.col("node").alias("p"), F.col("p").alias("pp"))
         parent = stage(hook.join(step, "p").select("node", F.col("pp").alias("p")), "cc-parent")
         left = parent.select(F.col("node").alias("a"), F.col("p").alias("pa"))

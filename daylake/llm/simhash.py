@@ -213,9 +213,11 @@ def _named(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int,
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.min(rank).alias("rank"))
     label = connected_components(links(nodes.select("fp"), max_bits, tile))
-    grouped = (nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left")
-               .withColumn("component", F.coalesce("component", "fp")))
-    first = grouped.groupBy("component").agg(F.min("id").alias("component_id"), F.min("rank").alias("stays"))
+    # staged, so that the join deals both sides anew and a large group can be split
+    grouped = stage(nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left")
+                    .withColumn("component", F.coalesce("component", "fp")), "simhash-groups")
+    first = stage(grouped.groupBy("component").agg(F.min("id").alias("component_id"), F.min("rank").alias("stays")),
+                  "simhash-first")
     named = stage(grouped.join(first, "component").select("fp", "component_id", "stays"), "simhash-names")
     return marked.join(named, "fp")
 
