@@ -12,8 +12,10 @@ Units of fewer than ``min_words`` words are never removed on their own, so
 short common phrases of clean texts stay.
 
 The grouping is a min-aggregate, which combines before the shuffle, so a line
-that a third of all rows holds sends one row per task; only digests seen more
-than once go on to the join with their occurrences.
+that a third of all rows holds sends one row per task. Only digests seen more
+than once are joined with their occurrences: the few that hold more than a
+1 / ``HOT`` share of all units (so at most ``HOT`` of them) by broadcast, where
+no key gathers in a task, all others by a shuffle join.
 
 Defined results: NULL text has no units. Rows with the same ``doc_id`` (also
 all with NULL) are one document of which a unit at one offset counts once, so
@@ -31,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daylake.llm.common import stage
+
 UNITS = {
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"\S(?:(?!\n[ \t]*\n).)*", re.S),
@@ -38,6 +42,7 @@ UNITS = {
 }
 WORD = re.compile(r"[^\W_]+")
 MIN_WORDS = 8
+HOT = 1000
 SPAN = "start int, end int, words int, digest binary"
 
 
@@ -85,14 +90,21 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unit:
              min_words: int = MIN_WORDS) -> DataFrame:
     """The units to remove: ``doc_id, start, end, words, digest`` and the kept
     occurrence's ``first_doc_id, first_start``."""
-    found = occurrences(docs, doc_id, text, unit, min_words)
+    found = stage(occurrences(docs, doc_id, text, unit, min_words), "units")  # read for the groups and the join
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("start").alias("at"))
     # more than one occurrence exactly if the earliest and the latest differ
-    repeated = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-                .where("first <> last or first.id is null")
-                .select("digest", F.col("first.id").alias("first_doc_id"), F.col("first.at").alias("first_start")))
-    return (found.join(repeated, "digest")
-            .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("start") == F.col("first_start"))))
+    repeated = stage(found.groupBy("digest")
+                     .agg(F.min(rank).alias("first"), F.max(rank).alias("last"), F.count("*").alias("n"))
+                     .where("first <> last or first.id is null")
+                     .select("digest", F.col("first.id").alias("first_doc_id"),
+                             F.col("first.at").alias("first_start"), "n"), "units-repeated")
+    # at most HOT digests can hold a 1 / HOT share of the units or more
+    limit = max(1, found.count() // HOT)
+    hot = F.broadcast(repeated.where(F.col("n") > limit).drop("n"))
+    rest = repeated.where(F.col("n") <= limit).drop("n")
+    joined = found.join(hot, "digest").unionByName(
+        found.join(hot.select("digest"), "digest", "left_anti").join(rest, "digest"))
+    return (joined.where(~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("start") == F.col("first_start"))))
             .select("doc_id", "start", "end", "words", "digest", "first_doc_id", "first_start"))
 
 
