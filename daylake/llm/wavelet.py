@@ -43,7 +43,17 @@ SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, payload binary"
 # A space between two characters that are not white space always starts a
 # new word of a byte-level tokenizer, so texts may be cut there.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-UNSAFE = re.compile(r" \s|\s ")
+# Other white space than space, tab and line feed.
+RARE = re.compile("[\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def words_of(text: str) -> list[str]:
+    """The text cut at its safe spaces."""
+    if "  " in text or " \n" in text or "\n " in text or " \t" in text or "\t " in text or RARE.search(text):
+        return SAFE.split(text)
+    return text.split(" ")
+
+
 
 
 # Words made of these parts alone split the same way under the byte-level
@@ -125,7 +135,7 @@ class Encoder:
         if len(self.parts) > CACHED:
             self.parts.clear()
         seen, get = self.seen, self.seen.get
-        cut = [t.split(" ") if UNSAFE.search(t) is None else SAFE.split(t) for t in texts]
+        cut = [words_of(t) for t in texts]
         first = self._fill([words[0] for words in cut])
         found, new = [], set()
         for words in cut:
@@ -161,7 +171,7 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray, planes
     out = [MAGIC, struct.pack("<IQQ", planes, len(ids), len(doc_ids)), named.tobytes(), null.tobytes(),
            np.asarray(lengths, np.int64).tobytes()]
     for plane in range(planes - 1, -1, -1):
-        bit = (ids >> plane) & 1 != 0
+        bit = (ids & ids.dtype.type(1 << plane)) != 0
         bits = np.packbits(bit, bitorder="little")
         padded = np.zeros(-(-len(ids) // BLOCK) * BLOCK // 8, np.uint8)
         padded[:len(bits)] = bits
@@ -253,12 +263,14 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for k in range(self.planes - 1, -1, -1):
             bit = np.unpackbits(self.bits[k], count=self.n, bitorder="little").view(bool)
             above = np.empty_like(ids)
-            above[~bit] = ids[:self.zeros[k]]
-            above[bit] = ids[self.zeros[k]:] | np.uint32(1 << (self.planes - 1 - k))
+            ids[self.zeros[k]:] |= kind(1 << (self.planes - 1 - k))
+            above[bit] = ids[self.zeros[k]:]
+            above[np.logical_not(bit, out=bit)] = ids[:self.zeros[k]]
             ids = above
         return ids
 
