@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daylake.llm.common import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_HEX = 8  # four bytes of the digest
 DEFAULT_VERDICT = "allow"
@@ -82,8 +84,11 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url",
                       & (F.col("s") == F.col("r_host")) & (F.col("p") == F.col("r_path")))
     rank = F.struct((F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("hl"),
                     F.concat("r_host", "r_path").alias("rule"), F.col("r_action").alias("action"))
-    best = hits.groupBy("__url").agg(F.max(rank).alias("best")).select(
-        F.col("__url").alias("j_url"), F.col("best.rule").alias("rule"), F.col("best.action").alias("verdict"))
+    # staged, so that both sides of the join are dealt anew and a URL that many
+    # rows hold can be split
+    best = stage(hits.groupBy("__url").agg(F.max(rank).alias("best")).select(
+        F.col("__url").alias("j_url"), F.col("best.rule").alias("rule"), F.col("best.action").alias("verdict")),
+        "url-verdicts")
     p_host, p_path = url_parts(F.col(url))
     joined = kept.join(best, F.col(url) == F.col("j_url"), "left")
     return joined.select(
