@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         bias = np.array(m.bias)
-        for batch in batches:
+        for batch in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
             column = batch.column(len(keep))
             column = column.fill_null("") if column.null_count else column
             sums, count = np.zeros((len(column), m.weights.shape[1])), np.zeros(len(column))
