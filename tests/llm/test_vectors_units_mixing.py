@@ -126,6 +126,42 @@ def test_units_edges(spark):
     assert line_dedup.removals(docs, unit="paragraph").where("doc_id = 2").count() == 0
 
 
+def test_units_find_a_passage_at_any_offset_and_phase(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    docs = []
+    for k in range(24):  # half of the passages without any mark
+        passage = " ".join(word() + (rng.choice(["", "", "", "", ",", "."]) if k % 2 else "") for _ in range(50))
+        for copy in (0, 1):
+            lead = " ".join(word() + rng.choice(["", "", ".", ","]) for _ in range(rng.randint(0, 20)))
+            docs.append((2 * k + copy, f"{lead} {passage} {' '.join(word() for _ in range(rng.randint(0, 9)))}"))
+    gone = {}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in line_dedup.remove(frame, line_dedup.removals(frame)).collect():
+        gone[r.doc_id] = [(x.start, x.end) for x in r.removed or ()]
+    first, lost = {}, []
+    for d, text in docs:
+        words = list(line_dedup.WORD.finditer(text))
+        shared = set()
+        for k in range(len(words) - line_dedup.MIN_WORDS + 1):  # brute force: every run of 8 words
+            gram = tuple(m.group() for m in words[k:k + line_dedup.MIN_WORDS])
+            if first.setdefault(gram, d) != d:
+                shared.update(range(k, k + line_dedup.MIN_WORDS))
+        out = {k for k, m in enumerate(words) if any(a <= m.start() < b for a, b in gone[d])}
+        assert out <= shared and (d % 2 or not out)  # nothing else, and the first copy stays
+        assert all(a[1] < b[0] for a, b in zip(gone[d], gone[d][1:]))
+        if d % 2:
+            assert len(shared) >= 50 and out
+            lost.append(1 - len(out) / len(shared))
+    assert max(lost) < .5 and sum(lost) / len(lost) < .25
+
+
+def test_units_keep_the_first_copy_of_a_text_that_repeats_itself(spark):
+    docs = spark.createDataFrame([(1, "so, " * 30), (2, "so, " * 30)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.remove(docs, line_dedup.removals(docs)).collect()}
+    assert got[1].count("so") >= line_dedup.MIN_WORDS and got[2].count("so") < line_dedup.MIN_WORDS
+
+
 # ---- mixing
 
 def test_poisson_inverse_is_the_distribution(spark):
