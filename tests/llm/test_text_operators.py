@@ -45,6 +45,22 @@ def test_names_that_only_mention_furniture():
         assert html_extract.main_text(f"<body><nav>menu</nav>{wrap % text}<footer>f</footer></body>") == want
 
 
+SLUGS = """<h2 id="how-to-search-and-replace">Search and replace</h2><p>All of it.</p><section id="discussion"><h2>Discussion</h2>
+<p>What it means.</p></section><section id="related-work"><h3 id="a-follow-up">A follow-up</h3><p>What others did.</p></section>
+<div class="section" id="related"><h2 class="menu">Related</h2><p>Papers.</p></div><p class="search-terms-explained">Terms.</p>"""
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<main>%s</main>", "<div class='page'>%s</div>"])
+def test_slugs_of_titles_are_no_furniture(wrap):
+    no = "".join(f"<div {x}>no</div>" for x in (
+        "class='cookie-notice'", "id='cookie-notice'", "class='share-buttons'", "class='related-posts'", "id='comments'", "id='site-nav'",
+        "class='search'", "class='ad'", "id='ad-slot-3'"))
+    assert html_extract.main_text(f"<body><nav>menu</nav>{wrap % (SLUGS + no)}<footer>f</footer></body>") == (
+        "Search and replace\nAll of it.\nDiscussion\nWhat it means.\nA follow-up\nWhat others did.\nRelated\nPapers.\nTerms.")
+    old = "".join(f"<div {x}>no</div>" for x in ("id='header'", "id='menu'", "class='my-sidebar-x'", "id='search'"))
+    assert html_extract.main_text(f"<body>{old}<div><p>Just this.</p></div></body>") == "Just this."
+
+
 def test_surge_and_dive():
     assert html_extract.stretches([0, 0, 5, 0, 7, 0, 0, 0, 3, 0]) == [(2, 5), (8, 9)]
     assert html_extract.stretches([]) == [] and html_extract.stretches([0, 0]) == []
