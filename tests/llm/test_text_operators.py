@@ -45,6 +45,14 @@ def test_names_that_only_mention_furniture():
         assert html_extract.main_text(f"<body><nav>menu</nav>{wrap % text}<footer>f</footer></body>") == want
 
 
+def test_unmarked_page_keeps_short_stretches_beside_furniture():
+    bar = "<div class='share'>x</div>" * 4
+    body = "".join(f"<p>{'word ' * 200}{k}.</p>" for k in range(5))
+    text = html_extract.main_text(f"<body><nav>menu</nav><h1>Berlin</h1>{bar}<p>A short lead.</p>{bar}{body}{bar}<p>The end</p>"
+                                  f"<p>Done.</p>{bar}<p>Print</p>{bar}<footer>f</footer></body>").split("\n")
+    assert text[:2] == ["Berlin", "A short lead."] and text[-2:] == ["The end", "Done."] and len(text) == 9
+
+
 SLUGS = """<h2 id="how-to-search-and-replace">Search and replace</h2><p>All of it.</p><section id="discussion"><h2>Discussion</h2>
 <p>What it means.</p></section><section id="related-work"><h3 id="a-follow-up">A follow-up</h3><p>What others did.</p></section>
 <div class="section" id="related"><h2 class="menu">Related</h2><p>Papers.</p></div><p class="search-terms-explained">Terms.</p>"""
