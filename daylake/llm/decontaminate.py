@@ -1,7 +1,7 @@
 """Benchmark decontamination (6): q-gram lemma filtering.
 
 A benchmark item of m bytes occurs in a document if some stretch of it is
-within k = ``EDITS`` * m edits of the item (lower-cased, white space
+within k = ``EDITS`` * m edits of the item (lower-cased, Unicode white space
 collapsed). By the q-gram lemma such a stretch shares at least
 m - q + 1 - k q of the item's q-grams, all on k + 1 neighbouring diagonals
 (text position minus item position). So: every q-gram of the whole text is
@@ -33,7 +33,8 @@ from daylake.llm.features import PIECE, pieces
 
 Q, EDITS, MIN_BYTES = 12, 0.05, 40
 BLOCK_BYTES = 2 << 20
-_SPACES = np.array([32 if b in (9, 10, 11, 12, 13, 32) else b for b in range(256)], np.uint8)
+_SPACES = np.array([32 if b in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32) else b for b in range(256)], np.uint8)
+_WIDE_SPACE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TABLE_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,8 +48,15 @@ def _codes(text: np.ndarray) -> np.ndarray:
     return words[:n] * _MIX ^ words[Q - 8:Q - 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _folded(column: pa.Array) -> pa.Array:
+    """Lower case, the final sigma as any other, white space beyond ASCII as
+    spaces: for items and documents alike."""
+    return pc.replace_substring(pc.utf8_lower(pc.replace_substring_regex(column, _WIDE_SPACE, " ")), "ς", "σ")
+
+
 def normal(text: str | None) -> bytes:
-    return " ".join((text or "").lower().split()).encode()
+    raw = np.frombuffer(_folded(pa.array([text or ""]))[0].as_py().encode(), np.uint8)
+    return b" ".join(_SPACES[raw].tobytes().split())
 
 
 class Items:
@@ -168,7 +176,7 @@ def _found(column: pa.Array, items: Items) -> dict[int, dict[int, int]]:
     if not len(column) or not items.texts:
         return out
     overlap = min(items.longest + Q, PIECE // 2)
-    for part, owner, starts in pieces(pc.utf8_lower(column.fill_null("") if column.null_count else column), _SPACES, 32,
+    for part, owner, starts in pieces(_folded(column.fill_null("") if column.null_count else column), _SPACES, 32,
                                       (overlap + 1,)):
         ends = np.append(starts[1:], len(part))
         codes = _codes(part)

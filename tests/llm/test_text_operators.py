@@ -255,6 +255,21 @@ def test_contamination_edges(spark, monkeypatch):
     assert sorted(((r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect()), key=str) == got
 
 
+def test_contamination_normalises_items_and_documents_alike(spark):
+    item = "this is one whole benchmark item, long enough to count as one of them, and in it ο δρομος της πολης, istanbul"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    spaced = item
+    for k, space in enumerate("\u00a0\u3000\u2003\u2028\u0085\x1c\u202f"):
+        at = [m.start() for m in re.finditer(" ", item)][2 * k]
+        spaced = spaced[:at] + space + spaced[at + 1:]
+    docs = spark.createDataFrame([(1, f"x {spaced} y"), (2, item.upper()), (3, item.replace("i", "İ")), (4, item.replace(" ", "\u3000 \u00a0"))],
+                                 "doc_id long, text string")
+    for items in (bench, spark.createDataFrame([(1, spaced)], "item_id long, text string")):
+        got = {(r.doc_id, r.edits) for r in decontaminate.contamination(docs, items).collect()}
+        assert got == {(1, 0), (2, 0), (3, 0), (4, 0)}
+        assert decontaminate.drop_contaminated(docs, items).count() == 0
+
+
 def test_contamination_query_finds_the_passages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
