@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import (decontaminate, html_extract, langid, line_dedup, mixing, near_vectors, quality, simhash,
-                         url_filter, wavelet)
+from daylake.llm import (decontaminate, html_extract, langid, line_dedup, mixing, near_vectors, periodic, quality,
+                         repetition, simhash, spelling, url_filter, wavelet)
 from daylake.llm.common import crc_mod, table
 from daylake.session import run_folder
 
@@ -85,6 +85,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_line_dedup": op2_line_dedup,
@@ -96,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_repetition": op11_repetition,
+    "op12_spelling": op12_spelling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _PARTS = """
@@ -113,6 +128,134 @@ def _uniform(seed: int, *parts: str) -> str:
 
 
 _TEXT_MD5 = "md5(coalesce(text, '\\N'))"
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32 of a list of bytes: the table from its polynomial, then one step a byte.
+_CRC_TABLE = """
+crc_step(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_step WHERE k = 8)"""
+
+
+def _crc(bytes_: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, {bytes_}), "
+            "lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)")
+
+
+def _repetition_sql() -> str:
+    lengths = [repetition.WINDOW, *repetition.LIMITS]
+    grams = " UNION ALL ".join(
+        f"SELECT d, i, {n} AS n, list_slice(words, i, i + {n - 1}) AS gram "
+        f"FROM (SELECT d, words, unnest(range(1, len(words) - {n - 2})) AS i FROM docs WHERE len(words) >= {n})"
+        for n in lengths)
+    kept = " AND ".join(f"100 * coalesce(dup_chars_{n}, 0) <= {limit} * word_chars"
+                        for n, limit in repetition.LIMITS.items())
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+grams AS ({grams}),
+inside AS (
+  SELECT DISTINCT d, n, unnest(range(i, i + n)) AS pos
+  FROM (SELECT d, n, i, count(*) OVER (PARTITION BY d, n, gram) AS c FROM grams) WHERE c > 1),
+covered AS (
+  SELECT d, count(*) FILTER (n = {repetition.WINDOW}) AS n_repeat_words,
+    {', '.join(f"sum(length(words[pos])) FILTER (n = {n}) AS dup_chars_{n}" for n in repetition.LIMITS)}
+  FROM inside JOIN docs USING (d) GROUP BY d),
+lines AS (
+  SELECT d, line, count(*) AS c,
+    length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+  FROM (SELECT d, unnest(string_split(text, chr(10))) AS line FROM docs) GROUP BY ALL),
+dup_lines AS (
+  SELECT d, sum(c - 1) AS n_dup_lines, sum(chars * c) FILTER (c > 1) AS dup_line_chars
+  FROM lines WHERE chars > 0 GROUP BY d),
+counts AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars,
+    {', '.join(f"coalesce(dup_chars_{n}, 0)::BIGINT AS dup_chars_{n}" for n in repetition.LIMITS)}
+  FROM docs LEFT JOIN covered USING (d) LEFT JOIN dup_lines USING (d))
+SELECT *, n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > {repetition.MAX_REPEAT} * n_words AS base_failed,
+  NOT base_failed AND 100 * dup_line_chars <= {repetition.LINE_LIMIT} * word_chars AND {kept} AS kept
+FROM counts"""
+
+
+def _spelling_sql() -> str:
+    low, ratio = spelling.MIN_POINTS, spelling.RATIO
+    points = ("flatten([CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END"
+              " FOR x IN string_split(s, '')])")
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT id, w, count(*) AS n FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS w FROM documents)
+  WHERE length(w) >= {low} GROUP BY ALL),
+hashed AS (
+  SELECT w, n, {_crc(points)} AS h FROM (SELECT w, n, id || ':' || w AS s FROM runs), crc_table),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % {spelling.DROP_EVERY} = 0
+           THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n
+    FROM hashed)
+  WHERE length(word) >= {low} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b USING (i, cut) WHERE a.word <> b.word
+  UNION SELECT word, cut FROM cuts WHERE cut IN (SELECT word FROM words)
+  UNION SELECT cut, word FROM cuts WHERE cut IN (SELECT word FROM words)),
+ranked AS (
+  SELECT p.word, near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+    row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, near) AS r
+  FROM pairs p JOIN words v ON v.word = near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN near_n >= {ratio} * w.n THEN near END AS form, CASE WHEN near_n >= {ratio} * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r = 1),
+chain(word, last) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.last AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed l ON l.word = c.last AND l.form IS NULL"""
+
+
+def _periodic_sql() -> str:
+    digits = "[ord(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+given AS (
+  SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS words, len(words) AS n,
+    CASE WHEN doc_id IS NULL THEN 1 ELSE {_crc(digits)} END AS h FROM documents, crc_table),
+docs AS (
+  SELECT d, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    [words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] FOR i IN range(n)] ELSE words END AS words
+  FROM (SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM given)),
+grams AS (
+  SELECT d, i, list_slice(words, i + 1, i + 5) AS gram
+  FROM (SELECT d, words, unnest(range(len(words) - 4)) AS i FROM docs WHERE len(words) >= 5)),
+pairs AS (SELECT a.d, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.d = b.d AND a.gram = b.gram AND a.i < b.i),
+islands AS (
+  SELECT d, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS g FROM pairs) GROUP BY d, q, g),
+runs AS (
+  SELECT d, start, length, min(q) AS q FROM islands
+  WHERE length >= greatest({periodic.MIN_LENGTH}, {periodic.MIN_PERIODS} * q) GROUP BY d, start, length),
+best AS (
+  SELECT d, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS runs
+  FROM runs GROUP BY d),
+top AS (
+  SELECT d, start, length, q,
+    row_number() OVER (PARTITION BY d ORDER BY length::DOUBLE / q DESC, start, q) AS r FROM runs),
+dropped AS (SELECT d, list_distinct(flatten(list(range(start + q, start + length)))) AS gone FROM runs GROUP BY d),
+words AS (
+  SELECT d, string_agg(w, ' ' ORDER BY i) AS kept FROM (
+    SELECT d, generate_subscripts(words, 1) - 1 AS i, unnest(words) AS w FROM docs)
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT d AS e, unnest(gone) AS j FROM dropped) x WHERE e = d AND j = i) GROUP BY d)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length, q AS period, 1000 * length // q AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (d) LEFT JOIN words USING (d) LEFT JOIN top ON top.d = docs.d AND r = 1"""
+
 
 ORACLE: dict[str, str] = {
     "op1_near_vectors": f"""
@@ -162,4 +305,7 @@ best AS (
   GROUP BY ALL)
 SELECT page_id, p.host, p.path, b.rule AS rule, coalesce(b.action, 'allow') AS verdict
 FROM parts p LEFT JOIN best USING (host, path)""",
+    "op11_repetition": _repetition_sql(),
+    "op12_spelling": _spelling_sql(),
+    "op13_periodic_runs": _periodic_sql(),
 }
