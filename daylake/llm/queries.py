@@ -156,7 +156,9 @@ WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS te
 grams AS ({grams}),
 inside AS (
   SELECT DISTINCT d, n, unnest(range(i, i + n)) AS pos
-  FROM (SELECT d, n, i, count(*) OVER (PARTITION BY d, n, gram) AS c FROM grams) WHERE c > 1),
+  FROM (SELECT d, n, i, count(*) OVER g AS c, row_number() OVER (g ORDER BY i) AS r
+        FROM grams WINDOW g AS (PARTITION BY d, n, gram))
+  WHERE r > 1 OR (n = {repetition.WINDOW} AND c > 1)),
 covered AS (
   SELECT d, count(*) FILTER (n = {repetition.WINDOW}) AS n_repeat_words,
     {', '.join(f"sum(length(words[pos])) FILTER (n = {n}) AS dup_chars_{n}" for n in repetition.LIMITS)}
@@ -166,7 +168,7 @@ lines AS (
     length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
   FROM (SELECT d, unnest(string_split(text, chr(10))) AS line FROM docs) GROUP BY ALL),
 dup_lines AS (
-  SELECT d, sum(c - 1) AS n_dup_lines, sum(chars * c) FILTER (c > 1) AS dup_line_chars
+  SELECT d, sum(c - 1) AS n_dup_lines, sum(chars * (c - 1)) AS dup_line_chars
   FROM lines WHERE chars > 0 GROUP BY d),
 counts AS (
   SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,

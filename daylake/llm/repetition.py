@@ -8,9 +8,10 @@ n - 1 words times a base plus the next word's number. Only windows whose two
 first lengths. Windows of equal hash are compared word by word; where a hash
 collides, the windows are grouped by their words instead.
 
-"Duplicated" means found twice or more in the same text, the first occurrence
-included; overlapping windows count a character once. Characters are code
-points of words.
+``n_repeat_words`` counts the words of all windows found twice or more in the
+text, the first included. The character counts leave the first occurrence out:
+they are what the text says again. Overlapping windows count a character once;
+characters are code points of words.
 
 ``kept`` is false if ``base_failed`` (fewer than ``MIN_WORDS`` words, or over
 ``MAX_REPEAT`` percent of the words in 3-word windows found twice), or if the
@@ -57,29 +58,40 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _same(at: np.ndarray, n: int, keys: np.ndarray, words: Words) -> np.ndarray:
-    """Which of the windows ``at`` occur twice or more in their text."""
-    out = np.zeros(len(at), bool)
+def _same(at: np.ndarray, n: int, keys: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the windows ``at`` (ascending) occur twice or more in their
+    text, and which of those are not the first."""
+    twice, later = np.zeros(len(at), bool), np.zeros(len(at), bool)
     order = np.argsort(keys)
-    a, b = order[:-1], order[1:]
-    hit = np.flatnonzero(keys[a] == keys[b])
-    a, b = a[hit], b[hit]
-    equal = words.owner[at[a]] == words.owner[at[b]]
+    hit = np.flatnonzero(keys[order[:-1]] == keys[order[1:]])
+    some = np.unique(np.concatenate((order[hit], order[hit + 1])))
+    if not len(some):
+        return twice, later
+    _, first, group = np.unique(keys[some], return_index=True, return_inverse=True)
+    here, head = at[some], at[some[first]][group]
+    equal = words.owner[here] == words.owner[head]
     for k in range(n):
-        equal &= words.ids[at[a] + k] == words.ids[at[b] + k]
-    if equal.all():
-        out[a] = out[b] = True
-        return out
-    some = np.union1d(a, b)  # different windows of one hash: group by the words
-    rows = np.column_stack([words.owner[at[some]], *[words.ids[at[some] + k] for k in range(n)]])
-    _, group, count = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
-    out[some] = count[group.reshape(-1)] > 1
-    return out
-
-
-def duplicated(words: Words, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """``(n, mask)`` per n of ``lengths`` (ascending): the words that lie in an
-    n-gram found twice or more in their text."""
+        equal &= words.ids[here + k] == words.ids[head + k]
+    if not equal.all():     # different windows of one hash: group by the words
+        rows = np.column_stack([words.owner[here], *[words.ids[here + k] for k in range(n)]])
+        _, first, group = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+        group = group.reshape(-1)
+    twice[some] = later[some] = np.bincount(group)[group] > 1
+    later[some[first]] = False
+    return twice, later
+
+
+def _covered(at: np.ndarray, n: int, total: int) -> np.ndarray:
+    edge = np.zeros(total + 1, np.int64)
+    edge[at] += 1
+    edge[at + n] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def duplicated(words: Words, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(n, all, later)`` per n of ``lengths`` (ascending): the words that lie
+    in an n-gram found twice or more in their text, and those that lie in one
+    found before in it."""
     total = len(words.starts)
     mixed = _mix(words.ids)
     left = words.first[1:][words.owner] - np.arange(total) if total else np.zeros(0, np.int64)
@@ -91,12 +103,10 @@ def duplicated(words: Words, lengths: list[int]) -> Iterator[tuple[int, np.ndarr
         if n < min(lengths):
             continue
         cand = np.flatnonzero(left >= n) if at is None else at[left[at] >= n]
-        cand = cand[_same(cand, n, rolled[cand] ^ salt[cand], words)] if len(cand) > 1 else cand[:0]
+        twice, later = _same(cand, n, rolled[cand] ^ salt[cand], words)
+        again, cand = cand[later], cand[twice]
         if n in lengths:
-            edge = np.zeros(total + 1, np.int64)
-            np.add.at(edge, cand, 1)
-            np.add.at(edge, cand + n, -1)
-            yield n, np.cumsum(edge[:-1]) > 0
+            yield n, _covered(cand, n, total), _covered(again, n, total)
         # an (n + 1)-gram repeats only where both its n-grams do
         is_dup = np.zeros(total + 1, bool)
         is_dup[cand] = True
@@ -127,20 +137,18 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
     line_key = line_owner * (len(feeds) + 1) + numbered(raw[raw != 0x0A], ends)
     line_chars = points[feeds] - points[begins]
     has_word = line_chars > 0
-    _, first, group, count = np.unique(line_key, return_index=True, return_inverse=True, return_counts=True)
     later = has_word.copy()
-    later[first] = False
-    twice = has_word & (count[group] > 1)
+    later[np.unique(line_key, return_index=True)[1]] = False
 
     out = {"n_words": words.counts.astype(np.int64), "word_chars": summed(words.owner, chars),
            "n_symbols": _per_text(words.texts, np.isin(raw, np.frombuffer(SYMBOLS, np.uint8))),
            "n_dup_lines": np.bincount(line_owner[later], minlength=n_docs).astype(np.int64),
-           "dup_line_chars": summed(line_owner[twice], line_chars[twice])}
-    for n, inside in duplicated(words, [WINDOW, *LIMITS]):
+           "dup_line_chars": summed(line_owner[later], line_chars[later])}
+    for n, inside, again in duplicated(words, [WINDOW, *LIMITS]):
         if n == WINDOW:
             out["n_repeat_words"] = np.bincount(words.owner[inside], minlength=n_docs).astype(np.int64)
         if n in LIMITS:
-            out[f"dup_chars_{n}"] = summed(words.owner[inside], chars[inside])
+            out[f"dup_chars_{n}"] = summed(words.owner[again], chars[again])
     failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT * out["n_words"])
     kept = ~failed & (100 * out["dup_line_chars"] <= LINE_LIMIT * out["word_chars"])
     for n, limit in LIMITS.items():
