@@ -23,6 +23,9 @@ class Dataset:
     partitions: list[str] = field(default_factory=lambda: list(PARTITIONS))
     table_format: str = "parquet"   # "delta" / "iceberg" where installed: MERGE INTO
     csv_options: dict = field(default_factory=dict)  # beside landing.CSV_OPTIONS
+    bind_by_header: bool = False    # columns by the header's names, not by position (D8)
+    quarantine: bool = False        # bad rows go to <table>_rejected instead of the table (D9)
+    key_index: bool = False         # index the table's keys, for upserts of few keys
 
 
 POLICY = Dataset("policy", RAW_POLICY, BRONZE_POLICY, ["policy_id"], GOLD_POLICY,

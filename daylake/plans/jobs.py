@@ -21,13 +21,15 @@ from daylake.functions.lineage import with_date_parts
 from daylake.functions.mapping import apply_mapping, cast_failures, raw_schema
 from daylake.operators.dedup import latest_per_key
 from daylake.operators.filters import day_filter, partition_predicate
-from daylake.operators.upsert import null_key, unmatched
+from daylake.operators.upsert import null_key
 from daylake.plans.datasets import Dataset
-from daylake.plans.publish import stage, upsert_table, write_table
-from daylake.plans.report import run_report
-from daylake.session import remove_folder, run_folder
-from daylake.sources.landing import CORRUPT, file_counts, scan_dated
-from daylake.sources.tables import partition_columns, table_exists
+from daylake.plans.publish import (index_keys, partition_rows, replace_table, stage, table_location, upsert_partitions,
+                                   upsert_table, write_table)
+from daylake.plans.report import log_report, run_report
+from daylake.session import conf_override, remove_folder, run_folder
+from daylake.sources import ledger as ledgers
+from daylake.sources.landing import CORRUPT, file_counts, list_files, scan_by_header, scan_dated, scan_files
+from daylake.sources.tables import partition_columns, path_exists, table_exists
 
 FULL_LOAD = "full-load"
 CDC_LOAD = "cdc-load"
@@ -39,6 +41,11 @@ def conform(raw: DataFrame, ds: Dataset) -> DataFrame:
     return with_date_parts(typed).drop(*ds.bronze_drop)
 
 
+def _conform_with(raw: DataFrame, ds: Dataset, keep: list[str]) -> DataFrame:
+    typed = apply_mapping(raw, ds.bronze_mapping, keep=["file_name", "year_month_day", *keep])
+    return with_date_parts(typed).drop(*ds.bronze_drop)
+
+
 def _null_keys(ds: Dataset):
     cond = F.lit(False)
     for k in ds.keys:
@@ -46,6 +53,51 @@ def _null_keys(ds: Dataset):
     return F.count(F.when(cond, 1)).alias("null_keys")
 
 
+def problems(ds: Dataset):
+    """What is wrong with a scanned row, as ``(reason, column, value)`` structs:
+    a corrupt line, a value that does not cast, a key that is absent."""
+    def one(reason: str, column: str | None, value):
+        return F.struct(F.lit(reason).alias("reason"), F.lit(column).cast("string").alias("column"),
+                        value.cast("string").alias("value"))
+
+    found = [F.when(F.col(CORRUPT).isNotNull(), one("corrupt line", None, F.col(CORRUPT)))]
+    for f in ds.bronze_mapping:
+        value = F.col(f.source)
+        if f.type != "string":
+            found.append(F.when(value.isNotNull() & value.try_cast(f.type).isNull(), one("bad value", f.source, value)))
+        if f.target in ds.keys:
+            found.append(F.when(value.isNull(), one("no key", f.source, value)))
+    return F.filter(F.array(*found), lambda p: p.isNotNull())
+
+
+def rejected_table(table: str) -> str:
+    return f"{table}_rejected"
+
+
+def _split_rejected(raw: DataFrame, typed_of, ds: Dataset, path: str, observation: Observation) -> tuple:
+    """One scan, one write, two folders: the typed rows to load, and the rejected
+    ones with their problems and the whole line as JSON. Returns both frames;
+    the rejected rows are counted in the write."""
+    spark = raw.sparkSession
+    bad = "rejected"
+    marked = raw.withColumn("problems", problems(ds)).withColumn("line", F.to_json(F.struct(*ds.raw_columns)))
+    typed = typed_of(marked, ["problems", "line"]).withColumn(bad, F.size("problems") > 0)
+    good_columns = [c for c in typed.columns if c not in ("problems", "line", bad)]
+    out = typed.select(*good_columns, F.when(F.col(bad), F.col("problems")).alias("problems"),
+                       F.when(F.col(bad), F.col("line")).alias("line"), bad)
+    out = out.observe(observation, _null_keys(ds), F.count(F.when(F.col(bad), 1)).alias("rejected"))
+    # two open files a task: no sort of the rows before the write
+    with conf_override(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+        out.write.partitionBy(bad).parquet(path)
+    schema = out.drop(bad).schema
+
+    def side(flag: str) -> DataFrame:
+        folder = f"{path}/{bad}={flag}"
+        return (spark.read.schema(schema).parquet(folder) if path_exists(spark, folder)
+                else spark.createDataFrame([], schema))
+    return side("false").select(*good_columns), side("true").select("file_name", "problems", "line", "year_month_day")
+
+
 def _rewrite_fields(stats, partitions: int) -> dict:
     """How much of the table an upsert rewrote (nothing for a MERGE)."""
     if not stats.partitions_rewritten and not stats.broadcast:
@@ -71,11 +123,17 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
     exists = table_exists(spark, table)
     seen, typed_seen = Observation("source"), Observation("typed")
     corrupt = F.count(CORRUPT) if CORRUPT in raw.columns else F.count(F.lit(None))
-    observed = conform(raw.observe(seen, F.count(F.lit(1)).alias("rows"), corrupt.alias("corrupt"),
-                                   *cast_failures(ds.bronze_mapping)), ds)
+    observed_raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), corrupt.alias("corrupt"),
+                               *cast_failures(ds.bronze_mapping))
+    observed = conform(observed_raw, ds)
+    rejected, rejects = None, 0
     # Scan, cast and write in one stage: the counts observed here are exact
     # even when tasks are retried, and every later step reads parquet.
-    if stage_typed:
+    if ds.quarantine:
+        typed, rejected = _split_rejected(observed_raw, lambda df, keep: _conform_with(df, ds, keep), ds,
+                                          f"{work}/typed", typed_seen)
+        empty, rejects = seen.get["rows"] == 0, typed_seen.get["rejected"]
+    elif stage_typed:
         typed = stage(observed, f"{work}/typed", observation=typed_seen, metrics=[_null_keys(ds)])
         empty = seen.get["rows"] == 0
     else:
@@ -84,7 +142,7 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
     if empty:  # R2: nothing to load, change nothing
         before = spark.table(table).count() if exists else 0
         return dict(load_kind="none", qtty_before=before, qtty_source=0, qtty_after=before,
-                    null_keys=0, bad_values=0, rows_dropped=0, corrupt_lines=0)
+                    null_keys=0, bad_values=0, rows_dropped=0, rows_quarantined=0, corrupt_lines=0)
 
     kept = Observation("kept")
     rows = [F.count(F.lit(1)).alias("rows")]
@@ -94,6 +152,8 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
         write_table(latest, table, ds.partitions, table_format=ds.table_format,
                     observation=kept, metrics=rows)
         kind, before, after = "first", 0, kept.get["rows"]
+        if ds.key_index:
+            index_keys(spark, table, ds.keys)
     else:
         if newest_wins:
             latest = _newer_than_table(spark.table(table), latest, ds)
@@ -105,16 +165,28 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
                              **(upsert_limits or {}))
         kind, before, after = "upsert", stats.rows_before, stats.rows_after
         fields = _rewrite_fields(stats, partitions)
+    if rejects:
+        _keep_rejected(spark, rejected_table(table), rejected)
     src = seen.get
     return dict(load_kind=kind, qtty_before=before, qtty_source=src["rows"], qtty_after=after,
                 null_keys=typed_seen.get["null_keys"], corrupt_lines=src["corrupt"],
                 bad_values=sum(v for k, v in src.items() if k.startswith("bad_")),
-                rows_dropped=src["rows"] - kept.get["rows"], **fields)
+                rows_quarantined=rejects, rows_dropped=src["rows"] - rejects - kept.get["rows"], **fields)
+
+
+def _keep_rejected(spark: SparkSession, table: str, rejected: DataFrame) -> None:
+    """Add rejected rows to their table; those of a file that is loaded again
+    replace the ones it left there before."""
+    if table_exists(spark, table):
+        upsert_partitions(spark, table, rejected, ["file_name"])
+    else:
+        write_table(rejected, table, ["year_month_day"])
 
 
 def _newer_than_table(target: DataFrame, source: DataFrame, ds: Dataset) -> DataFrame:
     """Source rows whose key has no row of a newer file date in the table."""
-    newer = target.where(~null_key(ds.keys)).select(*ds.keys, F.col("year_month_day").alias("__day"))
+    # one row per key, also where a registered table holds a key twice
+    newer = target.where(~null_key(ds.keys)).groupBy(*ds.keys).agg(F.max("year_month_day").alias("__day"))
     keyed = source.where(~null_key(ds.keys))
     stays = keyed.join(newer, list(ds.keys), "left").where(
         F.col("__day").isNull() | (F.col("year_month_day") >= F.col("__day")))
@@ -124,7 +196,8 @@ def _newer_than_table(target: DataFrame, source: DataFrame, ds: Dataset) -> Data
 def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
                   start_date: str | None = None, final_date: str | None = None,
                   reprocess_all: bool = False, today: dt.date | None = None,
-                  stage_typed: bool = True, upsert_limits: dict | None = None) -> DataFrame:
+                  stage_typed: bool = True, upsert_limits: dict | None = None,
+                  ledger: bool = False, log: str | None = None) -> DataFrame:
     """Stage 1. No table yet: first load from ``full-load/``; otherwise the
     files of ``cdc-load/`` in the window are upserted (S4, D13: last run
     wins, an older file loaded later overwrites newer rows).
@@ -132,8 +205,12 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
     The caller passes the dates (D19); without them files of every date are
     read. The report counts the files outside the window and those without a
     date in their name. ``reprocess_all`` only widens the window to everything
-    up to today (D15); to rebuild, drop the table and run again, and the first
-    load reads ``full-load/``.
+    up to today (D15); ``rebuild_bronze`` builds the table anew.
+
+    ``ledger`` loads the files of ``cdc-load/`` (in the window, if one is given)
+    that have not been loaded yet, late ones too, and records them; a row of an
+    older file then never replaces one of a newer file. ``log`` appends the
+    report to a log folder.
 
     ``stage_typed`` (default) writes the typed rows once before the dedup:
     counts are exact under task retries and the CSV is parsed once. A first
@@ -145,15 +222,74 @@ def raw_to_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: st
     start, final = resolve_window(start_date, final_date, reprocess_all, today)
     exists = table_exists(spark, table)
     source = f"{landing_root.rstrip('/')}/{CDC_LOAD if exists else FULL_LOAD}"
-    scanned = scan_dated(spark, source, raw_schema(ds.raw_columns), start, final,
-                         options=ds.csv_options)
     work = run_folder(spark, "bronze")
-    counts = load_bronze(spark, ds, scanned, table, work, stage_typed, upsert_limits=upsert_limits)
+    by_ledger = ledger and exists
+    new = None
+    if by_ledger:
+        book = f"{table_location(spark, table)}/{LEDGER}"
+        new = stage(ledgers.unloaded(spark, book, list_files(spark, source, start, final)), f"{work}/files")
+    scanned = _scan(spark, ds, source, start, final, new)
+    counts = load_bronze(spark, ds, scanned, table, work, stage_typed, newest_wins=by_ledger,
+                         upsert_limits=upsert_limits)
+    if by_ledger:
+        ledgers.record(spark, book, new)
     files = file_counts(spark, source, start, final)
     remove_folder(spark, work)
-    return run_report(spark, stage="bronze", start_date=start, final_date=final, source=source,
-                      target=table, files_outside=files["files_outside"],
-                      files_undated=files["files_undated"], **counts)
+    report = run_report(spark, stage="bronze", start_date=start, final_date=final, source=source,
+                        target=table, files_outside=files["files_outside"],
+                        files_undated=files["files_undated"], **counts)
+    if log:
+        log_report(report, log)
+    return report
+
+
+# Folder of the file ledger, under the table's.
+LEDGER = "_files"
+
+
+def _scan(spark: SparkSession, ds: Dataset, source: str | list[str], start: str | None, final: str | None,
+          files: DataFrame | None = None) -> DataFrame:
+    """The landing rows of a window, or of a staged listing of files; columns
+    by position, or by the header's names if the dataset says so."""
+    paths = None if files is None else [r["path"] for r in files.select("path").collect()]
+    schema = raw_schema(ds.raw_columns)
+    if ds.bind_by_header:
+        keys = [f.source for f in ds.bronze_mapping if f.target in ds.keys]
+        return scan_by_header(spark, source, schema, start, final, ds.csv_options, keys, paths)
+    if paths is not None:
+        return scan_files(spark, paths, schema, ds.csv_options)
+    return scan_dated(spark, source, schema, start, final, options=ds.csv_options)
+
+
+def rebuild_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: str,
+                   retention_hours: float = 168.0, today: dt.date | None = None,
+                   log: str | None = None) -> DataFrame:
+    """The table built anew from all files of both folders, beside the old
+    one, and switched in one commit. The version before stays restorable
+    (``publish.restore_version``) for ``retention_hours``. The latest file date
+    wins, as in a load of all files at once."""
+    start, final = resolve_window(None, None, True, today)
+    root = landing_root.rstrip("/")
+    sources = [f for f in (f"{root}/{FULL_LOAD}", f"{root}/{CDC_LOAD}") if path_exists(spark, f)]
+    work = run_folder(spark, "rebuild")
+    seen, typed_seen, kept = Observation("source"), Observation("typed"), Observation("kept")
+    raw = _scan(spark, ds, sources, start, final).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("corrupt"), *cast_failures(ds.bronze_mapping))
+    typed = stage(conform(raw, ds), f"{work}/typed", observation=typed_seen, metrics=[_null_keys(ds)])
+    before = sum(partition_rows(spark, table).values())
+    replace_table(spark, table, latest_per_key(typed, ds.keys, ds.order_by), retention_hours,
+                  observation=kept, metrics=[F.count(F.lit(1)).alias("rows")])
+    remove_folder(spark, work)
+    src, files = seen.get, file_counts(spark, sources, start, final)
+    report = run_report(spark, stage="bronze", load_kind="rebuild", start_date=start, final_date=final, source=root,
+                        target=table, qtty_before=before, qtty_source=src["rows"], qtty_after=kept.get["rows"],
+                        null_keys=typed_seen.get["null_keys"], corrupt_lines=src["corrupt"],
+                        bad_values=sum(v for k, v in src.items() if k.startswith("bad_")), rows_quarantined=0,
+                        rows_dropped=src["rows"] - kept.get["rows"], files_outside=files["files_outside"],
+                        files_undated=files["files_undated"])
+    if log:
+        log_report(report, log)
+    return report
 
 
 def earliest_day(spark: SparkSession, table: str) -> str | None:
@@ -178,12 +314,13 @@ def days_from(spark: SparkSession, table: str, first: str) -> list[str]:
 
 def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_table: str,
                    day: str | list[str] | None = None, initial: str = "all",
-                   today: dt.date | None = None) -> DataFrame:
+                   today: dt.date | None = None, log: str | None = None) -> DataFrame:
     """Stage 2. Existing gold: the bronze rows of ``day`` replace their keys
     (K6); ``day`` may be a list, to publish days that were missed (D18), or
     ``'all'``. First load: every bronze day, or with ``initial='first'`` the
-    earliest one (D3). ``rows_unpublished`` of the report counts the bronze
-    rows of days that this run did not read and whose key gold has not."""
+    earliest one (D3). ``rows_unpublished`` of the report counts, over the
+    days that this run did not read, the bronze rows that gold's partition of
+    the day lacks (from the partitions' row counts)."""
     exists = table_exists(spark, target_table)
     bronze = spark.table(source_table)
     if exists and day != "all":
@@ -221,18 +358,21 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
     report = dict(qtty_source=kept.get["rows"], null_keys=kept.get["null_keys"], rows_dropped=0,
                   bad_values=sum(v for k, v in seen.get.items() if k.startswith("bad_")))
     remove_folder(spark, work)
-    gold = spark.table(target_table).select(*ds.keys)
-    return run_report(spark, stage="gold", start_date=run_day, final_date=run_day, source=source_table,
-                      target=target_table, rows_unpublished=_unpublished(bronze, gold, ds, run_day),
+    done = run_report(spark, stage="gold", start_date=run_day, final_date=run_day, source=source_table,
+                      target=target_table, rows_unpublished=_unpublished(spark, source_table, target_table, run_day),
                       **report, **counts)
+    if log:
+        log_report(done, log)
+    return done
 
 
-def _unpublished(bronze: DataFrame, gold: DataFrame, ds: Dataset, run_day: str | None) -> int:
-    """Bronze rows that gold does not hold, by key: one narrow join."""
+def _unpublished(spark: SparkSession, bronze: str, gold: str, run_day: str | None) -> int:
+    """Bronze rows of days not read that gold lacks, by the partitions' rows."""
     if run_day is None:
         return 0
-    read = partition_predicate(ds.partitions, [split_day(d) for d in run_day.split(",")])
-    return unmatched(bronze.where(~read).select(*ds.keys), gold, ds.keys).count()
+    read = {tuple(split_day(d)) for d in run_day.split(",")}
+    held = partition_rows(spark, gold)
+    return sum(max(0, n - held.get(names, 0)) for names, n in partition_rows(spark, bronze).items() if names not in read)
 
 
 def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str, gold: str,
@@ -247,5 +387,5 @@ def run_stages(spark: SparkSession, ds: Dataset, landing_root: str, bronze: str,
     return first.unionByName(second)
 
 
-__all__ = ["run_stages", "raw_to_bronze", "load_bronze", "bronze_to_gold", "earliest_day", "days_from", "conform",
+__all__ = ["run_stages", "raw_to_bronze", "rebuild_bronze", "load_bronze", "rejected_table", "bronze_to_gold", "earliest_day", "days_from", "conform",
            "FULL_LOAD", "CDC_LOAD", "split_day"]

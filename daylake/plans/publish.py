@@ -1,23 +1,30 @@
 """Table writes: first load, partition-scoped upsert, catalog DDL (K1-K8).
 
-Tables are managed tables partitioned by ``year/month/day`` under their
-database's location: parquet (snappy) by default, where the upsert below
-applies; formats with ``MERGE INTO`` (Delta, Iceberg) use it instead (that
-branch has not run here: no such format is installed).
+Partitioned tables are parquet (snappy) in their database's folder, partitioned
+by ``year/month/day`` by default, and external to their catalog entry: the files
+outlive it. Formats with ``MERGE INTO`` (Delta, Iceberg) use that instead of the
+upsert below (that branch has not run here: no such format is installed).
 
 The upsert rewrites only the partitions it touches, never the whole table:
 
-1. one scan of the target's key and partition columns, joined with the
+1. the source's types are reconciled with the table's (``functions.types``):
+   cast, or refused before anything is written; a wider source widens the
+   table's column;
+2. one scan of the target's key and partition columns, joined with the
    source keys, gives per partition the rows and the rows whose key is in
-   the source (a small table, one row per partition);
-2. the touched partitions (those with a matched row, plus those the source
+   the source (a small table, one row per partition). With a key index
+   (``key_index``) it reads only the partitions that can hold a source key;
+3. the touched partitions (those with a matched row, plus those the source
    writes to) are written whole as *unmatched old rows + source rows* to a
-   new folder of the run, by one job; nothing visible changes (D1);
-3. the catalog entry of each rewritten partition is pointed at its new files,
-   first the partitions that receive source rows, then those that only lose
-   rows; a partition left with no rows is dropped; then the old files go.
-   A run that dies on the way leaves every partition wholly old or wholly
-   new and loses no row; running the same load again completes it.
+   new folder of the run, by one job, and read back under the table's schema;
+   nothing visible changes (D1);
+4. the next version of the table's manifest (``manifest``) is committed; it
+   fails if another writer was faster, and the upsert then plans again;
+5. the catalog follows the manifest: partitions that receive source rows
+   first, then those that only lose rows, then those left without rows are
+   dropped. Folders that no version needs any more go after ``retention_hours``.
+   A run that dies before step 4 has changed nothing; one that dies later is
+   completed by the next run.
 
 Rows with a NULL key match nothing; they go beside the joins. With
 ``replay_by`` (the file name in bronze, the day in gold) those of a load that
@@ -42,12 +49,17 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
+from daylake.functions.types import reconcile
 from daylake.operators.filters import partition_predicate
 from daylake.operators.upsert import null_key
+from daylake.plans import key_index, manifest
+from daylake.plans.manifest import CommitConflict, Manifest
+from daylake.plans.manifest import name as _name
+from daylake.plans.manifest import quoted as _quoted
 from daylake.session import conf_override, remove_folder, run_folder
-from daylake.sources.tables import partition_columns
+from daylake.sources.tables import partition_columns, path_exists
 
 # Source keys are broadcast only below both limits, checked on the data:
 # the key count and the estimated key bytes (hash-table overhead aside).
@@ -67,14 +79,8 @@ class UpsertStats:
     partitions_dropped: list = field(default_factory=list)
     broadcast: bool = False
     rewrite_broadcast: bool = False
-
-
-def _quoted(text: str) -> str:
-    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _name(table: str) -> str:
-    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in table.split("."))
+    partitions_read: int | None = None      # by the statistics pass; None: all
+    retries: int = 0
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None,
@@ -120,7 +126,8 @@ def stage(df: DataFrame, path: str, rebalance_by: Sequence[str] = (),
 def write_table(df: DataFrame, table: str, partitions: Sequence[str],
                 observation: Observation | None = None, rebalance: bool = True,
                 table_format: str = "parquet", metrics: Sequence = ()) -> None:
-    """K1 / K4 first load: a new managed, partitioned table (parquet, snappy).
+    """K1 / K4 first load: a new partitioned table (parquet, snappy) in its
+    database's folder; without partition columns, a managed one.
 
     With ``rebalance`` the rows are regrouped by the partition columns first
     (the REBALANCE hint): AQE sizes the write tasks by bytes and splits a
@@ -131,8 +138,17 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str],
     if rebalance and partitions:
         df = df.hint("rebalance", *partitions)
     df = _observed(df, observation, metrics)
-    (df.write.format(table_format).option("compression", COMPRESSION)
-       .partitionBy(*partitions).mode("overwrite").saveAsTable(table))
+    writer = (df.write.format(table_format).option("compression", COMPRESSION)
+              .partitionBy(*partitions).mode("overwrite"))
+    if partitions and table_format == "parquet":
+        writer = writer.option("path", default_location(df.sparkSession, table))
+    writer.saveAsTable(table)
+
+
+def default_location(spark: SparkSession, table: str) -> str:
+    """``<folder of its database>/<table>``."""
+    db, _, own = table.replace("`", "").rpartition(".")
+    return f"{spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{own}"
 
 
 def _key_bytes(df: DataFrame, keys: Sequence[str]):
@@ -184,39 +200,47 @@ class UpsertPlan:
     rewrite: DataFrame | None
     stats: UpsertStats
     source_parts: set = field(default_factory=set)
-
-
-def evolve_schema(spark: SparkSession, table: str, source: DataFrame) -> list[str]:
-    """K4: columns of the source that the table has not are added to it (old
-    rows read NULL); returns their names. A column that the source has not is
-    an error, not silently NULL."""
-    present = {c.lower() for c in spark.table(table).columns}
-    given = {c.lower() for c in source.columns}
-    if missing := sorted(present - given):
-        raise ValueError(f"{table}: the source has no column {', '.join(missing)}")
-    new = [f for f in source.schema.fields if f.name.lower() not in present]
-    if new:
-        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({columns})")
-    return [f.name for f in new]
+    root: str = ""
+    base: Manifest | None = None        # the version planned on; None: the table has none yet
+    schema: StructType | None = None    # the table's, after the upsert
+    rows_written: int = 0               # rows the rewrite must have
+    keys: list = field(default_factory=list)
+
+
+def _typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns and types of ``schema``; what it has not is NULL."""
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    out = []
+    for f in schema.fields:
+        if f.name.lower() not in kinds:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif kinds[f.name.lower()] == f.dataType:
+            out.append(F.col(f.name).alias(f.name))
+        else:
+            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(*out)
 
 
 def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                 broadcast_rows: int = BROADCAST_ROWS,
                 broadcast_bytes: int = BROADCAST_BYTES,
                 source_unique: bool = False, replay_by: Sequence[str] = ()) -> UpsertPlan:
-    """Steps 1-2 of the upsert without writing: counts per partition and the
-    rewrite of the touched partitions (``None`` if the source is empty).
-    The target is read through the catalog (S6, S7). ``source_unique``
-    says the source holds each non-NULL key once (a deduplicated source),
-    which saves the shuffle that makes the key side distinct."""
+    """Steps 1-2 of the upsert without writing: the table's next schema, counts
+    per partition and the rewrite of the touched partitions (``None`` if the
+    source is empty). The target is read through the catalog (S6, S7), brought
+    up to the latest version first. ``source_unique`` says the source holds each
+    non-NULL key once (a deduplicated source), which saves the shuffle that
+    makes the key side distinct."""
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
-    evolve_schema(spark, table, source)
-    target = spark.table(table)
-    columns = target.columns
-    src = source.select(*columns)
+    root = table_location(spark, table)
+    base = manifest.latest(spark, root)
+    manifest.sync(spark, table, root, base)
+    schema, stale = reconcile(spark.table(table).schema, source.schema, parts, table)
+    target = _typed(spark.table(table), schema)
+    columns = schema.fieldNames()
+    src = _typed(source, schema)
 
     # one pass over the (staged) source: rows per partition, and upper bounds
     # of the key count and key bytes for the broadcast check
@@ -228,31 +252,42 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
                     .withColumns({f"name_{p}": F.col(p).cast("string") for p in parts}).collect())
     src_rows = sum(r["rows"] for r in src_per_part)
     if src_rows == 0:
-        before = target.count()
-        return UpsertPlan(table, columns, parts, None, UpsertStats(before, 0, 0, before))
+        before = base.rows if base else target.count()
+        return UpsertPlan(table, columns, parts, None, UpsertStats(before, 0, 0, before), root=root, base=base)
     key_rows = sum(r["keyed"] for r in src_per_part)
     key_bytes = sum(r["bytes"] or 0 for r in src_per_part)
     use_broadcast = key_rows <= broadcast_rows and key_bytes <= broadcast_bytes
     key_side = key_frame(src, keys, use_broadcast, source_unique)
-    replayed = src.where(no_key).select(*replay_by).distinct() if replay_by else None
-
-    # 1. rows and matched rows per target partition: reads keys + partitions
-    per_part = stats_frame(target, key_side, keys, parts, replayed).collect()
+    replayed = src.where(no_key).select(*replay_by).distinct() if replay_by and src_rows > key_rows else None
+
+    # 1. rows and matched rows per target partition: reads keys + partitions,
+    #    of the partitions that may hold a source key; the rows of the others
+    #    are known
+    may = None
+    if base and not stale:
+        may = key_index.candidates(spark, root, base, src, keys, key_rows, replayed is not None)
+    if may is None:
+        per_part = stats_frame(target, key_side, keys, parts, replayed).collect()
+        rows_of = {}
+    else:
+        read = _typed(manifest.frame(spark, root, base, may), schema)
+        per_part = stats_frame(read, key_side, keys, parts, replayed).collect() if may else []
+        rows_of = {n: e.rows for n, e in base.entries.items()}
     named = {tuple(r[f"name_{p}"] for p in parts): tuple(r[p] for p in parts)
              for r in [*src_per_part, *per_part]}
     label = lambda r: tuple(r[f"name_{p}"] for p in parts)
     src_parts = {label(r) for r in src_per_part}
-    before = sum(r["rows"] for r in per_part)
-    matched = sum(r["hits"] for r in per_part)
-    touched_old = {label(r) for r in per_part if r["hits"] > 0}
-    emptied = [label(r) for r in per_part
-               if r["hits"] > 0 and r["hits"] == r["rows"] and label(r) not in src_parts]
+    rows_of |= {label(r): r["rows"] for r in per_part}
+    hits = {label(r): r["hits"] for r in per_part}
+    before, matched = sum(rows_of.values()), sum(hits.values())
+    touched_old = set(rows_of) if stale else {n for n, h in hits.items() if h > 0}
+    emptied = [n for n, h in hits.items() if h > 0 and h == rows_of[n] and n not in src_parts]
 
     # 2. rewrite the touched partitions: all rows of a partition the write
     #    reaches must be in the output
     in_order = lambda names: sorted(names, key=lambda n: [(x is None, x or "") for x in n])
     touched = in_order(touched_old | src_parts)
-    old = target.where(partition_predicate(parts, [named[n] for n in touched]))
+    old = target if stale else target.where(partition_predicate(parts, [named[n] for n in touched]))
     keyed, nulls = old.where(~no_key), old.where(no_key)
     rewrite_broadcast = use_broadcast
     if not use_broadcast and matched <= broadcast_rows:
@@ -268,14 +303,10 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     if not rewrite_broadcast:  # the rows were shuffled by key: few files per partition again
         rewrite = rewrite.hint("rebalance", *parts)
     stats = UpsertStats(before, src_rows, matched, before - matched + src_rows,
-                        touched, in_order(emptied), use_broadcast, rewrite_broadcast)
-    return UpsertPlan(table, columns, parts, rewrite, stats, src_parts)
-
-
-def _spec(parts: Sequence[str], names: Sequence[str | None]) -> str:
-    """``PARTITION (...)``; a NULL value is a partition like any other."""
-    return "PARTITION (" + ", ".join(
-        f"`{c}`=" + ("null" if n is None else _quoted(n)) for c, n in zip(parts, names)) + ")"
+                        touched, in_order(emptied), use_broadcast, rewrite_broadcast,
+                        None if may is None else len(may))
+    return UpsertPlan(table, columns, parts, rewrite, stats, src_parts, root, base, schema,
+                      sum(rows_of.get(n, 0) - hits.get(n, 0) for n in touched) + src_rows, list(keys))
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -283,66 +314,159 @@ def table_location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].rstrip("/")
 
 
-def _folders(spark: SparkSession, table: str, parts: Sequence[str], names: list) -> dict:
-    """Current folder of each named partition, as far as it exists."""
-    out = {}
-    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()}
-    for n in names:
-        if "/".join(f"{c}={_folder_value(v)}" for c, v in zip(parts, n)) not in known:
-            continue
-        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)} {_spec(parts, n)}")
-        rows = detail.where("col_name in ('Location', 'Partition Location')").collect()
-        if rows:
-            out[n] = rows[0]["data_type"]
-    return out
-
-
-# The characters that Spark escapes in a partition's folder name.
-_ESCAPED = set(range(1, 32)) | {127} | {ord(c) for c in "\"#%'*/:=?\\{[]^"}
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+def _moved_on(spark: SparkSession, plan: UpsertPlan) -> bool:
+    now = manifest.latest(spark, plan.root)
+    return (now.version if now else 0) != (plan.base.version if plan.base else 0)
 
 
-def _folder_value(name: str | None) -> str:
-    if name is None or name == "":
-        return DEFAULT_PARTITION
-    return "".join(f"%{ord(c):02X}" if ord(c) in _ESCAPED else c for c in name)
-
-
-def apply_upsert(spark: SparkSession, plan: UpsertPlan) -> UpsertStats:
-    """Write the rewrite beside the table's files, then switch the partitions
-    over and drop those that lost all their rows (step 3)."""
+def apply_upsert(spark: SparkSession, plan: UpsertPlan, retention_hours: float = 0.0) -> UpsertStats:
+    """Steps 3-5: write the rewrite beside the table's files, check it, commit
+    the next version, bring the catalog up to it. ``CommitConflict`` if another
+    writer has committed since the plan was made; what was written then goes."""
     if plan.rewrite is None:
         return plan.stats
-    stats, table = plan.stats, _name(plan.table)
-    root = f"{table_location(spark, plan.table)}/_runs/{uuid.uuid4().hex[:12]}"
-    (plan.rewrite.write.option("compression", COMPRESSION).partitionBy(*plan.partitions).parquet(root))
-    dropped = set(stats.partitions_dropped)
-    old = _folders(spark, plan.table, plan.partitions, stats.partitions_rewritten)
-    for n in sorted(stats.partitions_rewritten, key=lambda n: n not in plan.source_parts):
-        if n in dropped:
-            continue
-        spec = _spec(plan.partitions, n)
-        folder = "/".join([root, *(f"{c}={_folder_value(v)}" for c, v in zip(plan.partitions, n))])
-        if n in old:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_quoted(folder)}")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {_quoted(folder)}")
-    if dropped:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
-                  + ", ".join(_spec(plan.partitions, n) for n in stats.partitions_dropped))
-    spark.catalog.refreshTable(plan.table)
-    for folder in old.values():
+    stats, root = plan.stats, plan.root
+    base = plan.base or manifest.from_catalog(spark, plan.table, root, plan.partitions)
+    run = uuid.uuid4().hex[:12]
+    folder = f"{root}/{manifest.RUN}={run}"
+    try:
+        plan.rewrite.write.option("compression", COMPRESSION).partitionBy(*plan.partitions).parquet(folder)
+        written = manifest.written_entries(spark, root, run, plan.schema, plan.partitions)
+        if (rows := sum(e.rows for e in written.values())) != plan.rows_written:
+            raise RuntimeError(f"{plan.table}: wrote {rows} rows, planned {plan.rows_written}")
+        base, gone = manifest.expired(base, retention_hours)
+        new = base.following(written, stats.partitions_dropped, plan.schema)
+        if indexed := key_index.keys_of(spark, root):
+            key_index.build(spark, root, new, indexed, written, run)
+        manifest.commit(spark, root, new)
+    except Exception as error:
         remove_folder(spark, folder)
+        remove_folder(spark, f"{root}/{key_index.FOLDER}/{run}")
+        if not isinstance(error, CommitConflict) and _moved_on(spark, plan):
+            raise CommitConflict(f"{plan.table}: changed while it was rewritten") from error
+        raise
+    _settle(spark, plan.table, root, base, new, gone, retention_hours, plan.source_parts)
     return stats
 
 
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame,
                       keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS,
                       broadcast_bytes: int = BROADCAST_BYTES,
-                      source_unique: bool = False, replay_by: Sequence[str] = ()) -> UpsertStats:
-    """K2 / K6 on a table: matched keys are replaced, new keys inserted."""
-    return apply_upsert(spark, plan_upsert(spark, table, source, keys, broadcast_rows,
-                                           broadcast_bytes, source_unique, replay_by))
+                      source_unique: bool = False, replay_by: Sequence[str] = (),
+                      retention_hours: float = 0.0, retries: int = 5) -> UpsertStats:
+    """K2 / K6 on a table: matched keys are replaced, new keys inserted. If
+    another writer commits in between, the upsert plans again on its version.
+    Superseded files stay for ``retention_hours`` for readers of older versions."""
+    for again in range(retries + 1):
+        plan = plan_upsert(spark, table, source, keys, broadcast_rows, broadcast_bytes, source_unique, replay_by)
+        try:
+            stats = apply_upsert(spark, plan, retention_hours)
+        except CommitConflict:
+            if again == retries:
+                raise
+            continue
+        stats.retries = again
+        return stats
+    raise AssertionError("not reached")
+
+
+def replace_table(spark: SparkSession, table: str, rows: DataFrame, retention_hours: float = 0.0,
+                  observation: Observation | None = None, metrics: Sequence = ()) -> Manifest:
+    """All of a partitioned table's rows replaced in one commit: written beside
+    the old files, read back, then switched. Within ``retention_hours``
+    ``restore_version`` brings the old rows back."""
+    parts, root = partition_columns(spark, table), table_location(spark, table)
+    base = manifest.latest(spark, root)
+    manifest.sync(spark, table, root, base)
+    base = base or manifest.from_catalog(spark, table, root, parts)
+    schema, _ = reconcile(base.schema, rows.schema, parts, table)
+    run = uuid.uuid4().hex[:12]
+    folder = f"{root}/{manifest.RUN}={run}"
+    indexed = key_index.keys_of(spark, root)
+    try:
+        out = _observed(_typed(rows, schema).hint("rebalance", *parts), observation, metrics)
+        out.write.option("compression", COMPRESSION).partitionBy(*parts).parquet(folder)
+        written = manifest.written_entries(spark, root, run, schema, parts)
+        base, gone = manifest.expired(base, retention_hours)
+        new = base.following(written, [n for n in base.entries if n not in written], schema)
+        if indexed:
+            key_index.build(spark, root, new, indexed, written, run)
+        manifest.commit(spark, root, new)
+    except Exception:
+        remove_folder(spark, folder)
+        remove_folder(spark, f"{root}/{key_index.FOLDER}/{run}")
+        raise
+    _settle(spark, table, root, base, new, gone, retention_hours)
+    return new
+
+
+def restore_version(spark: SparkSession, table: str, version: int) -> Manifest:
+    """Make an older version the table's next one. Its files must still be
+    there: superseded within their retention."""
+    root = table_location(spark, table)
+    base = manifest.latest(spark, root)
+    manifest.sync(spark, table, root, base)
+    old = manifest.load(spark, root, version)
+    if lost := [e.folder for e in old.entries.values() if not path_exists(spark, f"{root}/{e.folder}")]:
+        raise ValueError(f"{table}: version {version} has lost {len(lost)} partitions, such as {lost[0]}")
+    new = base.following(old.entries, [n for n in base.entries if n not in old.entries], old.schema)
+    manifest.commit(spark, root, new)
+    manifest.sync(spark, table, root, new, base)
+    return new
+
+
+def _settle(spark: SparkSession, table: str, root: str, base: Manifest, new: Manifest, gone: Sequence[str],
+            retention_hours: float, first: Sequence = ()) -> None:
+    """After a commit: the catalog, then the folders whose retention is over."""
+    manifest.sync(spark, table, root, new, base, first)
+    for old in {*gone, *manifest.expired(new, retention_hours)[1]}:
+        remove_folder(spark, f"{root}/{old}")
+    indexed = key_index.keys_of(spark, root)
+    if indexed and key_index.kinds(base.schema, indexed) != key_index.kinds(new.schema, indexed):
+        key_index.rebuild(spark, root, new, indexed)
+    elif retention_hours <= 0:
+        key_index.drop_unused(spark, root, base, new)
+
+
+def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
+    """Index the keys of all partitions (``key_index``); later upserts keep the
+    index up to date. Gives the table a manifest if it has none."""
+    parts, root = partition_columns(spark, table), table_location(spark, table)
+    m = manifest.latest(spark, root)
+    if m is None:
+        m = manifest.from_catalog(spark, table, root, parts)
+        m = m.following({}, [], m.schema)
+        manifest.commit(spark, root, m)
+        manifest.sync(spark, table, root, m, m)
+    key_index.build(spark, root, m, keys, m.entries, f"all-{uuid.uuid4().hex[:12]}")
+
+
+def partition_rows(spark: SparkSession, table: str) -> dict[tuple, int]:
+    """Rows per partition: from the manifest, else from the file footers; of a
+    table without partitions its rows under the empty name."""
+    parts = partition_columns(spark, table)
+    if not parts:
+        return {(): spark.table(table).count()}
+    m = manifest.latest(spark, table_location(spark, table))
+    if m:
+        return {n: e.rows for n, e in m.entries.items()}
+    counts = spark.table(table).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"))
+    return {tuple(r[f"name_{p}"] for p in parts): r["rows"]
+            for r in counts.select(*manifest.named(parts), "rows").collect()}
+
+
+def remove_orphans(spark: SparkSession, table: str, older_than_hours: float = 24.0) -> list[str]:
+    """K5 retention: delete what runs that died before their commit left in the
+    table's folder, once it is older than ``older_than_hours``."""
+    return manifest.remove_orphans(spark, table_location(spark, table), older_than_hours)
+
+
+def read_version(spark: SparkSession, table: str) -> DataFrame:
+    """The table at its latest committed version, all of it or nothing of a
+    commit in progress (the catalog switches partition by partition)."""
+    root = table_location(spark, table)
+    m = manifest.latest(spark, root)
+    return manifest.frame(spark, root, m) if m else spark.table(table)
 
 
 # Table formats whose Spark connector runs ``MERGE INTO`` (file-level rewrite
@@ -351,7 +475,7 @@ MERGE_FORMATS = ("delta", "iceberg")
 
 
 def table_format(spark: SparkSession, table: str) -> str:
-    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}")
             .where("col_name = 'Provider'").collect())
     return rows[0]["data_type"].strip().lower() if rows else ""
 
@@ -388,11 +512,15 @@ def register_external(spark: SparkSession, table: str, columns_ddl: str | None,
     """K8: catalog entry over files that already exist, then find their
     partitions (without the repair a partitioned table reads no rows).
     Without ``columns_ddl`` the columns are those of the files, and the
-    partition columns are strings."""
+    partition columns are strings. A folder with a manifest is registered as
+    its latest version says, columns and partitions."""
+    if m := manifest.latest(spark, location.rstrip("/")):
+        manifest.register(spark, table, location.rstrip("/"), m)
+        return
     if columns_ddl is None:
         with conf_override(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
             found = spark.read.parquet(location).schema
-        columns_ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in found.fields)
+        columns_ddl = manifest.columns_ddl(found.fields)
         if absent := [p for p in partitions if p not in found.fieldNames()]:
             raise ValueError(f"{location} is not partitioned by {', '.join(absent)}")
     sql = f"CREATE TABLE IF NOT EXISTS {_name(table)} ({columns_ddl}) USING parquet"
@@ -406,14 +534,28 @@ def register_external(spark: SparkSession, table: str, columns_ddl: str | None,
 
 def run_sql_file(spark: SparkSession, path: str, **params: str) -> None:
     """Run the ``;``-separated statements of a DDL file (``sql/``), with
-    ``{name}`` placeholders filled from ``params``. Comment lines are skipped."""
+    ``{name}`` placeholders filled from ``params``; other braces stay. Comment
+    lines are skipped."""
     with open(path) as fh:
-        lines = [ln for ln in fh.read().splitlines() if not ln.lstrip().startswith("--")]
-    for statement in "\n".join(lines).format(**params).split(";"):
+        text = "\n".join(ln for ln in fh.read().splitlines() if not ln.lstrip().startswith("--"))
+    for key, value in params.items():
+        text = text.replace("{" + key + "}", value)
+    for statement in text.split(";"):
         if statement.strip():
             spark.sql(statement)
 
 
-def truncate(spark: SparkSession, table: str) -> None:
-    """K5 as a user operation: remove all rows of a managed table."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+def truncate(spark: SparkSession, table: str, retention_hours: float = 0.0) -> None:
+    """K5 as a user operation: remove all rows. A partitioned table commits a
+    version without partitions; its files go after ``retention_hours``."""
+    parts = partition_columns(spark, table)
+    if not parts or table_format(spark, table) != "parquet":
+        spark.sql(f"TRUNCATE TABLE {_name(table)}")
+        return
+    root = table_location(spark, table)
+    base = manifest.latest(spark, root)
+    manifest.sync(spark, table, root, base)
+    base = base or manifest.from_catalog(spark, table, root, parts)
+    new = base.following({}, list(base.entries), base.schema)
+    manifest.commit(spark, root, new)
+    _settle(spark, table, root, base, new, [], retention_hours)

@@ -27,10 +27,11 @@ from daylake.operators.upsert import merge_by_key, replace_by_key, union_by_name
 from daylake.plans.datasets import EVENTS
 from daylake.plans.jobs import (CDC_LOAD, FULL_LOAD, bronze_to_gold, conform, days_from,
                                      earliest_day, raw_to_bronze, run_stages)
+from daylake.plans.landed import write_dated_csv
 from daylake.plans.publish import (apply_upsert, create_database, plan_upsert, register_external,
                                    stage, truncate, upsert_partitions, write_table)
 from daylake.session import conf_override, run_folder, workspace
-from daylake.sources.landing import scan_dated, write_dated_csv
+from daylake.sources.landing import scan_dated
 from daylake.sources.tables import (is_nonempty, path_exists, read_snapshot,
                                     table_exists)
 

@@ -7,13 +7,13 @@ whole files before it opens them; the lineage column is the scan's own
 
 CSV only (D6): the date rule ``<8 digits>.csv`` and the reader both assume
 it. Spark lists the folders itself, with no page limit on the listing (D7).
-
-``write_dated_csv`` is the other direction: it lands the rows of a table as
-dated files, one file per (task, day), so that the scan has real input.
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,22 +47,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
-def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructType,
-               start: str | None = None, final: str | None = None,
-               strict: bool = False, options: dict[str, str] | None = None) -> DataFrame:
-    """S1 + S2 + P3 + P4: rows of the ``*.csv`` files under ``roots`` whose
-    name date lies in ``[start, final]`` (both included, either form; ``None``
-    leaves that end open).
-
-    Adds ``file_name`` (full path of the row's file), ``year_month_day`` and
-    ``_corrupt_line``: the text of a line that has not the schema's columns
-    (NULL for a good line), so that a report can count those lines. A root
-    that does not exist raises; an empty folder has no rows.
-    """
-    roots = [roots] if isinstance(roots, str) else list(roots)
-    missing = [r for r in roots if not path_exists(spark, r)]
-    if missing:
-        raise FileNotFoundError(f"no such landing folder: {', '.join(missing)}")
+def _reader(spark: SparkSession, schema: StructType, strict: bool, options: dict[str, str] | None):
     read = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     reader = (spark.read.schema(read).options(**CSV_OPTIONS)
               .option("columnNameOfCorruptRecord", CORRUPT)
@@ -70,19 +55,119 @@ def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructTy
               .option("recursiveFileLookup", "true"))
     if strict:
         reader = reader.option("enforceSchema", "false")
-    if options:
-        reader = reader.options(**options)
-    df = reader.csv(roots)
-    ymd = name_date(F.col("_metadata.file_name"))
+    return reader.options(**options) if options else reader
+
+
+def _roots(spark: SparkSession, roots: str | Iterable[str]) -> list[str]:
+    roots = [roots] if isinstance(roots, str) else list(roots)
+    missing = [r for r in roots if not path_exists(spark, r)]
+    if missing:
+        raise FileNotFoundError(f"no such landing folder: {', '.join(missing)}")
+    return roots
+
+
+def _within(ymd, start: str | None, final: str | None):
     cond = ymd != F.lit("")
     if start:
         cond = cond & (ymd >= F.lit(to_compact(start)))
     if final:
         cond = cond & (ymd <= F.lit(to_compact(final)))
-    return (df.where(cond)
-              .select(*schema.fieldNames(), CORRUPT,
-                      F.col("_metadata.file_path").alias("file_name"),
-                      ymd.alias("year_month_day")))
+    return cond
+
+
+def _lineage(df: DataFrame, columns: Sequence, start: str | None, final: str | None) -> DataFrame:
+    ymd = name_date(F.col("_metadata.file_name"))
+    return df.where(_within(ymd, start, final)).select(
+        *columns, CORRUPT, F.col("_metadata.file_path").alias("file_name"), ymd.alias("year_month_day"))
+
+
+def scan_dated(spark: SparkSession, roots: str | Iterable[str], schema: StructType,
+               start: str | None = None, final: str | None = None,
+               strict: bool = False, options: dict[str, str] | None = None) -> DataFrame:
+    """S1 + S2 + P3 + P4: rows of the ``*.csv`` files under ``roots`` whose
+    name date lies in ``[start, final]`` (both included, either form; ``None``
+    leaves that end open).
+
+    Adds ``file_name`` (full path of the row's file), ``year_month_day`` and
+    ``_corrupt_line``: the text of a line that has not the schema's columns
+    (NULL for a good line), so that a report can count those lines. A root
+    that does not exist raises; an empty folder has no rows. Columns bind by
+    position; see ``scan_by_header``.
+    """
+    df = _reader(spark, schema, strict, options).csv(_roots(spark, roots))
+    return _lineage(df, schema.fieldNames(), start, final)
+
+
+def scan_files(spark: SparkSession, paths: Sequence[str], schema: StructType,
+               options: dict[str, str] | None = None) -> DataFrame:
+    """``scan_dated`` of the given files."""
+    if not paths:
+        names = [*schema.fieldNames(), CORRUPT, "file_name", "year_month_day"]
+        return spark.createDataFrame([], StructType([StructField(n, StringType(), True) for n in names]))
+    return _lineage(_reader(spark, schema, False, options).csv(list(paths)), schema.fieldNames(), None, None)
+
+
+def list_files(spark: SparkSession, roots: str | Iterable[str], start: str | None = None,
+               final: str | None = None) -> DataFrame:
+    """``(path, length, modified, year_month_day)`` of the dated files in the
+    window. Lists the files, opens none."""
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+              .option("recursiveFileLookup", "true").load(_roots(spark, roots))
+              .select("path", "length", F.col("modificationTime").alias("modified"),
+                      name_date(F.element_at(F.split("path", "/"), -1)).alias("year_month_day")))
+    return listed.where(_within(F.col("year_month_day"), start, final))
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        java = sc._jvm.java.io
+        return java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header line (names trimmed, as written). The first
+    line of each file is read on the driver, 16 at a time."""
+    with ThreadPool(16) as pool:
+        lines = pool.map(lambda path: _first_line(spark, path), paths)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path, line in zip(paths, lines):
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        out.setdefault(tuple(n.strip() for n in names), []).append(path)
+    return out
+
+
+def scan_by_header(spark: SparkSession, roots: str | Iterable[str], schema: StructType,
+                   start: str | None = None, final: str | None = None,
+                   options: dict[str, str] | None = None, required: Sequence[str] = (),
+                   paths: Sequence[str] | None = None) -> DataFrame:
+    """``scan_dated`` with columns bound by the header's names (D8), not by
+    position: one scan per distinct header, unioned by name.
+
+    Names match without regard to case. Columns the schema has not are
+    ignored, those a file has not are NULL; a file without a ``required`` column,
+    or with one name twice, raises before anything is read. ``paths`` scans
+    these files instead of a window."""
+    if paths is None:
+        paths = [r["path"] for r in list_files(spark, roots, start, final).select("path").collect()]
+    scans = []
+    for names, files in sorted(headers(spark, paths).items()):
+        lower = [n.lower() for n in names]
+        if absent := [c for c in required if c.lower() not in lower]:
+            raise ValueError(f"{files[0]}: the header has no {', '.join(absent)}")
+        if len(set(lower)) < len(lower):
+            raise ValueError(f"{files[0]}: a name stands twice in the header {names}")
+        given = [f"c{k}" for k in range(len(names))]
+        read = StructType([StructField(g, StringType(), True) for g in given])
+        place = dict(zip(lower, given))
+        columns = [F.col(place[f.name.lower()]).alias(f.name) if f.name.lower() in place
+                   else F.lit(None).cast("string").alias(f.name) for f in schema.fields]
+        scans.append(_lineage(_reader(spark, read, False, options).csv(files), columns, None, None))
+    return reduce(DataFrame.unionByName, scans) if scans else scan_files(spark, [], schema, options)
 
 
 def file_counts(spark: SparkSession, roots: str | Iterable[str], start: str | None = None,
@@ -103,87 +188,3 @@ def file_counts(spark: SparkSession, roots: str | Iterable[str], start: str | No
                     F.count(F.when(dated & ~inside, 1)).alias("files_outside"),
                     F.count(F.when(~dated, 1)).alias("files_undated")).first()
     return row.asDict()
-
-
-def write_dated_csv(df: DataFrame, root: str, date_col: str,
-                    folder_col: str | None = None, prefix: str = "part") -> DataFrame:
-    """Land ``df`` as CSV files named ``<prefix>-<task>-<YYYYMMDD>.csv``.
-
-    Runs as a Spark job: each task writes its own rows, one file per day it
-    holds, under ``root/<folder>/``. No shuffle, so a day that holds most of
-    the rows is still written by every task in parallel. A task writes to a
-    hidden file and renames it when done, so a retried task replaces its file
-    rather than adding a second one. All columns except ``date_col`` and
-    ``folder_col`` are written, as strings. Returns a lazy frame of
-    ``(path, rows)``, one row per file; the caller runs it.
-    """
-    data_cols = [c for c in df.columns if c not in (date_col, folder_col)]
-    # Hadoop's s3a:// and s3n:// name the same objects as s3:// for pyarrow.
-    for scheme in ("s3a://", "s3n://"):
-        if root.startswith(scheme):
-            root = "s3://" + root[len(scheme):]
-    day = F.col(date_col).cast("string")
-    no_day = F.raise_error(F.lit(f"a row without {date_col} has no dated file"))
-    out = df.select(*[F.col(c).cast("string").alias(c) for c in data_cols],
-                    F.when(day.isNull(), no_day).otherwise(day).alias("__day"),
-                    F.coalesce(F.col(folder_col).cast("string") if folder_col else F.lit(""),
-                               F.lit("")).alias("__dir")).sortWithinPartitions("__dir", "__day")
-    base = root.rstrip("/")
-
-    def write_task(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        import pyarrow.csv as pacsv
-        import pyarrow.fs as pafs
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        task, attempt = ctx.partitionId(), ctx.attemptNumber()
-        fs, rootpath = pafs.FileSystem.from_uri(base) if "://" in base else (
-            pafs.LocalFileSystem(), base.removeprefix("file:"))
-        paths, counts = [], []
-        key_open, entry = None, None  # rows come sorted: one file is open at a time
-
-        def finish() -> None:
-            writer, stream, tmp, final, rows = entry
-            writer.close()
-            stream.close()
-            fs.move(tmp, final)
-            paths.append(final)
-            counts.append(rows)
-
-        def append(folder: str, day: str, part) -> None:
-            nonlocal key_open, entry
-            if key_open != (folder, day):
-                if entry:
-                    finish()
-                name = f"{prefix}-{task:05d}-{day}.csv"
-                directory = f"{rootpath}/{folder}".rstrip("/")
-                fs.create_dir(directory, recursive=True)
-                tmp = f"{directory}/.{name}.{attempt}.tmp"
-                stream = fs.open_output_stream(tmp)
-                entry = [pacsv.CSVWriter(stream, part.schema), stream, tmp, f"{directory}/{name}", 0]
-                key_open = (folder, day)
-            entry[0].write_table(part)
-            entry[4] += part.num_rows
-
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            # a zero-copy slice per (folder, day) run
-            table = pa.Table.from_batches([batch])
-            keys = pc.binary_join_element_wise(table["__dir"], table["__day"], "\x00")
-            runs = pc.run_end_encode(keys.combine_chunks())
-            start = 0
-            for end, key in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
-                folder, day = key.split("\x00")
-                append(folder, day, table.slice(start, end - start).select(data_cols))
-                start = end
-
-        if entry:
-            finish()
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()),
-                                          pa.array(counts, pa.int64())],
-                                         names=["path", "rows"])
-
-    return out.mapInArrow(write_task, "path string, rows long")

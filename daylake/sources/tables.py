@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -46,9 +47,19 @@ def read_snapshot(spark: SparkSession, path: str,
                   schema: StructType | str | None = None) -> DataFrame:
     """Read a partitioned parquet folder by path.
 
-    With a schema the partition columns keep their declared (string) type
-    whatever the session's inference setting is (D10).
+    A table that has been upserted is read as the latest version of its
+    manifest says, so a path read, the catalog and a registration over the
+    folder agree. With a schema the partition columns keep their declared
+    (string) type whatever the session's inference setting is (D10).
     """
+    from daylake.plans import manifest
+
+    if m := manifest.latest(spark, path.rstrip("/")):
+        found = manifest.frame(spark, path.rstrip("/"), m)
+        if schema is None:
+            return found
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)

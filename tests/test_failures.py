@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from daylake.functions.mapping import raw_schema
 from daylake.plans.publish import upsert_partitions, write_table
-from daylake.sources.landing import scan_dated, write_dated_csv
+from daylake.plans.landed import write_dated_csv
+from daylake.sources.landing import scan_dated
 
 SCHEMA = "k long, v string, year string, month string, day string"
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from daylake.functions.mapping import RAW_POLICY, raw_schema
-from daylake.sources.landing import RFC4180, file_counts, read_csv, scan_dated, write_dated_csv
+from daylake.plans.landed import write_dated_csv
+from daylake.sources.landing import RFC4180, file_counts, read_csv, scan_dated
 from tests.conftest import write_files
 
 SCHEMA = raw_schema(RAW_POLICY)

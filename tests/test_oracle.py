@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 from compare import TABLES, digest
-from daylake.plans.oracle import ORACLE
-from daylake.plans.queries import QUERIES
+from daylake.plans import oracle, oracle_versions, queries, queries_versions
 from tests.conftest import SF_SMALL
 
+QUERIES = {**queries.QUERIES, **queries_versions.QUERIES}
+ORACLE = {**oracle.ORACLE, **oracle_versions.ORACLE}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="no test data")
 
 
