@@ -98,20 +98,16 @@ def _split_rejected(raw: DataFrame, typed_of, ds: Dataset, path: str, observatio
     return side("false").select(*good_columns), side("true").select("file_name", "problems", "line", "year_month_day")
 
 
-def _rewrite_fields(stats, partitions: int) -> dict:
+def _rewrite_fields(stats) -> dict:
     """How much of the table an upsert rewrote (nothing for a MERGE)."""
     if not stats.partitions_rewritten and not stats.broadcast:
         return {}
     return dict(partitions_rewritten=len(stats.partitions_rewritten),
                 partitions_dropped=len(stats.partitions_dropped),
-                partitions_share=round(len(stats.partitions_rewritten) / max(partitions, 1), 4),
+                partitions_share=round(len(stats.partitions_rewritten) / max(stats.partitions_total, 1), 4),
                 keys_broadcast=stats.broadcast)
 
 
-def _n_partitions(spark: SparkSession, table: str) -> int:
-    return spark.sql(f"SHOW PARTITIONS {table}").count() if partition_columns(spark, table) else 0
-
-
 def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, work: str,
                 stage_typed: bool = True, newest_wins: bool = False,
                 upsert_limits: dict | None = None) -> dict:
@@ -159,12 +155,11 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
             latest = _newer_than_table(spark.table(table), latest, ds)
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions,
                        observation=kept, metrics=rows)
-        partitions = _n_partitions(spark, table)
         stats = upsert_table(spark, table, staged, ds.keys, source_unique=True,
                              replay_by=["file_name"] if "file_name" in staged.columns else (),
                              **(upsert_limits or {}))
         kind, before, after = "upsert", stats.rows_before, stats.rows_after
-        fields = _rewrite_fields(stats, partitions)
+        fields = _rewrite_fields(stats)
     if rejects:
         _keep_rejected(spark, rejected_table(table), rejected)
     src = seen.get
@@ -348,13 +343,12 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
     else:
         staged = stage(mapped, f"{work}/source", rebalance_by=ds.partitions,
                        observation=kept, metrics=metrics)
-        partitions = _n_partitions(spark, target_table)
         # bronze holds each non-NULL key once if this library wrote it; a
         # registered table may not, so the keys are made distinct here
         stats = upsert_table(spark, target_table, staged, ds.keys,
                              replay_by=["file_name"] if "file_name" in staged.columns else ds.partitions)
         counts = dict(load_kind="upsert", qtty_before=stats.rows_before, qtty_after=stats.rows_after,
-                      **_rewrite_fields(stats, partitions))
+                      **_rewrite_fields(stats))
     report = dict(qtty_source=kept.get["rows"], null_keys=kept.get["null_keys"], rows_dropped=0,
                   bad_values=sum(v for k, v in seen.get.items() if k.startswith("bad_")))
     remove_folder(spark, work)

@@ -59,7 +59,7 @@ from daylake.plans.manifest import CommitConflict, Manifest
 from daylake.plans.manifest import name as _name
 from daylake.plans.manifest import quoted as _quoted
 from daylake.session import conf_override, remove_folder, run_folder
-from daylake.sources.tables import partition_columns, path_exists
+from daylake.sources.tables import path_exists, table_detail
 
 # Source keys are broadcast only below both limits, checked on the data:
 # the key count and the estimated key bytes (hash-table overhead aside).
@@ -79,6 +79,7 @@ class UpsertStats:
     partitions_dropped: list = field(default_factory=list)
     broadcast: bool = False
     rewrite_broadcast: bool = False
+    partitions_total: int = 0               # of the table, before
     partitions_read: int | None = None      # by the statistics pass; None: all
     retries: int = 0
 
@@ -231,12 +232,12 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     up to the latest version first. ``source_unique`` says the source holds each
     non-NULL key once (a deduplicated source), which saves the shuffle that
     makes the key side distinct."""
-    parts = partition_columns(spark, table)
+    detail = table_detail(spark, table)
+    parts, root = detail.partitions, detail.location
     if not parts:
         raise ValueError(f"{table} is not partitioned")
-    root = table_location(spark, table)
     base = manifest.latest(spark, root)
-    manifest.sync(spark, table, root, base)
+    manifest.sync(spark, table, root, base, detail=detail)
     schema, stale = reconcile(spark.table(table).schema, source.schema, parts, table)
     target = _typed(spark.table(table), schema)
     columns = schema.fieldNames()
@@ -304,14 +305,13 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
         rewrite = rewrite.hint("rebalance", *parts)
     stats = UpsertStats(before, src_rows, matched, before - matched + src_rows,
                         touched, in_order(emptied), use_broadcast, rewrite_broadcast,
-                        None if may is None else len(may))
+                        len(rows_of), None if may is None else len(may))
     return UpsertPlan(table, columns, parts, rewrite, stats, src_parts, root, base, schema,
                       sum(rows_of.get(n, 0) - hits.get(n, 0) for n in touched) + src_rows, list(keys))
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"].rstrip("/")
+    return table_detail(spark, table).location
 
 
 def _moved_on(spark: SparkSession, plan: UpsertPlan) -> bool:
@@ -375,9 +375,10 @@ def replace_table(spark: SparkSession, table: str, rows: DataFrame, retention_ho
     """All of a partitioned table's rows replaced in one commit: written beside
     the old files, read back, then switched. Within ``retention_hours``
     ``restore_version`` brings the old rows back."""
-    parts, root = partition_columns(spark, table), table_location(spark, table)
+    detail = table_detail(spark, table)
+    parts, root = detail.partitions, detail.location
     base = manifest.latest(spark, root)
-    manifest.sync(spark, table, root, base)
+    manifest.sync(spark, table, root, base, detail=detail)
     base = base or manifest.from_catalog(spark, table, root, parts)
     schema, _ = reconcile(base.schema, rows.schema, parts, table)
     run = uuid.uuid4().hex[:12]
@@ -431,7 +432,8 @@ def _settle(spark: SparkSession, table: str, root: str, base: Manifest, new: Man
 def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
     """Index the keys of all partitions (``key_index``); later upserts keep the
     index up to date. Gives the table a manifest if it has none."""
-    parts, root = partition_columns(spark, table), table_location(spark, table)
+    detail = table_detail(spark, table)
+    parts, root = detail.partitions, detail.location
     m = manifest.latest(spark, root)
     if m is None:
         m = manifest.from_catalog(spark, table, root, parts)
@@ -444,10 +446,11 @@ def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
 def partition_rows(spark: SparkSession, table: str) -> dict[tuple, int]:
     """Rows per partition: from the manifest, else from the file footers; of a
     table without partitions its rows under the empty name."""
-    parts = partition_columns(spark, table)
+    detail = table_detail(spark, table)
+    parts = detail.partitions
     if not parts:
         return {(): spark.table(table).count()}
-    m = manifest.latest(spark, table_location(spark, table))
+    m = manifest.latest(spark, detail.location)
     if m:
         return {n: e.rows for n, e in m.entries.items()}
     counts = spark.table(table).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"))
@@ -475,9 +478,7 @@ MERGE_FORMATS = ("delta", "iceberg")
 
 
 def table_format(spark: SparkSession, table: str) -> str:
-    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}")
-            .where("col_name = 'Provider'").collect())
-    return rows[0]["data_type"].strip().lower() if rows else ""
+    return table_detail(spark, table).provider
 
 
 def merge_statement(table: str, source_view: str, keys: Sequence[str]) -> str:
@@ -548,13 +549,13 @@ def run_sql_file(spark: SparkSession, path: str, **params: str) -> None:
 def truncate(spark: SparkSession, table: str, retention_hours: float = 0.0) -> None:
     """K5 as a user operation: remove all rows. A partitioned table commits a
     version without partitions; its files go after ``retention_hours``."""
-    parts = partition_columns(spark, table)
-    if not parts or table_format(spark, table) != "parquet":
+    detail = table_detail(spark, table)
+    parts, root = detail.partitions, detail.location
+    if not parts or detail.provider != "parquet":
         spark.sql(f"TRUNCATE TABLE {_name(table)}")
         return
-    root = table_location(spark, table)
     base = manifest.latest(spark, root)
-    manifest.sync(spark, table, root, base)
+    manifest.sync(spark, table, root, base, detail=detail)
     base = base or manifest.from_catalog(spark, table, root, parts)
     new = base.following({}, list(base.entries), base.schema)
     manifest.commit(spark, root, new)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +42,37 @@ def is_nonempty(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
 
 
+@dataclass(frozen=True)
+class TableDetail:
+    """What the catalog says about a table, from one DESCRIBE."""
+    location: str
+    provider: str
+    kind: str                   # MANAGED or EXTERNAL
+    partitions: list[str]
+    properties: dict[str, str]
+
+
+def table_detail(spark: SparkSession, name: str) -> TableDetail:
+    quoted = ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))
+    rows = [(r[0], r[1] or "") for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()]
+    names = [n for n, _ in rows]
+    parts = []
+    if "# Partition Information" in names:
+        for n in names[names.index("# Partition Information") + 1:]:
+            if n != "# col_name":
+                if not n or n.startswith("#"):
+                    break
+                parts.append(n)
+    # after the columns, each detail once; a column may have a detail's name
+    detail = dict(rows[names.index("# Detailed Table Information"):]) if "# Detailed Table Information" in names else {}
+    listed = detail.get("Table Properties", "").strip("[]")
+    properties = dict(item.split("=", 1) for item in re.split(r",\s*", listed) if "=" in item)
+    return TableDetail(detail.get("Location", "").rstrip("/"), detail.get("Provider", "").strip().lower(),
+                       detail.get("Type", "").strip().upper(), parts, properties)
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return table_detail(spark, name).partitions
 
 
 def read_snapshot(spark: SparkSession, path: str,
