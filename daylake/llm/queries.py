@@ -74,6 +74,15 @@ def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the end id stands in all tokens, from the files: counted by rank,
+    found by select."""
+    path = run_folder(spark, "tokens")
+    wavelet.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    n = wavelet.count_token(spark, path, wavelet.END_ID).agg(F.sum("n").alias("n_all"))
+    return wavelet.locate_token(spark, path, wavelet.END_ID).join(F.broadcast(n))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -106,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
     "op8_wavelet_tokens": op8_wavelet_tokens,
+    "token_positions": token_positions,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_repetition": op11_repetition,

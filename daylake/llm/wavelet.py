@@ -28,39 +28,35 @@ import re
 import struct
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daylake.llm.words import slabs
+
 MAGIC, BLOCK = b"WMX1", 512
-SHARD_IDS = 2_000_000
+SHARD_IDS = 16_000_000
 END_ID = 0
 CACHED, CACHED_CHARS = 1_000_000, 48
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, payload binary"
 # A space between two characters that are not white space always starts a
 # new word of a byte-level tokenizer, so texts may be cut there.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-# Other white space than space, tab and line feed.
-RARE = re.compile("[\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def words_of(text: str) -> list[str]:
-    """The text cut at its safe spaces."""
-    if "  " in text or " \n" in text or "\n " in text or " \t" in text or "\t " in text or RARE.search(text):
-        return SAFE.split(text)
-    return text.split(" ")
-
-
+# Texts where a space may not be a safe cut: one that meets other white space.
+ODD = ("  | [\\n\\t]|[\\n\\t] |[\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+       "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
 
 
 # Words made of these parts alone split the same way under the byte-level
 # pattern (runs of letters, runs of marks, a line break before a word), so
 # their parts go to the tokenizer's model one by one; all other words take
 # the whole path. No apostrophe (contractions) and no "<" (special tokens).
-MARKS = "-.,!%&*#$|;:?()/+="
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([-.,!%&*#$|;:?()/+=]*)").fullmatch
 PART = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[-.,!%&*#$|;:?()/+=]+|\n(?=\\S)")
 
 
@@ -75,7 +71,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.wide = "I" if self.tokenizer.get_vocab_size(True) > 1 << 16 else "H"
         self.seen: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -86,15 +82,17 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.alphabet = {b: chr(b) for b in shown}
         self.alphabet |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+        self.alphabet[0] = self.alphabet[0x20]      # NUL stands for the space of a word (see _model_ids)
 
     def _fill(self, texts: list[str]) -> list[bytes]:
         ids = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.wide, x.ids).tobytes() for x in ids]
 
     def _model_ids(self, part: str) -> bytes:
+        """Ids of a part on its own; NUL stands for the space before a word."""
         if not part.isascii():
             part = part.encode().decode("latin-1")
-        return array(self.wide, [t.id for t in self.model.tokenize(part.translate(self.alphabet))]).tobytes()
+        return array(self.wide, [t.id for t in self.tokenize(part.translate(self.alphabet))]).tobytes()
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
@@ -105,54 +103,82 @@ class Encoder:
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word with a space before it (and of the bare words of
         those that end in marks)."""
-        out, rest, seen = {}, [], self.seen
+        out, rest, part = {}, [], self._part
+        bare_ids, simple, wide, tokenize, space = self.seen.get, SIMPLE, self.wide, self.tokenize, self.alphabet[0]
         for word in words:
             if not self.by_parts or len(word) > CACHED_CHARS:
                 rest.append(word)
-                continue
-            bare = word.rstrip(MARKS)
-            if bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):
-                ids = seen.get(bare) or out.get(bare)
+            elif found := simple(word):
+                bare, marks = found.groups()
+                ids = out.get(bare) or bare_ids(bare)
                 if ids is None:
-                    ids = out[bare] = self._model_ids(" " + bare)
-                if len(bare) < len(word):
-                    out[word] = ids + self._part(word[len(bare):])
-                elif word not in out:
-                    out[word] = ids
-                continue
-            parts = PART.findall(word)
-            if parts and sum(map(len, parts)) == len(word):
-                parts[0] = " " + parts[0]
-                out[word] = b"".join(map(self._part, parts))
+                    # ASCII letters are themselves in the model's alphabet
+                    ids = out[bare] = (array(wide, [t.id for t in tokenize(space + bare)]).tobytes()
+                                       if bare.isascii() else self._model_ids("\0" + bare))
+                out[word] = ids + part(marks) if marks else ids
             else:
-                rest.append(word)
+                parts = PART.findall(word)
+                if parts and sum(map(len, parts)) == len(word):
+                    parts[0] = "\0" + parts[0]
+                    out[word] = b"".join(map(part, parts))
+                else:
+                    rest.append(word)
         out.update(zip(rest, self._fill([" " + w for w in rest])))
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts that may be cut at every space. Words are numbered by
+        Arrow, so Python sees each distinct word of the slab once; the ids are
+        then gathered by number."""
+        lists = pc.split_pattern(texts, " ")
+        flat, bounds = lists.flatten(), lists.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        strings = lambda column: column.to_numpy(zero_copy_only=False).tolist()
+        heads = self._fill(strings(flat.take(pa.array(bounds[:-1]))))
+        inner = np.ones(len(flat), bool)
+        inner[bounds[:-1]] = False
+        coded = flat.filter(pa.array(inner)).dictionary_encode()
+        words, codes = strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+        got = list(map(self.seen.get, words))
+        if None in got:
+            fresh = self._words([w for w, ids in zip(words, got) if ids is None])
+            got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
+            self.seen.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_CHARS)
+        kind = np.dtype(np.uint32 if self.wide == "I" else np.uint16)
+        pool = np.frombuffer(b"".join(got), kind)
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // kind.itemsize
+        begins = np.cumsum(sizes) - sizes
+        long = sizes[codes]
+        ends = np.cumsum(long)
+        ids = pool[np.repeat(begins[codes] - ends + long, long) + np.arange(ends[-1] if len(ends) else 0)]
+        # words of text k: from the k-th bound, less the heads before it
+        cut = np.concatenate(([0], ends))[bounds - np.arange(len(bounds))]
+        return [np.concatenate((np.frombuffer(head, kind), ids[a:b])) for head, a, b in zip(heads, cut, cut[1:])]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids per text."""
         if len(self.seen) > CACHED:
             self.seen.clear()
         if len(self.parts) > CACHED:
             self.parts.clear()
-        seen, get = self.seen, self.seen.get
-        cut = [words_of(t) for t in texts]
-        first = self._fill([words[0] for words in cut])
-        found, new = [], set()
-        for words in cut:
-            del words[0]
-            got = list(map(get, words))
-            if None in got:
-                new.update(w for w, ids in zip(words, got) if ids is None)
-            found.append(got)
-        fresh = self._words(list(new))
-        seen.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_CHARS)
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._plain(texts)
+        out = np.empty(len(texts), object)
+        for k, ids in zip(np.flatnonzero(~odd), self._plain(texts.filter(pa.array(~odd)))):
+            out[k] = ids
         kind = np.uint32 if self.wide == "I" else np.uint16
-        out = []
-        for head, words, got in zip(first, cut, found):
-            if new and None in got:
-                got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
-            out.append(np.frombuffer(head + b"".join(got), kind))
-        return out
+        for k in np.flatnonzero(odd):
+            words = SAFE.split(texts[int(k)].as_py())
+            head = self._fill(words[:1])[0]
+            del words[0]
+            known = {w: ids for w in set(words) if (ids := self.seen.get(w)) is not None}
+            fresh = self._words([w for w in dict.fromkeys(words) if w not in known])
+            self.seen.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_CHARS)
+            known |= fresh
+            out[k] = np.frombuffer(head + b"".join(map(known.__getitem__, words)), kind)
+        return list(out)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -177,9 +203,9 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray, planes
         padded[:len(bits)] = bits
         ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
         before = (np.cumsum(ones, dtype=np.uint32) - ones).astype("<u4")
-        low = ids[~bit]
+        low = np.compress(~bit, ids)
         out += [struct.pack("<Q", len(low)), before.tobytes(), padded.tobytes()]
-        ids = np.concatenate((low, ids[bit]))
+        ids = np.concatenate((low, np.compress(bit, ids)))
     return b"".join(out)
 
 
@@ -243,12 +269,12 @@ class WaveletMatrix:
 
     def _select(self, k: int, nth: int, bit: int) -> int:
         """Position of the ``nth`` (from 0) ``bit`` in plane ``k``."""
-        starts = np.arange(len(self.before[k]), dtype=np.int64) * BLOCK
-        seen = self.before[k] if bit else starts - self.before[k]
-        block = int(np.searchsorted(seen, nth, side="right")) - 1
+        before = self.before[k]
+        seen = (lambda b: int(before[b])) if bit else (lambda b: b * BLOCK - int(before[b]))
+        block = bisect_right(range(len(before)), nth, key=seen) - 1
         span = self.bits[k][block * BLOCK // 8:(block + 1) * BLOCK // 8]
         flat = np.unpackbits(span, bitorder="little")
-        return block * BLOCK + int(np.flatnonzero(flat == bit)[nth - int(seen[block])])
+        return block * BLOCK + int(np.flatnonzero(flat == bit)[nth - seen(block)])
 
     def locate(self, token: int, nth: int = 0) -> int:
         """Position of the ``nth`` occurrence (from 0) of ``token``."""
@@ -261,6 +287,23 @@ class WaveletMatrix:
             i = self._select(k, i - self.zeros[k] if bit else i, bit)
         return i
 
+    def locate_all(self, token: int, step: int = 1 << 14) -> Iterator[np.ndarray]:
+        """Positions of all occurrences of ``token``, ascending, ``step`` at a
+        time: ``locate`` for many at once."""
+        lo, hi = self._range(token, 0, self.n)
+        starts = np.arange(len(self.before[0]), dtype=np.int64) * BLOCK if self.planes else None
+        for s in range(lo, hi, step):
+            at = np.arange(s, min(s + step, hi))
+            for k in range(self.planes - 1, -1, -1):
+                bit = token >> (self.planes - 1 - k) & 1
+                nth = at - self.zeros[k] if bit else at
+                seen = self.before[k].astype(np.int64) if bit else starts - self.before[k]
+                block = np.searchsorted(seen, nth, side="right") - 1
+                flat = np.unpackbits(self.bits[k].reshape(-1, BLOCK // 8)[block], axis=1, bitorder="little")
+                rank = np.cumsum(flat == bit, axis=1, dtype=np.int16)
+                at = block * BLOCK + (rank > (nth - seen[block])[:, None]).argmax(axis=1)
+            yield at
+
     def decode(self) -> np.ndarray:
         """All ids in order."""
         kind = np.uint16 if self.planes <= 16 else np.uint32
@@ -269,8 +312,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.bits[k], count=self.n, bitorder="little").view(bool)
             above = np.empty_like(ids)
             ids[self.zeros[k]:] |= kind(1 << (self.planes - 1 - k))
-            above[bit] = ids[self.zeros[k]:]
-            above[np.logical_not(bit, out=bit)] = ids[:self.zeros[k]]
+            above[np.flatnonzero(bit)] = ids[self.zeros[k]:]
+            above[np.flatnonzero(np.logical_not(bit, out=bit))] = ids[:self.zeros[k]]
             ids = above
         return ids
 
@@ -302,9 +345,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
                 names=["part", "seq", "n_docs", "n_ids", "payload"])
 
         for batch in batches:
-            for s in range(0, batch.num_rows, 500):
-                few = batch.slice(s, 500)
-                for name, ids in zip(few.column(0).to_pylist(), enc.encode(few.column(1).to_pylist())):
+            for a, b in slabs(batch.column(1)):
+                few = batch.slice(a, b - a)
+                for name, ids in zip(few.column(0).to_pylist(), enc.encode(few.column(1))):
                     if named and held + len(ids) >= shard_ids:
                         yield shard()
                         named, lengths, parts, held, seq = [], [], [], 0, seq + 1
@@ -377,10 +420,11 @@ def locate_token(spark: SparkSession, path: str, token: int) -> DataFrame:
         for batch in batches:
             for part, seq, payload in zip(*batch.columns):
                 matrix = WaveletMatrix(payload.as_py())
-                at = [matrix.locate(token, k) for k in range(matrix.count(token))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.as_py()] * len(at), pa.int32()), pa.array([seq.as_py()] * len(at), pa.int32()),
-                     pa.array(at, pa.int64())], names=["part", "seq", "at"])
+                for at in matrix.locate_all(token):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), part.as_py(), np.int32)),
+                         pa.array(np.full(len(at), seq.as_py(), np.int32)), pa.array(at, pa.int64())],
+                        names=["part", "seq", "at"])
 
     found = (spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "seq", "payload")
              .mapInArrow(run, "part int, seq int, at long"))
