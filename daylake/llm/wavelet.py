@@ -1,8 +1,8 @@
 """Token-ID output (8): one wavelet matrix per shard.
 
-File format. The output folder is a Parquet table with one row per shard
-(``maxRecordsPerFile = 1``, so one compressed file holds one shard), written
-through Spark's commit protocol. A row has ``part`` and ``seq`` (shard order:
+File format. The output folder is a Parquet table with one row per shard, a few
+shards a compressed file (``SHARDS_A_FILE``: a reader holds the shards of a file
+at once), written through Spark's commit protocol. A row has ``part`` and ``seq`` (shard order:
 ascending document id), ``n_docs``, ``n_ids``, and ``payload``:
 
     magic "WMX1" | u32 planes | u64 ids | u64 docs
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from daylake.llm.words import slabs
 
 MAGIC, BLOCK = b"WMX1", 512
-SHARD_IDS = 16_000_000
+SHARD_IDS = 2_000_000
+SHARDS_A_FILE = 4
 END_ID = 0
 CACHED, CACHED_CHARS = 1_000_000, 48
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, payload binary"
@@ -359,7 +360,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
             yield shard()
 
     (sorted_docs.select("id", "text").mapInArrow(run, SHARD_SCHEMA)
-     .write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path))
+     .write.option("maxRecordsPerFile", SHARDS_A_FILE).option("compression", "zstd").parquet(path))
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:
