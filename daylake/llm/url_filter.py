@@ -7,7 +7,9 @@ distinct URL is expanded into the expressions ``host suffix + path prefix``
 that some rule could equal (suffixes by the label counts and prefixes by the
 path lengths that occur among the rules, so the expansion is bounded by the
 rules and not by the URL), each expression is hashed, and an equi-join on the
-first four bytes of the SHA-256 fetches the rules; the full digest confirms.
+first four bytes of the SHA-256, as a number and nothing else, fetches the
+rules; the whole digest confirms what came together. (Written as a prefix test,
+not as an equality, which Spark would make a join key too.)
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path
 and no rule. A URL whose path is empty fits no rule with a path. An empty
@@ -46,7 +48,17 @@ def _digests(rules: DataFrame) -> DataFrame:
             .groupBy("r_host", "r_path").agg(F.max("action").alias("r_action"))  # allow < block
             .withColumn("labels", F.size(F.split("r_host", r"\.")))
             .withColumn("p_len", F.length("r_path"))
-            .withColumn("digest", F.sha2(F.concat("r_host", "r_path"), 256)))
+            .withColumn("digest", F.sha2(F.concat("r_host", F.lit("\n"), "r_path"), 256)))
+
+
+def _short(digest: str) -> Column:
+    return F.conv(F.substring(digest, 1, PREFIX_HEX), 16, 10).cast("long")
+
+
+def fetched(tried: DataFrame, table: DataFrame) -> DataFrame:
+    """Expressions with the rules they equal: joined by ``short`` alone, then
+    confirmed by the whole digest (both have 64 characters)."""
+    return tried.join(table, "short").where(F.startswith("h", "digest"))
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url",
@@ -66,8 +78,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url",
         F.collect_set("labels").alias("labels"), F.collect_set("p_len").alias("lens")).first()
     labels, lens = sorted(shapes["labels"]), sorted(shapes["lens"])
     host, path = url_parts(F.col("__url"))
+    # dealt anew: the distinct URLs are small beside what they expand into
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     urls = (kept.select(F.col(url).alias("__url")).where("__url is not null").distinct()
-            .select("__url", host.alias("u_host"), path.alias("u_path")))
+            .repartition(tasks, "__url").select("__url", host.alias("u_host"), path.alias("u_path")))
     if labels:
         n = F.size(F.split("u_host", r"\."))
         suffixes = F.array(*[F.when(n >= k, F.substring_index("u_host", ".", -k)) for k in labels])
@@ -75,13 +89,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url",
         tried = (urls.where("u_host <> ''")
                  .withColumn("s", F.explode(F.array_compact(suffixes)))
                  .withColumn("p", F.explode(F.array_compact(prefixes)))
-                 .withColumn("h", F.sha2(F.concat("s", "p"), 256)))
+                 .select("__url", F.sha2(F.concat("s", F.lit("\n"), "p"), 256).alias("h")))
     else:
-        tried = urls.where(F.lit(False)).select("__url", F.lit("").alias("s"), F.lit("").alias("p"),
-                                                F.lit("").alias("h"))
-    short = lambda c: F.substring(c, 1, PREFIX_HEX)
-    hits = tried.join(table, (short("h") == short("digest")) & (F.col("h") == F.col("digest"))
-                      & (F.col("s") == F.col("r_host")) & (F.col("p") == F.col("r_path")))
+        tried = urls.where(F.lit(False)).select("__url", F.lit("").alias("h"))
+    hits = fetched(tried.withColumn("short", _short("h")), table.withColumn("short", _short("digest")))
     rank = F.struct((F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("hl"),
                     F.concat("r_host", "r_path").alias("rule"), F.col("r_action").alias("action"))
     # staged, so that both sides of the join are dealt anew and a URL that many
