@@ -5,23 +5,31 @@ Unit vectors are turned onto the principal axes of the whole table (second
 moments summed over all rows; a rotation, so cosines stay). Two linked unit
 vectors are at most sqrt(2 - 2 t) apart, so also on each axis: cells of that
 width on the first axes need only their neighbour cells. Cells are cut into
-blocks of about ``BLOCK`` vectors by hash, and every pair of blocks of
-neighbouring cells is one tile, so a hot label or a dense cell spreads over
-many tasks. A tile adds the products up axis block by axis block; the product
-of the remaining axes is at most the product of the suffix norms, rows and
-columns without a pair that can still reach the threshold drop out, and the
-tile ends when none is left. Pairs that survive all axes are decided by the
-cosine of the original vectors in double precision.
+parts of about ``HELD_BYTES`` by hash, and every pair of parts of neighbouring
+cells is one task's work, so a hot label or a dense cell spreads over many
+tasks and a vector is sent once per ``HELD_BYTES`` of its neighbourhood. Inside,
+tiles of ``BLOCK`` vectors are compared with each other. A tile adds the
+products up axis block by axis block; the product of the remaining axes is at
+most the product of the suffix norms, rows and columns without a pair that can
+still reach the threshold drop out, and the tile ends when none is left. Pairs
+that survive all axes are decided by the cosine of the original vectors in
+double precision. Vectors are scaled by a power of two first, which changes no
+cosine and keeps the squares of very small and very large numbers in range.
 
 Vectors that are equal are one node with a count. A tile returns the number
 of links of each of its nodes and a spanning forest of its links, never all
 pairs; the components come from the forests.
 
+The driver gets one matrix of second moments per vector length (length squared
+numbers; one length in a table made by one model).
+
 Defined results: a vector that is NULL, empty, zero, or holds NULL or
 non-finite numbers, and one whose label or id is NULL, links with nothing
 (``n_links`` 0, its own component). Vectors of different length do not link.
 Rows repeated in id, label and vector count once as a partner and come back
-repeated.
+repeated. Rows that share an id but not the vector or the label are vectors of
+their own: each has its links, may be a partner of the other, and its component
+is the smallest id that it reaches.
 """
 
 from __future__ import annotations
@@ -41,11 +49,19 @@ BLOCK = 2048
 AXIS_BLOCK = 8
 SLACK = 1e-9  # for sums in double precision; survivors are decided exactly
 CELL_AXES = 2
+HELD_BYTES = 16 << 20  # of vectors on either side of a task's work
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest number to 0.5-1."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0))
+    return np.ldexp(x, -exponent[:, None])
 
 
 def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of one length as unit rows in double precision, and norms."""
-    x = np.array(column.to_pylist(), np.float64)
+    """Vectors of one length as unit rows in double precision, and norms (of
+    the scaled vectors)."""
+    x = _scaled(np.array(column.to_pylist(), np.float64))
     norm = np.sqrt((x * x).sum(axis=1))
     return x / norm[:, None], norm
 
@@ -118,30 +134,40 @@ def tile_links(left: np.ndarray, right: np.ndarray, axes: np.ndarray, threshold:
     return i[linked], j[linked], cosine[linked]
 
 
-def _tile(rows: pd.DataFrame, axes: dict[int, np.ndarray], threshold: float) -> pd.DataFrame:
-    """Links per node and a spanning forest of one tile."""
+def _tile(rows: pd.DataFrame, axes: dict[int, np.ndarray], threshold: float, block: int = BLOCK) -> pd.DataFrame:
+    """Links per node and a spanning forest per tile of two parts (or of one
+    part with itself)."""
     side = rows["side"].to_numpy()
     same = bool((side == 2).any())
     first, second = (rows, rows) if same else (rows[side == 0], rows[side == 1])
     if not len(first) or not len(second):
         return pd.DataFrame({"a": [], "b": [], "links": []})
-    left, right = (np.array(x["vector"].tolist(), np.float64) for x in (first, second))
+    left, right = (_scaled(np.array(x["vector"].tolist(), np.float64)) for x in (first, second))
     ids_l, ids_r = first["node"].to_numpy(), second["node"].to_numpy()
     many_l, many_r = first["many"].to_numpy(), second["many"].to_numpy()
-    i, j, _ = tile_links(left, right, axes[left.shape[1]], threshold, same)
-    links_l = np.bincount(i, weights=many_r[j], minlength=len(left))
-    links_r = np.bincount(j, weights=many_l[i], minlength=len(right))
+    links_l, links_r = np.zeros(len(left)), np.zeros(len(right))
+    out_a, out_b = [], []
+    for s in range(0, len(left), block):
+        for t in range(s if same else 0, len(right), block):
+            u, v = left[s:s + block], right[t:t + block]
+            one = same and s == t
+            i, j, _ = tile_links(u, v, axes[u.shape[1]], threshold, one)
+            links_l[s:s + block] += np.bincount(i, weights=many_r[t + j], minlength=len(u))
+            links_r[t:t + block] += np.bincount(j, weights=many_l[s + i], minlength=len(v))
+            if len(i) > len(u) + len(v):
+                table = np.zeros((len(u), len(v)), bool)
+                table[i, j] = True
+                if one:
+                    table |= table.T
+                i, j = forest(u, v, lambda r, c, table=table: table[np.ix_(r, c)])
+            out_a.append(ids_l[s + i])
+            out_b.append(ids_r[t + j])
     at_l, at_r = np.flatnonzero(links_l), np.flatnonzero(links_r)
-    if len(i) > len(left) + len(right):
-        table = np.zeros((len(left), len(right)), bool)
-        table[i, j] = True
-        if same:
-            table |= table.T
-        i, j = forest(left, right, lambda r, c: table[np.ix_(r, c)])
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
     return pd.DataFrame({
-        "a": np.concatenate((ids_l[at_l], ids_r[at_r], ids_l[i])),
-        "b": pd.array(np.concatenate((np.full(len(at_l) + len(at_r), -1), ids_r[j])), "Int64"),
-        "links": np.concatenate((links_l[at_l], links_r[at_r], np.full(len(i), -1))).astype(np.int64)})
+        "a": np.concatenate((ids_l[at_l], ids_r[at_r], a)),
+        "b": pd.array(np.concatenate((np.full(len(at_l) + len(at_r), -1), b)), "Int64"),
+        "links": np.concatenate((links_l[at_l], links_r[at_r], np.full(len(a), -1))).astype(np.int64)})
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
@@ -150,10 +176,10 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"),
                           F.col(vector).cast("array<double>").alias("vector"))
     may = usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    # equal vectors of a label are one node, named by the smallest id
+    # equal vectors of a label are one node; its number is fixed by the staging
     nodes = stage(rows.where(may).select("label", "vector", "vec_id").distinct()
-                  .groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("many"))
-                  .withColumn("dim", F.size("vector")), "vectors")
+                  .groupBy("label", "vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("many"))
+                  .withColumns({"dim": F.size("vector"), "node": F.monotonically_increasing_id()}), "vectors")
     axes = principal_axes(nodes)
     width = float(np.sqrt(max(0.0, 2 - 2 * threshold)) * (1 + 1e-9)) + 1e-9
     shared = nodes.sparkSession.sparkContext.broadcast(axes)  # length**2 numbers per vector length
@@ -175,7 +201,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
         place, f"label {label_type}, vector array<double>, node long, many long, dim int, c0 int, c1 int")
     placed = stage(placed, "vector-cells")
     cell = ["label", "dim", "c0", "c1"]
-    cells = stage(placed.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("cuts")), "vector-cuts")
+    held = F.greatest(F.lit(block), F.lit(HELD_BYTES) / 8 / F.col("dim"))   # vectors of a part
+    cells = stage(placed.groupBy(*cell).agg(F.count("*").alias("n"))
+                  .select(*cell, F.ceil(F.col("n") / held).cast("int").alias("cuts")), "vector-cuts")
     # half of the neighbours, so that each pair of cells comes once
     steps = [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]
     around = (cells.select(*cell, "cuts", F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in steps])).alias("s"))
@@ -196,12 +224,16 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     cut_rows = placed.join(cells, cell).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).drop("cuts")
     tiles = cut_rows.join(needs, [*cell, "cut"]).select("label", "dim", "tile", "side", "node", "many", "vector")
     found = stage(tiles.groupBy("label", "dim", "tile").applyInPandas(
-        lambda part: _tile(part, shared.value, threshold), "a long, b long, links long"), "vector-links")
+        lambda part: _tile(part, shared.value, threshold, block), "a long, b long, links long"), "vector-links")
     links = found.where("links >= 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     component = connected_components(found.where("links < 0").select("a", "b"))
-    named = stage(nodes.select("label", "vector", "node", "many").join(links, "node", "left").join(component, "node", "left")
-                  .select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("links"),
-                          F.coalesce("component", "node").alias("component")), "vector-names")
+    grouped = stage(nodes.select("node", "least", "many").join(component, "node", "left")
+                    .withColumn("component", F.coalesce("component", "node")), "vector-groups")
+    # staged, so that the join deals both sides anew and a large group can be split
+    first = stage(grouped.groupBy("component").agg(F.min("least").alias("first")), "vector-first")
+    known = grouped.join(first, "component").join(links, "node", "left").select(
+        "node", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("links"), F.col("first").alias("component"))
+    named = stage(nodes.select("label", "vector", "node").join(known, "node").drop("node"), "vector-names")
     linked = rows.where(may).join(named, ["label", "vector"]).select("vec_id", "links", "component")
     alone_rows = rows.where(~may).select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("component"))
     return linked.unionAll(alone_rows).select(

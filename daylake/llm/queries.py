@@ -272,21 +272,23 @@ FROM docs LEFT JOIN best USING (d) LEFT JOIN words USING (d) LEFT JOIN top ON to
 ORACLE: dict[str, str] = {
     "op1_near_vectors": f"""
 WITH RECURSIVE v AS (
-  SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+  SELECT row_number() OVER () AS node, * FROM (
+    SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0)),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
-    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  SELECT a.node AS a, b.node AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.node <> b.node AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= {near_vectors.THRESHOLD}),
 reach(node, other) AS (
-  SELECT vec_id, vec_id FROM v UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
-comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+  SELECT node, node FROM v UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+comp AS (SELECT r.node, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.node = r.other GROUP BY r.node),
 deg AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(deg.n, 0) AS n_links, coalesce(comp.component_id, e.vec_id) AS component_id,
        coalesce(comp.component_id, e.vec_id) = e.vec_id AS kept
-FROM embeddings e LEFT JOIN comp ON comp.node = e.vec_id LEFT JOIN deg ON deg.node = e.vec_id""",
+FROM embeddings e LEFT JOIN v ON v.vec_id = e.vec_id AND v.label = e.label AND v.e = e.embedding::DOUBLE[]
+LEFT JOIN comp ON comp.node = v.node LEFT JOIN deg ON deg.node = v.node""",
     "op5_source_mix": f"""
 WITH RECURSIVE counts AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS weight FROM documents GROUP BY source),
 rates AS (SELECT source, weight / (SELECT sum(weight) FROM counts) * (SELECT sum(n) FROM counts)::DOUBLE / n AS rate FROM counts),
