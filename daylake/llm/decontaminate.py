@@ -9,13 +9,17 @@ looked up among the items' q-grams, hits are counted per item in bands of
 diagonals that overlap by k, bands that reach the bound are kept, and each is
 verified by a banded alignment with free ends in the text.
 
-Items are taken in blocks of ``BLOCK_BYTES``, so what a task holds is bounded
-whatever the number of items; documents are read once a block. Long texts are
-walked in overlapping pieces, nothing is cut off.
-
-Defined results: NULL and empty texts match nothing; NULL and empty items and
-those under ``MIN_BYTES`` bytes match nothing (too short to tell from chance).
-A repeated row matches like the first. ``q`` counts bytes of UTF-8.
+Items are taken in blocks of about ``BLOCK_BYTES``, so what a task holds is
+bounded whatever the number of items (some 30 bytes an item byte); documents are
+read once a block. Long texts are walked in pieces of at least twice the longest
+item, which overlap by it, so no item is lost at a cut.
+
+Defined results: NULL and empty texts match nothing. Items under ``SHORT`` bytes
+match verbatim only, and only between word boundaries; NULL and empty items and
+those under ``q`` bytes match nothing: they share no q-gram with any text. An
+item whose id is NULL matches like any other and is listed with NULL, unless an
+item of the same text has an id. A repeated row matches like the first. ``q``
+counts bytes of UTF-8.
 """
 
 from __future__ import annotations
@@ -31,11 +35,10 @@ from pyspark.sql import functions as F
 from daylake.llm.common import stage
 from daylake.llm.features import PIECE, pieces
 
-Q, EDITS, MIN_BYTES = 12, 0.05, 40
-BLOCK_BYTES = 2 << 20
+Q, EDITS, SHORT = 12, 0.05, 40
+BLOCK_BYTES = 4 << 20
 _SPACES = np.array([32 if b in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32) else b for b in range(256)], np.uint8)
 _WIDE_SPACE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_TABLE_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,27 +66,30 @@ class Items:
     """A block of benchmark items and the index of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        known = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= MIN_BYTES]
+        known = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= Q]
+        named = {t for i, t in known if i is not None}
+        known = [(i, t) for i, t in known if i is not None or t not in named]
         self.ids = [i for i, _ in known]
         self.texts = [np.frombuffer(t, np.uint8) for _, t in known]
         size = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = np.minimum((EDITS * size).astype(np.int64), (size - Q) // Q)
+        self.edits = np.where(size < SHORT, 0, np.minimum((EDITS * size).astype(np.int64), (size - Q) // Q))
         self.need = size - Q + 1 - self.edits * Q
         self.band = 1 << np.ceil(np.log2(self.edits + 2)).astype(np.int64)
         codes = [_codes(t) for t in self.texts]
         all_codes = np.concatenate(codes) if codes else np.empty(0, np.uint64)
-        item = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        at = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
+        item = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
+        at = np.concatenate([np.arange(len(c), dtype=np.int32) for c in codes]) if codes else np.empty(0, np.int32)
         order = np.argsort(all_codes, kind="stable")
         self.item, self.at = item[order], at[order]
         self.codes, self.first, self.n = np.unique(all_codes[order], return_index=True, return_counts=True)
-        self.table = np.zeros(1 << _TABLE_BITS, bool)
+        # a sixteenth of the table is taken at most
+        self.table_bits = np.uint64(max(16, 4 + int(len(self.codes)).bit_length()))
+        self.table = np.zeros(1 << int(self.table_bits), bool)
         self.table[self._slot(self.codes)] = True
         self.longest = int(size.max() + self.edits.max()) if len(size) else 0
 
-    @staticmethod
-    def _slot(codes: np.ndarray) -> np.ndarray:
-        return (codes * _MIX >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * _MIX >> (np.uint64(64) - self.table_bits)).astype(np.int64)
 
     def candidates(self, text: np.ndarray) -> list[tuple[int, int, int]]:
         """``(item, first diagonal, last diagonal)`` of the bands that reach
@@ -101,7 +107,7 @@ class Items:
         times = self.n[found]
         base = np.repeat(self.first[found] - (np.cumsum(times) - times), times)
         entry = base + np.arange(times.sum())
-        item = self.item[entry]
+        item = self.item[entry].astype(np.int64)
         diagonal = np.repeat(at, times) - self.at[entry] + self.longest  # not below 0
         width, edits = self.band[item], self.edits[item]
         bin_, rest = np.divmod(diagonal, width)
@@ -119,12 +125,29 @@ class Items:
         """Index and least edits found of each item that occurs in ``text``."""
         out: dict[int, int] = {}
         for item, low, high in self.candidates(text):
-            edits = align(self.texts[item], text, low, high, int(self.edits[item]))
+            if len(self.texts[item]) < SHORT:
+                edits = verbatim(self.texts[item], text, low, high)
+            else:
+                edits = align(self.texts[item], text, low, high, int(self.edits[item]))
             if edits is not None and edits < out.get(item, 1 << 30):
                 out[item] = edits
         return out
 
 
+def verbatim(item: np.ndarray, text: np.ndarray, low: int, high: int) -> int | None:
+    """0 if the item stands on one of the diagonals between word boundaries."""
+    begin = max(0, low)
+    region, own = text[begin:max(0, high + len(item))].tobytes(), item.tobytes()
+    in_word = lambda k: 0 <= k < len(text) and (text[k] >= 0x80 or chr(text[k]).isalnum())
+    at = region.find(own)
+    while at >= 0:
+        a, b = begin + at, begin + at + len(own)
+        if not (in_word(a - 1) and in_word(a)) and not (in_word(b - 1) and in_word(b)):
+            return 0
+        at = region.find(own, at + 1)
+    return None
+
+
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> int | None:
     """Least edits between the item and a stretch of ``text`` whose path stays
     on the diagonals ``low - most`` to ``high + most``; None above ``most``."""
@@ -159,15 +182,16 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
 def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
     """The items in blocks of at most ``BLOCK_BYTES`` (or one longer item)."""
     items = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("text")) \
-        .where("id is not null and text is not null")
+        .where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cuts = -(-int(total) // (BLOCK_BYTES // 2)) or 1
+    ordered = lambda rows: sorted(((r.id, r.text) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     if cuts == 1:
-        yield Items(sorted((r.id, r.text) for r in items.collect()))
+        yield Items(ordered(items.collect()))
         return
-    dealt = stage(items.withColumn("cut", F.pmod(F.xxhash64("id", "text"), F.lit(cuts))), "benchmark")
+    dealt = stage(items.withColumn("cut", F.pmod(F.xxhash64("text"), F.lit(cuts))), "benchmark")
     for cut in range(cuts):
-        yield Items(sorted((r.id, r.text) for r in dealt.where(F.col("cut") == cut).collect()))
+        yield Items(ordered(dealt.where(F.col("cut") == cut).collect()))
 
 
 def _found(column: pa.Array, items: Items) -> dict[int, dict[int, int]]:
@@ -175,9 +199,9 @@ def _found(column: pa.Array, items: Items) -> dict[int, dict[int, int]]:
     out: dict[int, dict[int, int]] = {}
     if not len(column) or not items.texts:
         return out
-    overlap = min(items.longest + Q, PIECE // 2)
+    overlap = items.longest + Q
     for part, owner, starts in pieces(_folded(column.fill_null("") if column.null_count else column), _SPACES, 32,
-                                      (overlap + 1,)):
+                                      (overlap + 1,), size=max(PIECE, 2 * overlap)):
         ends = np.append(starts[1:], len(part))
         codes = _codes(part)
         # one look at the whole run: most texts hold too few q-grams of the items
@@ -234,4 +258,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     return docs
 
 
-__all__ = ["Items", "align", "normal", "contamination", "drop_contaminated", "Q", "EDITS", "MIN_BYTES"]
+__all__ = ["Items", "align", "normal", "contamination", "drop_contaminated", "Q", "EDITS", "SHORT"]

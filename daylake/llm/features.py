@@ -28,8 +28,8 @@ def gram_hash(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
 
 
 def pieces(column: pa.Array, codes: np.ndarray, squeeze: int | None, grams: tuple[int, ...],
-           pad: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of texts as code arrays: ``(codes, owner, starts)``.
+           pad: bool = True, size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of texts, of about ``size`` bytes, as code arrays: ``(codes, owner, starts)``.
 
     ``codes`` maps each byte to its code; runs of the code ``squeeze`` become
     one. With ``pad`` every text gets a space before and after it.
@@ -47,7 +47,7 @@ def pieces(column: pa.Array, codes: np.ndarray, squeeze: int | None, grams: tupl
         keep[inner] = True
         offsets = np.concatenate(([0], np.cumsum(keep)))[offsets]
         data = data[keep]
-    for lo, hi, owner, starts in slices(offsets, PIECE, max(grams) - 1):
+    for lo, hi, owner, starts in slices(offsets, size, max(grams) - 1):
         yield data[lo:hi], owner, starts
 
 
