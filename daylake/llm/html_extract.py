@@ -1,15 +1,20 @@
 """HTML extraction (3): line-block distribution.
 
 Markup is stripped into lines, one per block of the page (block-level tags
-start a new line; inline tags do not), each with the length of its text.
-Lines of page furniture (menus, headers, footers, sidebars, notices, adverts,
-forms, comments) have length 0. Lengths are summed over sliding windows of
+start a new line; inline tags do not), each with the length of its text outside
+links. Lines of page furniture (menus, headers, footers, sidebars, notices,
+adverts, forms, comments, by element, role or name) have length 0, and so have
+lines that are mostly links, whatever their names: the items of a menu, a row of
+tags, a list of other stories. Lengths are summed over sliding windows of
 ``WINDOW`` lines; a surge is where the sum leaves 0, a dive where it has gone
-back to 0. Every stretch between a surge and its dive is a candidate; of
-pages that mark their article (``<article>``, ``<main>`` or the matching
-role) the stretches inside the mark are the text, of other pages all
-stretches, short or long, but those that are bare labels: one-word lines that
-are no headings ("Print"), beside a longer stretch.
+back to 0, and the text between them is kept: a line of links between
+paragraphs stays, a list of links of ``WINDOW`` lines or more, or one before the
+first or behind the last paragraph, goes. Stretches count whatever their length,
+a title or a last short paragraph as much as a long one.
+
+On pages that mark their article (``<article>``, ``<main>`` or the matching
+role) only lines inside the mark have a length, and there a line of links has
+one too unless ``WINDOW`` of them follow each other.
 
 Defined results: NULL or empty pages give an empty text. Unclosed and
 misnested tags are taken as browsers do as far as blocks go: a block's end
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 WINDOW = 3
+LINK_SHARE = 2 / 3      # a line with more of its characters in links is a line of links
 # Element names by their role in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -47,8 +53,8 @@ MARKS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottombar copyright "
     "sidebar aside widget widgets related recommended recommendations share sharing social follow "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup "
-    "login search form comment comments commentlist disqus reply replies respond discussion pagination pager tags "
-    "toolbar hidden skip".split())
+    "login search form comment comments commentlist disqus reply replies respond responses feedback discussion "
+    "pagination pager tags toolbar hidden skip cmp onetrust".split())
 # Marks that are plain words too; an id that holds no other is as likely the slug of a title.
 TOPICS = frozenset(
     "advertisement advertising banner sponsor promotion navigation menu header copyright aside widget widgets related "
@@ -57,7 +63,7 @@ TOPICS = frozenset(
     "discussion pagination tags hidden skip".split())
 # Words that go with a mark in the name of a piece of furniture ("cookie-notice", "site-nav").
 PARTS = frozenset(
-    "site page main global top bottom left right upper lower primary secondary box bar block area list item items "
+    "site page main global user users root reader readers top bottom left right upper lower primary secondary box bar block area list item items "
     "wrapper wrap container inner outer section panel unit slot link links button buttons btn icon icons post posts "
     "article articles story stories entry content widget module group row col column sticky fixed mobile desktop "
     "div gpt dfp google js wp".split())
@@ -112,22 +118,31 @@ def _is_furniture(name: str, attributes: str, in_article: bool, by_name: bool) -
     return False
 
 
-def lines(page: str, by_name: bool = True) -> Iterator[tuple[str, bool, bool, bool]]:
-    """The page's blocks in order: ``(text, furniture, in article, heading)``. Inline
-    furniture (a button, a hidden span) is left out of its line. ``by_name``:
-    class and id names mark furniture too."""
+def lines(page: str, by_name: bool = True) -> Iterator[tuple[str, bool, bool, int]]:
+    """The page's blocks in order: ``(text, furniture, in article, length outside
+    links)``; a heading's links count as text. Inline furniture (a button, a
+    hidden span) is left out of its line. ``by_name``: class and id names mark
+    furniture too."""
     # open elements: name, furniture, article, inline furniture
     stack: list[tuple[str, bool, bool, bool]] = []
     bad = article = silent = False
     held: list[str] = []
+    links: list[str] = []       # of the line's pieces, those inside links
     at = 0
 
-    def flush() -> tuple[str, bool, bool, bool] | None:
+    def keep(piece: str) -> None:
+        held.append(piece)
+        if any(x[0] == "a" for x in stack) and not any(x[0] in HEADINGS for x in stack):
+            links.append(piece)
+
+    def flush() -> tuple[str, bool, bool, int] | None:
         if not held:
             return None
         text = " ".join(html_lib.unescape("".join(held)).split())
+        linked = sum(len(" ".join(html_lib.unescape(x).split())) for x in links)
         held.clear()
-        return (text, bad, article, any(x[0] in HEADINGS for x in stack)) if text else None
+        links.clear()
+        return (text, bad, article, max(0, len(text) - linked)) if text else None
 
     def leave(depth: int) -> None:
         nonlocal bad, article, silent
@@ -140,10 +155,10 @@ def lines(page: str, by_name: bool = True) -> Iterator[tuple[str, bool, bool, bo
         m = TAG.search(page, at)
         if m is None:
             if not silent:
-                held.append(page[at:])
+                keep(page[at:])
             break
         if m.start() > at and not silent:
-            held.append(page[at:m.start()])
+            keep(page[at:m.start()])
         at = m.end()
         name = m[2].lower() if m[2] else ""
         if not name:
@@ -223,19 +238,31 @@ def main_text(page: str | None) -> str:
     return _select(list(lines(page))) or _select(list(lines(page, by_name=False)))
 
 
-def _select(rows: list[tuple[str, bool, bool, bool]]) -> str:
+def weights(rows: list[tuple[str, bool, bool, int]]) -> list[int]:
+    """The length of each line: 0 for furniture, for what lies outside a marked
+    article, and for lines of links."""
     marked = any(article and not bad for _, bad, article, _ in rows)
-    lengths = [0 if bad or marked and not article else len(text) for text, bad, article, _ in rows]
-    found = stretches(lengths)
-    if not marked and len(found) > 1:
-        longest = max(found, key=lambda x: sum(lengths[x[0]:x[1]]))
-        found = [x for x in found if x == longest or not all(
-            _is_label(rows[k]) for k in range(*x) if lengths[k])]
-    return "\n".join(rows[k][0] for a, b in found for k in range(a, b) if lengths[k])
+    out, run = [], 0
+    for text, bad, article, plain in rows:
+        if bad or marked and not article:
+            out.append(0)
+            run = 0
+        elif len(text) - plain <= LINK_SHARE * len(text):
+            out.append(plain)
+            run = 0
+        else:
+            # inside a mark, a line of links is text until there are too many
+            run += 1
+            out.append(len(text) if marked and run < WINDOW else 0)
+            if run == WINDOW:
+                out[-WINDOW:] = [0] * WINDOW
+    return out
 
 
-def _is_label(row: tuple[str, bool, bool, bool]) -> bool:
-    return row[0].isascii() and row[0].isalpha() and not row[3]
+def _select(rows: list[tuple[str, bool, bool, int]]) -> str:
+    marked = any(article and not bad for _, bad, article, _ in rows)
+    return "\n".join(rows[k][0] for a, b in stretches(weights(rows)) for k in range(a, b)
+                     if not rows[k][1] and (rows[k][2] or not marked))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -254,4 +281,4 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
         run, StructType([*fields, StructField("text", StringType()), StructField("n_chars", LongType())]))
 
 
-__all__ = ["lines", "stretches", "main_text", "extract", "WINDOW"]
+__all__ = ["lines", "weights", "stretches", "main_text", "extract", "WINDOW"]
