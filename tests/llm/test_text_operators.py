@@ -34,7 +34,8 @@ def test_marked_article(wrap):
 def test_unmarked_article_by_line_blocks():
     assert html_extract.main_text(PAGE % (f"<div class='content'>{BODY}</div>", "reader " * 80)) == TEXT
     far = "<p>tiny</p>" + "<div class='ad'>x</div>" * 4 + "".join(f"<p>{'word ' * 30}{k}</p>" for k in range(5))
-    assert html_extract.main_text(far).startswith("word") and html_extract.main_text(far).count("\n") == 4
+    # nothing but furniture goes, however short a stretch is
+    assert html_extract.main_text(far).startswith("tiny\nword") and html_extract.main_text(far).count("\n") == 5
 
 
 def test_names_that_only_mention_furniture():
@@ -49,8 +50,10 @@ def test_unmarked_page_keeps_short_stretches_beside_furniture():
     bar = "<div class='share'>x</div>" * 4
     body = "".join(f"<p>{'word ' * 200}{k}.</p>" for k in range(5))
     text = html_extract.main_text(f"<body><nav>menu</nav><h1>Berlin</h1>{bar}<p>A short lead.</p>{bar}{body}{bar}<p>The end</p>"
-                                  f"<p>Done.</p>{bar}<p>Print</p>{bar}<footer>f</footer></body>").split("\n")
+                                  f"<p>Done.</p>{bar}<p><a href='?p'>Print</a></p>{bar}<footer>f</footer></body>").split("\n")
     assert text[:2] == ["Berlin", "A short lead."] and text[-2:] == ["The end", "Done."] and len(text) == 9
+    last = html_extract.main_text(f"<body><h1>Prayer</h1><p>{'word ' * 200}</p>{'<nav>x</nav>' * 3}<p>Amen</p></body>")
+    assert last.split("\n")[::2] == ["Prayer", "Amen"]
 
 
 SLUGS = """<h2 id="how-to-search-and-replace">Search and replace</h2><p>All of it.</p><section id="discussion"><h2>Discussion</h2>
@@ -69,6 +72,48 @@ def test_slugs_of_titles_are_no_furniture(wrap):
     assert html_extract.main_text(f"<body>{old}<div><p>Just this.</p></div></body>") == "Just this."
 
 
+def test_links_decide_where_names_do_not():
+    menu = "<ul><li><a href='/'>Home page</a><li><a href='/a'>About us</a></ul>"
+    row = "<div><a href='/x'>News</a> | <a href='/y'>Sport</a> | <a href='/z'>Money</a></div>"
+    story = "<p>One paragraph with <a href='#'>a link</a> in it.</p><p>And a second.</p>"
+    more = "<ul>" + "".join(f"<li><a href='/{k}'>Another story {k}</a>" for k in range(4)) + "</ul>"
+    want = "The title\nOne paragraph with a link in it.\nAnd a second."
+    title = "<h1><a href='/t'>The title</a></h1>"
+    assert html_extract.main_text(f"<body>{menu}{row}{title}{story}{more}{row}</body>") == want
+    # between paragraphs a line of links is text, a list of them is not
+    one = html_extract.main_text(f"<body>{menu}{title}{story}<p><a href='/s'>The source</a></p><p>The end.</p>{more}</body>")
+    assert one == want + "\nThe source\nThe end."
+    assert html_extract.main_text(f"<body>{title}{story}{more}<p>The end.</p></body>") == want + "\nThe end."
+    marked = f"<body>{menu}<article>{title}{story}<p><a href='/s'>The source</a></p>{more}</article>{more}</body>"
+    assert html_extract.main_text(marked) == want
+    assert html_extract.main_text(marked.replace(more, "")) == want + "\nThe source"
+
+
+def test_comments_and_consent_by_their_names():
+    no = ("<section class='user-feedback'><p>I liked it a lot.</p></section><div id='reader-responses'><p>Me too.</p></div>"
+          "<div class='cmp-root'><p>We value your privacy.</p></div>")
+    for wrap in ("<article>%s</article>", "<div>%s</div>"):
+        assert html_extract.main_text("<body>" + wrap % f"<h1>T</h1><p>Body.</p>{no}" + "</body>") == "T\nBody."
+
+
+def test_lines_kept_like_plain_distances():
+    """A line with a length stays; one of links stays if lines with a length
+    stand before and behind it, less than a window apart."""
+    rng = random.Random(6)
+    for _ in range(300):
+        rows = [("x" * rng.randint(1, 9), rng.random() < .2, False, rng.choice([0, 0, 9])) for _ in range(rng.randint(0, 14))]
+        rows = [(t, bad, art, min(plain, len(t))) for t, bad, art, plain in rows]
+        rows = [(f"{t}{k}", bad, art, plain and plain + len(str(k))) for k, (t, bad, art, plain) in enumerate(rows)]
+        heavy = [k for k, (_, bad, _, plain) in enumerate(rows) if plain and not bad]
+        want = []
+        for k, (text, bad, _, _) in enumerate(rows):
+            before, behind = [h for h in heavy if h < k], [h for h in heavy if h > k]
+            near = before and behind and behind[0] - before[-1] <= html_extract.WINDOW
+            if not bad and (k in heavy or near):
+                want.append(text)
+        assert html_extract._select(rows) == "\n".join(want)
+
+
 def test_surge_and_dive():
     assert html_extract.stretches([0, 0, 5, 0, 7, 0, 0, 0, 3, 0]) == [(2, 5), (8, 9)]
     assert html_extract.stretches([]) == [] and html_extract.stretches([0, 0]) == []
@@ -255,6 +300,32 @@ def test_contamination_edges(spark, monkeypatch):
     assert sorted(((r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect()), key=str) == got
 
 
+def test_items_of_any_length(spark, monkeypatch):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+    of = lambda n: " ".join(word() for _ in range(n // 4 + 1))[:n].strip()
+    items = {n: of(n) for n in (12, 13, 20, 36, 39, 40, 41, 81, 5_000, 700_000, 2 << 20)}
+    items = {k: t for k, t in items.items() if len(t) >= 12}
+    fill = of(600_000)
+    docs = [(k, f"{fill} {t} {of(3000)}") for k, t in items.items()] + [(1, fill)]
+    docs += [(1000 + k, f"{of(50)}x{t}y {of(50)}") for k, t in items.items() if k < 40]     # inside longer words
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for piece in (1 << 16, decontaminate.PIECE):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        got = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.contamination(frame, bench).collect()}
+        assert got == {(k, k, 0) for k in items}
+
+
+def test_items_without_an_id(spark):
+    a, b = "the first of two benchmark items, quite long enough", "the other of the two benchmark items, long enough too"
+    bench = spark.createDataFrame([(1, a), (None, a), (None, b)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {a}"), (2, f"{b} y"), (3, "z")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect()), key=str)
+    assert got == [(1, 1), (2, None)]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [3]
+
+
 def test_contamination_normalises_items_and_documents_alike(spark):
     item = "this is one whole benchmark item, long enough to count as one of them, and in it ο δρομος της πολης, istanbul"
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")

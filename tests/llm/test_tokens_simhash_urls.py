@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -193,6 +194,18 @@ def test_url_rules_edges(spark):
     assert len(none) == len(urls) and all(r.verdict == "allow" and r.rule is None for r in none)
 
 
+def test_rules_are_fetched_by_the_short_hash_alone(spark):
+    tried = spark.createDataFrame([("u", "ab" * 32, 1), ("v", "cd" * 32, 1)], "__url string, h string, short long")
+    table = spark.createDataFrame([("net", "ab" * 32, 1)], "r_host string, digest string, short long")
+    for hint in ("merge", "broadcast", "shuffle_hash"):
+        df = url_filter.fetched(tried, table.hint(hint))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        join = next(line for line in plan.split("\n") if "Join" in line)
+        keys = re.findall(r"\[([^\]]*)\]", join)[:2]
+        assert all(re.fullmatch(r"short#\d+L", k) for k in keys), join
+        assert [r["__url"] for r in df.collect()] == ["u"]
+
+
 def test_url_query_against_sql(spark, duck):
     got = sorted(map(tuple, queries.op10_url_filter(spark, SF).collect()), key=str)
     want = sorted(duck.sql(f"select page_id, host, path, rule, verdict from ({queries.ORACLE['op10_url_filter']})")

@@ -69,6 +69,38 @@ def test_vectors_repeated_rows_and_empty(spark):
     assert near_vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_extreme_size(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [1e200, 1e199], 1), (3, [3.0, 0.1], 1), (4, [5e-324, 0.0], 1), (5, [0.0, 1e308], 1),
+            (6, [1e-160, 1e-160], 1), (7, [2.0, 2.0], 1), (8, [1e308, 1e308], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(frame).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (2, 6), 7: (2, 6), 8: (2, 6)}
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark, duck):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.1], 1), (2, [1.0, 0.05], 1), (1, [0.0, 1.0], 2), (3, [0.0, 1.0], 2),
+            (9, [-1.0, 0.0], 1), (0, [-1.0, 0.1], 1), (0, [0.0, 1.0], 1), (5, [0.1, 1.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, near_vectors.near_vectors(frame).collect()))
+    assert got == [(0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False),
+                   (3, 1, 1, False), (5, 1, 0, False), (9, 1, 0, False)]
+    table = "(values " + ", ".join(f"({i}, {v}::float[], {label})" for i, v, label in rows) + ") as embeddings(vec_id, embedding, label)"
+    sql = queries.ORACLE["op1_near_vectors"].replace("FROM embeddings e", "FROM given e").replace("FROM embeddings", "FROM given")
+    sql = sql.replace("WITH RECURSIVE", f"WITH RECURSIVE given AS (SELECT * FROM {table}),", 1)
+    assert sorted(duck.sql(sql).fetchall()) == got
+
+
+@pytest.mark.parametrize("held", [8 * 2 * 16, 1 << 24])
+def test_parts_of_a_cell_lose_nothing(spark, monkeypatch, held):
+    monkeypatch.setattr(near_vectors, "HELD_BYTES", held)
+    rng = np.random.default_rng(9)
+    rows = [(k, [float(x) for x in np.float32(rng.normal(size=2))], k % 2) for k in range(150)]
+    got = {r.vec_id: r for r in near_vectors.near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), block=5).collect()}
+    n, comp = plain_vectors(rows)
+    assert {i: r.n_links for i, r in got.items()} == n and {i: r.component_id for i, r in got.items()} == comp
+
+
 def test_tile_ends_early_but_loses_nothing():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(40, 32))[rng.integers(0, 40, 300)] + .25 * rng.normal(size=(300, 32))
