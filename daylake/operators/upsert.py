@@ -62,3 +62,14 @@ def replace_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def merge_condition(keys: Sequence[str], left: str = "target", right: str = "delta") -> str:
     """K3: ``target.k1 = delta.k1 AND ...`` for a SQL ``MERGE`` or join."""
     return " AND ".join(f"{left}.{k} = {right}.{k}" for k in keys)
+
+
+def merge_on_condition(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The upsert as one join of the relations ``target`` and ``delta``
+    on ``merge_condition``: matched and new rows from ``delta``, others from
+    ``target``. One shuffle of both sides by key; ``merge_by_key`` moves less
+    when the source is small, this one suits sources as large as the target."""
+    given = source.withColumn("in_delta", F.lit(True))
+    both = target.alias("target").join(given.alias("delta"), F.expr(merge_condition(keys)), "full")
+    return both.select(*[F.when(F.col("delta.in_delta"), F.col(f"delta.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+                         for c in target.columns])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from daylake.plans import queries as Q
 from daylake.plans import queries_versions as V
+from daylake.plans.oracle import ORACLE as TABLE_ORACLE
 from daylake.plans.oracle import YMD, cdc_w, first_w, last_events
 
 YEAR = "strftime(o_orderdate, '%Y')"
@@ -23,6 +24,7 @@ LOADS = (
     "k AS (SELECT *, least(null1, 1) AS one1, least(null2, 1) AS one2 FROM n) ")
 
 ORACLE: dict[str, str] = {
+    "merge_on_condition": TABLE_ORACLE["merge_upsert_composite"],
     "snapshot_after_upsert":
         "WITH o AS (SELECT o_orderkey, "
         f"CASE WHEN o_totalprice < {CHEAP / 4} THEN '1990' ELSE {YEAR} END AS o_year, "

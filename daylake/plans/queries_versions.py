@@ -15,19 +15,18 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.functions.lineage import name_date
-from daylake.operators.filters import day_filter
+from daylake.operators.dedup import latest_per_key
+from daylake.operators.upsert import merge_on_condition
 from daylake.plans import manifest
 from daylake.plans.datasets import EVENTS
 from daylake.plans.jobs import CDC_LOAD, FULL_LOAD, bronze_to_gold, raw_to_bronze, rebuild_bronze, rejected_table
 from daylake.plans.landed import write_dated_csv
 from daylake.plans.publish import (apply_upsert, index_keys, plan_upsert, read_version, register_external, remove_orphans,
                                    restore_version, stage, table_location, truncate, upsert_partitions, write_table)
-from daylake.plans.queries import (BAD_KEY_EVERY, CHEAP, LANDING_SPLIT, TS_FORMAT, _events_out, _lake, _land, _read,
-                                   _unique, landing)
+from daylake.plans.queries import (BAD_KEY_EVERY, CHEAP, LANDING_SPLIT, LINEITEM_KEYS, LINEITEM_SOURCE_FROM,
+                                   LINEITEM_TARGET_BEFORE, TS_FORMAT, _events_out, _lake, _land, _read, landing)
 from daylake.plans.report import read_log
 from daylake.session import run_folder
-from daylake.sources.landing import RFC4180
 from daylake.sources.tables import read_snapshot
 from daylake.streaming import stream_to_bronze
 
@@ -55,6 +54,15 @@ def _changed(orders: DataFrame, where, status: str) -> DataFrame:
                  f"{run_folder(orders.sparkSession, 'changed')}/source")
 
 
+def q_merge_on_condition(spark, sf_dir):
+    """The upsert as a full join of ``target`` and ``delta`` on the merge
+    condition of a composite key."""
+    rows = _read(spark, sf_dir, "lineitem")
+    old, new = (latest_per_key(rows.where(w), LINEITEM_KEYS, ["l_shipdate desc"])
+                for w in (F.col("l_shipdate") < F.lit(LINEITEM_TARGET_BEFORE), F.col("l_shipdate") >= F.lit(LINEITEM_SOURCE_FROM)))
+    return merge_on_condition(old, new, LINEITEM_KEYS).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
 def q_snapshot_after_upsert(spark, sf_dir):
     """After an upsert the catalog, a read by path and a
     registration over the folder give the same rows."""
@@ -313,6 +321,7 @@ def q_run_log(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "merge_on_condition": q_merge_on_condition,
     "snapshot_after_upsert": q_snapshot_after_upsert,
     "publish_wider_type": q_publish_wider_type,
     "upsert_two_writers": q_upsert_two_writers,
