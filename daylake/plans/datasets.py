@@ -26,6 +26,7 @@ class Dataset:
     bind_by_header: bool = False    # columns by the header's names, not by position (D8)
     quarantine: bool = False        # bad rows go to <table>_rejected instead of the table (D9)
     key_index: bool = False         # index the table's keys, for upserts of few keys
+    retention_hours: float = 0.0    # how long superseded files stay, for readers of older versions
 
 
 POLICY = Dataset("policy", RAW_POLICY, BRONZE_POLICY, ["policy_id"], GOLD_POLICY,

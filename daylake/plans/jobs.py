@@ -23,8 +23,8 @@ from daylake.operators.dedup import latest_per_key
 from daylake.operators.filters import day_filter
 from daylake.operators.upsert import null_key
 from daylake.plans.datasets import Dataset
-from daylake.plans.publish import (index_keys, partition_rows, replace_table, stage, table_location, upsert_partitions,
-                                   upsert_table, write_table)
+from daylake.plans.publish import (index_keys, may_hold, partition_rows, replace_table, stage, table_location,
+                                   upsert_partitions, upsert_table, write_table)
 from daylake.plans.report import log_report, run_report
 from daylake.session import conf_override, remove_folder, run_folder
 from daylake.sources import ledger as ledgers
@@ -152,12 +152,16 @@ def load_bronze(spark: SparkSession, ds: Dataset, raw: DataFrame, table: str, wo
             index_keys(spark, table, ds.keys)
     else:
         if newest_wins:
-            latest = _newer_than_table(spark.table(table), latest, ds)
+            target = spark.table(table)
+            if ds.key_index:    # only the partitions that may hold one of the keys
+                latest = stage(latest, f"{work}/latest-given", rebalance_by=ds.partitions)
+                target = may_hold(spark, table, latest, ds.keys)
+            latest = _newer_than_table(target, latest, ds)
         staged = stage(latest, f"{work}/latest", rebalance_by=ds.partitions,
                        observation=kept, metrics=rows)
         stats = upsert_table(spark, table, staged, ds.keys, source_unique=True,
                              replay_by=["file_name"] if "file_name" in staged.columns else (),
-                             **(upsert_limits or {}))
+                             **{"retention_hours": ds.retention_hours, **(upsert_limits or {})})
         kind, before, after = "upsert", stats.rows_before, stats.rows_after
         fields = _rewrite_fields(stats)
     if rejects:
@@ -270,17 +274,24 @@ def rebuild_bronze(spark: SparkSession, ds: Dataset, landing_root: str, table: s
     seen, typed_seen, kept = Observation("source"), Observation("typed"), Observation("kept")
     raw = _scan(spark, ds, sources, start, final).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("corrupt"), *cast_failures(ds.bronze_mapping))
-    typed = stage(conform(raw, ds), f"{work}/typed", observation=typed_seen, metrics=[_null_keys(ds)])
+    rejected, rejects = None, 0
+    if ds.quarantine:
+        typed, rejected = _split_rejected(raw, lambda df, keep: _conform_with(df, ds, keep), ds, f"{work}/typed", typed_seen)
+        rejects = typed_seen.get["rejected"]
+    else:
+        typed = stage(conform(raw, ds), f"{work}/typed", observation=typed_seen, metrics=[_null_keys(ds)])
     before = sum(partition_rows(spark, table).values())
     replace_table(spark, table, latest_per_key(typed, ds.keys, ds.order_by), retention_hours,
                   observation=kept, metrics=[F.count(F.lit(1)).alias("rows")])
+    if rejects:
+        _keep_rejected(spark, rejected_table(table), rejected)
     remove_folder(spark, work)
     src, files = seen.get, file_counts(spark, sources, start, final)
     report = run_report(spark, stage="bronze", load_kind="rebuild", start_date=start, final_date=final, source=root,
                         target=table, qtty_before=before, qtty_source=src["rows"], qtty_after=kept.get["rows"],
                         null_keys=typed_seen.get["null_keys"], corrupt_lines=src["corrupt"],
-                        bad_values=sum(v for k, v in src.items() if k.startswith("bad_")), rows_quarantined=0,
-                        rows_dropped=src["rows"] - kept.get["rows"], files_outside=files["files_outside"],
+                        bad_values=sum(v for k, v in src.items() if k.startswith("bad_")), rows_quarantined=rejects,
+                        rows_dropped=src["rows"] - rejects - kept.get["rows"], files_outside=files["files_outside"],
                         files_undated=files["files_undated"])
     if log:
         log_report(report, log)
@@ -346,7 +357,8 @@ def bronze_to_gold(spark: SparkSession, ds: Dataset, source_table: str, target_t
         # bronze holds each non-NULL key once if this library wrote it; a
         # registered table may not, so the keys are made distinct here
         stats = upsert_table(spark, target_table, staged, ds.keys,
-                             replay_by=["file_name"] if "file_name" in staged.columns else ds.partitions)
+                             replay_by=["file_name"] if "file_name" in staged.columns else ds.partitions,
+                             retention_hours=ds.retention_hours)
         counts = dict(load_kind="upsert", qtty_before=stats.rows_before, qtty_after=stats.rows_after,
                       **_rewrite_fields(stats))
     report = dict(qtty_source=kept.get["rows"], null_keys=kept.get["null_keys"], rows_dropped=0,

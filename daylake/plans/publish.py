@@ -241,7 +241,9 @@ def plan_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequen
     schema, stale = reconcile(spark.table(table).schema, source.schema, parts, table)
     target = _typed(spark.table(table), schema)
     columns = schema.fieldNames()
-    src = _typed(source, schema)
+    # an empty text is no folder name: Spark writes it to the NULL partition
+    src = _typed(source, schema).withColumns({p: F.nullif(F.col(p), F.lit("")) for p in parts
+                                              if isinstance(schema[p].dataType, StringType)})
 
     # one pass over the (staged) source: rows per partition, and upper bounds
     # of the key count and key bytes for the broadcast check
@@ -334,6 +336,8 @@ def apply_upsert(spark: SparkSession, plan: UpsertPlan, retention_hours: float =
         written = manifest.written_entries(spark, root, run, plan.schema, plan.partitions)
         if (rows := sum(e.rows for e in written.values())) != plan.rows_written:
             raise RuntimeError(f"{plan.table}: wrote {rows} rows, planned {plan.rows_written}")
+        if other := set(written) - set(stats.partitions_rewritten):
+            raise RuntimeError(f"{plan.table}: wrote partitions that were not planned, such as {other.pop()}")
         base, gone = manifest.expired(base, retention_hours)
         new = base.following(written, stats.partitions_dropped, plan.schema)
         if indexed := key_index.keys_of(spark, root):
@@ -443,6 +447,18 @@ def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
     key_index.build(spark, root, m, keys, m.entries, f"all-{uuid.uuid4().hex[:12]}")
 
 
+def may_hold(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table's partitions that may hold a key of ``source``, by the key
+    index; the whole table without one."""
+    root = table_location(spark, table)
+    m = manifest.latest(spark, root)
+    if m is None:
+        return spark.table(table)
+    n_keys = source.where(~null_key(keys)).count()
+    only = key_index.candidates(spark, root, m, source, keys, n_keys, False)
+    return manifest.frame(spark, root, m, only)
+
+
 def partition_rows(spark: SparkSession, table: str) -> dict[tuple, int]:
     """Rows per partition: from the manifest, else from the file footers; of a
     table without partitions its rows under the empty name."""

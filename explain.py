@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,9 +23,11 @@ from daylake.operators.upsert import unmatched  # noqa: E402
 from daylake.plans import queries as Q  # noqa: E402
 from daylake.plans.datasets import EVENTS  # noqa: E402
 from daylake.plans.jobs import conform, earliest_day, raw_to_bronze  # noqa: E402
-from daylake.plans.publish import key_frame, plan_upsert, stage, stats_frame  # noqa: E402
+from daylake.plans import key_index, manifest  # noqa: E402
+from daylake.plans.publish import (key_frame, plan_upsert, read_version, stage, stats_frame,  # noqa: E402
+                                   table_location)
 from daylake.session import conf_override, get_session, run_folder  # noqa: E402
-from daylake.sources.landing import scan_dated  # noqa: E402
+from daylake.sources.landing import scan_by_header, scan_dated  # noqa: E402
 
 NOTES = {
     "dated_scan": "Window 2024-01-10..11 over full-load/. The name-date filter is a "
@@ -44,6 +47,12 @@ NOTES = {
                             "large source gets): a sort-merge left join whose target side "
                             "shuffles only the key and partition columns (ReadSchema); "
                             "rows with a NULL key go past the join.",
+    "upsert_stats_by_index": "The same stats pass with a key index, for a source of one key: only the "
+                             "folders whose key range and Bloom filter admit it are scanned, by the "
+                             "manifest's version.",
+    "read_version": "The table read by path at its latest version: one scan of the first load's folders "
+                    "and one of the folders of later runs.",
+    "header_binding": "CSV bound by header names: one scan per distinct header, unioned by name.",
     "upsert_rewrite": "Rewrite of the touched partitions only: `PartitionFilters` on the "
                       "target scan, broadcast anti join, union with the staged source. No "
                       "shuffle of the target.",
@@ -141,6 +150,17 @@ def main():
     for label, small in (("upsert_stats", True), ("upsert_stats_shuffle", False)):
         frames[label] = stats_frame(target, key_frame(src, EVENTS.keys, small, True), EVENTS.keys,
                                     EVENTS.partitions, replayed)
+    indexed = f"{db}.events_indexed"
+    raw_to_bronze(spark, replace(EVENTS, key_index=True), root, indexed)
+    raw_to_bronze(spark, EVENTS, root, indexed)
+    where, m = table_location(spark, indexed), manifest.latest(spark, table_location(spark, indexed))
+    one = stage(src.limit(1), f"{run_folder(spark, 'explain')}/one")
+    may = key_index.candidates(spark, where, m, one, EVENTS.keys, 1, False)
+    frames["upsert_stats_by_index"] = stats_frame(manifest.frame(spark, where, m, may),
+                                                  key_frame(one, EVENTS.keys, True, True), EVENTS.keys, EVENTS.partitions)
+    frames["read_version"] = read_version(spark, indexed).groupBy("year", "month").count()
+    frames["header_binding"] = scan_by_header(spark, f"{root}/full-load", schema, "2024-01-10", "2024-01-11",
+                                              EVENTS.csv_options, ["user_id"])
     as_run = dict(source_unique=True, replay_by=["file_name"])
     plan = plan_upsert(spark, bronze, src, EVENTS.keys, **as_run)
     frames["upsert_rewrite"] = plan.rewrite

@@ -79,6 +79,14 @@ def test_typed_partitions_by_path(spark, lake):
     assert [v for _, v, _ in _all_ways(spark, table)] == ["new"] * 5 + ["old"] * 35
 
 
+def test_empty_and_null_partitions_are_one(spark, lake):
+    table = f"{lake}.void"
+    write_table(spark.createDataFrame([(1, "a", "2024", "02", None), (2, "b", "2024", "02", "01"), (3, "c", "2024", "02", "")],
+                                      SCHEMA), table, PARTS)
+    upsert_partitions(spark, table, spark.createDataFrame([(4, "d", "2024", "02", ""), (2, "B", "2024", "02", None)], SCHEMA), ["k"])
+    assert _all_ways(spark, table) == [(1, "a", None), (2, "B", None), (3, "c", None), (4, "d", None)]
+
+
 def test_a_second_entry_over_the_folder_catches_up(spark, lake):
     table = _ten_days(spark, lake)
     upsert_partitions(spark, table, spark.createDataFrame([(1, "a", "2024", "02", "02")], SCHEMA), ["k"])
