@@ -7,10 +7,13 @@ margin) wins. Features are relative frequencies of hashed byte n-grams of the
 lower-cased text with everything but letters as one space, so a text's
 margins are means of per-gram weights over the whole text.
 
-Training: up to ``PER_LANGUAGE`` labelled documents of each language, drawn
-by a hash of the id (the documented bound of the sample); everything else
-runs over all documents. The family of a language is read from ``FAMILIES``;
-languages not listed form the family ``other``.
+Training: a sample of labelled documents, drawn by a hash of the id, bounded
+whatever the labels hold: the ``MAX_LANGUAGES`` labels of most documents, up to
+``PER_LANGUAGE`` documents of each and ``MAX_ROWS`` in all. Rarer labels are not
+learned. Everything else runs over all documents. The family of a language is
+read from ``FAMILIES``; languages not listed are grouped into families of up to
+``FAMILY_SIZE`` by the likeness of their mean features, so that the machines grow
+with the languages and not with their square.
 
 Defined results: a NULL text or one without letters is ``und`` with score 0.
 Without labelled rows every text is ``und``. Repeated rows come back
@@ -32,7 +35,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from daylake.llm.features import gram_counts, gram_sums, pieces
 
 GRAMS, BITS = (2, 3, 4), 14
-PER_LANGUAGE = 250
+PER_LANGUAGE, MAX_LANGUAGES, MAX_ROWS = 250, 100, 8_000
+FAMILY_SIZE = 8
 UNKNOWN = "und"
 # Language codes by family.
 FAMILIES = {
@@ -71,14 +75,31 @@ def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) -
     return x.T @ (alpha * y), float((alpha * y).sum())
 
 
+def grouped(means: np.ndarray, size: int = FAMILY_SIZE) -> list[int]:
+    """A group number per row of class means: centres are picked farthest from
+    each other, then the closest pairs of class and centre first, ``size`` classes
+    a centre at most."""
+    n = len(means)
+    unit = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-12)
+    centres = [0]
+    while len(centres) < -(-n // size):
+        centres.append(int((unit @ unit[centres].T).max(axis=1).argmin()))
+    like = unit @ unit[centres].T
+    out, room = [-1] * n, [size] * len(centres)
+    for flat in np.argsort(-like, axis=None, kind="stable"):
+        k, c = divmod(int(flat), len(centres))
+        if out[k] < 0 and room[c]:
+            out[k], room[c] = c, room[c] - 1
+    return out
+
+
 class Model:
     """Families, languages and one weight column per pair of either."""
 
     def __init__(self, languages: list[str], counts: np.ndarray, label: np.ndarray) -> None:
         family = {code: name for name, codes in FAMILIES.items() for code in codes}
         self.languages = languages
-        self.of = [family.get(x.split("-")[0].lower(), "other") for x in languages]
-        self.families = sorted(set(self.of))
+        self.of = [family.get(x.split("-")[0].lower(), "") for x in languages]
         if not len(counts):
             counts = np.zeros((1, counts.shape[1]), np.float32)  # no rows: no pairs are trained either
         freq = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
@@ -86,6 +107,12 @@ class Model:
         x = (freq * scale).astype(np.float32)
         x_norm = float(np.sqrt((x * x).sum(axis=1).mean())) or 1.0
         x /= x_norm
+        if unlisted := [k for k, f in enumerate(self.of) if not f]:
+            means = np.array([x[label == k].mean(axis=0) for k in unlisted])
+            groups = grouped(means)
+            for k, g in zip(unlisted, groups):
+                self.of[k] = f"other-{g}" if max(groups) else "other"
+        self.families = sorted(set(self.of))
         fam = np.array([self.families.index(f) for f in self.of])
         self.pairs: list[tuple[str, int, int]] = []
         columns, self.bias = [], []
@@ -165,10 +192,14 @@ def _count_sample(sample: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]
 
 def train(docs: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on up to ``per_language`` documents of each language among the rows
-    ``usable`` says."""
+    """Fit on up to ``per_language`` documents of each language (and ``MAX_ROWS``
+    in all) among the rows ``usable`` says."""
     pool = docs.where(usable & F.col(lang).isNotNull() & (F.col(lang) != UNKNOWN) & F.col(text).rlike(_LETTER))
     ids = pool.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
+    common = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    names = [r["lang"] for r in common]
+    per_language = max(1, min(per_language, MAX_ROWS // max(1, len(names))))
+    pool, ids = (df.where(F.col(c).isin(names)) for df, c in ((pool, lang), (ids, "lang")))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     drawn = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("id")
     sample = pool.join(F.broadcast(drawn.distinct()), F.col(doc_id) == F.col("id"), "left_semi")
