@@ -3,8 +3,10 @@
 Features: log counts of hashed n-grams over the text's character classes
 (case, digits, white space, each punctuation mark) and over its lower-cased
 bytes, weighted by inverse document frequency, and the shares of words that
-repeat the word before or the one before that, or any earlier word. A truncated singular value decomposition of the
-labelled sample gives the latent-semantic axes. The labelled vectors
+repeat the word before, the one before that, or one of the ``NEAR`` words before
+(what is over a half of the words, doubled: half is usual in good text). None of
+the shares depends on a text's length. A truncated singular value decomposition
+of the labelled sample gives the latent-semantic axes. The labelled vectors
 (``SAMPLE`` rows at most, so a few hundred kB) are broadcast; every document
 is projected and compared with all of them, block by block, by exact cosine.
 The ``NEIGHBOURS`` most similar vote with their similarity as weight.
@@ -21,7 +23,6 @@ repeated rows come back repeated.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from daylake.llm.features import gram_counts, pieces
+from daylake.llm.words import Words
 
 BITS = 11
 SHAPE_GRAMS, BYTE_GRAMS = (1, 2, 3, 4), (3,)
 EXTRA, EXTRA_WEIGHT = 3, 0.7  # shares of repeated words, beside n-grams of length 1
+NEAR = 50
 WIDTH = 2 * (1 << BITS) + EXTRA
 SAMPLE, AXES, NEIGHBOURS = 2000, 32, 25
 BLOCK = 1024
@@ -62,15 +65,27 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for run, owner, starts in pieces(part, codes, None, grams, pad=False):
                 counts = gram_counts(run, starts, grams, BITS)
                 np.add.at(total[:, at:at + (1 << BITS)], owner, counts)
-        for k, text in enumerate(part):
-            words = text.as_py().split()
-            if len(words) > 1:
-                n = len(words)
-                total[k, -3:] = (sum(map(eq, words, words[1:])) / n, sum(map(eq, words, words[2:])) / n,
-                                 min(1.0, 2 * max(0.0, 0.5 - len(set(words)) / min(n, 400))))
+        total[:, -EXTRA:] = _repeats(part)
         yield np.arange(s, s + len(part)), total
 
 
+def _repeats(texts: pa.Array) -> np.ndarray:
+    """Per text the shares of words that equal the word before, the one before
+    that, and, as far as they are over a half, one of the ``NEAR`` before."""
+    words = Words(texts)
+    owner, ids, n = words.owner, words.ids, np.maximum(words.counts, 1)
+    out = np.zeros((len(n), EXTRA))
+    for lag in (1, 2):
+        same = (ids[lag:] == ids[:-lag]) & (owner[lag:] == owner[:-lag])
+        out[:, lag - 1] = np.bincount(owner[lag:][same], minlength=len(n)) / n
+    key = owner * (int(ids.max(initial=0)) + 1) + ids
+    order = np.argsort(key, kind="stable")
+    a, b = order[:-1], order[1:]
+    near = b[(key[a] == key[b]) & (b - a <= NEAR)]
+    out[:, 2] = np.clip(2 * (np.bincount(owner[near], minlength=len(n)) / n - 0.5), 0, 1)
+    return out
+
+
 class Model:
     """Axes, weights and the labelled vectors."""
 
