@@ -79,8 +79,8 @@ def token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found by select."""
     path = run_folder(spark, "tokens")
     wavelet.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
-    n = wavelet.count_token(spark, path, wavelet.END_ID).agg(F.sum("n").alias("n_all"))
-    return wavelet.locate_token(spark, path, wavelet.END_ID).join(F.broadcast(n))
+    n = wavelet.count_token(spark, path, wavelet.END_ID).agg(F.sum("n")).first()[0] or 0
+    return wavelet.locate_token(spark, path, wavelet.END_ID).withColumn("n_all", F.lit(n).cast("long"))
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
