@@ -185,6 +185,60 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.lang == r.lang_pred for r in held) >= .97 * len(held) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_votes_like_brute_force():
+    rng = np.random.default_rng(12)
+    codes = ["en", "de", "nl", "fr", "es", "xa", "xb", "xc"]
+    base = rng.random((len(codes), 1 << langid.BITS)) < .01
+    label = np.repeat(np.arange(len(codes)), 12)
+    counts = (rng.poisson(3, (len(label), 1 << langid.BITS)) * (base[label] | (rng.random((len(label), 1 << langid.BITS)) < .002))).astype(np.float32)
+    m = langid.Model(codes, counts, label)
+    assert m.of[:5] == ["germanic"] * 3 + ["romance"] * 2 and m.of[5:] == ["other"] * 3
+    margins = counts / counts.sum(axis=1, keepdims=True) @ m.weights[:-1] + np.array(m.bias)
+    margins = np.concatenate((margins, rng.normal(size=(60, margins.shape[1])) * .2))
+    best, score = m.decide(margins)
+    assert (best[:len(label)] == label).mean() > .95
+
+    def tally(row, kind, members):
+        votes, total, sure = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0), dict.fromkeys(members, 1.0)
+        for k, (what, a, b) in enumerate(m.pairs):
+            if what == kind and a in votes and b in votes:
+                votes[a if row[k] >= 0 else b] += 1
+                total[a] += row[k]
+                total[b] -= row[k]
+                p = 1 / (1 + np.exp(-4 * row[k]))
+                sure[a], sure[b] = min(sure[a], p), min(sure[b], 1 - p)
+        won = max(members, key=lambda x: (votes[x], total[x], -x))
+        return won, sure[won]
+
+    for row, k, s in zip(margins, best, score):
+        family, p = tally(row, "family", list(range(len(m.families))))
+        language, q = tally(row, "language", [i for i, f in enumerate(m.of) if f == m.families[family]])
+        assert language == k and abs(p * q - s) < 1e-9
+
+
+def test_many_labels_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 5)
+    monkeypatch.setattr(langid, "MAX_ROWS", 20)
+    rng = random.Random(3)
+    of = {f"x{k}": ["".join(rng.choices("abcdefghijklmnopqrst"[k:k + 9], k=6)) for _ in range(8)] for k in range(12)}
+    docs = spark.createDataFrame([(100 * k + j, " ".join(rng.choices(of[f"x{k}"], k=30)), f"x{k}", "s", 1)
+                                  for k in range(12) for j in range(40 - k)], DOCS)
+    model = langid.train(docs, F.lit(True))
+    assert model.languages == [f"x{k}" for k in range(5)]
+    got = langid.predict(docs, model, ["doc_id", "lang"]).where(F.col("lang").isin(model.languages)).collect()
+    assert sum(r.lang_pred == r.lang for r in got) > .9 * len(got)
+
+
+def test_families_are_learned_in_bounded_groups():
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(6, 40))
+    means = centre[np.arange(30) % 6] + .05 * rng.normal(size=(30, 40))
+    got = langid.grouped(means, size=5)
+    assert len(set(got)) == 6 and max(map(got.count, got)) == 5
+    assert all(got[k] == got[k % 6] for k in range(30))
+    assert langid.grouped(means[:1]) == [0] and max(map(langid.grouped(rng.normal(size=(50, 8))).count, range(7))) <= 8
+
+
 def test_language_edges(spark):
     rng = random.Random(0)
     words = {"en": "the of and with that is", "de": "der die und nicht schön über", "fr": "le la été où dans une", "xx": "zq qz zzq qqz zqz"}
@@ -230,6 +284,20 @@ def test_quality_votes_like_brute_force():
         assert abs((np.maximum(near[top], 1e-6) * label[top]).sum() / np.maximum(near[top], 1e-6).sum() - got[k]) < 1e-3
 
 
+def test_repeat_shares_like_plain_counts_whatever_the_length():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices([f"w{k}" for k in range(size)], k=n)) for size, n in
+             ((3, 40), (60, 500), (30, 5000), (30, 500), (1, 1), (5, 0), (2000, 3000))] + [None, "a a a a", "x\ny x"]
+    got = quality._repeats(pa.array(texts, pa.string()))
+    for row, text in zip(got, texts):
+        w = (text or "").split()
+        n = max(1, len(w))
+        want = [sum(a == b for a, b in zip(w, w[k:])) / n for k in (1, 2)]
+        near = sum(w[i] in w[max(0, i - quality.NEAR):i] for i in range(len(w))) / n
+        assert np.allclose(row, [*want, min(1, max(0, 2 * (near - .5)))])
+    assert abs(got[2] - got[3]).max() < .1      # ten times the text, the same shares
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "Good plain words here.", "en", "s", 1), (2, "BAD!! BAD!! BAD!!", "en", "s", 1), (3, None, None, None, None),
                                   (None, "", "en", "s", 0), (2, "BAD!! BAD!! BAD!!", "en", "s", 1), (4, "x " * 300_000, "en", "s", 1)], DOCS)
