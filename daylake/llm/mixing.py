@@ -4,7 +4,8 @@ The rate of a source is its target share of the output over its share of the
 rows. A document's number of copies is the inverse of the Poisson
 distribution with that rate at a uniform number taken from a seeded hash of
 the document's id and text, so a retried task or another partitioning gives
-the same copies. Each document is exploded by its count and the copies are
+the same copies: it is looked up in the source's table, made once a source. Each
+document is exploded by its count and the copies are
 spread and sorted by a second hash: a global shuffle.
 
 Rates over ``CHUNK`` are the sum of several independent draws (a Poisson sum
@@ -34,14 +35,25 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_inverse(rate: Column, u: Column) -> Column:
-    """Smallest k with P(X <= k) > u, for rates up to ``CHUNK``."""
-    start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf"), F.lit(0).alias("k"))
+def poisson_table(rate: Column) -> Column:
+    """P(X <= k) for k = 0, 1, ... as an array, for rates up to ``CHUNK``."""
+    first = F.exp(-rate)
+    start = F.struct(first.alias("p"), first.alias("cdf"), F.array(first).alias("table"))
     steps = F.aggregate(
-        F.sequence(F.lit(1), F.lit(int(CHUNK) + TAIL)), start,
+        F.sequence(F.lit(1), F.lit(int(CHUNK) + TAIL - 1)), start,
         lambda acc, i: F.struct((acc["p"] * rate / i).alias("p"), (acc["cdf"] + acc["p"] * rate / i).alias("cdf"),
-                                (acc["k"] + F.when(acc["cdf"] <= u, 1).otherwise(0)).alias("k")))
-    return steps["k"]
+                                F.array_append(acc["table"], acc["cdf"] + acc["p"] * rate / i).alias("table")))
+    return steps["table"]
+
+
+def found(table: Column, u: Column) -> Column:
+    """Smallest k with P(X <= k) > u, from a distribution's table."""
+    return F.size(F.filter(table, lambda cdf: cdf <= u))
+
+
+def poisson_inverse(rate: Column, u: Column) -> Column:
+    """Smallest k with P(X <= k) > u, for rates up to ``CHUNK``."""
+    return found(poisson_table(rate), u)
 
 
 def rates(docs: DataFrame, weights: DataFrame | None = None, source: str = "source",
@@ -69,14 +81,15 @@ def copies(docs: DataFrame, source_rates: DataFrame, doc_id: str = "doc_id", tex
            source: str = "source", seed: int = SEED) -> DataFrame:
     """``docs`` with one row per copy, numbered by ``copy`` from 1, and
     ``mix_key``, whose order is the global shuffle."""
-    by = source_rates.select(F.col("source").alias("__s"), F.col("rate").alias("__rate"))
-    draws = F.ceil(F.col("__rate") / F.lit(CHUNK)).cast("int")
-    rated = (docs.drop("copy", "mix_key").join(by, F.col(source).eqNullSafe(F.col("__s")))
-             .withColumn("__draws", draws).where("__draws > 0"))
+    draws = F.ceil(F.col("rate") / F.lit(CHUNK)).cast("int")
+    # each source's table is worked out once, not once a document
+    by = (source_rates.select("source", "rate", draws.alias("__draws")).where("__draws > 0")
+          .select(F.col("source").alias("__s"), "__draws", poisson_table(F.col("rate") / F.col("__draws")).alias("__table")))
+    by = stage(by, "mix-tables")
+    rated = docs.drop("copy", "mix_key").join(by, F.col(source).eqNullSafe(F.col("__s")))
     fixed = F.md5(F.coalesce(F.col(text), F.lit("\\N")).cast("binary"))
     each = F.transform(F.sequence(F.lit(1), F.col("__draws")),
-                       lambda d: poisson_inverse(F.col("__rate") / F.col("__draws"),
-                                                 uniform(seed, F.col(doc_id), F.col("__text"), d)))
+                       lambda d: found(F.col("__table"), uniform(seed, F.col(doc_id), F.col("__text"), d)))
     count = F.aggregate(each, F.lit(0), lambda a, k: a + k)
     out = (rated.withColumn("__text", fixed).withColumn("__n", count).where("__n > 0")
            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
