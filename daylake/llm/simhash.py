@@ -147,8 +147,9 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataF
     """Links ``(a, b)`` that connect the distinct fingerprints ``fp`` of
     ``nodes`` wherever two differ in at most ``max_bits`` bits."""
     segments = _segments(max_bits)
-    # dealt anew: distinct fingerprints are small beside the probes they expand into
-    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # dealt anew, by a hash (by the fingerprint itself they are already dealt, into few
+    # tasks): distinct fingerprints are small beside the probes they expand into
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     value = [F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
              for shift, width, _ in segments]
     tag = [F.lit(k << 58) for k in range(len(segments))]
