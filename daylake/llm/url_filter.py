@@ -78,10 +78,11 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url",
         F.collect_set("labels").alias("labels"), F.collect_set("p_len").alias("lens")).first()
     labels, lens = sorted(shapes["labels"]), sorted(shapes["lens"])
     host, path = url_parts(F.col("__url"))
-    # dealt anew: the distinct URLs are small beside what they expand into
+    # dealt anew, by a hash (by the URL itself they are already dealt, into few tasks):
+    # the distinct URLs are small beside what they expand into
     tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     urls = (kept.select(F.col(url).alias("__url")).where("__url is not null").distinct()
-            .repartition(tasks, "__url").select("__url", host.alias("u_host"), path.alias("u_path")))
+            .repartition(tasks, F.xxhash64("__url")).select("__url", host.alias("u_host"), path.alias("u_path")))
     if labels:
         n = F.size(F.split("u_host", r"\."))
         suffixes = F.array(*[F.when(n >= k, F.substring_index("u_host", ".", -k)) for k in labels])
