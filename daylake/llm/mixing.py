@@ -5,8 +5,8 @@ rows. A document's number of copies is the inverse of the Poisson
 distribution with that rate at a uniform number taken from a seeded hash of
 the document's id and text, so a retried task or another partitioning gives
 the same copies: it is looked up in the source's table, made once a source. Each
-document is exploded by its count and the copies are
-spread and sorted by a second hash: a global shuffle.
+document is exploded by its count and the copies are spread and sorted by a
+second hash: a global shuffle.
 
 Rates over ``CHUNK`` are the sum of several independent draws (a Poisson sum
 is Poisson), so the distribution's table stays short at any rate.
@@ -88,9 +88,11 @@ def copies(docs: DataFrame, source_rates: DataFrame, doc_id: str = "doc_id", tex
     by = stage(by, "mix-tables")
     rated = docs.drop("copy", "mix_key").join(by, F.col(source).eqNullSafe(F.col("__s")))
     fixed = F.md5(F.coalesce(F.col(text), F.lit("\\N")).cast("binary"))
-    each = F.transform(F.sequence(F.lit(1), F.col("__draws")),
-                       lambda d: found(F.col("__table"), uniform(seed, F.col(doc_id), F.col("__text"), d)))
-    count = F.aggregate(each, F.lit(0), lambda a, k: a + k)
+    # the text's hash and each draw's number are bound to lambda variables: worked
+    # out once, not once for every entry of the table they are compared with
+    draw = F.flatten(F.transform(F.array(fixed), lambda t: F.transform(
+        F.sequence(F.lit(1), F.col("__draws")), lambda d: uniform(seed, F.col(doc_id), t, d))))
+    count = F.aggregate(F.transform(draw, lambda u: found(F.col("__table"), u)), F.lit(0), lambda a, k: a + k)
     out = (rated.withColumn("__text", fixed).withColumn("__n", count).where("__n > 0")
            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
            .withColumn("mix_key", uniform(seed + 1, F.col(doc_id), F.col("__text"), F.col("copy"))))
