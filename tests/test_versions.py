@@ -5,6 +5,7 @@ import itertools
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
@@ -303,6 +304,75 @@ def test_the_index_by_range_alone(spark, lake, monkeypatch):
     assert stats.partitions_read == 2 and stats.rows_matched == 2 and stats.rows_after == 100
 
 
+def _strided(spark, lake, name, rows=400):
+    """Four days; each holds every fourth key, so that all ranges overlap."""
+    table = f"{lake}.{name}"
+    write_table(spark.range(rows).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit("2024").alias("year"),
+                                         F.lit("02").alias("month"),
+                                         F.format_string("%02d", (F.col("id") % 4).cast("int")).alias("day")), table, PARTS)
+    return table
+
+
+def _index_rows(spark, table, rows=None):
+    """The index's rows; ``rows`` replace them."""
+    root = f"{table_location(spark, table)}/{key_index.FOLDER}"
+    if rows is None:
+        return spark.read.option("recursiveFileLookup", "true").parquet(root)
+    rows = rows.localCheckpoint()
+    key_index.remove_folder(spark, root)
+    rows.write.parquet(f"{root}/all-again")
+
+
+def _days_read(spark, table, keys):
+    src = spark.createDataFrame([(k, "new", "2024", "02", "09") for k in keys], SCHEMA)
+    return plan_upsert(spark, table, src, ["k"]).stats.partitions_read
+
+
+def test_a_large_partition_has_several_bounded_filters(spark, lake, monkeypatch):
+    monkeypatch.setattr(key_index, "MAX_KEYS", 8)
+    monkeypatch.setattr(key_index, "TASK_KEYS", 50, raising=False)
+    table = _strided(spark, lake, "several")
+    index_keys(spark, table, ["k"])
+    assert [_days_read(spark, table, keys) for keys in ([41], [41, 45, 399], [40, 41, 42, 43])] == [1, 2, 4]
+    assert all(_days_read(spark, table, [k]) == 1 for k in range(2, 380, 21))
+    index = _index_rows(spark, table)
+    sizes = index.groupBy("folder").agg(F.count("filter").alias("n"), F.first("parts").alias("parts"),
+                                        F.max(F.length("filter")).alias("bytes")).collect()
+    assert [(r.n, r.parts, r.bytes) for r in sizes] == [(13, 13, 31)] * 4
+    # a folder that lacks a filter's row is judged by its range
+    _index_rows(spark, table, index.where(~((F.col("part") == 3) & F.col("folder").endswith("day=00"))))
+    assert [_days_read(spark, table, keys) for keys in ([41], [40], [42, 43])] == [2, 1, 3]
+
+
+def test_an_index_of_one_filter_a_folder_is_still_asked(spark, lake):
+    table = _strided(spark, lake, "former")
+    index_keys(spark, table, ["k"])
+    _index_rows(spark, table, _index_rows(spark, table).drop("part", "parts"))
+    assert [_days_read(spark, table, keys) for keys in ([41], [41, 45, 399], [40, 41, 42, 43])] == [1, 2, 4]
+
+
+def test_filters_of_a_task_hold_their_own_hashes():
+    rng = np.random.default_rng(2)
+    hashes = {s: rng.integers(-2**63, 2**63 - 1, n) for s, n in ((7, 300), (9, 1), (2**40, 4000), (3, 0))}
+    rows = [(s, 8 * max(8, 4 * len(h)), None if k < 0 else int(h[k])) for s, h in hashes.items() for k in range(-1, len(h))]
+    rows = [rows[k] for k in rng.permutation(len(rows))] + [rows[1]] * 500
+    schema = pa.schema([("slot", pa.int64()), ("bits", pa.int64()), ("h", pa.int64())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[k:k + 700]], schema)
+               for k in range(0, len(rows), 700)]
+    out = [(r["slot"], r["filter"]) for b in key_index.blooms(iter(batches)) for r in b.to_pylist()]
+    assert len(out) == 4 and {s: f for s, f in out} == {s: key_index.bloom(h) for s, h in hashes.items()}
+
+
+def test_counts_per_partition_sort_files_not_rows(spark, lake):
+    table = _strided(spark, lake, "counted")
+    df = manifest._per_folder(spark.table(table), PARTS)
+    scan = df._jdf.queryExecution().executedPlan().toString().rpartition("Exchange")[2]
+    assert "HashAggregate" in scan and "Sort" not in scan
+    m = manifest.from_catalog(spark, table, table_location(spark, table), PARTS)
+    assert {n[-1]: (e.folder, e.rows) for n, e in m.entries.items()} == {
+        f"0{d}": (f"year=2024/month=02/day=0{d}", 100) for d in range(4)}
+
+
 def test_null_keys_and_wider_keys_with_an_index(spark, lake):
     table = f"{lake}.nulls"
     schema = SCHEMA.replace("k long", "k int")
