@@ -87,7 +87,7 @@ def blooms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in _places(hashes.fill_null(0).to_numpy()[keyed], bits[keyed]):
             held[start[keyed] + at.astype(np.int64)] = True
     yield pa.RecordBatch.from_arrays(
-        [pa.array(found, pa.int64()), pa.array([_pack(held[a:b]) for a, b in found.values()], pa.binary())],
+        [pa.array(list(found), pa.int64()), pa.array([_pack(held[a:b]) for a, b in found.values()], pa.binary())],
         names=["slot", "filter"])
 
 
